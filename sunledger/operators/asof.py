@@ -23,12 +23,12 @@ def pool_leads(fc: DataFrame, issue: str, target: str, lo_h: float, hi_h: float)
 
 
 def _timeline(
-    facts: DataFrame, asks: DataFrame, keys: Sequence[str], fact_ts: str, ask_ts: str, tie: str, payload: Column
+    facts: DataFrame, asks: DataFrame, keys: Sequence[str], fact_ts: str, ask_ts: str, tie: Column, payload: Column
 ) -> DataFrame:
     """Facts and questions on one time line; facts come before questions of the same instant."""
     left = facts.where(F.col(fact_ts).isNotNull()).groupBy(*keys, F.col(fact_ts).alias("_t")).agg(
         # Equal receipt times are folded before the shuffle; the highest tie-break wins.
-        F.max_by(payload, F.col(tie)).alias("_fact")
+        F.max_by(payload, tie).alias("_fact")
     )
     left = left.select(*keys, "_t", F.lit(0).alias("_kind"), "_fact")
     rest = [c for c in asks.columns if c not in keys]
@@ -55,7 +55,7 @@ def as_known_at(
     versions plus issues; no pairs are made. Adds ``payload`` columns, NULL where nothing was known.
     """
     used = versions if where is None else versions.where(where)
-    line = _timeline(used, issues, keys, received, issue, tie, F.struct(*[F.col(c) for c in payload]))
+    line = _timeline(used, issues, keys, received, issue, F.col(tie), F.struct(*[F.col(c) for c in payload]))
     # Several questions may share an instant; they see the same facts, so their order does not matter.
     seen = scan(line, keys, time_bucket("_t", DAY), ["_t", "_kind"], before={"_known": F.col("_fact")}, inclusive=True)
     return seen.where("_kind = 1").select(*keys, "_ask.*", *[F.col(f"_known.{c}").alias(c) for c in payload])
@@ -80,7 +80,7 @@ def freshest_complete(
     # Running maximum: a late receipt of an old observation must not hide a newer one.
     payload = [observed, *needed]
     item = F.struct(*[F.col(c) for c in payload])
-    line = _timeline(whole, issues, keys, received, issue, tie, item)
+    line = _timeline(whole, issues, keys, received, issue, F.struct(observed, tie), item)
     newest = scan_max(line, keys, "_fact")
     fresh = minutes_between(issue, f"_known.{observed}") <= max_age_h * 60
     ok = F.coalesce(fresh, F.lit(False))
@@ -128,7 +128,7 @@ def lag_aligned(
         "_want", shift_seconds(issue, -F.col("lag_min") * 60)
     )
     item = F.struct(F.col(ts).alias("at"), F.col(value).alias("v"))
-    line = _timeline(readings.where(F.col(value).isNotNull()), asks, keys, ts, "_want", tie, item)
+    line = _timeline(readings.where(F.col(value).isNotNull()), asks, keys, ts, "_want", F.col(tie), item)
     near = scan(
         line, keys, time_bucket("_t", DAY), ["_t", "_kind"], before={"_b": F.col("_fact")}, after={"_a": F.col("_fact")}
     )

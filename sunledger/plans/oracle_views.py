@@ -107,7 +107,7 @@ VIEWS: dict[str, str] = {
         SELECT * FROM (VALUES ('ultra_short', 'click'), ('ultra_short', 'view'), ('short_24h', 'click'),
           ('short_24h', 'purchase'), ('short_48h', 'signup'), ('short_48h', 'error')) AS d(model, feed)""",
     "features": """
-        SELECT l_orderkey AS row_key, l_linenumber AS row_no, l_quantity AS quantity, l_extendedprice AS price,
+        SELECT l_orderkey AS row_key, l_linenumber AS row_no, CAST(l_shipdate AS DATE) AS day, l_quantity AS quantity, l_extendedprice AS price,
                l_discount AS discount, l_tax AS tax FROM lineitem""",
 }
 

@@ -227,6 +227,7 @@ class Tables:
         return self.table("lineitem").select(
             F.col("l_orderkey").alias("row_key"),
             F.col("l_linenumber").alias("row_no"),
+            F.col("l_shipdate").cast("date").alias("day"),
             F.col("l_quantity").alias("quantity"),
             F.col("l_extendedprice").alias("price"),
             F.col("l_discount").alias("discount"),
