@@ -98,7 +98,7 @@ def freshness(t: Tables) -> DataFrame:
         CASE WHEN last_valid IS NOT NULL AND window_end - last_valid <= INTERVAL '300 minutes' THEN 'normal' ELSE 'late' END AS status FROM r""",
 )
 def _(t: Tables):
-    return jobs.run_to_table(freshness(t), "feed-freshness").where("kind = 'update'").drop("kind")
+    return jobs.run_to_table(freshness(t), "feed-freshness", stateful=True).where("kind = 'update'").drop("kind")
 
 
 @query(
@@ -179,4 +179,4 @@ def _(t: Tables):
     w = w.select("unit", F.unix_micros("window_start").alias("window_us"), F.expr("k div 40").alias("level"), "window_end")
     out = jobs.with_state(w, ["unit"], jobs.StuckValue(["unit"], 900_000_000, 3), "unit string, window_us bigint, level bigint, run_length bigint", "None")
     out = us_to_ntz(out, slot="window_us").select("unit", "slot", "level", "run_length")
-    return jobs.run_to_table(out, "stuck-values")
+    return jobs.run_to_table(out, "stuck-values", stateful=True)

@@ -32,7 +32,9 @@ def landing_stream(spark: SparkSession, folder: str, schema: StructType, glob: s
     )
 
 
-def run_to_table(stream: DataFrame, name: str, partition_by: Sequence[str] = (), location: str | None = None) -> DataFrame:
+def run_to_table(
+    stream: DataFrame, name: str, partition_by: Sequence[str] = (), location: str | None = None, stateful: bool = False
+) -> DataFrame:
     """Process what has landed, write it exactly once to a table in the shared folder and read it back.
 
     Give the same ``location`` again to go on where the last run ended; without it each run is its own.
@@ -49,8 +51,16 @@ def run_to_table(stream: DataFrame, name: str, partition_by: Sequence[str] = (),
     )
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    query = writer.start()
-    query.awaitTermination()
+    # Custom state needs RocksDB; the provider is fixed when the query starts.
+    old = spark.conf.get(PROVIDER_KEY, None)
+    if stateful:
+        spark.conf.set(PROVIDER_KEY, ROCKSDB)
+    try:
+        query = writer.start()
+        query.awaitTermination()
+    finally:
+        if stateful and old is not None:
+            spark.conf.set(PROVIDER_KEY, old)
     return spark.read.schema(stream.schema).parquet(f"{base}/table")
 
 
@@ -168,9 +178,7 @@ class StuckValue(StatefulProcessor):
 
 def with_state(windows: DataFrame, keys: Sequence[str], processor: StatefulProcessor, output: str, mode: str) -> DataFrame:
     """Apply a stateful processor per key on pre-aggregated windows."""
-    windows.sparkSession.conf.set(PROVIDER_KEY, ROCKSDB)
-    # Workers need not have this package installed.
-    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers need not have this package
     return windows.groupBy(*keys).transformWithState(
         statefulProcessor=processor, outputStructType=output, outputMode="Append", timeMode=mode
     )
