@@ -20,6 +20,16 @@ def error_metrics(actual: str | Column, pred: str | Column) -> list[Column]:
     ]
 
 
+def stable_sum(value: str | Column) -> Column:
+    """Sum rounded to a millionth: the order in which a cluster adds partial sums does not show."""
+    return F.round(F.sum(col(value)), 6)
+
+
+def stable_mean(value: str | Column) -> Column:
+    """Mean from a stable sum; NULL for an empty sample."""
+    return F.try_divide(stable_sum(value), F.count(col(value)))
+
+
 def bias_metrics(actual: str | Column, pred: str | Column) -> list[Column]:
     """ME, MPE, MAPE and MSE; rows with actual = 0 do not enter the percentages."""
     e = error(actual, pred)

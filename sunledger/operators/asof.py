@@ -101,7 +101,7 @@ def scan_max(line: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     carry = totals.select(*part, F.max("_m").over(earlier).alias("_carry"))
     inside = Window.partitionBy(*part).orderBy("_t", "_kind").rowsBetween(Window.unboundedPreceding, 0)
-    local = work.withColumn("_loc", F.max(value).over(inside))
+    local = work.repartition(*part).withColumn("_loc", F.max(value).over(inside))
     best = F.when(F.col("_carry").isNull(), F.col("_loc")).when(F.col("_loc").isNull(), F.col("_carry"))
     return local.join(carry, part, "left").withColumn(
         "_known", best.otherwise(F.greatest(F.col("_loc"), F.col("_carry")))

@@ -55,17 +55,22 @@ def monthly_baselines(
     )
 
 
-def history_before(df: DataFrame, keys: Sequence[str], period: Column, value: str) -> DataFrame:
-    """Per row, size and mean of all earlier periods: the training history of a fold that tests this row."""
+def history_before(df: DataFrame, keys: Sequence[str], period: Column, value: str, digits: int = 6) -> DataFrame:
+    """Per row, size and mean of all earlier periods: the training history of a fold that tests this row.
+
+    Sums are rounded to ``digits``, the precision of the data, so that the order of addition does not show.
+    """
     past = Window.partitionBy(*keys).orderBy(period).rangeBetween(Window.unboundedPreceding, -1)
     return df.select(
         *df.columns,
         F.count(value).over(past).alias("train_rows"),
-        F.avg(value).over(past).alias("train_mean"),
+        F.try_divide(F.round(F.sum(value).over(past), digits), F.count(value).over(past)).alias("train_mean"),
     )
 
 
-def fold_climatology(df: DataFrame, keys: Sequence[str], day: str, value: str, fold: Column) -> DataFrame:
+def fold_climatology(
+    df: DataFrame, keys: Sequence[str], day: str, value: str, fold: Column, digits: int = 6
+) -> DataFrame:
     """Season mean from rows of earlier folds only.
 
     Rows are summed per (keys, season, fold) first, so the expanding frame holds one row per fold.
@@ -80,7 +85,7 @@ def fold_climatology(df: DataFrame, keys: Sequence[str], day: str, value: str, f
         *keys,
         "season",
         "fold",
-        F.try_divide(F.sum("_s").over(past), total).alias("clim"),
+        F.try_divide(F.round(F.sum("_s").over(past), digits), total).alias("clim"),
         F.coalesce(total, F.lit(0)).alias("train_days"),
     )
 

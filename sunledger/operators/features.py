@@ -12,6 +12,8 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sunledger.operators.scans import edge_index
+
 
 def pearson_table(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """Long table (x, y, n, r) over all pairs after pairwise NULL removal, from one aggregate."""
@@ -32,38 +34,36 @@ def pearson_table(df: DataFrame, features: Sequence[str]) -> DataFrame:
 
 
 def average_ranks(df: DataFrame, value: str, splits: int = 256) -> DataFrame:
-    """Average rank of each distinct value, without ordering the column in one task.
+    """Average rank of each distinct value: (value, rank_<value>).
 
-    Equal values fold first; sketch cut points split the rest, and ranks are offset plus position.
+    Equal values fold before the shuffle, a mergeable sketch cuts the rest into intervals, and a rank is the
+    interval's offset plus the position in it. The column is never ordered in one task.
     """
-    folded = df.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("_v")).agg(F.count("*").alias("_c"))
+    folded = df.where(F.col(value).isNotNull()).groupBy(F.col(value).cast("double").alias("_v")).agg(F.count("*").alias("_c"))
     levels = [i / splits for i in range(1, splits)]
-    # One row, made of mergeable sketches; it reaches every task as a scalar.
-    edges = folded.agg(F.percentile_approx("_v", levels, 10_000).alias("_edges"))
-    binned = folded.join(F.broadcast(edges)).select(
-        "_v", "_c", F.size(F.filter("_edges", lambda e: e < F.col("_v"))).alias("_bin")
-    )
-    # ``splits`` rows at most, so this one window partition is bounded.
+    edges = folded.agg(F.percentile_approx("_v", levels, 10_000).alias("e")).scalar()
+    binned = folded.withColumn("_edges", edges).select("_v", "_c", edge_index(F.col("_edges"), F.col("_v"), splits).alias("_bin"))
+    # At most ``splits`` rows, so this one window partition is bounded.
     order = Window.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
     starts = binned.groupBy("_bin").agg(F.sum("_c").alias("_bc")).select(
         "_bin", F.coalesce(F.sum("_bc").over(order), F.lit(0)).alias("_start")
     )
     inside = Window.partitionBy("_bin").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    end = F.col("_start") + F.sum("_c").over(inside)
     return (
         binned.join(starts, "_bin")
-        .withColumn("_end", F.col("_start") + F.sum("_c").over(inside))
-        .select(F.col("_v").alias(value), (F.col("_end") - (F.col("_c") - 1) / F.lit(2.0)).alias(f"rank_{value}"))
+        .repartition("_bin")
+        .select(F.col("_v").alias(value), (end - (F.col("_c") - 1) / F.lit(2.0)).alias(f"_rank_{value}"))
     )
 
 
 def spearman_table(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """Rank correlation: average ranks per column, then Pearson. Rows with a NULL feature are left out."""
-    rows = df.select(*features).dropna()
+    rows = df.select(*[F.col(f).cast("double").alias(f) for f in features]).dropna()
     ranked = rows
     for f in features:
         ranked = ranked.join(average_ranks(rows, f), f)
-    table = pearson_table(ranked.select(*[F.col(f"rank_{f}").alias(f) for f in features]), features)
-    return table
+    return pearson_table(ranked.select(*[F.col(f"_rank_{f}").alias(f) for f in features]), features)
 
 
 def correlation_matrix(df: DataFrame, features: Sequence[str]) -> np.ndarray:

@@ -11,17 +11,18 @@ from pyspark.sql import functions as F
 
 from sunledger.functions.columns import as_ntz, col, epoch_seconds, hash_order, shift_seconds
 from sunledger.operators.scans import DAY, scan, time_bucket, with_halo
+from sunledger.session import small_table
 
 
 def slot_calendar(df: DataFrame, keys: Sequence[str], ts: str, minutes: int) -> DataFrame:
     """All slots per key from the start of its first day to the end of its last day.
 
-    Days are exploded before slots, so a long span does not become one huge array.
+    Days are exploded and spread before slots, so a long span is neither one huge array nor one task.
     """
     width = minutes * 60
     day = F.floor(epoch_seconds(ts) / F.lit(DAY)).cast("bigint")
     spans = df.groupBy(*keys).agg(F.min(day).alias("_a"), F.max(day).alias("_b"))
-    days = spans.select(*keys, F.explode(F.sequence("_a", "_b")).alias("_day"))
+    days = spans.select(*keys, F.explode(F.sequence("_a", "_b")).alias("_day")).repartition(*keys, "_day")
     return days.select(
         *keys,
         F.explode(F.sequence(F.col("_day") * DAY, F.col("_day") * DAY + (DAY - width), F.lit(width).cast("bigint"))).alias("_s"),
@@ -128,7 +129,7 @@ def spline_weights(length: int, knots: int) -> tuple[tuple[int, int, float], ...
 
 def spline_table(spark: SparkSession, lengths: Sequence[int], knots: int) -> DataFrame:
     rows = [(length, p, off, w) for length in lengths for p, off, w in spline_weights(length, knots)]
-    return spark.createDataFrame(rows, "gap_slots bigint, pos bigint, off bigint, w double")
+    return small_table(spark, rows, "gap_slots bigint, pos bigint, off bigint, w double")
 
 
 def spline_fill(

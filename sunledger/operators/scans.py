@@ -71,7 +71,8 @@ def scan(
     back = inside.rowsBetween(Window.unboundedPreceding, -here)
     ahead = inside.rowsBetween(here, Window.unboundedFollowing)
     upto = inside.rowsBetween(Window.unboundedPreceding, 0)
-    local = work.select(
+    # Stated outright: an input already spread by a part of the keys would otherwise keep a unit in one task.
+    local = work.repartition(*part).select(
         *cols,
         "_bucket",
         *[F.last(F.col(f"_in_{n}"), ignorenulls=True).over(back).alias(f"_loc_{n}") for n in before],
@@ -110,6 +111,17 @@ def with_halo(df: DataFrame, ts: str, bucket_s: int, back_s: int = 0, ahead_s: i
     return copied.withColumn("_own", F.col("_home") == F.col("_bucket")).drop("_home")
 
 
+def edge_index(edges: Column, value: Column, splits: int) -> Column:
+    """Number of cut points below ``value``, by binary search.
+
+    ``edges`` is a sorted array of ``splits`` - 1 cut points and ``splits`` a power of two.
+    """
+    steps = F.array(*[F.lit(splits >> i) for i in range(1, splits.bit_length())])
+    return F.aggregate(
+        steps, F.lit(0), lambda at, step: at + F.when(F.element_at(edges, at + step) < value, step).otherwise(0)
+    )
+
+
 def exact_quantiles(
     df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float], splits: int = 64
 ) -> DataFrame:
@@ -125,7 +137,7 @@ def exact_quantiles(
         F.percentile_approx("_v", levels, 10_000).alias("_edges"), F.sum("_c").alias("_n")
     )
     binned = folded.join(edges, keys).select(
-        *keys, "_v", "_c", "_n", F.size(F.filter("_edges", lambda e: e < F.col("_v"))).alias("_bin")
+        *keys, "_v", "_c", "_n", edge_index(F.col("_edges"), F.col("_v"), splits).alias("_bin")
     )
     counts = binned.groupBy(*keys, "_bin").agg(F.sum("_c").alias("_bc"), F.first("_n").alias("_n"))
     upto = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)
@@ -153,6 +165,7 @@ def exact_quantiles(
     ordered = Window.partitionBy(*keys, "_bin").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     ranked = (
         binned.join(spots, [*keys, "_bin"])
+        .repartition(*keys, "_bin")
         .withColumn("_last", F.col("_start") + F.sum("_c").over(ordered) - 1)
         .withColumn("_first", F.col("_last") - F.col("_c") + 1)
         .withColumn("_ask", F.explode("_asks"))

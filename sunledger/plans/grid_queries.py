@@ -6,10 +6,12 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from sunledger.functions import columns as C
+from sunledger.functions.stats import stable_mean
 from sunledger.operators import grid, quality
 from sunledger.plans.common import rounded
 from sunledger.plans.registry import query
 from sunledger.plans.views import Tables
+from sunledger.session import small_table
 
 LIVE_FROM = "2024-01-22 00:00:00"
 
@@ -66,8 +68,8 @@ def _(t: Tables):
        ON u = unit""",
 )
 def _(t: Tables):
-    limits = t.spark.createDataFrame(
-        [("click", 0.0, 100.0), ("view", 0.0, 60.0), ("purchase", 5.0, 240.0)], "unit string, lo double, hi double"
+    limits = small_table(
+        t.spark, [("click", 0.0, 100.0), ("view", 0.0, 60.0), ("purchase", 5.0, 240.0)], "unit string, lo double, hi double"
     )
     rows = t.readings_raw.select("event_id", "unit", C.parsed_value("raw").alias("value"))
     return quality.flag_range(rows, limits, ["unit"], "value").select("event_id", "unit", "range_state")
@@ -380,7 +382,7 @@ def _(t: Tables):
 
 HOURLY_SQL = """h AS (SELECT g.unit, g.slot, r.kw FROM (SELECT unit, unnest(generate_series(date_trunc('day', min(ts)),
     date_trunc('day', max(ts)) + INTERVAL '23 hours', INTERVAL '1 hour')) AS slot FROM readings_raw WHERE k < 94 GROUP BY unit) g
-  LEFT JOIN (SELECT unit, date_trunc('hour', ts) AS slot, round(avg(TRY_CAST(raw AS DOUBLE)), 6) AS kw FROM readings_raw WHERE k < 94
+  LEFT JOIN (SELECT unit, date_trunc('hour', ts) AS slot, round(sum(TRY_CAST(raw AS DOUBLE)), 6) / count(*) AS kw FROM readings_raw WHERE k < 94
     GROUP BY 1, 2) r ON r.unit = g.unit AND r.slot = g.slot),
   c AS (SELECT h.unit, h.slot AS mask_start, n AS mask_slots FROM h, (VALUES (1), (2), (3), (6)) AS v(n)
     WHERE (SELECT count(kw) FROM h x WHERE x.unit = h.unit AND x.slot BETWEEN h.slot - 3 * INTERVAL '1 hour'
@@ -396,7 +398,7 @@ HOURLY_SQL = """h AS (SELECT g.unit, g.slot, r.kw FROM (SELECT unit, unnest(gene
 
 def hourly(t: Tables):
     raw = t.readings_raw.where("k < 94").groupBy("unit", C.slot_start("ts", 60).alias("slot"))
-    return grid.reindex(raw.agg(F.round(F.avg(C.parsed_value("raw")), 6).alias("kw")), ["unit"], "slot", 60)
+    return grid.reindex(raw.agg(stable_mean(C.parsed_value("raw")).alias("kw")), ["unit"], "slot", 60)
 
 
 def rebuilt(t: Tables):

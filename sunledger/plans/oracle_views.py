@@ -50,7 +50,7 @@ VIEWS: dict[str, str] = {
                     ELSE CAST(value AS VARCHAR) END AS raw
         FROM events""",
     "readings": """
-        SELECT unit, time_bucket(INTERVAL '15 minutes', ts) AS slot, round(avg(TRY_CAST(raw AS DOUBLE)), 6) AS kw,
+        SELECT unit, time_bucket(INTERVAL '15 minutes', ts) AS slot, round(sum(TRY_CAST(raw AS DOUBLE)), 6) / count(*) AS kw,
                CAST(count(*) AS BIGINT) AS n_obs, max(ts + k * INTERVAL '1 minute') AS received_at
         FROM readings_raw WHERE k < 94 GROUP BY 1, 2""",
     "grid": """
@@ -87,7 +87,7 @@ VIEWS: dict[str, str] = {
                date_trunc('hour', ts) + k * INTERVAL '1 hour' AS target_ts, ts AS received_at, value AS pred
         FROM (SELECT *, CAST(regexp_extract(props, '[0-9]+') AS BIGINT) AS k FROM events)""",
     "site_hour": """
-        SELECT CAST(user_id % 4 AS BIGINT) AS site, date_trunc('hour', ts) AS hour, round(avg(value), 6) AS actual_kw,
+        SELECT CAST(user_id % 4 AS BIGINT) AS site, date_trunc('hour', ts) AS hour, round(sum(value), 6) / count(*) AS actual_kw,
                CAST(count(*) AS BIGINT) AS n_obs FROM events GROUP BY 1, 2""",
     "capacity": """
         SELECT s_suppkey AS unit, CAST(s_nationkey AS BIGINT) AS site, 'inverter_sum' AS role, abs(s_acctbal) + 100 AS kw FROM supplier

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sunledger.functions import columns as C
+from sunledger.functions.stats import stable_mean
 from sunledger.operators import grid, quality
 from sunledger.operators.scans import DAY, with_halo
 from sunledger.plans.common import rounded
@@ -115,12 +116,12 @@ def _(t: Tables):
 @query(
     "nearby_stations",
     "J12",
-    """WITH h AS (SELECT station, date_trunc('hour', obs_ts) AS hour, round(avg(temp), 6) AS temp FROM obs GROUP BY 1, 2)
+    """WITH h AS (SELECT station, date_trunc('hour', obs_ts) AS hour, round(sum(temp), 6) / nullif(count(temp), 0) AS temp FROM obs GROUP BY 1, 2)
        SELECT s.hour, n.station AS near_station, s.temp AS site_temp, n.temp AS near_temp, round(n.temp - s.temp, 6) AS diff
        FROM h s JOIN h n ON n.hour = s.hour AND n.station IN (1, 2) WHERE s.station = 0""",
 )
 def _(t: Tables):
-    h = t.obs.groupBy("station", C.slot_start("obs_ts", 60).alias("hour")).agg(F.round(F.avg("temp"), 6).alias("temp"))
+    h = t.obs.groupBy("station", C.slot_start("obs_ts", 60).alias("hour")).agg(stable_mean("temp").alias("temp"))
     site = h.where("station = 0").select("hour", F.col("temp").alias("site_temp"))
     near = h.where("station IN (1, 2)").select("hour", F.col("station").alias("near_station"), F.col("temp").alias("near_temp"))
     return site.join(near, "hour").withColumn("diff", F.round(F.col("near_temp") - F.col("site_temp"), 6))
@@ -129,10 +130,10 @@ def _(t: Tables):
 @query(
     "meter_reconciliation",
     "J13",
-    """WITH m AS (SELECT r_name AS site, CAST(date_trunc('month', l_shipdate) AS DATE) AS month, round(sum(l_extendedprice * (1 - l_discount)), 2) AS meter_kwh
+    """WITH m AS (SELECT r_name AS site, CAST(date_trunc('month', l_shipdate) AS DATE) AS month, round(sum(l_extendedprice * (1 - l_discount)), 4) AS meter_kwh
          FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
          WHERE month(l_shipdate) <> 2 GROUP BY 1, 2)
-       SELECT site, month, s.actual_kwh AS inverter_kwh, meter_kwh, round(s.actual_kwh - meter_kwh, 2) AS diff,
+       SELECT site, month, s.actual_kwh AS inverter_kwh, meter_kwh, round(s.actual_kwh - meter_kwh, 4) AS diff,
          round(abs(s.actual_kwh - meter_kwh) / nullif(meter_kwh, 0) * 100, 5) AS diff_pct,
          CASE WHEN s.actual_kwh IS NULL THEN 'left_missing' WHEN meter_kwh IS NULL THEN 'right_missing'
               WHEN abs(s.actual_kwh - meter_kwh) / nullif(meter_kwh, 0) * 100 <= 5.25 THEN 'within' ELSE 'outside' END AS state
@@ -142,11 +143,11 @@ def _(t: Tables):
     meter = (
         t.sold.where(F.month("l_shipdate") != 2)
         .groupBy("site", F.trunc(F.col("l_shipdate").cast("date"), "month").alias("month"))
-        .agg(F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("meter_kwh"))
+        .agg(F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 4).alias("meter_kwh"))
     )
     inverters = t.site_month.select("site", "month", F.col("actual_kwh").alias("inverter_kwh"))
     out = quality.reconcile(inverters, meter, ["site", "month"], "inverter_kwh", "meter_kwh", 5.25)
-    return rounded(rounded(out, 2, "diff"), 5, "diff_pct")
+    return rounded(rounded(out, 4, "diff"), 5, "diff_pct")
 
 
 @query(

@@ -52,7 +52,7 @@ def _(t: Tables):
 @query(
     "error_columns",
     "P4",
-    "SELECT site, month, round(candidate - actual_kwh, 4) AS e, round(abs(candidate - actual_kwh), 4) AS abs_e, "
+    "SELECT site, month, round(candidate - actual_kwh, 6) AS e, round(abs(candidate - actual_kwh), 6) AS abs_e, "
     "round((candidate - actual_kwh) * (candidate - actual_kwh) / 1e6, 4) AS sq_e_millions FROM oof",
 )
 def _(t: Tables):
@@ -60,8 +60,8 @@ def _(t: Tables):
     return t.oof.select(
         "site",
         "month",
-        F.round(e, 4).alias("e"),
-        F.round(F.abs(e), 4).alias("abs_e"),
+        F.round(e, 6).alias("e"),
+        F.round(F.abs(e), 6).alias("abs_e"),
         F.round(e * e / 1e6, 4).alias("sq_e_millions"),
     )
 
@@ -258,12 +258,12 @@ def _(t: Tables):
     "fold_history",
     "J9",
     """SELECT a.site, a.month, CAST((SELECT count(*) FROM site_month h WHERE h.site = a.site AND h.month < a.month) AS BIGINT) AS train_rows,
-       round((SELECT avg(h.actual_kwh) FROM site_month h WHERE h.site = a.site AND h.month < a.month), 6) AS train_mean
+       (SELECT round(sum(h.actual_kwh), 2) / count(*) FROM site_month h WHERE h.site = a.site AND h.month < a.month) AS train_mean
        FROM site_month a""",
 )
 def _(t: Tables):
-    out = baselines.history_before(t.site_month, ["site"], C.month_index("month"), "actual_kwh")
-    return rounded(out.select("site", "month", "train_rows", "train_mean"), 6, "train_mean")
+    out = baselines.history_before(t.site_month, ["site"], C.month_index("month"), "actual_kwh", digits=2)
+    return out.select("site", "month", "train_rows", "train_mean")
 
 
 CLIM_SQL = f"""d AS (SELECT *, {SEASON_SQL.format('day')} AS season, CAST(year(day) * 12 + month(day) - 1 AS BIGINT) AS fold FROM site_day)"""
@@ -273,18 +273,18 @@ CLIM_SQL = f"""d AS (SELECT *, {SEASON_SQL.format('day')} AS season, CAST(year(d
     "fold_climatology",
     "W4",
     f"""WITH {CLIM_SQL}, f AS (SELECT DISTINCT site, season, fold FROM d)
-        SELECT f.site, f.season, f.fold, round(avg(h.actual_kwh), 4) AS clim, CAST(count(h.day) AS BIGINT) AS train_days
+        SELECT f.site, f.season, f.fold, round(sum(h.actual_kwh), 2) / nullif(count(h.day), 0) AS clim, CAST(count(h.day) AS BIGINT) AS train_days
         FROM f LEFT JOIN d h ON h.site = f.site AND h.season = f.season AND h.fold < f.fold GROUP BY 1, 2, 3""",
 )
 def _(t: Tables):
     fold = C.month_index("day").cast("bigint")
-    return rounded(baselines.fold_climatology(t.site_day, ["site"], "day", "actual_kwh", fold), 4, "clim")
+    return baselines.fold_climatology(t.site_day, ["site"], "day", "actual_kwh", fold, digits=2)
 
 
 def daily_models(t: Tables):
     """Daily totals with persistence, fold climatology and a blend, by season."""
     fold = C.month_index("day").cast("bigint")
-    clim = baselines.fold_climatology(t.site_day, ["site"], "day", "actual_kwh", fold)
+    clim = baselines.fold_climatology(t.site_day, ["site"], "day", "actual_kwh", fold, digits=2)
     days = baselines.daily_persistence(t.site_day, ["site"], "day", "actual_kwh")
     return (
         days.withColumns({"season": C.season("day"), "fold": fold})
@@ -295,7 +295,7 @@ def daily_models(t: Tables):
 
 
 DAILY_SQL = f"""{CLIM_SQL},
-  c AS (SELECT f.site, f.season, f.fold, avg(h.actual_kwh) AS clim FROM (SELECT DISTINCT site, season, fold FROM d) f
+  c AS (SELECT f.site, f.season, f.fold, round(sum(h.actual_kwh), 2) / count(*) AS clim FROM (SELECT DISTINCT site, season, fold FROM d) f
         JOIN d h ON h.site = f.site AND h.season = f.season AND h.fold < f.fold GROUP BY 1, 2, 3),
   m AS (SELECT d.site, d.day, d.season, d.actual_kwh, p.actual_kwh AS persistence, c.clim,
           round(0.6 * c.clim + 0.4 * p.actual_kwh, 6) AS blend

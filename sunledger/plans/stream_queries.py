@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sunledger.functions import columns as C
+from sunledger.functions.stats import stable_mean
 from sunledger.plans.registry import query
 from sunledger.plans.views import Tables, minutes_k
 from sunledger.streaming import jobs
@@ -24,11 +25,11 @@ def us_to_ntz(df: DataFrame, **names: str) -> DataFrame:
     "T1",
     """WITH w AS (SELECT max(ts) - INTERVAL '1 hour' AS mark FROM events)
        SELECT event_type AS unit, date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL '1 hour' AS window_end,
-         CAST(count(*) AS BIGINT) AS n, round(avg(value), 5) AS mean_kw FROM events, w GROUP BY 1, 2, 3, mark HAVING window_end <= mark""",
+         CAST(count(*) AS BIGINT) AS n, round(sum(value), 6) / count(*) AS mean_kw FROM events, w GROUP BY 1, 2, 3, mark HAVING window_end <= mark""",
 )
 def _(t: Tables):
     s = jobs.event_time(events(t), "ts", "1 hour").withColumnRenamed("event_type", "unit")
-    agg = [F.count("*").alias("n"), F.round(F.avg("value"), 5).alias("mean_kw")]
+    agg = [F.count("*").alias("n"), stable_mean("value").alias("mean_kw")]
     out = jobs.ntz(jobs.tumbling(s, "ts", "1 hour", ["unit"], agg), "window_start", "window_end")
     return jobs.run_to_table(out, "hourly-readings")
 
@@ -53,8 +54,7 @@ def _(t: Tables):
 @query(
     "stream_late_receipts",
     "T3",
-    """WITH x AS (SELECT event_id, station, received_at, CASE WHEN date_trunc('hour', obs_ts) + INTERVAL '0.999999 seconds' >= obs_ts AND epoch(obs_ts)::BIGINT % 3600 = 0 AND second(obs_ts) = 0
-           THEN date_trunc('hour', obs_ts) ELSE date_trunc('hour', obs_ts) + INTERVAL '1 hour' END AS issue_ts,
+    """WITH x AS (SELECT event_id, station, received_at, CASE WHEN date_trunc('hour', obs_ts) = obs_ts THEN obs_ts ELSE date_trunc('hour', obs_ts) + INTERVAL '1 hour' END AS issue_ts,
          CASE WHEN date_trunc('hour', received_at) = received_at THEN received_at ELSE date_trunc('hour', received_at) + INTERVAL '1 hour' END AS usable_from FROM obs)
        SELECT x.event_id, x.station, x.issue_ts, x.usable_from, CASE WHEN received_at <= x.issue_ts THEN 'on_time' ELSE 'late' END AS receipt_state
        FROM x JOIN issues i ON i.station = x.station AND i.issue_ts = x.issue_ts""",
@@ -117,7 +117,7 @@ def _(t: Tables):
         C.shift_seconds(C.slot_start("ts", 60), k * 3600).cast("timestamp").alias("target_ts"),
     ).withWatermark("target_ts", "5 days")
     a = jobs.event_time(events(t), "ts", "1 hour").select("ts", site, "value")
-    a = jobs.tumbling(a, "ts", "1 hour", ["site"], [F.round(F.avg("value"), 6).alias("actual_kw"), F.count("*").alias("n_obs")])
+    a = jobs.tumbling(a, "ts", "1 hour", ["site"], [stable_mean("value").alias("actual_kw"), F.count("*").alias("n_obs")])
     a = a.select("site", F.col("window_start").alias("hour"), "actual_kw", "n_obs")
     out = jobs.match_as_they_arrive(f, a, "site", "target_ts", "hour").drop("hour")
     table = jobs.run_to_table(jobs.ntz(out, "target_ts"), "matched-forecasts")

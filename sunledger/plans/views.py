@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sunledger.functions.columns import as_ntz, epoch_seconds, half_label, shift_seconds, slot_start
+from sunledger.functions.stats import stable_mean
 from sunledger.operators import baselines, grid
-from sunledger.session import prepare
+from sunledger.session import prepare, small_table
 
 OOF_MODELS = ["persistence", "last_year", "seasonal_mean", "candidate"]
 OOF_BASELINES = OOF_MODELS[:3]
@@ -117,7 +118,7 @@ class Tables:
     def readings(self) -> DataFrame:
         valid = self.events.withColumn("k", minutes_k()).where("k < 94")
         return valid.groupBy(F.col("event_type").alias("unit"), slot_start("ts", 15).alias("slot")).agg(
-            F.round(F.avg("value"), 6).alias("kw"),
+            stable_mean("value").alias("kw"),
             F.count("*").alias("n_obs"),
             F.max(shift_seconds("ts", F.col("k") * 60)).alias("received_at"),
         )
@@ -175,7 +176,7 @@ class Tables:
     @cached_property
     def site_hour(self) -> DataFrame:
         return self.events.groupBy((F.col("user_id") % 4).alias("site"), slot_start("ts", 60).alias("hour")).agg(
-            F.round(F.avg("value"), 6).alias("actual_kw"), F.count("*").alias("n_obs")
+            stable_mean("value").alias("actual_kw"), F.count("*").alias("n_obs")
         )
 
     @cached_property
@@ -194,7 +195,7 @@ class Tables:
 
     @cached_property
     def defects(self) -> DataFrame:
-        rows = self.spark.createDataFrame(DEFECTS, "unit string, a string, b string")
+        rows = small_table(self.spark, DEFECTS, "unit string, a string, b string")
         return rows.select(
             "unit", F.col("a").cast("timestamp_ntz").alias("from_ts"), F.col("b").cast("timestamp_ntz").alias("to_ts")
         )
@@ -220,7 +221,7 @@ class Tables:
 
     @cached_property
     def required(self) -> DataFrame:
-        return self.spark.createDataFrame(REQUIRED, "model string, feed string")
+        return small_table(self.spark, REQUIRED, "model string, feed string")
 
     @cached_property
     def features(self) -> DataFrame:

@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -58,6 +62,14 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/sunledger/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
+def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A short register as a relation whose size the optimizer knows, so that it can choose to broadcast it."""
+    fields = StructType.fromDDL(schema)
+    columns = list(zip(*rows)) or [[] for _ in fields]
+    table = pa.table([pa.array(c, type=to_arrow_type(f.dataType)) for c, f in zip(columns, fields)], names=fields.names)
+    return spark.createDataFrame(table, fields)
+
+
 def materialize(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back; later branches do not recompute it."""
     spark = df.sparkSession

@@ -90,12 +90,14 @@ def split_late_receipts(stream: DataFrame, issues: DataFrame, keys: Sequence[str
     A value received after its issue is ``late``: unusable there, usable from the next issue on, never
     back-dated. Write the result partitioned by ``receipt_state`` to keep late rows apart.
     """
-    hour = F.lit(3600)
-    s = F.unix_seconds(observed)
-    meant = F.timestamp_seconds(s - F.pmod(s, hour) + F.when(F.pmod(s, hour) > 0, hour).otherwise(0))
-    r = F.unix_seconds(F.col(received) + F.expr("INTERVAL '0.999999' SECOND"))
-    usable = F.timestamp_seconds(r - F.pmod(r, hour) + F.when(F.pmod(r, hour) > 0, hour).otherwise(0))
-    rows = stream.withColumns({"issue_ts": meant, "usable_from": usable})
+    hour = 3_600_000_000
+
+    def next_issue(ts: str) -> Column:
+        """The instant itself if it is a full hour, else the next full hour."""
+        us = F.unix_micros(ts)
+        return F.timestamp_micros(us + F.pmod(-us, F.lit(hour)))
+
+    rows = stream.withColumns({"issue_ts": next_issue(observed), "usable_from": next_issue(received)})
     known = issues.select(*keys, F.col("issue_ts").cast("timestamp").alias("issue_ts"))
     state = F.when(F.col(received) <= F.col("issue_ts"), "on_time").otherwise("late")
     return rows.join(known, [*keys, "issue_ts"]).withColumn("receipt_state", state)
