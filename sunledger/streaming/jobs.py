@@ -20,6 +20,7 @@ from sunledger.session import shared_dir
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
+PARTITIONS_KEY = "spark.sql.shuffle.partitions"
 
 
 def landing_stream(spark: SparkSession, folder: str, schema: StructType, glob: str = "*", files_per_trigger: int = 64) -> DataFrame:
@@ -33,11 +34,14 @@ def landing_stream(spark: SparkSession, folder: str, schema: StructType, glob: s
 
 
 def run_to_table(
-    stream: DataFrame, name: str, partition_by: Sequence[str] = (), location: str | None = None, stateful: bool = False
+    stream: DataFrame, name: str, partition_by: Sequence[str] = (), location: str | None = None, stateful: bool = False,
+    state_partitions: int | None = None,
 ) -> DataFrame:
     """Process what has landed, write it exactly once to a table in the shared folder and read it back.
 
     Give the same ``location`` again to go on where the last run ended; without it each run is its own.
+    State is split in ``state_partitions`` for the life of a location (default: the session's shuffle
+    partitions; on one machine no more than twice its cores).
     """
     spark = stream.sparkSession
     base = location or shared_dir(spark, f"stream-{name}")
@@ -51,16 +55,22 @@ def run_to_table(
     )
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    # Custom state needs RocksDB; the provider is fixed when the query starts.
-    old = spark.conf.get(PROVIDER_KEY, None)
-    if stateful:
-        spark.conf.set(PROVIDER_KEY, ROCKSDB)
+    context = spark.sparkContext
+    if state_partitions is None and context.master.startswith("local"):
+        state_partitions = min(int(spark.conf.get(PARTITIONS_KEY)), 2 * context.defaultParallelism)
+    # Both settings are read when the query starts. Custom state needs RocksDB.
+    wanted = {PROVIDER_KEY: ROCKSDB} if stateful else {}
+    if state_partitions is not None:
+        wanted[PARTITIONS_KEY] = str(state_partitions)
+    old = {k: spark.conf.get(k, None) for k in wanted}
     try:
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
         query = writer.start()
         query.awaitTermination()
     finally:
-        if stateful and old is not None:
-            spark.conf.set(PROVIDER_KEY, old)
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     return spark.read.schema(stream.schema).parquet(f"{base}/table")
 
 
