@@ -22,6 +22,9 @@ RUNTIME_SETTINGS = {
 }
 
 
+_local_roots: dict[str, str] = {}
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Pin the settings the operators rely on. Time columns are wall clock (NTZ), so UTC is exact."""
     for key, value in RUNTIME_SETTINGS.items():
@@ -57,8 +60,8 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"{CHECKPOINT_KEY} must name a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="sunledger-")
-        spark.conf.set(CHECKPOINT_KEY, root)
+        root = _local_roots.setdefault(spark.sparkContext.applicationId, "") or tempfile.mkdtemp(prefix="sunledger-")
+        _local_roots[spark.sparkContext.applicationId] = root
     return f"{root.rstrip('/')}/sunledger/{purpose}-{uuid.uuid4().hex[:12]}"
 
 

@@ -144,23 +144,24 @@ class FeedFreshness(StatefulProcessor):
         self.handle = handle
         self.state = handle.getValueState("seen", "last_attempt bigint, last_valid bigint, deadline bigint")
 
-    def handleInputRows(self, key, rows, timer_values) -> Iterator[Row]:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         attempt, valid, old = self.state.get() if self.state.exists() else (None, None, None)
         for r in sorted(rows, key=lambda x: x.window_us):
             attempt = max(x for x in (attempt, r.attempt_us) if x is not None)
             valid = max((x for x in (valid, r.valid_us) if x is not None), default=None)
             fresh = valid is not None and r.window_us - valid <= self.deadline_us
             yield self.row(key, "update", r.window_us, attempt, valid, "normal" if fresh else "late")
-        if old is not None:
-            self.handle.deleteTimer(old)
         deadline = None if valid is None else (valid + self.deadline_us) // 1000
-        if deadline is not None and deadline > timer_values.getCurrentWatermarkInMs():
+        if deadline != old:
+            # A timer that is already due fires in this batch; an unchanged one fires only once.
+            if old is not None:
+                self.handle.deleteTimer(old)
             self.handle.registerTimer(deadline)
         self.state.update((attempt, valid, deadline))
 
-    def handleExpiredTimer(self, key, timer_values, expired) -> Iterator[Row]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         attempt, valid, _ = self.state.get()
-        yield self.row(key, "deadline", expired.getExpiryTimeInMs() * 1000, attempt, valid, "late")
+        yield self.row(key, "deadline", expiredTimerInfo.getExpiryTimeInMs() * 1000, attempt, valid, "late")
 
     def close(self) -> None:
         pass
@@ -175,7 +176,7 @@ class StuckValue(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("run", "slot bigint, level bigint, length bigint")
 
-    def handleInputRows(self, key, rows, timer_values) -> Iterator[Row]:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         slot, level, length = self.state.get() if self.state.exists() else (None, None, 0)
         for r in sorted(rows, key=lambda x: x.window_us):
             follows = slot is not None and r.window_us - slot == self.slot_us and r.level == level
