@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sunledger.functions.columns import epoch_micros, minutes_between, shift_seconds
-from sunledger.operators.scans import DAY, scan, time_bucket
+from sunledger.operators.scans import MINUTE, scan, time_bucket
 
 
 def match_actuals(fc: DataFrame, actuals: DataFrame, on: Sequence[str], actual: str) -> DataFrame:
@@ -57,7 +57,7 @@ def as_known_at(
     used = versions if where is None else versions.where(where)
     line = _timeline(used, issues, keys, received, issue, F.col(tie), F.struct(*[F.col(c) for c in payload]))
     # Several questions may share an instant; they see the same facts, so their order does not matter.
-    seen = scan(line, keys, time_bucket("_t", DAY), ["_t", "_kind"], before={"_known": F.col("_fact")}, inclusive=True)
+    seen = scan(line, keys, time_bucket("_t", MINUTE), ["_t", "_kind"], before={"_known": F.col("_fact")}, inclusive=True)
     return seen.where("_kind = 1").select(*keys, "_ask.*", *[F.col(f"_known.{c}").alias(c) for c in payload])
 
 
@@ -96,7 +96,7 @@ def freshest_complete(
 def scan_max(line: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Running maximum of a time line in (``_t``, ``_kind``) order, in two levels."""
     part = [*keys, "_bucket"]
-    work = line.withColumn("_bucket", time_bucket("_t", DAY))
+    work = line.withColumn("_bucket", time_bucket("_t", MINUTE))
     totals = work.groupBy(*part).agg(F.max(value).alias("_m"))
     earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     carry = totals.select(*part, F.max("_m").over(earlier).alias("_carry"))
@@ -130,7 +130,7 @@ def lag_aligned(
     item = F.struct(F.col(ts).alias("at"), F.col(value).alias("v"))
     line = _timeline(readings.where(F.col(value).isNotNull()), asks, keys, ts, "_want", F.col(tie), item)
     near = scan(
-        line, keys, time_bucket("_t", DAY), ["_t", "_kind"], before={"_b": F.col("_fact")}, after={"_a": F.col("_fact")}
+        line, keys, time_bucket("_t", MINUTE), ["_t", "_kind"], before={"_b": F.col("_fact")}, after={"_a": F.col("_fact")}
     )
     back = epoch_micros("_t") - epoch_micros("_b.at")
     ahead = epoch_micros("_a.at") - epoch_micros("_t")
@@ -152,7 +152,7 @@ def lag_aligned(
 def revisions(fc: DataFrame, keys: Sequence[str], received: str, tie: str, value: str) -> DataFrame:
     """Value history per forecast key: first valid receipt, number of changes, time of the last change."""
     prev = scan(
-        fc.where(F.col(value).isNotNull()), keys, time_bucket(received, DAY), [received, tie], before={"_prev": F.col(value)}
+        fc.where(F.col(value).isNotNull()), keys, time_bucket(received, MINUTE), [received, tie], before={"_prev": F.col(value)}
     )
     changed = F.col("_prev").isNotNull() & (F.col("_prev") != F.col(value))
     return prev.groupBy(*keys).agg(

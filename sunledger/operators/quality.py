@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sunledger.functions.columns import clip, col, epoch_seconds
-from sunledger.operators.scans import DAY, exact_quantiles, scan, time_bucket
+from sunledger.operators.scans import MINUTE, exact_quantiles, scan, time_bucket
 
 
 def flag_range(df: DataFrame, limits: DataFrame, on: Sequence[str], value: str) -> DataFrame:
@@ -176,7 +176,7 @@ def control_chart(df: DataFrame, by: Sequence[str], ts: str, value: str, start:
 
 def meter_increments(df: DataFrame, keys: Sequence[str], ts: str, tie: str, counter: str) -> DataFrame:
     """Difference to the previous counter reading; after a reset the new reading itself counts."""
-    prev = scan(df, keys, time_bucket(ts, DAY), [ts, tie], before={"prev_counter": F.col(counter)})
+    prev = scan(df, keys, time_bucket(ts, MINUTE), [ts, tie], before={"prev_counter": F.col(counter)})
     reset = F.col(counter) < F.col("prev_counter")
     step = F.when(F.col("prev_counter").isNull(), F.lit(None)).when(reset, F.col(counter)).otherwise(
         F.col(counter) - F.col("prev_counter")
@@ -187,7 +187,7 @@ def meter_increments(df: DataFrame, keys: Sequence[str], ts: str, tie: str, coun
 def stuck_runs(df: DataFrame, keys: Sequence[str], ts: str, tie: str, value: str, min_run: int) -> DataFrame:
     """Runs in which the source returned the same value again, at least ``min_run`` readings long."""
     order = [ts, tie]
-    bucket = time_bucket(ts, DAY)
+    bucket = time_bucket(ts, MINUTE)
     prev = scan(df, keys, bucket, order, before={"_prev": F.col(value)})
     change = F.when(F.col("_prev").isNull() | (F.col("_prev") != F.col(value)), F.col(tie))
     runs = scan(prev.withColumn("_start", change), keys, bucket, order, before={"run_id": F.col("_start")}, inclusive=True)

@@ -15,7 +15,10 @@ from pyspark.sql import functions as F
 
 from sunledger.functions.columns import epoch_seconds
 
+# Bucket widths. Slot grids hold at most 288 five-minute slots per unit and day. Raw logs are cut by the
+# minute: folded to one row per instant, a (key, minute) holds at most 60 million microseconds.
 DAY = 86_400
+MINUTE = 60
 
 
 def time_bucket(ts: str | Column, seconds: int = DAY) -> Column:
@@ -58,25 +61,27 @@ def scan(
     )
     buckets = work.groupBy(*part).agg(*edge)
     earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    later = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(1, Window.unboundedFollowing)
+    # Frames that end at the last row are recomputed for every row, so looking ahead is looking back in
+    # descending order.
+    later = Window.partitionBy(*keys).orderBy(F.desc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
     carry = buckets.select(
         *part,
         *[F.last(F.col(f"_edge_{n}"), ignorenulls=True).over(earlier).alias(f"_carry_{n}") for n in before],
-        *[F.first(F.col(f"_edge_{n}"), ignorenulls=True).over(later).alias(f"_carry_{n}") for n in after],
+        *[F.last(F.col(f"_edge_{n}"), ignorenulls=True).over(later).alias(f"_carry_{n}") for n in after],
         *[F.sum(F.col(f"_edge_{n}")).over(earlier).alias(f"_carry_{n}") for n in totals],
     )
 
     here = 0 if inclusive else 1
     inside = Window.partitionBy(*part).orderBy(*order)
     back = inside.rowsBetween(Window.unboundedPreceding, -here)
-    ahead = inside.rowsBetween(here, Window.unboundedFollowing)
+    ahead = Window.partitionBy(*part).orderBy(*[F.desc(c) for c in order]).rowsBetween(Window.unboundedPreceding, -here)
     upto = inside.rowsBetween(Window.unboundedPreceding, 0)
     # Stated outright: an input already spread by a part of the keys would otherwise keep a unit in one task.
     local = work.repartition(*part).select(
         *cols,
         "_bucket",
         *[F.last(F.col(f"_in_{n}"), ignorenulls=True).over(back).alias(f"_loc_{n}") for n in before],
-        *[F.first(F.col(f"_in_{n}"), ignorenulls=True).over(ahead).alias(f"_loc_{n}") for n in after],
+        *[F.last(F.col(f"_in_{n}"), ignorenulls=True).over(ahead).alias(f"_loc_{n}") for n in after],
         *[F.sum(F.col(f"_in_{n}")).over(upto).alias(f"_loc_{n}") for n in totals],
     )
     joined = local.join(carry, part, "left")
