@@ -13,7 +13,8 @@ from sunledger.streaming import jobs
 
 
 def events(t: Tables) -> DataFrame:
-    return jobs.landing_stream(t.spark, t.sf_dir, t.events.schema, "events.parquet")
+    # The braces make it a pattern, which fits a single file as well as a folder of files.
+    return jobs.landing_stream(t.spark, f"{t.sf_dir}/{{events.parquet}}", t.events.schema)
 
 
 def us_to_ntz(df: DataFrame, **names: str) -> DataFrame:

@@ -23,14 +23,16 @@ PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
 PARTITIONS_KEY = "spark.sql.shuffle.partitions"
 
 
-def landing_stream(spark: SparkSession, folder: str, schema: StructType, glob: str = "*", files_per_trigger: int = 64) -> DataFrame:
-    """Parquet files landing in a folder, as a stream."""
-    return (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", glob)
-        .option("maxFilesPerTrigger", files_per_trigger)
-        .parquet(folder)
-    )
+def landing_stream(spark: SparkSession, path: str, schema: StructType, files_per_trigger: int | None = None) -> DataFrame:
+    """Parquet files landing at a path or pattern, as a stream.
+
+    By default a backlog is one batch, so rows of a file that is out of time order are never late. Bound the
+    batches by ``files_per_trigger`` only for feeds whose files land in the order of their time.
+    """
+    reader = spark.readStream.schema(schema)
+    if files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.parquet(path)
 
 
 def run_to_table(
