@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sunledger.operators.scans import edge_index
+from sunledger.session import small_table
 
 
 def pearson_table(df: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -88,7 +89,7 @@ def vif_table(train: DataFrame, features: Sequence[str]) -> DataFrame:
     """VIF per feature, from training rows only."""
     values = vif_values(correlation_matrix(train, features))
     rows = [(f, float(v)) for f, v in zip(features, values)]
-    return train.sparkSession.createDataFrame(rows, "feature string, vif double")
+    return small_table(train.sparkSession, rows, "feature string, vif double")
 
 
 def prune_steps(matrix: np.ndarray, features: Sequence[str], max_vif: float | None, max_r: float | None) -> list[tuple]:
@@ -116,8 +117,8 @@ def collinearity_prune(
     """Kept and dropped features per policy (name, VIF limit, pair limit) with step and reason."""
     m = correlation_matrix(train, features)
     rows = [(name, *s) for name, v, r in policies for s in prune_steps(m, features, v, r)]
-    return train.sparkSession.createDataFrame(
-        rows, "policy string, feature string, decision string, step bigint, reason string, value double"
+    return small_table(
+        train.sparkSession, rows, "policy string, feature string, decision string, step bigint, reason string, value double"
     )
 
 

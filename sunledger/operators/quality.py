@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sunledger.functions.columns import clip, col, epoch_seconds
-from sunledger.operators.scans import MINUTE, exact_quantiles, scan, time_bucket
+from sunledger.operators.scans import DAY, MINUTE, exact_quantiles, scan, time_bucket
 
 
 def flag_range(df: DataFrame, limits: DataFrame, on: Sequence[str], value: str) -> DataFrame:
@@ -42,27 +42,32 @@ def screen_invalid(value: str, known_invalid: float) -> Column:
     return F.when(F.col(value).isNull(), "missing").when(F.col(value) == known_invalid, "not_valid").otherwise("valid")
 
 
-def exclude_periods(df: DataFrame, periods: DataFrame, on: Sequence[str], ts: str) -> DataFrame:
-    """Drop rows inside listed periods of their unit (start included, end excluded).
+def _inside_periods(df: DataFrame, periods: DataFrame, on: Sequence[str], ts: str) -> DataFrame:
+    """Add ``_inside``: does ``ts`` lie in a listed period of its unit (start included, end excluded)?
 
-    The periods are folded to one array per unit, so a row is never multiplied and nothing is compared
-    across units; a unit's list of periods is a short register.
+    Periods are laid out by (unit, day) and folded to one short array each, so a row is never multiplied, is
+    compared only with the periods of its own day, and a busy unit is spread over its days.
     """
-    lists = periods.groupBy(*on).agg(F.collect_list(F.struct("from_ts", "to_ts")).alias("_periods"))
-    inside = F.exists("_periods", lambda p: (F.col(ts) >= p["from_ts"]) & (F.col(ts) < p["to_ts"]))
-    return df.join(lists, list(on), "left").where(~F.coalesce(inside, F.lit(False))).drop("_periods")
+    first, last = time_bucket("from_ts", DAY), time_bucket("to_ts", DAY)
+    by_day = periods.where(F.col("from_ts") < F.col("to_ts")).select(
+        *on, "from_ts", "to_ts", F.explode(F.sequence(first, last)).alias("_day")
+    )
+    lists = by_day.groupBy(*on, "_day").agg(F.collect_set(F.struct("from_ts", "to_ts")).alias("_periods"))
+    hit = F.exists("_periods", lambda p: (F.col(ts) >= p["from_ts"]) & (F.col(ts) < p["to_ts"]))
+    out = df.withColumn("_day", time_bucket(ts, DAY)).join(lists, [*on, "_day"], "left")
+    return out.withColumn("_inside", F.coalesce(hit, F.lit(False))).drop("_day", "_periods")
+
+
+def exclude_periods(df: DataFrame, periods: DataFrame, on: Sequence[str], ts: str) -> DataFrame:
+    """Drop rows inside listed periods of their unit."""
+    return _inside_periods(df, periods, on, ts).where(~F.col("_inside")).drop("_inside").select(*df.columns)
 
 
 def audit_state(df: DataFrame, periods: DataFrame, audited: Sequence[str], on: str, ts: str) -> DataFrame:
     """``defect``, ``audited`` or ``unaudited``: no listed defect is no proof without an audit."""
-    lists = periods.groupBy(on).agg(F.collect_list(F.struct("from_ts", "to_ts")).alias("_periods"))
-    inside = F.exists("_periods", lambda p: (F.col(ts) >= p["from_ts"]) & (F.col(ts) < p["to_ts"]))
-    state = (
-        F.when(F.coalesce(inside, F.lit(False)), "defect")
-        .when(F.col(on).isin(list(audited)), "audited")
-        .otherwise("unaudited")
-    )
-    return df.join(lists, on, "left").withColumn("audit_state", state).drop("_periods")
+    state = F.when(F.col("_inside"), "defect").when(F.col(on).isin(list(audited)), "audited").otherwise("unaudited")
+    rows = _inside_periods(df, periods, [on], ts).withColumn("audit_state", state)
+    return rows.select(*df.columns, "audit_state")
 
 
 def scale_check(df: DataFrame, by: Sequence[str], fine: str, coarse: str, factor: float, lo: float, hi: float) -> DataFrame:

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sunledger.session import small_table
+
 # Field names of the stored metric documents.
 SCORE_FIELDS = {"n": "n", "MAE_kWh": "mae", "RMSE_kWh": "rmse", "WAPE_pct": "wape"}
 SCORE_TYPE = "struct<n: bigint, MAE_kWh: double, RMSE_kWh: double, WAPE_pct: double>"
@@ -114,7 +116,7 @@ def verify_provenance(files: DataFrame, provenance: DataFrame) -> DataFrame:
 def schema_rows(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFrame:
     """Schemas of the tables as rows."""
     rows = [(t, f.name, f.dataType.simpleString()) for t, df in tables.items() for f in df.schema.fields]
-    return spark.createDataFrame(rows, "table string, column string, actual_type string")
+    return small_table(spark, rows, "table string, column string, actual_type string")
 
 
 def audit_schema(actual: DataFrame, expected: DataFrame) -> DataFrame:
