@@ -385,11 +385,11 @@ HOURLY_SQL = """h AS (SELECT g.unit, g.slot, r.kw FROM (SELECT unit, unnest(gene
   LEFT JOIN (SELECT unit, date_trunc('hour', ts) AS slot, round(sum(TRY_CAST(raw AS DOUBLE)), 6) / count(*) AS kw FROM readings_raw WHERE k < 94
     GROUP BY 1, 2) r ON r.unit = g.unit AND r.slot = g.slot),
   c AS (SELECT h.unit, h.slot AS mask_start, n AS mask_slots FROM h, (VALUES (1), (2), (3), (6)) AS v(n)
-    WHERE (SELECT count(kw) FROM h x WHERE x.unit = h.unit AND x.slot BETWEEN h.slot - 3 * INTERVAL '1 hour'
-           AND h.slot + (n + 2) * INTERVAL '1 hour') = n + 6),
+    WHERE (SELECT count(kw) FROM h x WHERE x.unit = h.unit AND x.slot BETWEEN h.slot - 6 * INTERVAL '1 hour'
+           AND h.slot + (n + 5) * INTERVAL '1 hour') = n + 12),
   m AS (SELECT *, row_number() OVER (PARTITION BY mask_slots ORDER BY
       md5(concat_ws('|', '42', unit, CAST(CAST(epoch(mask_start) AS BIGINT) AS VARCHAR), CAST(mask_slots AS VARCHAR))), unit, mask_start) AS case_no FROM c
-    QUALIFY case_no <= 50),
+    QUALIFY case_no <= 500),
   z AS (SELECT m.*, pos, l.kw AS left_kw, r.kw AS right_kw, a.kw AS actual FROM m, (SELECT unnest(range(6)) AS pos)
     JOIN h l ON l.unit = m.unit AND l.slot = mask_start - INTERVAL '1 hour'
     JOIN h r ON r.unit = m.unit AND r.slot = mask_start + mask_slots * INTERVAL '1 hour'
@@ -403,13 +403,13 @@ def hourly(t: Tables):
 
 def rebuilt(t: Tables):
     h = hourly(t)
-    runs = grid.complete_runs(h, ["unit"], "slot", "kw", [1, 2, 3, 6], 60, 3)
-    masks = grid.sample_masks(runs, ["unit"], 50, 42)
-    return grid.masked_reconstruction(masks, h, ["unit"], "slot", "kw", 60, 3)
+    runs = grid.complete_runs(h, ["unit"], "slot", "kw", [1, 2, 3, 6], 60, 6)
+    masks = grid.sample_masks(runs, ["unit"], 500, 42)
+    return grid.masked_reconstruction(masks, h, ["unit"], "slot", "kw", 60, 6)
 
 
 def _mask_weights_sql() -> str:
-    rows = [f"({n}, {p}, {off}, {w!r}::DOUBLE)" for n in (1, 2, 3, 6) for p, off, w in grid.spline_weights(n, 3)]
+    rows = [f"({n}, {p}, {off}, {w!r}::DOUBLE)" for n in (1, 2, 3, 6) for p, off, w in grid.spline_weights(n, 6)]
     return "(VALUES " + ", ".join(rows) + ") AS w(n, pos, off, w)"
 
 

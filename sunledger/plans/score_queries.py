@@ -152,14 +152,14 @@ def _(t: Tables):
     """SELECT site, model, CAST(count(pred) AS BIGINT) AS n, round(avg(pred - actual_kwh), 4) AS me,
        round(avg((pred - actual_kwh) / nullif(actual_kwh, 0)) * 100, 6) AS mpe,
        round(avg(abs((pred - actual_kwh) / nullif(actual_kwh, 0))) * 100, 6) AS mape,
-       round(sqrt(avg(power(pred - actual_kwh, 2))), 4) AS root_mse
+       round(avg(power(pred - actual_kwh, 2)) / 1e6, 4) AS mse_millions
        FROM oof_long GROUP BY site, model""",
 )
 def _(t: Tables):
     out = long(t).groupBy("site", "model").agg(*bias_metrics("actual_kwh", "pred"))
     return out.select(
         "site", "model", "n", F.round("me", 4).alias("me"), F.round("mpe", 6).alias("mpe"),
-        F.round("mape", 6).alias("mape"), F.round(F.sqrt("mse"), 4).alias("root_mse"),
+        F.round("mape", 6).alias("mape"), F.round(F.col("mse") / 1e6, 4).alias("mse_millions"),
     )
 
 

@@ -91,6 +91,32 @@ def tumbling(stream: DataFrame, ts: str, width: str, keys: Sequence[str], aggs:
     return out.select(*keys, F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"), *names)
 
 
+def reliability_gate(
+    runs: DataFrame, ts: str, keys: Sequence[str], success: str, slot: str, period: str, operating: Column, expected: int
+) -> DataFrame:
+    """Expected, executed and generated slots per period, by two chained window aggregates.
+
+    Several runs in a slot count once. ``operating`` is a condition on ``slot_start``; slots outside it are a normal
+    wait. A slot without a successful run stays not generated.
+    """
+    slots = runs.groupBy(F.window(ts, slot).alias("_s"), *keys).agg(F.max(F.col(success).cast("int")).alias("_made"))
+    slots = slots.withColumns({"slot_start": F.col("_s.start")}).withColumn("_on", operating)
+    out = slots.groupBy(F.window(F.col("_s"), period).alias("_w"), *keys).agg(
+        F.count_if("_on").alias("executed"),
+        F.count_if(F.col("_on") & (F.col("_made") == 1)).alias("generated"),
+        F.count_if(~F.col("_on")).alias("night_waits"),
+    )
+    return out.select(
+        *keys,
+        F.col("_w.start").alias("window_start"),
+        F.col("_w.end").alias("window_end"),
+        F.lit(expected).cast("bigint").alias("expected"),
+        "executed",
+        "generated",
+        "night_waits",
+    )
+
+
 def drop_repeats(stream: DataFrame, keys: Sequence[str]) -> DataFrame:
     """First request of each key; state is dropped after the watermark."""
     return stream.dropDuplicatesWithinWatermark(list(keys))
