@@ -55,7 +55,7 @@ def paired_rows(
     """
     pairs = []
     for i, m in enumerate(models, 1):
-        names = list(dict.fromkeys([m, candidate]))
+        names = [m] if m == candidate else [m, candidate]
         both = F.col(m + suffix).isNotNull() & F.col(candidate + suffix).isNotNull()
         for name in names:
             entry = F.struct(
@@ -92,6 +92,12 @@ def improvement(scores: DataFrame, by: Sequence[str], model: str, base: str) ->
     )
 
 
+def independent_days(df: DataFrame, by: Sequence[str], ts: str) -> DataFrame:
+    """Rows and independent days per group, counted in two steps so that no task holds a set of days."""
+    per_day = df.groupBy(*by, col(ts).cast("date").alias("_day")).agg(F.count("*").alias("_n"))
+    return per_day.groupBy(*by).agg(F.sum("_n").alias("n_rows"), F.count("*").alias("days"))
+
+
 def sample_gate(count: str | Column, threshold: int = 30) -> Column:
     """``sufficient`` from ``threshold`` independent days on, else ``hold``."""
     return F.when(col(count) >= threshold, "sufficient").otherwise("hold")

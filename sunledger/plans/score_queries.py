@@ -284,11 +284,10 @@ def _(t: Tables):
 def daily_models(t: Tables):
     """Daily totals with persistence, fold climatology and a blend, by season."""
     fold = C.month_index("day").cast("bigint")
-    clim = baselines.fold_climatology(t.site_day, ["site"], "day", "actual_kwh", fold, digits=2)
+    clim = baselines.season_climatology(["site"], "day", "actual_kwh", fold, digits=2)
     days = baselines.daily_persistence(t.site_day, ["site"], "day", "actual_kwh")
     return (
-        days.withColumns({"season": C.season("day"), "fold": fold})
-        .join(clim.select("site", "season", "fold", "clim"), ["site", "season", "fold"], "left")
+        days.withColumns({"season": C.season("day"), "clim": clim})
         .withColumn("blend", F.round(0.6 * F.col("clim") + 0.4 * F.col("persistence"), 6))
         .where(F.col("clim").isNotNull() & F.col("persistence").isNotNull())
     )
@@ -338,6 +337,18 @@ def _(t: Tables):
     return rounded(gain, 6, "mae_gain_pct", "rmse_gain_pct")
 
 
+@query(
+    "independent_days",
+    "A8",
+    f"""SELECT site, {SEASON_SQL.format('hour')} AS season, CAST(sum(n_obs) AS BIGINT) AS n_rows, CAST(count(DISTINCT CAST(hour AS DATE)) AS BIGINT) AS days,
+        CASE WHEN count(DISTINCT CAST(hour AS DATE)) >= 30 THEN 'sufficient' ELSE 'hold' END AS verdict FROM site_hour GROUP BY 1, 2""",
+)
+def _(t: Tables):
+    rows = t.events.select((F.col("user_id") % 4).alias("site"), C.season("ts").alias("season"), "ts")
+    out = metrics.independent_days(rows, ["site", "season"], "ts")
+    return out.withColumn("verdict", metrics.sample_gate("days"))
+
+
 @query(
     "walk_forward_folds",
     "W6",

@@ -91,6 +91,12 @@ def test_gate_rates_keep_the_raw_denominator(spark):
     assert (r["execution_rate"], r["generation_rate"], r["conditional_rate"]) == (0.2, 0.1, 0.2)
 
 
+def test_sketch_delays_stay_close_to_exact_ones(spark):
+    df = spark.range(10_001).select(F.lit("a").alias("k"), F.col("id").cast("double").alias("d"))
+    r = opslog.approximate_delays(df, ["k"], "d").collect()[0]
+    assert abs(r["median"] - 5000) <= 2 and abs(r["p95"] - 9500) <= 2
+
+
 def test_season_uses_target_month(spark):
     df = frame(spark, "d date", (dt.date(2024, 2, 29),))
     assert df.select(C.season(F.date_add("d", 1))).collect()[0][0] == "spring"
