@@ -19,6 +19,7 @@ from sunledger.functions.columns import epoch_seconds
 # minute: folded to one row per instant, a (key, minute) holds at most 60 million microseconds.
 DAY = 86_400
 MINUTE = 60
+SALTS = 8
 
 
 def time_bucket(ts: str | Column, seconds: int = DAY) -> Column:
@@ -141,7 +142,9 @@ def exact_quantiles(
     edges = folded.groupBy(*keys).agg(
         F.percentile_approx("_v", levels, 10_000).alias("_edges"), F.sum("_c").alias("_n")
     )
-    binned = folded.join(edges, keys).select(
+    # The cut points are copied once per salt, so a hot key's values meet them in several tasks.
+    salted = edges.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    binned = folded.withColumn("_salt", F.pmod(F.hash("_v"), F.lit(SALTS))).join(salted, [*keys, "_salt"]).select(
         *keys, "_v", "_c", "_n", edge_index(F.col("_edges"), F.col("_v"), splits).alias("_bin")
     )
     counts = binned.groupBy(*keys, "_bin").agg(F.sum("_c").alias("_bc"), F.first("_n").alias("_n"))

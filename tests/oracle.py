@@ -42,8 +42,7 @@ def problems(spark, name: str, sf_dir: str, con=None) -> list[str]:
     sql = CATALOG[name].sql
     if sql is None:
         return [] if got else [f"{name}: no rows"]
-    want_arrow = con.execute(sql).to_arrow_table()
-    want_types, want = canonical(want_arrow)
+    want_types, want = canonical(con.sql(sql).to_arrow_table())
     out = []
     if got_types != want_types:
         diff = {k: (got_types.get(k), want_types.get(k)) for k in {*got_types, *want_types} if got_types.get(k) != want_types.get(k)}
