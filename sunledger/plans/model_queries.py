@@ -124,13 +124,13 @@ def line(t: Tables, penalty: float):
     rows = monthly_x(t)
     fit = models.walk_forward_line(rows, ["site"], "fold", "x", "actual_kwh", penalty)
     out = models.score_line(rows, fit, ["site"], "fold", "x", 12).where(F.col("pred").isNotNull())
-    return rounded(out.select("site", "month", "train_rows", "slope", "pred"), 1, "slope", "pred")
+    return rounded(out.select("site", "month", "train_rows", "slope", "pred"), 0, "slope", "pred")
 
 
 def line_sql(penalty: float) -> str:
     slope = f"sxy / nullif(sxx + {penalty}, 0)"
-    return f"""WITH {LINE_SQL} SELECT d.site, d.month, CAST(n AS BIGINT) AS train_rows, round({slope}, 1) AS slope,
-        round({slope} * d.x + my - {slope} * mx, 1) AS pred FROM d JOIN g USING (site, fold) WHERE {slope} IS NOT NULL"""
+    return f"""WITH {LINE_SQL} SELECT d.site, d.month, CAST(n AS BIGINT) AS train_rows, round({slope}, 0) AS slope,
+        round({slope} * d.x + my - {slope} * mx, 0) AS pred FROM d JOIN g USING (site, fold) WHERE {slope} IS NOT NULL"""
 
 
 @query("linear_regression_oof", "M1", line_sql(0.0))

@@ -100,6 +100,42 @@ def test_verdict_needs_every_score_and_slice(spark):
     assert (v["wins_overall"], v["wins_slices"], v["lost_to"]) == (True, False, "")
 
 
+# Published MAE, RMSE and WAPE on common samples, (n, baseline's scores, candidate's scores).
+WHOLE_YEAR = [
+    (14, (2659.1, 3153.6, 14.77), (2012.9, 2972.6, 11.18)),
+    (11, (2677.9, 3222.6, 15.13), (2038.1, 3020.1, 11.51)),
+    (14, (2595.6, 3067.3, 14.42), (2012.9, 2972.6, 11.18)),
+    (14, (4878.2, 8240.7, 27.1), (2012.9, 2972.6, 11.18)),
+    (14, (3065.9, 5775.4, 17.03), (2012.9, 2972.6, 11.18)),
+]
+SECOND_HALF = [
+    (7, (2610.5, 3171.4, 16.77), (2661.0, 3776.0, 17.1)),
+    (5, (2899.0, 3593.6, 20.19), (2591.6, 3910.0, 18.05)),
+    (7, (2857.4, 3383.9, 18.36), (2661.0, 3776.0, 17.1)),
+    (7, (5105.3, 8599.3, 32.8), (2661.0, 3776.0, 17.1)),
+    (7, (1269.4, 1690.1, 8.16), (2661.0, 3776.0, 17.1)),
+]
+
+
+@pytest.mark.parametrize("min_n, excluded", [(0, ""), (12, "전년동월")])
+def test_published_verdict(spark, min_n, excluded):
+    data = [
+        ("s", half, base, model, n, *score)
+        for half, table in ((C.WHOLE, WHOLE_YEAR), (C.SECOND_HALF, SECOND_HALF))
+        for base, (n, b, c) in zip(C.VERDICT_BASELINES, table)
+        for model, score in ((base, b), ("GBHuber", c))
+    ]
+    df = frame(spark, "site string, half string, comparison string, model string, n bigint, mae double, rmse double, wape double", *data)
+    duels = metrics.duel(df, ["site", "half"], "GBHuber")
+    v = metrics.verdict(duels, ["site"], "half", C.WHOLE, C.VERDICT_BASELINES, min_n=min_n).collect()[0]
+    assert (v["wins_overall"], v["wins_slices"], v["lost_to"], v["excluded_thin"]) == (True, False, "", excluded)
+
+
+def test_reporting_order(spark):
+    df = frame(spark, "site string", *[(s,) for s in [*reversed(C.SITE_ORDER), "elsewhere"]])
+    assert [r[0] for r in df.orderBy(metrics.order_of("site", C.SITE_ORDER)).collect()] == [*C.SITE_ORDER, "elsewhere"]
+
+
 def test_folds_never_use_the_test_period(spark):
     days = spark.range(100).select(F.lit("s").alias("site"), F.date_add(F.lit("2025-01-01").cast("date"), F.col("id").cast("int")).alias("day"))
     folds = baselines.walk_forward_folds(days, ["site"], "day", 30, 1).orderBy("fold").collect()

@@ -12,8 +12,8 @@ from tests.helpers import frame, rows
 def test_reads_stored_monthly_table_with_bom_and_empty_cells(spark, tmp_path):
     head = "month,half,actual_kWh," + ",".join(f"{m}_kWh" for m in MODELS)
     for site, actual in (("north", 100.5), ("south", 7.0)):
-        (tmp_path / f"monthly_{site}_oof.csv").write_text(f"{head}\n2025-06-01,상반기,{actual},1.0,,3.0,0.0,0.0,6.0,7.0\n", encoding="utf-8-sig")
-    df = tables.read_oof(spark, f"{tmp_path}/monthly_*_oof.csv", tables.oof_schema(), r"monthly_(\w+)_oof")
+        (tmp_path / f"forecasts_{site}.csv").write_text(f"{head}\n2025-06-01,상반기,{actual},1.0,,3.0,0.0,0.0,6.0,7.0\n", encoding="utf-8-sig")
+    df = tables.read_oof(spark, f"{tmp_path}/forecasts_*.csv", tables.oof_schema(), r"forecasts_(\w+)\.csv")
     got = df.orderBy("site").collect()
     assert [(r["site"], r["month"], r["actual_kWh"], r["전년동월_kWh"], r["선형회귀_kWh"]) for r in got] == [
         ("north", dt.date(2025, 6, 1), 100.5, None, 0.0), ("south", dt.date(2025, 6, 1), 7.0, None, 0.0)
