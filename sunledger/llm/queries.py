@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sunledger.llm import bpe, packing, tokenfile
+from sunledger.llm import bpe, langid, licenses, minhash, packing, quality, repeats, tokenfile, vectors
 from sunledger.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +26,55 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("piece_ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+@query
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), size=400)
+    return cut.select("doc_id", F.col("__n_bytes").alias("n_bytes"), F.col("__n_removed").alias("n_removed"), F.col("__n_spans").alias("n_spans"), F.sha2("__kept", 256).alias("kept_sha256"))
+
+
+@query
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs, ~langid.held_out(F.col("doc_id")))
+    scored = langid.predict(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    names = F.array_join(F.transform("matches", lambda m: F.concat(m["licence"], F.lit(":"), m["times"].cast("string"))), " ")
+    return found.select("doc_id", "n_sentences", "n_known", names.alias("licenses"), "left_over")
+
+
+SQL["op4_licenses"] = licenses.scan_sql()
+
+
+@query
+def op5_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
+@query
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("bigint").alias("id"), "text")
+    found = minhash.classes(rows, threshold=0.8)
+    return found.select(F.col("id").alias("doc_id"), "class_id", F.coalesce(F.col("id") == F.col("class_id"), F.lit(True)).alias("kept"))
+
+
+@query
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels"), ~quality.held_out(F.col("doc_id")))
+    scored = quality.score(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
+@query
+def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 @query
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = bpe.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
