@@ -135,12 +135,15 @@ def repeated_in_shard(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[
         marked[order[hit]] = True
         marked[order[hit - 1]] = True
         rid, first, n, begin = np.concatenate(rids), np.concatenate(firsts), np.concatenate(counts), np.array(begins)
+        # Two rows of pieces may be equal beyond a separator; only whole windows of one piece count.
+        inside = np.zeros(len(marked), np.int8)
+        inside[begin] = 1
+        inside[begin + n] = -1
+        marked &= np.cumsum(inside, dtype=np.int8).astype(bool)
         edges = np.flatnonzero(np.diff(np.r_[False, marked]))
         a, b = edges[::2], edges[1::2]
         piece = np.searchsorted(begin, a, "right") - 1
-        start, end = a - begin[piece], np.minimum(b - begin[piece], n[piece])  # windows [start, end) of the piece
-        keep = start < end
-        piece, start, end = piece[keep], start[keep], end[keep]
+        start, end = a - begin[piece], b - begin[piece]  # windows [start, end) of the piece
         yield pa.RecordBatch.from_arrays([pa.array(rid[piece]), pa.array(first[piece] + start), pa.array(first[piece] + end + size - 1)], names=["rid", "start", "end"])
 
 

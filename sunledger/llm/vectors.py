@@ -153,7 +153,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, factor: float = 256.
     longest = longest or 0.0
     reach = (F.ceil(F.sqrt(square) * F.lit(longest) * (1 + 1e-9)) + 1).cast("bigint")
     state = asked.select("vec_id", "embedding", "dim", (-reach).alias("low"), (F.floor(2 * reach / BINS) + 1).cast("bigint").alias("width"), F.lit(k).cast("bigint").alias("wanted"))
-    state = materialize(state, "queries")
+    state = materialize(state.withColumn("span", F.col("width") * BINS), "queries")
     own_block = F.pmod(F.xxhash64("vec_id"), F.lit(c_blocks)).cast("int")
     candidates = rows.withColumn("cb", own_block).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1)))).groupBy("dim", "qb", "cb")
 
@@ -176,15 +176,16 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, factor: float = 256.
         if not q.num_rows or not c.num_rows:
             return empty
         score, other = scores(q, c)
-        bins = (score - q["low"].to_numpy()[:, None]) // q["width"].to_numpy()[:, None]
-        i, j = np.nonzero((bins >= 0) & (bins < BINS) & other)
+        above_low = score - q["low"].to_numpy()[:, None]
+        bins = above_low // q["width"].to_numpy()[:, None]
+        i, j = np.nonzero((above_low >= 0) & (above_low < q["span"].to_numpy()[:, None]) & other)
         counts = np.bincount(i * BINS + bins[i, j], minlength=len(score) * BINS).reshape(-1, BINS)
         above = counts[:, ::-1].cumsum(axis=1)[:, ::-1] - counts
         i, j = np.nonzero((counts > 0) & (above < q["wanted"].to_numpy()[:, None]))
         return pa.table({"vec_id": q["vec_id"].to_numpy()[i], "bin": j.astype(np.int32), "n": counts[i, j]})
 
     while not state.where("width > 0").isEmpty():
-        # ``wanted`` counts from the top of the range down; width 0 marks a k-th value that is found (low).
+        # The range is [low, low + span); ``wanted`` counts from its top down; width 0 marks a k-th value that is found (low).
         open_, done = state.where("width > 0"), state.where("width = 0")
         counted = tiles(open_).applyInArrow(histogram, "vec_id bigint, bin int, n bigint").groupBy("vec_id", "bin").agg(F.sum("n").alias("n"))
         upper = Window.partitionBy("vec_id").orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -196,6 +197,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, factor: float = 256.
             "vec_id", "embedding", "dim",
             F.when(fewer, F.col("low")).otherwise(F.col("low") + F.col("at.bin") * F.col("width")).alias("low"),
             F.when(fewer | (F.col("width") == 1), F.lit(0)).otherwise(F.floor((F.col("width") - 1) / BINS) + 1).cast("bigint").alias("width"),
+            F.col("width").alias("span"),
             F.when(fewer, F.col("wanted")).otherwise(F.col("wanted") - (F.col("at.through") - F.col("at.n"))).cast("bigint").alias("wanted"),
         )
         state = materialize(step.unionByName(done), "queries")
