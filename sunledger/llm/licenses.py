@@ -39,9 +39,7 @@ SENTENCES = {
     "gpl-hope": "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY;",
     "gpl-implied": "without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.",
     "gpl-details": "See the GNU General Public License for more details.",
-    "mpl-subject": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
-    "mpl-subject-cut": "This Source Code Form is subject to the terms of the Mozilla Public License, v.",
-    "mpl-two": "2.0.",
+    "mpl-subject": "This Source Code Form is subject to the terms of the Mozilla Public License, v.",
     "mpl-copy": "If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
     "unlicense": "This is free and unencumbered software released into the public domain.",
     "note-mit": "Released under the MIT License.",
@@ -75,7 +73,6 @@ RULES = [
     ("GPL-2.0-or-later", "gpl-free gpl2-first gpl2-second"),
     ("GPL-2.0-or-later", "gpl-free gpl2-later"),
     ("MPL-2.0", "mpl-subject mpl-copy"),
-    ("MPL-2.0", "mpl-subject-cut mpl-two mpl-copy"),
     ("Unlicense", "unlicense"),
     ("MIT", "note-mit"),
     ("MIT", "note-mit-under"),
@@ -92,6 +89,7 @@ RULES = [
 
 SENTENCE_END = r"[.;:!?]+([ \t\r\n]+|$)|\n[ \t\r]*\n"
 LIST_MARK = r"^([0-9]{1,2}|[a-z]) "
+BARE = r"^([0-9]{1,2}|[a-z])?$"  # nothing, or a list mark that the stop behind it has cut off
 
 
 def plain(sentence: str) -> str:
@@ -111,9 +109,9 @@ def _plain(text: Column) -> Column:
 
 
 def sentences(text: Column) -> Column:
-    """The sentences of a text, not normalised; empty ones are left out."""
+    """The sentences of a text, not normalised; empty ones and mere list marks are left out."""
     marked = F.regexp_replace(F.coalesce(text, F.lit("")), SENTENCE_END, "\u0001")
-    return F.filter(F.split(marked, "\u0001"), lambda s: F.regexp_replace(F.lower(s), "[^a-z0-9]+", "") != "")
+    return F.filter(F.split(marked, "\u0001"), lambda s: ~F.regexp_replace(F.lower(s), "[^a-z0-9]+", "").rlike(BARE))
 
 
 def identifiers(text: Column) -> Column:
@@ -175,7 +173,7 @@ def scan_sql() -> str:
     last = len(PATTERNS)
     return rf"""WITH cut AS (
   SELECT doc_id, list_filter(string_split(regexp_replace(coalesce(text, ''), '{SENTENCE_END}', chr(1), 'g'), chr(1)),
-    lambda s: regexp_replace(lower(s), '[^a-z0-9]+', '', 'g') <> '') AS sentences FROM documents),
+    lambda s: NOT regexp_matches(regexp_replace(lower(s), '[^a-z0-9]+', '', 'g'), '{BARE}')) AS sentences FROM documents),
 plain AS (SELECT doc_id, list_transform(sentences, lambda s: regexp_replace(lower(s), '[^a-z0-9\n]+', ' ', 'g')) AS sentences FROM cut),
 ids AS (SELECT doc_id, CAST(len(sentences) AS BIGINT) AS n_sentences, coalesce(array_to_string(flatten(list_transform(sentences, lambda s:
     CASE WHEN {one("s")} IS NOT NULL THEN [{one("s")}]
