@@ -74,12 +74,14 @@ def freshest_complete(
 ) -> DataFrame:
     """Freshest observation with all of ``needed`` present, at most ``max_age_h`` old, else ``waiting``.
 
-    Freshest means the latest observation time among those received by the issue.
+    Freshest means the latest observation time among those received by the issue, and of that one the version
+    that was received last (``tie`` decides between equal receipt times).
     """
     whole = versions.where(F.expr(" AND ".join(f"{c} IS NOT NULL" for c in needed)))
     # Running maximum: a late receipt of an old observation must not hide a newer one.
     payload = [observed, *needed]
-    item = F.struct(*[F.col(c) for c in payload])
+    # The rank stands before the values, so a correction wins whatever its size.
+    item = F.struct(observed, F.col(received).alias("_received"), F.col(tie).alias("_tie"), *needed)
     line = _timeline(whole, issues, keys, received, issue, F.struct(observed, tie), item)
     newest = scan_max(line, keys, "_fact")
     fresh = minutes_between(issue, f"_known.{observed}") <= max_age_h * 60
@@ -166,12 +168,16 @@ def revisions(fc: DataFrame, keys: Sequence[str], received: str, tie: str, value
 
 
 def lead_coverage(
-    fc: DataFrame, keys: Sequence[str], issue: str, lead: str, issue_hours: Sequence[int], leads: Sequence[int]
+    fc: DataFrame, keys: Sequence[str], issue: str, lead: str, issue_hours: Sequence[int], leads: Sequence[int], first_day: str, last_day: str
 ) -> DataFrame:
-    """Share of days on which each (issue hour, lead) cell exists."""
+    """Share of the days of a period on which each (issue hour, lead) cell exists.
+
+    The period is given, so a day without any forecast counts; the keys are those of ``fc``.
+    """
     day = F.col(issue).cast("date")
-    per_day = fc.groupBy(*keys, day.alias("_day")).agg(F.count("*").alias("_n"))
-    days = per_day.groupBy(*keys).agg(F.count("*").alias("expected_days"))
+    fc = fc.where(day.between(F.lit(first_day).cast("date"), F.lit(last_day).cast("date")))
+    n_days = F.datediff(F.lit(last_day).cast("date"), F.lit(first_day).cast("date")) + 1
+    days = fc.groupBy(*keys).agg(F.count("*").alias("_n")).select(*keys, n_days.cast("bigint").alias("expected_days"))
     cells = days.withColumn("issue_hour", F.explode(F.array(*[F.lit(h).cast("bigint") for h in issue_hours]))).withColumn(
         "lead_h", F.explode(F.sequence(F.lit(min(leads)).cast("bigint"), F.lit(max(leads)).cast("bigint")))
     )
@@ -190,10 +196,16 @@ def lead_coverage(
 
 
 def leakage_audit(df: DataFrame, by: Sequence[str], rules: Mapping[str, Column]) -> DataFrame:
-    """Count of rows that break each time rule, and whether all rules hold."""
+    """Count of rows that break each time rule, of rows for which a rule cannot be decided, and whether all rules hold.
+
+    A rule that is NULL, as with an unknown receipt time, is ``unknown`` and not clean.
+    """
     counts = [F.count_if(F.coalesce(c, F.lit(False))).alias(n) for n, c in rules.items()]
-    out = df.groupBy(*by).agg(F.count("*").alias("n_rows"), *counts)
-    total = F.lit(0)
+    open_ = F.lit(False)
+    for c in rules.values():
+        open_ = open_ | c.isNull()
+    out = df.groupBy(*by).agg(F.count("*").alias("n_rows"), *counts, F.count_if(open_).alias("unknown"))
+    total = F.col("unknown")
     for n in rules:
         total = total + F.col(n)
     return out.withColumn("clean", total == 0)

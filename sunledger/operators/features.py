@@ -77,25 +77,37 @@ def correlation_matrix(df: DataFrame, features: Sequence[str]) -> np.ndarray:
     return m
 
 
-def vif_values(matrix: np.ndarray) -> np.ndarray:
-    """Variance inflation: diagonal of the inverse; an exactly collinear feature gets infinity."""
-    if np.linalg.matrix_rank(matrix) < len(matrix):
-        out = np.full(len(matrix), np.inf)
-        return out
-    return np.diag(np.linalg.inv(matrix))
+def vif_values(matrix: np.ndarray, tolerance: float = 1e-9) -> np.ndarray:
+    """Variance inflation 1 / (1 - R^2 on the other features).
+
+    Only a feature that the others explain wholly gets infinity; what is independent of it keeps its value. A constant
+    feature has no correlation: it gets NaN and does not count among the others.
+    """
+    out = np.full(len(matrix), np.nan)
+    varying = [i for i in range(len(matrix)) if not np.isnan(np.delete(matrix[i], i)).all()] if len(matrix) > 1 else list(range(len(matrix)))
+    for i in varying:
+        others = [j for j in varying if j != i]
+        r = matrix[others, i]
+        left = 1 - float(r @ np.linalg.pinv(matrix[np.ix_(others, others)], rcond=tolerance, hermitian=True) @ r)
+        out[i] = np.inf if left <= tolerance else 1 / left
+    return out
 
 
 def vif_table(train: DataFrame, features: Sequence[str]) -> DataFrame:
-    """VIF per feature, from training rows only."""
+    """VIF per feature, from training rows only; NULL for a constant feature."""
     values = vif_values(correlation_matrix(train, features))
-    rows = [(f, float(v)) for f, v in zip(features, values)]
+    rows = [(f, None if np.isnan(v) else float(v)) for f, v in zip(features, values)]
     return small_table(train.sparkSession, rows, "feature string, vif double")
 
 
 def prune_steps(matrix: np.ndarray, features: Sequence[str], max_vif: float | None, max_r: float | None) -> list[tuple]:
-    """Drop the highest VIF until all are within the limit, then the later name of each correlated pair."""
+    """Drop constant features, then the highest VIF until all are within the limit, then the later name of each correlated pair."""
     left = list(range(len(features)))
     steps: list[tuple] = []
+    if max_vif is not None or max_r is not None:
+        for i in [i for i in left if len(left) > 1 and np.isnan(np.delete(matrix[i], i)).all()]:
+            steps.append((features[i], "dropped", len(steps) + 1, "constant", None))
+            left.remove(i)
     while max_vif is not None and len(left) > 1:
         v = vif_values(matrix[np.ix_(left, left)])
         worst = max(range(len(left)), key=lambda i: (v[i], features[left[i]]))

@@ -29,6 +29,18 @@ def slot_calendar(df: DataFrame, keys: Sequence[str], ts: str, minutes: int) ->
     ).select(*keys, as_ntz(F.col("_s")).alias(ts))
 
 
+def period_slots(register: DataFrame, ts: str, first: str, last: str, minutes: int) -> DataFrame:
+    """All slots of a stated period for each row of a register, whatever arrived. ``first`` is a slot; ``last`` lies in the last one.
+
+    Days are exploded and spread before slots, so a long period is not one huge array.
+    """
+    width = minutes * 60
+    a, b = (epoch_seconds(F.lit(x).cast("timestamp_ntz")) for x in (first, last))
+    days = register.withColumn("_d", F.explode(F.sequence(a, b, F.lit(DAY).cast("bigint")))).repartition(*register.columns, "_d")
+    slots = F.sequence("_d", F.least(F.col("_d") + (DAY - width), b), F.lit(width).cast("bigint"))
+    return days.withColumn("_s", F.explode(slots)).select(*register.columns, as_ntz(F.col("_s")).alias(ts))
+
+
 def reindex(df: DataFrame, keys: Sequence[str], ts: str, minutes: int) -> DataFrame:
     """Continuous grid with the facts where they exist and NULL where they do not; nothing becomes zero."""
     rest = [c for c in df.columns if c not in (*keys, ts)]
@@ -56,7 +68,7 @@ def with_neighbours(
     out = scan(grid, keys, time_bucket(ts, 7 * DAY), [ts], before={"_p": entry}, after={"_n": entry})
     both = F.col(value).isNull() & F.col("_p").isNotNull() & F.col("_n").isNotNull()
     length = (epoch_seconds("_n.slot") - epoch_seconds("_p.slot")) / F.lit(minutes * 60) - 1
-    extra = [F.col("_n.received").alias("next_received")] if received is not None else []
+    extra = [] if received is None else [F.col("_p.received").alias("prev_received"), F.col("_n.received").alias("next_received")]
     return out.select(
         *grid.columns,
         F.col("_p.slot").alias("prev_slot"),
@@ -69,12 +81,12 @@ def with_neighbours(
 
 
 def fill(
-    method: str, ts: str, value: str, max_slots: int, as_of: Column | None = None
+    method: str, ts: str, value: str, max_slots: int, as_of: Column | None = None, received: str = "received_at"
 ) -> Column:
     """Value after filling gaps of at most ``max_slots`` slots; longer gaps stay wholly NULL.
 
-    Works on the columns of ``with_neighbours``. With ``as_of`` a fill that needs the right neighbour is
-    allowed only if that neighbour had been received by then.
+    Works on the columns of ``with_neighbours``. With ``as_of`` nothing counts that had not been received by then: an
+    observed value (by ``received``) stays NULL, and a fill needs each neighbour it uses.
     """
     pv, nv = F.col("prev_kw"), F.col("next_kw")
     past = epoch_seconds(ts) - epoch_seconds("prev_slot")
@@ -86,9 +98,13 @@ def fill(
         "nearest": F.when(past * 2 <= whole, pv).otherwise(nv),
     }[method]
     allowed = F.col("gap_slots") <= max_slots
-    if as_of is not None and method != "previous":
-        allowed = allowed & (F.col("next_received") <= as_of)
-    return F.coalesce(F.col(value), F.when(allowed, made))
+    own = F.col(value)
+    if as_of is not None:
+        allowed = allowed & own.isNull() & (F.col("prev_received") <= as_of)
+        if method != "previous":
+            allowed = allowed & (F.col("next_received") <= as_of)
+        own = F.when(F.col(received) <= as_of, own)
+    return F.coalesce(own, F.when(allowed, made))
 
 
 def fill_state(value: str, filled: str | Column) -> Column:
@@ -132,6 +148,11 @@ def spline_table(spark: SparkSession, lengths: Sequence[int], knots: int) -> Dat
     return small_table(spark, rows, "gap_slots bigint, pos bigint, off bigint, w double")
 
 
+def weights_hint(table: DataFrame, rows: int) -> DataFrame:
+    """Broadcast a weight table of proven size; beyond 100,000 rows Spark decides."""
+    return F.broadcast(table) if rows <= 100_000 else table
+
+
 def spline_fill(
     gaps: DataFrame, keys: Sequence[str], ts: str, value: str, minutes: int, max_slots: int, knots: int = 6
 ) -> DataFrame:
@@ -141,7 +162,7 @@ def spline_fill(
     Returns (keys, ts, gap_slots, spline_kw).
     """
     width = minutes * 60
-    table = F.broadcast(spline_table(gaps.sparkSession, range(1, max_slots + 1), knots))
+    table = weights_hint(spline_table(gaps.sparkSession, range(1, max_slots + 1), knots), sum(range(1, max_slots + 1)) * 2 * knots)
     missing = gaps.where(F.col("gap_slots") <= max_slots).select(
         *keys,
         ts,
@@ -241,16 +262,16 @@ def sample_masks(runs: DataFrame, keys: Sequence[str], per_length: int, seed: in
 
 
 def masked_reconstruction(
-    masks: DataFrame, grid: DataFrame, keys: Sequence[str], ts: str, value: str, minutes: int, knots: int
+    masks: DataFrame, grid: DataFrame, keys: Sequence[str], ts: str, value: str, minutes: int, knots: int, lengths: Sequence[int]
 ) -> DataFrame:
-    """Hide the sampled slots and rebuild them by four methods.
+    """Hide the sampled slots and rebuild them by five methods; ``lengths`` are those that ``masks`` were made with.
 
     Returns (keys, mask_start, mask_slots, case_no, pos, actual, linear, previous, neighbour_mean, nearest,
     spline, left_kw, right_kw). Values are fetched by (keys, slot).
     """
     width = minutes * 60
-    lengths = F.sequence(F.lit(-knots).cast("bigint"), F.col("mask_slots") + (knots - 1))
-    asks = masks.withColumn("off", F.explode(lengths)).withColumn(
+    offsets = F.sequence(F.lit(-knots).cast("bigint"), F.col("mask_slots") + (knots - 1))
+    asks = masks.withColumn("off", F.explode(offsets)).withColumn(
         ts, shift_seconds("mask_start", F.col("off") * width)
     )
     known = grid.where(F.col(value).isNotNull()).select(*keys, ts, F.col(value).alias("_y"))
@@ -262,11 +283,11 @@ def masked_reconstruction(
         F.map_from_entries(F.collect_list(F.struct("off", "_y"))).alias("_ys"),
     )
     # At most length + 2 * knots values per case, so the map is small.
-    weights = spline_table(grid.sparkSession, [1, 2, 3, 6], knots).withColumnRenamed("gap_slots", "mask_slots")
+    weights = spline_table(grid.sparkSession, sorted(set(lengths)), knots).withColumnRenamed("gap_slots", "mask_slots")
     per_pos = weights.groupBy("mask_slots", "pos").agg(
         F.sort_array(F.collect_list(F.struct("off", "w"))).alias("_ws")
     )
-    rows = around.join(F.broadcast(per_pos), "mask_slots")
+    rows = around.join(weights_hint(per_pos, sum(set(lengths))), "mask_slots")
     share = (F.col("pos") + 1) / (F.col("mask_slots") + 1)
     spline = F.aggregate(
         "_ws", F.lit(0.0), lambda acc, k: acc + k["w"] * F.element_at(F.col("_ys"), k["off"])

@@ -119,11 +119,12 @@ def duel(paired: DataFrame, by: Sequence[str], candidate: str) -> DataFrame:
 
 
 def verdict(
-    duels: DataFrame, by: Sequence[str], slice_col: str, whole: str, baselines: Sequence[str], min_n: int = 0
+    duels: DataFrame, by: Sequence[str], slice_col: str, whole: str, baselines: Sequence[str], slices: Sequence[str], min_n: int = 0
 ) -> DataFrame:
-    """Does the candidate beat every listed baseline overall and in each slice?
+    """Does the candidate beat every listed baseline overall and in each of ``slices``?
 
-    Baselines with fewer than ``min_n`` common rows overall are left out and named.
+    Baselines with fewer than ``min_n`` common rows overall are left out and named. A listed baseline without any row, or one
+    that lacks a slice, is named in ``absent``, and the verdict over it is false.
     """
     listed = duels.where(F.col("comparison").isin(list(baselines)))
     total = F.col(slice_col) == whole
@@ -137,11 +138,27 @@ def verdict(
     )
     excluded = F.array_join(F.array_sort(F.collect_set(F.when(F.col("_thin"), F.col("comparison")))), ",")
     used = ~F.col("_thin")
-    return judged.groupBy(*by).agg(
+    cell = F.concat_ws(":", F.col("comparison"), F.col(slice_col))
+    out = judged.groupBy(*by).agg(
         F.coalesce(F.bool_and(F.when(total & used, F.col("wins_all"))), F.lit(False)).alias("wins_overall"),
         F.coalesce(F.bool_and(F.when(~total & used, F.col("wins_all"))), F.lit(False)).alias("wins_slices"),
         failing.alias("lost_to"),
         excluded.alias("excluded_thin"),
+        F.collect_set(F.when(F.col("n") > 0, cell)).alias("_cells"),
+        F.collect_set(F.when(F.col("_thin") & total, F.col("comparison"))).alias("_left_out"),
+    )
+    # At most baselines x (slices + 1) names.
+    wanted = F.array(*[F.struct(F.lit(b).alias("b"), F.lit(s).alias("s")) for b in baselines for s in (whole, *slices)])
+    lacking = F.filter(wanted, lambda w: ~F.array_contains("_cells", F.concat_ws(":", w["b"], w["s"])) & ~F.array_contains("_left_out", w["b"]))
+    absent = F.array_sort(F.array_distinct(F.transform(lacking, lambda w: F.when(w["s"] == whole, w["b"]).otherwise(F.concat_ws(":", w["b"], w["s"])))))
+    whole_lacks = F.exists(lacking, lambda w: w["s"] == whole)
+    return out.select(
+        *by,
+        (F.col("wins_overall") & ~whole_lacks).alias("wins_overall"),
+        (F.col("wins_slices") & (F.size(lacking) == 0)).alias("wins_slices"),
+        "lost_to",
+        "excluded_thin",
+        F.array_join(absent, ",").alias("absent"),
     )
 
 
@@ -176,6 +193,23 @@ def comparability(long: DataFrame, by: Sequence[str], target: Sequence[str], lef
     )
 
 
+def poisson_weight(u: Column, limit: float = 1e-15) -> Column:
+    """Poisson(1) count of a uniform number, by inversion without a ceiling.
+
+    Terms are added until the tail is below ``limit``, finer than the hash that makes ``u``, so no weight is cut.
+    """
+    steps, term, below, k = [], 0.36787944117144233, 0.36787944117144233, 0  # exp(-1)
+    while term > limit:
+        steps.append(F.when(u >= below, 1).otherwise(0))
+        k += 1
+        term /= k
+        below += term
+    total = F.lit(0)
+    for s in steps:
+        total = total + s
+    return total
+
+
 def bootstrap_difference(
     rows: DataFrame,
     by: Sequence[str],

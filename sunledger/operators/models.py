@@ -23,20 +23,23 @@ def walk_forward_line(
     """
     ok = F.col(x).isNotNull() & F.col(y).isNotNull()
     xv, yv = F.when(ok, F.col(x)), F.when(ok, F.col(y))
-    per_fold = df.groupBy(*keys, fold).agg(
+    # Values are centred on the key's own means before they are multiplied, so that no large sums cancel. Any centre
+    # gives the same line, so that the means see later folds does not matter.
+    centre = df.groupBy(*keys).agg(F.avg(xv).alias("_cx"), F.avg(yv).alias("_cy"))
+    per_fold = df.join(centre, list(keys)).groupBy(*keys, fold, "_cx", "_cy").agg(
         F.count(xv).alias("_n"),
-        F.sum(xv).alias("_x"),
-        F.sum(yv).alias("_y"),
-        F.sum(xv * xv).alias("_xx"),
-        F.sum(xv * yv).alias("_xy"),
+        F.sum(xv - F.col("_cx")).alias("_x"),
+        F.sum(yv - F.col("_cy")).alias("_y"),
+        F.sum((xv - F.col("_cx")) * (xv - F.col("_cx"))).alias("_xx"),
+        F.sum((xv - F.col("_cx")) * (yv - F.col("_cy"))).alias("_xy"),
     )
     past = Window.partitionBy(*keys).orderBy(fold).rangeBetween(Window.unboundedPreceding, -1)
     s = {c: F.sum(c).over(past) for c in ("_n", "_x", "_y", "_xx", "_xy")}
-    sums = per_fold.select(*keys, fold, *[v.alias(k) for k, v in s.items()])
+    sums = per_fold.select(*keys, fold, "_cx", "_cy", *[v.alias(k) for k, v in s.items()])
     sxx = F.col("_xx") - F.try_divide(F.col("_x") * F.col("_x"), F.col("_n"))
     sxy = F.col("_xy") - F.try_divide(F.col("_x") * F.col("_y"), F.col("_n"))
     fit = sums.withColumns({"train_rows": F.col("_n"), "slope": F.try_divide(sxy, sxx + penalty)})
-    level = F.try_divide("_y", "_n") - F.col("slope") * F.try_divide("_x", "_n")
+    level = F.col("_cy") + F.try_divide("_y", "_n") - F.col("slope") * (F.col("_cx") + F.try_divide("_x", "_n"))
     return fit.select(*keys, fold, "train_rows", "slope", level.alias("intercept"))
 
 
@@ -94,19 +97,67 @@ def score_ridge(df: DataFrame, model: DataFrame, keys: Sequence[str], fold: str,
 
 def _features(categorical: Sequence[str], numeric: Sequence[str]) -> list:
     index = [StringIndexer(inputCol=c, outputCol=f"{c}_ix", handleInvalid="keep", stringOrderType="alphabetAsc") for c in categorical]
-    vec = VectorAssembler(inputCols=[f"{c}_ix" for c in categorical] + list(numeric), outputCol="features", handleInvalid="skip")
+    vec = VectorAssembler(inputCols=[f"{c}_ix" for c in categorical] + list(numeric), outputCol="features", handleInvalid="error")
     return [*index, vec]
 
 
-def boosted_trees(
-    train: DataFrame, test: DataFrame, categorical: Sequence[str], numeric: Sequence[str], label: str, rounds: int = 15, seed: int = 42
-) -> DataFrame:
-    """Boosted-tree candidate, pooled over sites, trained before the test block."""
-    learner = GBTRegressor(labelCol=label, maxIter=rounds, maxDepth=4, seed=seed, predictionCol="pred")
-    return Pipeline(stages=[*_features(categorical, numeric), learner]).fit(train).transform(test)
+def boosted_trees(label: str, rounds: int = 15, seed: int = 42) -> GBTRegressor:
+    """Boosted-tree candidate."""
+    return GBTRegressor(labelCol=label, maxIter=rounds, maxDepth=4, seed=seed, predictionCol="pred")
 
 
-def huber_line(train: DataFrame, test: DataFrame, categorical: Sequence[str], numeric: Sequence[str], label: str) -> DataFrame:
+def huber_line(label: str) -> LinearRegression:
     """Robust-loss candidate: linear model with Huber loss."""
-    learner = LinearRegression(labelCol=label, loss="huber", epsilon=1.35, maxIter=50, predictionCol="pred")
-    return Pipeline(stages=[*_features(categorical, numeric), learner]).fit(train).transform(test)
+    return LinearRegression(labelCol=label, loss="huber", epsilon=1.35, maxIter=50, predictionCol="pred")
+
+
+def calendar_folds(df: DataFrame, time: str, numeric: Sequence[str], label: str, starts: Sequence[str]) -> DataFrame:
+    """One row per fold: ``fold_start``, ``fold_end``, and of the rows before the start how many can be learned from (``train_rows``,
+    ``train_from``, ``train_to``) and how many lack a feature or the label (``train_incomplete``).
+
+    ``starts`` are calendar dates in order; a fold ends where the next one starts, the last one with the table.
+    """
+    ends = [*starts[1:], "9999-12-31"]
+    bounds = F.array(*[F.struct(F.lit(a).cast("date").alias("a"), F.lit(b).cast("date").alias("b")) for a, b in zip(starts, ends)])
+    # A row is needed by each later fold, so the counts are made per time first.
+    whole = _complete([*numeric, label])
+    per_time = df.groupBy(time).agg(F.count_if(whole).alias("_w"), F.count_if(~whole).alias("_i"))
+    rows = per_time.withColumn("_f", F.explode(bounds))
+    past = F.col(time) < F.col("_f.a")
+    return rows.groupBy(F.col("_f.a").alias("fold_start"), F.col("_f.b").alias("fold_end")).agg(
+        F.sum(F.when(past, F.col("_w")).otherwise(0)).alias("train_rows"),
+        F.min(F.when(past & (F.col("_w") > 0), F.col(time))).alias("train_from"),
+        F.max(F.when(past & (F.col("_w") > 0), F.col(time))).alias("train_to"),
+        F.sum(F.when(past, F.col("_i")).otherwise(0)).alias("train_incomplete"),
+    )
+
+
+def _complete(cols: Sequence[str]) -> Column:
+    out = F.lit(True)
+    for c in cols:
+        out = out & F.col(c).isNotNull()
+    return out
+
+
+def walk_forward_learner(
+    df: DataFrame, time: str, categorical: Sequence[str], numeric: Sequence[str], label: str, starts: Sequence[str], learner
+) -> DataFrame:
+    """Out-of-fold predictions of a Spark learner, pooled over sites: one fit per fold on the rows before its start.
+
+    Every row of a fold comes back with ``fold_start`` and ``pred``. Rows without a feature are neither learned from nor dropped:
+    their ``pred`` is NULL, as in a fold with nothing to learn from. ``starts`` are a few calendar dates, one job each.
+    """
+    out = None
+    whole, usable = _complete([*numeric, *categorical, label]), _complete([*numeric, *categorical])
+    for a, b in zip(starts, [*starts[1:], "9999-12-31"]):
+        start, end = F.lit(a).cast("date"), F.lit(b).cast("date")
+        train, test = df.where((F.col(time) < start) & whole), df.where((F.col(time) >= start) & (F.col(time) < end))
+        missing = test.where(~usable).withColumn("pred", F.lit(None).cast("double"))
+        if train.isEmpty():
+            fold = test.withColumn("pred", F.lit(None).cast("double"))
+        else:
+            scored = Pipeline(stages=[*_features(categorical, numeric), learner]).fit(train).transform(test.where(usable))
+            fold = scored.select(*df.columns, "pred").unionByName(missing)
+        fold = fold.withColumn("fold_start", start)
+        out = fold if out is None else out.unionByName(fold)
+    return out

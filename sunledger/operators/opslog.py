@@ -12,12 +12,12 @@ from sunledger.operators.scans import exact_quantiles
 
 
 def delay_distribution(df: DataFrame, by: Sequence[str], delay: str, late_after: float) -> DataFrame:
-    """Exact median, p90 and p95 of a delay, and the share above ``late_after``."""
+    """Exact median, p90 and p95 of a delay, and the share above ``late_after``; a group without any delay stays, with NULLs."""
     q = exact_quantiles(df, by, delay, {"median": 0.5, "p90": 0.9, "p95": 0.95})
     rest = df.groupBy(*by).agg(
         F.count(delay).alias("n"), F.avg(F.when(F.col(delay).isNotNull(), (F.col(delay) > late_after).cast("int"))).alias("late_share")
     )
-    return rest.join(q, list(by))
+    return rest.join(q, list(by), "left")
 
 
 def approximate_delays(df: DataFrame, by: Sequence[str], delay: str, accuracy: int = 10_000) -> DataFrame:
@@ -91,11 +91,17 @@ def backfill_progress(done: DataFrame, by: Sequence[str], slot: str, expected: i
     )
 
 
-def feed_status(log: DataFrame, by: Sequence[str], ts: str, valid: Column, as_of: Column, late_min: int, missing_min: int) -> DataFrame:
-    """Last attempt and last valid value are kept apart; one status function for every card."""
-    out = log.groupBy(*by).agg(
+def feed_status(
+    log: DataFrame, register: DataFrame, by: Sequence[str], ts: str, valid: Column, as_of: Column, late_min: int, missing_min: int
+) -> DataFrame:
+    """Last attempt and last valid value are kept apart; one status function for every card.
+
+    ``register`` lists what should report; an entry that never attempted is ``missing``. What comes after ``as_of`` is not known yet.
+    """
+    seen = log.where(F.col(ts) <= as_of).groupBy(*by).agg(
         F.max(ts).alias("last_attempt"), F.max(F.when(valid, F.col(ts))).alias("last_valid"), F.count("*").alias("attempts")
     )
+    out = register.select(*by).distinct().join(seen, list(by), "left").fillna({"attempts": 0})
     age = minutes_between(as_of, F.col("last_valid"))
     status = (
         F.when(F.col("last_valid").isNull(), "missing")
@@ -110,12 +116,19 @@ def status_cards(status: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return status.groupBy(*by, "status").agg(F.count("*").alias("n"))
 
 
-def model_readiness(arrived: DataFrame, by: Sequence[str], feed: str, required: Mapping[str, Sequence[str]]) -> DataFrame:
+def arrived_feeds(arrived: DataFrame, expected: DataFrame, by: Sequence[str], feed: str) -> DataFrame:
+    """``expected`` with the set of feeds that arrived, empty where nothing did. A group has as many feeds as there are names."""
+    seen = arrived.groupBy(*by).agg(F.collect_set(feed).alias("_seen"))
+    return expected.select(*by).join(seen, list(by), "left").withColumn("_seen", F.coalesce("_seen", F.array().cast("array<string>")))
+
+
+def model_readiness(arrived: DataFrame, expected: DataFrame, by: Sequence[str], feed: str, required: Mapping[str, Sequence[str]]) -> DataFrame:
     """Status of each model from its own required feeds; a feed the model does not use cannot block it.
 
-    ``required`` is the models' register (model to feeds), a short configuration.
+    ``expected`` lists every group that should have reported, so one in which nothing arrived is not ready. ``required``
+    is the models' register (model to feeds), a short configuration.
     """
-    seen = arrived.groupBy(*by).agg(F.collect_set(feed).alias("_seen"))
+    seen = arrived_feeds(arrived, expected, by, feed)
     needs = F.array(
         *[F.struct(F.lit(m).alias("model"), F.array(*[F.lit(f) for f in feeds]).alias("feeds")) for m, feeds in required.items()]
     )
@@ -126,10 +139,10 @@ def model_readiness(arrived: DataFrame, by: Sequence[str], feed: str, required:
     )
 
 
-def feeds_not_arrived(arrived: DataFrame, by: Sequence[str], feed: str, expected: Sequence[str]) -> DataFrame:
-    """Expected feeds EXCEPT the feeds that arrived, per group."""
-    seen = arrived.groupBy(*by).agg(F.collect_set(feed).alias("_seen"))
-    return seen.select(*by, F.explode(F.array_except(F.array(*[F.lit(f) for f in expected]), "_seen")).alias(feed))
+def feeds_not_arrived(arrived: DataFrame, expected: DataFrame, by: Sequence[str], feed: str, feeds: Sequence[str]) -> DataFrame:
+    """Expected feeds EXCEPT the feeds that arrived, for each expected group."""
+    seen = arrived_feeds(arrived, expected, by, feed)
+    return seen.select(*by, F.explode(F.array_except(F.array(*[F.lit(f) for f in feeds]), "_seen")).alias(feed))
 
 
 def latest_valid(log: DataFrame, keys: Sequence[str], order: Sequence[str], valid: Column, payload: Sequence[str]) -> DataFrame:

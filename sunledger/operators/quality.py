@@ -45,13 +45,15 @@ def screen_invalid(value: str, known_invalid: float) -> Column:
 def _inside_periods(df: DataFrame, periods: DataFrame, on: Sequence[str], ts: str) -> DataFrame:
     """Add ``_inside``: does ``ts`` lie in a listed period of its unit (start included, end excluded)?
 
-    Periods are laid out by (unit, day) and folded to one short array each, so a row is never multiplied, is
+    A period without an end is open: it covers everything from its start on. Periods are laid out by (unit, day), only over
+    the days that the unit has rows in, and folded to one short array each, so a row is never multiplied, is
     compared only with the periods of its own day, and a busy unit is spread over its days.
     """
-    first, last = time_bucket("from_ts", DAY), time_bucket("to_ts", DAY)
-    by_day = periods.where(F.col("from_ts") < F.col("to_ts")).select(
-        *on, "from_ts", "to_ts", F.explode(F.sequence(first, last)).alias("_day")
-    )
+    spans = df.groupBy(*on).agg(F.min(time_bucket(ts, DAY)).alias("_a"), F.max(time_bucket(ts, DAY)).alias("_b"))
+    last = F.coalesce(F.col("to_ts"), F.lit("9999-12-31 00:00:00").cast("timestamp_ntz"))
+    held = periods.withColumn("to_ts", last).where(F.col("from_ts") < F.col("to_ts")).join(spans, list(on))
+    a, b = F.greatest(time_bucket("from_ts", DAY), "_a"), F.least(time_bucket("to_ts", DAY), "_b")
+    by_day = held.where(a <= b).select(*on, "from_ts", "to_ts", F.explode(F.sequence(a, b)).alias("_day"))
     lists = by_day.groupBy(*on, "_day").agg(F.collect_set(F.struct("from_ts", "to_ts")).alias("_periods"))
     hit = F.exists("_periods", lambda p: (F.col(ts) >= p["from_ts"]) & (F.col(ts) < p["to_ts"]))
     out = df.withColumn("_day", time_bucket(ts, DAY)).join(lists, [*on, "_day"], "left")
@@ -222,13 +224,25 @@ def unit_ratio_fill(
     )
 
 
-def silences(gaps: DataFrame, keys: Sequence[str], ts: str, minutes: int, min_slots: int) -> DataFrame:
-    """Gaps of at least ``min_slots`` slots per unit; the slots stay NULL."""
-    return (
-        gaps.where(F.col("gap_slots") >= min_slots)
-        .groupBy(*keys, "prev_slot", "next_slot", "gap_slots")
-        .agg(F.count("*").alias("n_slots"), F.count("kw").alias("n_values"))
-    )
+def silences(
+    readings: DataFrame, register: DataFrame, keys: Sequence[str], ts: str, minutes: int, min_slots: int, first: str, as_of: str
+) -> DataFrame:
+    """Silences of at least ``min_slots`` slots per registered unit, from the slot ``first`` to the slot ``as_of``.
+
+    A unit that has not come back is silent up to ``as_of`` (``is_open``, no ``next_slot``); one that has not spoken yet has no
+    ``prev_slot`` either. The length counts the slots between, and none of them is filled.
+    """
+    width = minutes * 60
+    start, now = (F.lit(x).cast("timestamp_ntz") for x in (first, as_of))
+    known = readings.where(F.col(ts).between(start, now)).select(*keys, ts)
+    prev = scan(known, keys, time_bucket(ts, 7 * DAY), [ts], before={"prev_slot": F.col(ts)})
+    closed = prev.select(*keys, "prev_slot", F.col(ts).alias("next_slot"))
+    heard = known.groupBy(*keys).agg(F.max(ts).alias("prev_slot"))
+    open_ = register.select(*keys).distinct().join(heard, list(keys), "left").select(*keys, "prev_slot", F.lit(None).cast("timestamp_ntz").alias("next_slot"))
+    before = F.coalesce(epoch_seconds("prev_slot"), epoch_seconds(start) - width)
+    after = F.coalesce(epoch_seconds("next_slot"), epoch_seconds(now) + width)
+    rows = closed.unionByName(open_).withColumn("gap_slots", ((after - before) / width - 1).cast("bigint"))
+    return rows.where(F.col("gap_slots") >= min_slots).withColumn("is_open", F.col("next_slot").isNull())
 
 
 def reconcile(a: DataFrame, b: DataFrame, on: Sequence[str], left: str, right: str, tol_pct: float) -> DataFrame:

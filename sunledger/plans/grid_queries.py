@@ -16,6 +16,11 @@ from sunledger.session import small_table
 LIVE_FROM = "2024-01-22 00:00:00"
 
 
+def units(t: Tables):
+    """The register of units; the spare one never reports."""
+    return small_table(t.spark, [(u,) for u in ("click", "view", "purchase", "signup", "error", "spare")], "unit string")
+
+
 def live_from():
     return F.lit(LIVE_FROM).cast("timestamp_ntz")
 
@@ -125,13 +130,16 @@ def _(t: Tables):
     "slot_states",
     "P20",
     """SELECT unit, slot, CASE WHEN kw IS NOT NULL THEN 'observed' WHEN slot > a THEN 'future' ELSE 'missing' END AS state
-       FROM grid JOIN (SELECT unit, max(slot) AS a FROM readings GROUP BY unit) USING (unit)""",
+       FROM (SELECT u.unit, u.slot, r.kw, TIMESTAMP '2024-01-30 11:50:00' AS a FROM (SELECT unit, unnest(generate_series(TIMESTAMP '2024-01-01 00:00:00',
+           TIMESTAMP '2024-01-30 23:45:00', INTERVAL '15 minutes')) AS slot FROM (VALUES ('click'), ('view'), ('purchase'), ('signup'), ('error'), ('spare')) AS v(unit)) u
+         LEFT JOIN readings r ON r.unit = u.unit AND r.slot = u.slot)""",
 )
 def _(t: Tables):
-    now = t.readings.groupBy("unit").agg(F.max("slot").alias("as_of"))
-    return t.grid.join(now, "unit").select(
-        "unit", "slot", quality.slot_state("slot", "kw", F.col("as_of")).alias("state")
-    )
+    # One clock and one register for all: a unit that is silent, or was never heard of, is missing and not in the future.
+    slots = grid.period_slots(units(t), "slot", "2024-01-01 00:00:00", "2024-01-30 23:45:00", 15)
+    now = F.lit("2024-01-30 11:50:00").cast("timestamp_ntz")
+    rows = slots.join(t.readings, ["unit", "slot"], "left")
+    return rows.select("unit", "slot", quality.slot_state("slot", "kw", now).alias("state"))
 
 
 @query(
@@ -179,7 +187,8 @@ def _(t: Tables):
 @query(
     "causal_fill",
     "W15",
-    """SELECT unit, slot, round(coalesce(kw, CASE WHEN gap_slots <= 2 AND next_received <= slot + INTERVAL '1 hour'
+    """SELECT unit, slot, round(coalesce(CASE WHEN received_at <= slot + INTERVAL '1 hour' THEN kw END,
+         CASE WHEN kw IS NULL AND gap_slots <= 2 AND next_received <= slot + INTERVAL '1 hour' AND prev_received <= slot + INTERVAL '1 hour'
          THEN prev_kw + (next_kw - prev_kw) * date_diff('minute', prev_slot, slot) / date_diff('minute', prev_slot, next_slot) END), 8) AS kw
        FROM gaps""",
 )
@@ -335,23 +344,24 @@ PERIOD_SQL = f"CASE WHEN slot >= TIMESTAMP '{LIVE_FROM}' THEN 'live' ELSE 'archi
     "slot_coverage",
     "A12",
     f"""SELECT unit, {PERIOD_SQL} AS period, CAST(count(*) AS BIGINT) AS expected_slots, CAST(count(n_obs) AS BIGINT) AS observed_slots,
-        round(1 - count(n_obs) / count(*), 6) AS gap_rate FROM grid GROUP BY 1, 2""",
+        round(1 - count(n_obs) / count(*), 6) AS gap_rate FROM (SELECT v.unit, v.slot, r.n_obs FROM
+          (SELECT unit, unnest(generate_series(TIMESTAMP '2024-01-01 00:00:00', TIMESTAMP '2024-01-31 23:45:00', INTERVAL '15 minutes')) AS slot
+           FROM (VALUES ('click'), ('view'), ('purchase'), ('signup'), ('error'), ('spare')) AS u(unit)) v LEFT JOIN readings r USING (unit, slot)) GROUP BY 1, 2""",
 )
 def _(t: Tables):
     period = F.when(F.col("slot") >= live_from(), "live").otherwise("archive").alias("period")
-    expected = grid.slot_calendar(t.readings, ["unit"], "slot", 15)
+    expected = grid.period_slots(units(t), "slot", "2024-01-01 00:00:00", "2024-01-31 23:45:00", 15)
     return rounded(quality.coverage(expected, t.readings, ["unit"], "slot", ["unit", period]), 6, "gap_rate")
 
 
 @query(
     "archive_and_live",
     "U2 U1",
-    f"""SELECT unit, slot, kw, n_obs, 'archive' AS period FROM readings WHERE slot < TIMESTAMP '2024-01-21 00:00:00'
+    f"""SELECT unit, slot, kw, n_obs, 'archive' AS period FROM readings WHERE slot < TIMESTAMP '{LIVE_FROM}'
         UNION ALL SELECT unit, slot, kw, NULL, 'live' FROM readings WHERE slot >= TIMESTAMP '{LIVE_FROM}'""",
 )
 def _(t: Tables):
-    cut = F.lit("2024-01-21 00:00:00").cast("timestamp_ntz")
-    archive = t.readings.where(F.col("slot") < cut).select("unit", "slot", "kw", "n_obs", F.lit("archive").alias("period"))
+    archive = t.readings.where(F.col("slot") < live_from()).select("unit", "slot", "kw", "n_obs", F.lit("archive").alias("period"))
     live = t.readings.where(F.col("slot") >= live_from()).select("unit", "slot", "kw", F.lit("live").alias("period"))
     return archive.unionByName(live, allowMissingColumns=True)
 
@@ -371,11 +381,15 @@ def _(t: Tables):
 @query(
     "silent_units",
     "W27",
-    """SELECT unit, prev_slot, next_slot, gap_slots, CAST(count(*) AS BIGINT) AS n_slots, CAST(count(kw) AS BIGINT) AS n_values
-       FROM gaps WHERE gap_slots >= 6 GROUP BY ALL""",
+    """WITH x AS (SELECT unit, slot, coalesce(lag(slot) OVER (PARTITION BY unit ORDER BY slot), TIMESTAMP '2023-12-31 23:45:00') AS prev_slot FROM readings
+         UNION ALL SELECT v.unit, NULL, coalesce(max(slot), TIMESTAMP '2023-12-31 23:45:00') FROM (VALUES ('click'), ('view'), ('purchase'), ('signup'), ('error'), ('spare')) AS v(unit)
+           LEFT JOIN readings r ON r.unit = v.unit GROUP BY 1)
+       SELECT unit, CASE WHEN prev_slot >= TIMESTAMP '2024-01-01 00:00:00' THEN prev_slot END AS prev_slot, slot AS next_slot,
+         CAST(date_diff('minute', prev_slot, coalesce(slot, TIMESTAMP '2024-01-31 12:15:00')) / 15 - 1 AS BIGINT) AS gap_slots, slot IS NULL AS is_open
+       FROM x WHERE date_diff('minute', prev_slot, coalesce(slot, TIMESTAMP '2024-01-31 12:15:00')) / 15 - 1 >= 6""",
 )
 def _(t: Tables):
-    return quality.silences(t.gaps, ["unit"], "slot", 15, 6)
+    return quality.silences(t.readings, units(t), ["unit"], "slot", 15, 6, "2024-01-01 00:00:00", "2024-01-31 12:00:00")
 
 
 # --- masking experiment ------------------------------------------------------------------------
@@ -405,7 +419,7 @@ def rebuilt(t: Tables):
     h = hourly(t)
     runs = grid.complete_runs(h, ["unit"], "slot", "kw", [1, 2, 3, 6], 60, 6)
     masks = grid.sample_masks(runs, ["unit"], 500, 42)
-    return grid.masked_reconstruction(masks, h, ["unit"], "slot", "kw", 60, 6)
+    return grid.masked_reconstruction(masks, h, ["unit"], "slot", "kw", 60, 6, [1, 2, 3, 6])
 
 
 def _mask_weights_sql() -> str:

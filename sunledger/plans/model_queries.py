@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sunledger.functions import columns as C
-from sunledger.operators import features, metrics, models
-from sunledger.plans.common import rounded, scores
+from sunledger.operators import features, models
+from sunledger.plans.common import rounded
 from sunledger.plans.registry import query
 from sunledger.plans.views import Tables
 
@@ -110,7 +110,7 @@ def _(t: Tables):
 
 LINE_SQL = """d AS (SELECT site, month, CAST(year(month) * 12 + month(month) - 1 AS BIGINT) AS fold, actual_kwh, n_days AS x FROM site_month),
   g AS (SELECT a.site, a.fold, count(*) AS n, avg(h.x) AS mx, avg(h.actual_kwh) AS my,
-          sum(h.x * h.x) - sum(h.x) * sum(h.x) / count(*) AS sxx, sum(h.x * h.actual_kwh) - sum(h.x) * sum(h.actual_kwh) / count(*) AS sxy
+          regr_sxx(h.actual_kwh, h.x) AS sxx, regr_sxy(h.actual_kwh, h.x) AS sxy
         FROM d a JOIN d h ON h.site = a.site AND h.fold < a.fold GROUP BY 1, 2 HAVING count(*) >= 12)"""
 
 
@@ -124,13 +124,13 @@ def line(t: Tables, penalty: float):
     rows = monthly_x(t)
     fit = models.walk_forward_line(rows, ["site"], "fold", "x", "actual_kwh", penalty)
     out = models.score_line(rows, fit, ["site"], "fold", "x", 12).where(F.col("pred").isNotNull())
-    return rounded(out.select("site", "month", "train_rows", "slope", "pred"), 0, "slope", "pred")
+    return rounded(out.select("site", "month", "train_rows", "slope", "pred"), 1, "slope", "pred")
 
 
 def line_sql(penalty: float) -> str:
     slope = f"sxy / nullif(sxx + {penalty}, 0)"
-    return f"""WITH {LINE_SQL} SELECT d.site, d.month, CAST(n AS BIGINT) AS train_rows, round({slope}, 0) AS slope,
-        round({slope} * d.x + my - {slope} * mx, 0) AS pred FROM d JOIN g USING (site, fold) WHERE {slope} IS NOT NULL"""
+    return f"""WITH {LINE_SQL} SELECT d.site, d.month, CAST(n AS BIGINT) AS train_rows, round({slope}, 1) AS slope,
+        round({slope} * d.x + my - {slope} * mx, 1) AS pred FROM d JOIN g USING (site, fold) WHERE {slope} IS NOT NULL"""
 
 
 @query("linear_regression_oof", "M1", line_sql(0.0))
@@ -151,24 +151,41 @@ def _(t: Tables):
     return rounded(out.where("train_rows >= 12").select("site", "month", "train_rows", "pred"), 2, "pred")
 
 
+LEARNER_FEATURES = ["persistence", "last_year", "seasonal_mean", "n_days", "moy"]
+FOLD_STARTS = ["1999-01-01", "1999-07-01", "2000-01-01", "2000-07-01"]
+
+
 def learner_rows(t: Tables):
     rows = t.oof.join(t.site_month.select("site", "month", "n_days"), ["site", "month"])
-    return rows.dropna(subset=["persistence", "seasonal_mean"]).withColumn("moy", F.month("month").cast("double"))
+    return rows.withColumn("moy", F.month("month").cast("double"))
 
 
-def learner_scores(t: Tables, fit, name: str):
-    rows = learner_rows(t)
-    cut = F.lit("2000-07-01").cast("date")
-    train, test = rows.where(F.col("month") < cut), rows.where(F.col("month") >= cut)
-    out = fit(train, test, ["site"], ["persistence", "seasonal_mean", "n_days", "moy"], "actual_kwh")
-    return scores(metrics.metrics(out, "pred", by=["site"])).withColumn("model", F.lit(name))
+def learner_oof(t: Tables, learner, name: str):
+    """Out-of-fold rows; the scores of a trained learner cannot be stated in SQL, the folds are (``learner_folds``)."""
+    rows = learner_rows(t).select("site", "month", "actual_kwh", *LEARNER_FEATURES)
+    out = models.walk_forward_learner(rows, "month", ["site"], LEARNER_FEATURES, "actual_kwh", FOLD_STARTS, learner)
+    return rounded(out.select("site", "month", "fold_start", "actual_kwh", "pred"), 2, "pred").withColumn("model", F.lit(name))
 
 
 @query("boosted_tree_candidate", "M3")
 def _(t: Tables):
-    return learner_scores(t, models.boosted_trees, "boosted_trees")
+    return learner_oof(t, models.boosted_trees("actual_kwh"), "boosted_trees")
 
 
 @query("huber_candidate", "M4")
 def _(t: Tables):
-    return learner_scores(t, models.huber_line, "huber_line")
+    return learner_oof(t, models.huber_line("actual_kwh"), "huber_line")
+
+
+@query(
+    "learner_folds",
+    "M3 M4",
+    """WITH r AS (SELECT month, persistence IS NOT NULL AND last_year IS NOT NULL AND seasonal_mean IS NOT NULL AND actual_kwh IS NOT NULL AS w FROM oof),
+       f AS (SELECT * FROM (VALUES (DATE '1999-01-01', DATE '1999-07-01'), (DATE '1999-07-01', DATE '2000-01-01'), (DATE '2000-01-01', DATE '2000-07-01'),
+         (DATE '2000-07-01', DATE '9999-12-31')) AS v(fold_start, fold_end))
+       SELECT fold_start, fold_end, CAST(count(*) FILTER (month < fold_start AND w) AS BIGINT) AS train_rows, min(month) FILTER (month < fold_start AND w) AS train_from,
+         max(month) FILTER (month < fold_start AND w) AS train_to, CAST(count(*) FILTER (month < fold_start AND NOT w) AS BIGINT) AS train_incomplete
+       FROM f, r GROUP BY 1, 2""",
+)
+def _(t: Tables):
+    return models.calendar_folds(learner_rows(t), "month", LEARNER_FEATURES, "actual_kwh", FOLD_STARTS)

@@ -64,6 +64,7 @@ VIEWS: dict[str, str] = {
           min(CASE WHEN kw IS NOT NULL THEN slot END) OVER a AS next_slot,
           last_value(kw IGNORE NULLS) OVER b AS prev_kw,
           first_value(kw IGNORE NULLS) OVER a AS next_kw,
+          last_value(CASE WHEN kw IS NOT NULL THEN received_at END IGNORE NULLS) OVER b AS prev_received,
           first_value(received_at IGNORE NULLS) OVER a AS next_received
         FROM grid
         WINDOW b AS (PARTITION BY unit ORDER BY slot ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),

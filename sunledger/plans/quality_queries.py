@@ -117,22 +117,25 @@ def _(t: Tables):
     "nearby_stations",
     "J12",
     """WITH h AS (SELECT station, date_trunc('hour', obs_ts) AS hour, round(sum(temp), 6) / nullif(count(temp), 0) AS temp FROM obs GROUP BY 1, 2)
-       SELECT s.hour, n.station AS near_station, s.temp AS site_temp, n.temp AS near_temp, round(n.temp - s.temp, 6) AS diff
-       FROM h s JOIN h n ON n.hour = s.hour AND n.station IN (1, 2) WHERE s.station = 0""",
+       SELECT s.station, s.hour, n.station AS near_station, s.temp AS site_temp, n.temp AS near_temp, round(n.temp - s.temp, 6) AS diff
+       FROM h s LEFT JOIN h n ON n.hour = s.hour AND n.station <> s.station""",
 )
 def _(t: Tables):
     h = t.obs.groupBy("station", C.slot_start("obs_ts", 60).alias("hour")).agg(stable_mean("temp").alias("temp"))
-    site = h.where("station = 0").select("hour", F.col("temp").alias("site_temp"))
-    near = h.where("station IN (1, 2)").select("hour", F.col("station").alias("near_station"), F.col("temp").alias("near_temp"))
-    return site.join(near, "hour").withColumn("diff", F.round(F.col("near_temp") - F.col("site_temp"), 6))
+    # As many rows as stations meet in an hour; one that is alone stays, without a neighbour.
+    site = h.select("station", "hour", F.col("temp").alias("site_temp"))
+    near = h.select(F.col("hour").alias("near_hour"), F.col("station").alias("near_station"), F.col("temp").alias("near_temp"))
+    both = site.join(near, (F.col("hour") == F.col("near_hour")) & (F.col("station") != F.col("near_station")), "left").drop("near_hour")
+    return both.withColumn("diff", F.round(F.col("near_temp") - F.col("site_temp"), 6))
 
 
 @query(
     "meter_reconciliation",
     "J13",
-    """WITH m AS (SELECT r_name AS site, CAST(date_trunc('month', l_shipdate) AS DATE) AS month, round(sum(l_extendedprice * (1 - l_discount)), 4) AS meter_kwh
+    """WITH m AS (SELECT r_name AS site, CAST(date_trunc('month', l_shipdate) AS DATE) AS month,
+           round(sum(CASE WHEN month(l_shipdate) <> 2 THEN l_extendedprice * (1 - l_discount) END), 4) AS meter_kwh
          FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
-         WHERE month(l_shipdate) <> 2 GROUP BY 1, 2)
+         GROUP BY 1, 2)
        SELECT site, month, s.actual_kwh AS inverter_kwh, meter_kwh, round(s.actual_kwh - meter_kwh, 4) AS diff,
          round(abs(s.actual_kwh - meter_kwh) / nullif(meter_kwh, 0) * 100, 5) AS diff_pct,
          CASE WHEN s.actual_kwh IS NULL THEN 'left_missing' WHEN meter_kwh IS NULL THEN 'right_missing'
@@ -141,9 +144,9 @@ def _(t: Tables):
 )
 def _(t: Tables):
     meter = (
-        t.sold.where(F.month("l_shipdate") != 2)
-        .groupBy("site", F.trunc(F.col("l_shipdate").cast("date"), "month").alias("month"))
-        .agg(F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 4).alias("meter_kwh"))
+        # The meter is silent in February: its value is NULL there, the rows stay.
+        t.sold.groupBy("site", F.trunc(F.col("l_shipdate").cast("date"), "month").alias("month"))
+        .agg(F.round(F.sum(F.when(F.month("l_shipdate") != 2, F.col("l_extendedprice") * (1 - F.col("l_discount")))), 4).alias("meter_kwh"))
     )
     inverters = t.site_month.select("site", "month", F.col("actual_kwh").alias("inverter_kwh"))
     out = quality.reconcile(inverters, meter, ["site", "month"], "inverter_kwh", "meter_kwh", 5.25)
@@ -153,12 +156,12 @@ def _(t: Tables):
 @query(
     "recalculation_difference",
     "A23",
-    """SELECT b.site, CAST(count(*) AS BIGINT) AS n_keys, CAST(count(*) FILTER (a.unit IS NULL) AS BIGINT) AS n_unmatched,
-       round(max(abs(b.kwh - round(a.kwh, 0))), 4) AS max_abs_diff
-       FROM unit_month b LEFT JOIN unit_month a ON a.unit = b.unit AND a.month = b.month AND a.unit % 50 <> 3 GROUP BY b.site""",
+    """SELECT b.site, CAST(count(*) AS BIGINT) AS n_keys, CAST(count(*) FILTER (b.unit % 50 = 3) AS BIGINT) AS n_unmatched,
+       round(max(abs(b.kwh - CASE WHEN b.unit % 50 <> 3 THEN round(b.kwh, 0) END)), 4) AS max_abs_diff FROM unit_month b GROUP BY b.site""",
 )
 def _(t: Tables):
-    before = t.unit_month.where("unit % 50 <> 3").select("unit", "site", "month", F.round("kwh", 0).alias("kwh"))
+    # Some units had no value before; their rows stay.
+    before = t.unit_month.select("unit", "site", "month", F.when(F.col("unit") % 50 != 3, F.round("kwh", 0)).alias("kwh"))
     out = quality.max_difference(before, t.unit_month, ["site", "unit", "month"], "kwh", ["site"])
     return rounded(out, 4, "max_abs_diff")
 
@@ -166,8 +169,8 @@ def _(t: Tables):
 @query(
     "performance_ratio",
     "A27",
-    """WITH c AS (SELECT r_name AS site, sum(0.95 * (abs(s_acctbal) + 100)) AS kw FROM supplier JOIN nation ON s_nationkey = n_nationkey
-         JOIN region ON n_regionkey = r_regionkey WHERE r_name <> 'AFRICA' GROUP BY 1),
+    """WITH c AS (SELECT r_name AS site, CASE WHEN r_name <> 'AFRICA' THEN sum(0.95 * (abs(s_acctbal) + 100)) END AS kw FROM supplier JOIN nation ON s_nationkey = n_nationkey
+         JOIN region ON n_regionkey = r_regionkey GROUP BY 1),
        x AS (SELECT m.*, c.kw, day(last_day(month)) AS dim, n_days / day(last_day(month)) AS cov FROM site_month m LEFT JOIN c USING (site)),
        y AS (SELECT *, CASE WHEN kw IS NULL OR kw <= 0 THEN 'no capacity' WHEN cov < 1 THEN 'incomplete period'
              WHEN month(month) % 2 = 1 THEN 'no plane irradiance' END AS reason FROM x)
@@ -179,9 +182,10 @@ def _(t: Tables):
         t.table("supplier")
         .join(t.table("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
         .join(t.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .where("r_name <> 'AFRICA'")
         .groupBy(F.col("r_name").alias("site"))
         .agg(F.sum(0.95 * (F.abs("s_acctbal") + 100)).alias("kw"))
+        # One site's capacity is unknown.
+        .withColumn("kw", F.when(F.col("site") != "AFRICA", F.col("kw")))
     )
     days = F.dayofmonth(F.last_day("month"))
     rows = t.site_month.join(cap, "site", "left").withColumn("cov", F.col("n_days") / days)
@@ -233,21 +237,26 @@ def _(t: Tables):
     "unit_configuration",
     "A33",
     """WITH r AS (SELECT site, count(*) AS n_registered, round(sum(kw), 4) AS registered_kw FROM capacity WHERE role = 'inverter_sum' GROUP BY 1),
-       s AS (SELECT u.site, count(*) AS n_seen, round(sum(c.kw), 4) AS seen_kw FROM unit_month u JOIN capacity c ON c.unit = u.unit AND c.role = 'inverter_sum'
-             WHERE u.month = DATE '1997-03-01' GROUP BY 1)
-       SELECT site, CAST(n_registered AS BIGINT) AS n_registered, registered_kw, CAST(coalesce(n_seen, 0) AS BIGINT) AS n_seen, coalesce(seen_kw, 0.0) AS seen_kw,
-         coalesce(n_seen, 0) <> n_registered AS changed FROM r LEFT JOIN s USING (site)""",
+       s AS (SELECT u.site, u.month, count(*) AS n_seen, round(sum(c.kw), 4) AS seen_kw FROM unit_month u JOIN capacity c ON c.unit = u.unit AND c.role = 'inverter_sum'
+             GROUP BY 1, 2),
+       m AS (SELECT DISTINCT month FROM unit_month)
+       SELECT r.site, m.month, CAST(n_registered AS BIGINT) AS n_registered, registered_kw, CAST(coalesce(n_seen, 0) AS BIGINT) AS n_seen, coalesce(seen_kw, 0.0) AS seen_kw,
+         coalesce(n_seen, 0) <> n_registered AS changed FROM r CROSS JOIN m LEFT JOIN s ON s.site = r.site AND s.month = m.month""",
 )
 def _(t: Tables):
     one = t.capacity.where("role = 'inverter_sum'")
     registered = one.groupBy("site").agg(F.count("*").alias("n_registered"), F.round(F.sum("kw"), 4).alias("registered_kw"))
     seen = (
-        quality.with_capacity(t.unit_month.where("month = DATE '1997-03-01'"), t.capacity, ["unit"], "inverter_sum")
-        .groupBy("site")
+        quality.with_capacity(t.unit_month, t.capacity, ["unit"], "inverter_sum")
+        .groupBy("site", "month")
         .agg(F.count("*").alias("n_seen"), F.round(F.sum("capacity_kw"), 4).alias("seen_kw"))
     )
+    # Every month of the table for every registered site: a site without any unit seen in a month has changed.
+    first, last = t.unit_month.agg(F.min("month"), F.max("month")).first()
+    months = F.sequence(F.lit(first).cast("date"), F.lit(last).cast("date"), F.expr("INTERVAL 1 MONTH"))
+    cells = registered.withColumn("month", F.explode(months))
     return (
-        registered.join(seen, "site", "left")
+        cells.join(seen, ["site", "month"], "left")
         .fillna({"n_seen": 0, "seen_kw": 0.0})
         .withColumn("changed", F.col("n_seen") != F.col("n_registered"))
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -407,12 +409,12 @@ def _(t: Tables):
         SELECT w.site, coalesce(bool_and(wins_all) FILTER (w.half = '전체' AND o.n >= 75), false) AS wins_overall,
           coalesce(bool_and(wins_all) FILTER (w.half <> '전체' AND o.n >= 75), false) AS wins_slices,
           coalesce(string_agg(w.comparison, ',' ORDER BY w.comparison) FILTER (w.half = '전체' AND NOT wins_all AND o.n >= 75), '') AS lost_to,
-          coalesce(string_agg(w.comparison, ',' ORDER BY w.comparison) FILTER (w.half = '전체' AND o.n < 75), '') AS excluded_thin
+          coalesce(string_agg(w.comparison, ',' ORDER BY w.comparison) FILTER (w.half = '전체' AND o.n < 75), '') AS excluded_thin, '' AS absent
         FROM w JOIN o ON o.site = w.site AND o.comparison = w.comparison GROUP BY w.site""",
 )
 def _(t: Tables):
     duels = metrics.duel(scores(flagship(t)), ["site", "half"], "candidate")
-    return metrics.verdict(duels, ["site"], "half", C.WHOLE, OOF_BASELINES, min_n=75)
+    return metrics.verdict(duels, ["site"], "half", C.WHOLE, OOF_BASELINES, [C.FIRST_HALF, C.SECOND_HALF], min_n=75)
 
 
 @query(
@@ -442,16 +444,24 @@ def _(t: Tables):
     return t.oof.dropna(subset=needed).select("site", "month")
 
 
+def _poisson_sql() -> str:
+    """How many cumulative Poisson(1) probabilities lie at or below u, up to the eighteenth."""
+    sums, total = [], 0.0
+    for k in range(18):
+        total += math.exp(-1) / math.factorial(k)
+        sums.append(f"(u >= {total!r})::INT")
+    return " + ".join(sums)
+
+
 @query(
     "bootstrap_interval",
     "A26",
-    """WITH b AS (SELECT site, CAST(date_trunc('month', month) AS DATE) AS block, sum(abs(candidate - actual_kwh) - abs(seasonal_mean - actual_kwh)) AS d,
+    f"""WITH b AS (SELECT site, CAST(date_trunc('month', month) AS DATE) AS block, sum(abs(candidate - actual_kwh) - abs(seasonal_mean - actual_kwh)) AS d,
          count(*) AS n FROM oof WHERE candidate IS NOT NULL AND seasonal_mean IS NOT NULL GROUP BY 1, 2),
        u AS (SELECT b.*, rep, ('0x' || substr(md5(concat_ws('|', strftime(block, '%Y-%m-%d'), CAST(rep AS VARCHAR))), 1, 8))::BIGINT / 4294967296.0 AS u
          FROM b, (SELECT unnest(generate_series(1, 100)) AS rep)),
        r AS (SELECT site, rep, sum(w * d) / nullif(sum(w * n), 0) AS diff FROM
-         (SELECT *, CASE WHEN u < 0.3678794412 THEN 0 WHEN u < 0.7357588823 THEN 1 WHEN u < 0.9196986029 THEN 2
-                         WHEN u < 0.9810118431 THEN 3 ELSE 4 END AS w FROM u) GROUP BY 1, 2)
+         (SELECT *, {_poisson_sql()} AS w FROM u) GROUP BY 1, 2)
        SELECT site, round(quantile_cont(diff, 0.025), 4) AS lo, round(quantile_cont(diff, 0.5), 4) AS mid,
          round(quantile_cont(diff, 0.975), 4) AS hi FROM r GROUP BY site""",
 )
@@ -463,25 +473,12 @@ def _(t: Tables):
         }
     )
     out = metrics.bootstrap_difference(
-        rows, ["site"], ["month"], "loss_c", "loss_b", 100, poisson_weight("month", "rep"),
+        rows, ["site"], ["month"], "loss_c", "loss_b", 100, metrics.poisson_weight(C.hash_uniform("month", "rep")),
         {"lo": 0.025, "mid": 0.5, "hi": 0.975},
     )
     return rounded(out, 4, "lo", "mid", "hi")
 
 
-def poisson_weight(*parts: str):
-    """Resampling weight with the Poisson(1) distribution, cut at 4, from a hash."""
-    u = C.hash_uniform(*parts)
-    # Cumulative Poisson(1) probabilities.
-    return (
-        F.when(u < 0.3678794412, 0)
-        .when(u < 0.7357588823, 1)
-        .when(u < 0.9196986029, 2)
-        .when(u < 0.9810118431, 3)
-        .otherwise(4)
-    )
-
-
 # --- chart data --------------------------------------------------------------------------------
 
 

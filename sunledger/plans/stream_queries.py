@@ -57,8 +57,8 @@ def _(t: Tables):
     "T3",
     """WITH x AS (SELECT event_id, station, received_at, CASE WHEN date_trunc('hour', obs_ts) = obs_ts THEN obs_ts ELSE date_trunc('hour', obs_ts) + INTERVAL '1 hour' END AS issue_ts,
          CASE WHEN date_trunc('hour', received_at) = received_at THEN received_at ELSE date_trunc('hour', received_at) + INTERVAL '1 hour' END AS usable_from FROM obs)
-       SELECT x.event_id, x.station, x.issue_ts, x.usable_from, CASE WHEN received_at <= x.issue_ts THEN 'on_time' ELSE 'late' END AS receipt_state
-       FROM x JOIN issues i ON i.station = x.station AND i.issue_ts = x.issue_ts""",
+       SELECT x.event_id, x.station, x.issue_ts, x.usable_from, CASE WHEN i.issue_ts IS NULL THEN 'no_issue' WHEN received_at <= x.issue_ts THEN 'on_time' ELSE 'late' END AS receipt_state
+       FROM x LEFT JOIN issues i ON i.station = x.station AND i.issue_ts = x.issue_ts""",
 )
 def _(t: Tables):
     k = minutes_k()
@@ -79,7 +79,7 @@ FRESH = """w AS (SELECT max(ts) - INTERVAL '1 hour' AS mark FROM events),
         WINDOW p AS (PARTITION BY job, feed ORDER BY window_end ROWS UNBOUNDED PRECEDING))"""
 
 
-def freshness(t: Tables) -> DataFrame:
+def freshness(t: Tables, deadline_min: int = 300) -> DataFrame:
     s = jobs.event_time(events(t), "ts", "1 hour").withColumns(
         {"job": F.col("user_id") % 4, "feed": F.col("event_type"), "us": F.unix_micros("ts"), "k": minutes_k()}
     )
@@ -87,7 +87,7 @@ def freshness(t: Tables) -> DataFrame:
     w = jobs.tumbling(s, "ts", "15 minutes", ["job", "feed"], agg)
     w = w.select("job", "feed", F.unix_micros("window_end").alias("window_us"), "attempt_us", "valid_us", "window_end")
     schema = "kind string, job bigint, feed string, window_us bigint, attempt_us bigint, valid_us bigint, status string"
-    out = jobs.with_state(w, ["job", "feed"], jobs.FeedFreshness(["job", "feed"], 300), schema, "EventTime")
+    out = jobs.with_state(w, ["job", "feed"], jobs.FeedFreshness(["job", "feed"], deadline_min), schema, "EventTime")
     out = us_to_ntz(out, window_end="window_us", last_attempt="attempt_us", last_valid="valid_us")
     return out.select("kind", "job", "feed", "window_end", "last_attempt", "last_valid", "status")
 
@@ -102,6 +102,18 @@ def _(t: Tables):
     return jobs.run_to_table(freshness(t), "feed-freshness", stateful=True).where("kind = 'update'").drop("kind")
 
 
+@query(
+    "stream_feed_deadlines",
+    "T4",
+    f"""WITH {FRESH}, l AS (SELECT job, feed, max(last_attempt) AS last_attempt, max(last_valid) AS last_valid, min(last_attempt) AS first_attempt FROM r GROUP BY 1, 2)
+        SELECT job, feed, date_trunc('millisecond', coalesce(last_valid, first_attempt) + INTERVAL '60 minutes') AS deadline, last_attempt, last_valid, 'late' AS status FROM l, w
+        WHERE date_trunc('millisecond', coalesce(last_valid, first_attempt) + INTERVAL '60 minutes') < date_trunc('millisecond', mark)""",
+)
+def _(t: Tables):
+    table = jobs.run_to_table(freshness(t, 60), "feed-deadlines", stateful=True)
+    return table.where("kind = 'deadline'").drop("kind").withColumnRenamed("window_end", "deadline")
+
+
 @query(
     "stream_matched_forecasts",
     "T5",

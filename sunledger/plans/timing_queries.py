@@ -9,6 +9,7 @@ from sunledger.operators import asof, grid, opslog
 from sunledger.plans.common import rounded
 from sunledger.plans.registry import query
 from sunledger.plans.views import REQUIRED, Tables
+from sunledger.session import small_table
 
 
 @query(
@@ -53,7 +54,7 @@ def _(t: Tables):
 FRESH_SQL = """w AS (SELECT i.station, i.issue_ts, o.obs_ts, o.temp, o.humidity, o.cloud_pct FROM issues i LEFT JOIN obs o
     ON o.station = i.station AND o.received_at <= i.issue_ts AND o.obs_ts >= i.issue_ts - INTERVAL '12 hours'
     AND o.temp IS NOT NULL AND o.humidity IS NOT NULL AND o.cloud_pct IS NOT NULL
-    QUALIFY row_number() OVER (PARTITION BY i.station, i.issue_ts ORDER BY o.obs_ts DESC NULLS LAST) = 1)"""
+    QUALIFY row_number() OVER (PARTITION BY i.station, i.issue_ts ORDER BY o.obs_ts DESC NULLS LAST, o.received_at DESC, o.event_id DESC) = 1)"""
 
 
 def weather(t: Tables):
@@ -125,14 +126,14 @@ def _(t: Tables):
 @query(
     "lead_coverage",
     "A32",
-    """WITH d AS (SELECT site, count(DISTINCT CAST(issue_ts AS DATE)) AS expected_days FROM fc GROUP BY 1),
+    """WITH d AS (SELECT DISTINCT site, 31 AS expected_days FROM fc),
        h AS (SELECT site, hour(issue_ts) AS issue_hour, lead_h, count(DISTINCT CAST(issue_ts AS DATE)) AS filled_days FROM fc GROUP BY 1, 2, 3)
        SELECT d.site, CAST(i AS BIGINT) AS issue_hour, CAST(l AS BIGINT) AS lead_h, CAST(expected_days AS BIGINT) AS expected_days,
          CAST(coalesce(filled_days, 0) AS BIGINT) AS filled_days, round(coalesce(filled_days, 0) / expected_days, 6) AS share
-       FROM d, (SELECT unnest(range(0, 24, 3)) AS i), (SELECT unnest(range(1, 61)) AS l) LEFT JOIN h ON h.site = d.site AND h.issue_hour = i AND h.lead_h = l""",
+       FROM d, (SELECT unnest(range(0, 24, 3)) AS i), (SELECT unnest(range(0, 100)) AS l) LEFT JOIN h ON h.site = d.site AND h.issue_hour = i AND h.lead_h = l""",
 )
 def _(t: Tables):
-    out = asof.lead_coverage(t.fc, ["site"], "issue_ts", "lead_h", range(0, 24, 3), range(1, 61))
+    out = asof.lead_coverage(t.fc, ["site"], "issue_ts", "lead_h", range(0, 24, 3), range(0, 100), "2024-01-01", "2024-01-31")
     return rounded(out, 6, "share")
 
 
@@ -142,8 +143,9 @@ def _(t: Tables):
     """SELECT model, CAST(count(*) AS BIGINT) AS n_rows, CAST(count(*) FILTER (received_at > issue_ts + INTERVAL '30 minutes') AS BIGINT) AS received_after_bound,
        CAST(count(*) FILTER (target_ts <= issue_ts) AS BIGINT) AS target_not_future,
        CAST(count(*) FILTER (issue_ts < TIMESTAMP '2024-01-16 00:00:00' AND target_ts >= TIMESTAMP '2024-01-16 00:00:00') AS BIGINT) AS crosses_fold,
-       count(*) FILTER (received_at > issue_ts + INTERVAL '30 minutes' OR target_ts <= issue_ts OR
-         (issue_ts < TIMESTAMP '2024-01-16 00:00:00' AND target_ts >= TIMESTAMP '2024-01-16 00:00:00')) = 0 AS clean FROM fc GROUP BY model""",
+       CAST(count(*) FILTER (received_at IS NULL) AS BIGINT) AS unknown,
+       count(*) FILTER (received_at IS NULL OR received_at > issue_ts + INTERVAL '30 minutes' OR target_ts <= issue_ts OR
+         (issue_ts < TIMESTAMP '2024-01-16 00:00:00' AND target_ts >= TIMESTAMP '2024-01-16 00:00:00')) = 0 AS clean FROM (SELECT * REPLACE (CASE WHEN event_id % 89 <> 0 THEN received_at END AS received_at) FROM fc) GROUP BY model""",
 )
 def _(t: Tables):
     border = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
@@ -152,7 +154,21 @@ def _(t: Tables):
         "target_not_future": F.col("target_ts") <= F.col("issue_ts"),
         "crosses_fold": (F.col("issue_ts") < border) & (F.col("target_ts") >= border),
     }
-    return asof.leakage_audit(t.fc, ["model"], rules)
+    # Some receipt times are unknown, so that the third state occurs.
+    rows = t.fc.withColumn("received_at", F.when(F.col("event_id") % 89 != 0, F.col("received_at")))
+    return asof.leakage_audit(rows, ["model"], rules)
+
+
+FIRST, LAST = "2024-01-01 00:00:00", "2024-01-30 23:59:00"  # the reporting period of the logs
+
+
+def jobs(t: Tables):
+    """The register of jobs; it does not depend on what arrived."""
+    return small_table(t.spark, [(j,) for j in range(4)], "job bigint")
+
+
+def job_hours(t: Tables):
+    return grid.period_slots(jobs(t), "hour", FIRST, LAST, 60)
 
 
 # --- logs --------------------------------------------------------------------------------------
@@ -184,8 +200,8 @@ def _(t: Tables):
 @query(
     "gate_rates",
     "A15",
-    """WITH e AS (SELECT job, unnest(generate_series(date_trunc('day', min(slot)), date_trunc('day', max(slot)) + INTERVAL '1 day' - INTERVAL '15 minutes',
-           INTERVAL '15 minutes')) AS slot FROM runs GROUP BY job),
+    """WITH e AS (SELECT job, unnest(generate_series(TIMESTAMP '2024-01-01 00:00:00', TIMESTAMP '2024-01-30 23:45:00', INTERVAL '15 minutes')) AS slot
+         FROM (VALUES (0::BIGINT), (1), (2), (3)) AS v(job)),
        x AS (SELECT e.job, e.slot, e.slot >= TIMESTAMP '2024-01-10 00:00:00' AND e.slot < TIMESTAMP '2024-01-12 00:00:00' AS o, r.made FROM e
          LEFT JOIN (SELECT job, slot, bool_or(status = 'success') AS made FROM runs GROUP BY 1, 2) r ON r.job = e.job AND r.slot = e.slot
          WHERE hour(e.slot) * 60 + minute(e.slot) BETWEEN 270 AND 1230)
@@ -194,7 +210,7 @@ def _(t: Tables):
          round(count(*) FILTER (made AND NOT o) / count(*) FILTER (NOT o), 6) AS conditional_rate FROM x GROUP BY job""",
 )
 def _(t: Tables):
-    slots = grid.slot_calendar(t.runs, ["job"], "slot", 15)
+    slots = grid.period_slots(jobs(t), "slot", FIRST, LAST, 15)
     minute = F.hour("slot") * 60 + F.minute("slot")
     lo, hi = (F.lit(x).cast("timestamp_ntz") for x in ("2024-01-10 00:00:00", "2024-01-12 00:00:00"))
     outage = (F.col("slot") >= lo) & (F.col("slot") < hi)
@@ -224,14 +240,19 @@ def _(t: Tables):
     return rounded(opslog.backfill_progress(t.site_hour, ["site"], "hour", 1440), 6, "rate_per_day", "eta_days")
 
 
-STATUS_SQL = """st AS (SELECT job, feed, max(ts) AS last_attempt, max(ts) FILTER (k < 60) AS last_valid, CAST(count(*) AS BIGINT) AS attempts FROM runs GROUP BY 1, 2),
+STATUS_SQL = """st AS (SELECT v.job, f.feed, max(ts) AS last_attempt, max(ts) FILTER (k < 60) AS last_valid, CAST(count(ts) AS BIGINT) AS attempts
+    FROM (VALUES (0::BIGINT), (1), (2), (3)) AS v(job), (VALUES ('click'), ('view'), ('purchase'), ('signup'), ('error'), ('heartbeat')) AS f(feed)
+    LEFT JOIN runs r ON r.job = v.job AND r.feed = f.feed AND ts <= TIMESTAMP '2024-01-30 23:59:00' GROUP BY 1, 2),
   sx AS (SELECT *, CASE WHEN last_valid IS NULL THEN 'missing' WHEN TIMESTAMP '2024-01-30 23:59:00' - last_valid <= INTERVAL '300 minutes' THEN 'normal'
     WHEN TIMESTAMP '2024-01-30 23:59:00' - last_valid <= INTERVAL '600 minutes' THEN 'late' ELSE 'missing' END AS status FROM st)"""
 
 
 def statuses(t: Tables):
-    as_of = F.lit("2024-01-30 23:59:00").cast("timestamp_ntz")
-    return opslog.feed_status(t.runs, ["job", "feed"], "ts", F.col("k") < 60, as_of, 300, 600)
+    as_of = F.lit(LAST).cast("timestamp_ntz")
+    # The heartbeat feed is registered but never reports.
+    feeds = F.array(*[F.lit(f) for f in ("click", "view", "purchase", "signup", "error", "heartbeat")])
+    register = jobs(t).select("job", F.explode(feeds).alias("feed"))
+    return opslog.feed_status(t.runs, register, ["job", "feed"], "ts", F.col("k") < 60, as_of, 300, 600)
 
 
 @query("feed_status", "T4 A24", f"WITH {STATUS_SQL} SELECT * FROM sx")
@@ -247,7 +268,8 @@ def _(t: Tables):
 @query(
     "model_readiness",
     "J14",
-    """WITH h AS (SELECT DISTINCT job, date_trunc('hour', ts) AS hour FROM runs), a AS (SELECT DISTINCT job, date_trunc('hour', ts) AS hour, feed FROM runs),
+    """WITH h AS (SELECT job, unnest(generate_series(TIMESTAMP '2024-01-01 00:00:00', TIMESTAMP '2024-01-30 23:00:00', INTERVAL '1 hour')) AS hour
+         FROM (VALUES (0::BIGINT), (1), (2), (3)) AS v(job)), a AS (SELECT DISTINCT job, date_trunc('hour', ts) AS hour, feed FROM runs),
        x AS (SELECT h.job, h.hour, r.model, r.feed, a.feed IS NOT NULL AS ok FROM h CROSS JOIN required r LEFT JOIN a ON a.job = h.job AND a.hour = h.hour AND a.feed = r.feed)
        SELECT job, hour, model, coalesce(string_agg(feed, ',' ORDER BY feed) FILTER (NOT ok), '') AS blocked_by, bool_and(ok) AS ready FROM x GROUP BY 1, 2, 3""",
 )
@@ -256,18 +278,19 @@ def _(t: Tables):
     for model, feed in REQUIRED:
         needs.setdefault(model, []).append(feed)
     arrived = t.runs.select("job", C.slot_start("ts", 60).alias("hour"), "feed")
-    return opslog.model_readiness(arrived, ["job", "hour"], "feed", needs)
+    return opslog.model_readiness(arrived, job_hours(t), ["job", "hour"], "feed", needs)
 
 
 @query(
     "feeds_not_arrived",
     "U3",
-    """WITH h AS (SELECT DISTINCT job, date_trunc('hour', ts) AS hour FROM runs)
+    """WITH h AS (SELECT job, unnest(generate_series(TIMESTAMP '2024-01-01 00:00:00', TIMESTAMP '2024-01-30 23:00:00', INTERVAL '1 hour')) AS hour
+         FROM (VALUES (0::BIGINT), (1), (2), (3)) AS v(job))
        SELECT h.job, h.hour, feed FROM h CROSS JOIN (SELECT DISTINCT feed FROM required) EXCEPT SELECT DISTINCT job, date_trunc('hour', ts), feed FROM runs""",
 )
 def _(t: Tables):
     arrived = t.runs.select("job", C.slot_start("ts", 60).alias("hour"), "feed")
-    return opslog.feeds_not_arrived(arrived, ["job", "hour"], "feed", sorted({f for _, f in REQUIRED}))
+    return opslog.feeds_not_arrived(arrived, job_hours(t), ["job", "hour"], "feed", sorted({f for _, f in REQUIRED}))
 
 
 @query(

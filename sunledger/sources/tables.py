@@ -52,11 +52,10 @@ def with_bom(df: DataFrame, first: str | None = None) -> DataFrame:
     return df.withColumnRenamed(name, BOM + name)
 
 
-def write_metrics(df: DataFrame, path: str, order: Sequence[str], single_file: bool = True) -> None:
+def write_metrics(df: DataFrame, path: str, order: Sequence[str], single_file: bool = False) -> None:
     """Metric table as CSV with header and byte-order mark, without an index.
 
-    A score table has a row per (site, comparison, model), so one ordered file is the default for reports;
-    ``single_file=False`` keeps one file per partition for very many sites.
+    One file per partition; ``single_file=True`` writes one ordered file, for a report of few rows.
     """
     out = with_bom(df)
     names = [BOM + c if c == df.columns[0] else c for c in order]

@@ -126,7 +126,7 @@ def split_late_receipts(stream: DataFrame, issues: DataFrame, keys: Sequence[str
     """Stream-static join with the issue each observation was meant for.
 
     A value received after its issue is ``late``: unusable there, usable from the next issue on, never
-    back-dated. Write the result partitioned by ``receipt_state`` to keep late rows apart.
+    back-dated. An observation without a planned issue stays, as ``no_issue``. Write the result partitioned by ``receipt_state`` to keep late rows apart.
     """
     hour = 3_600_000_000
 
@@ -137,8 +137,9 @@ def split_late_receipts(stream: DataFrame, issues: DataFrame, keys: Sequence[str
 
     rows = stream.withColumns({"issue_ts": next_issue(observed), "usable_from": next_issue(received)})
     known = issues.select(*keys, F.col("issue_ts").cast("timestamp").alias("issue_ts"))
-    state = F.when(F.col(received) <= F.col("issue_ts"), "on_time").otherwise("late")
-    return rows.join(known, [*keys, "issue_ts"]).withColumn("receipt_state", state)
+    known = known.withColumn("_known", F.lit(True))
+    state = F.when(F.col("_known").isNull(), "no_issue").when(F.col(received) <= F.col("issue_ts"), "on_time").otherwise("late")
+    return rows.join(known, [*keys, "issue_ts"], "left").withColumn("receipt_state", state).drop("_known")
 
 
 def match_as_they_arrive(forecasts: DataFrame, actuals: DataFrame, key: str, target: str, hour: str) -> DataFrame:
@@ -157,6 +158,8 @@ def outage_sessions(failures: DataFrame, ts: str, keys: Sequence[str], quiet: st
 class FeedFreshness(StatefulProcessor):
     """Last attempt and last valid value per feed, with a deadline timer in event time.
 
+    The deadline counts from the last valid value, or from the first attempt of a feed that never had one.
+
     Input is one row per (feed, window), so the rows per feed and batch follow the windows, not the calls.
     """
 
@@ -170,25 +173,26 @@ class FeedFreshness(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("seen", "last_attempt bigint, last_valid bigint, deadline bigint")
+        self.state = handle.getValueState("seen", "first_attempt bigint, last_attempt bigint, last_valid bigint, deadline bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        attempt, valid, old = self.state.get() if self.state.exists() else (None, None, None)
+        first, attempt, valid, old = self.state.get() if self.state.exists() else (None, None, None, None)
         for r in sorted(rows, key=lambda x: x.window_us):
+            first = r.attempt_us if first is None else first
             attempt = max(x for x in (attempt, r.attempt_us) if x is not None)
             valid = max((x for x in (valid, r.valid_us) if x is not None), default=None)
             fresh = valid is not None and r.window_us - valid <= self.deadline_us
             yield self.row(key, "update", r.window_us, attempt, valid, "normal" if fresh else "late")
-        deadline = None if valid is None else (valid + self.deadline_us) // 1000
+        deadline = ((first if valid is None else valid) + self.deadline_us) // 1000
         if deadline != old:
             # A timer that is already due fires in this batch; an unchanged one fires only once.
             if old is not None:
                 self.handle.deleteTimer(old)
             self.handle.registerTimer(deadline)
-        self.state.update((attempt, valid, deadline))
+        self.state.update((first, attempt, valid, deadline))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        attempt, valid, _ = self.state.get()
+        _, attempt, valid, _ = self.state.get()
         yield self.row(key, "deadline", expiredTimerInfo.getExpiryTimeInMs() * 1000, attempt, valid, "late")
 
     def close(self) -> None:

@@ -38,6 +38,25 @@ def test_freshest_complete_skips_incomplete_and_ignores_old_late_comers(spark):
     assert got == [(t(3), None, "waiting"), (t(5), 3.0, "ready"), (t(16), None, "waiting")]
 
 
+def test_freshest_takes_the_latest_version(spark):
+    v = frame(spark, V, ("a", 1, t(10), t(10, 10), 20.0, 1.0), ("a", 2, t(10), t(10, 30), 15.0, 1.0), ("a", 3, t(9), t(10, 50), 99.0, 1.0))
+    i = frame(spark, I, ("a", t(10, 20)), ("a", t(11)))
+    out = asof.freshest_complete(v, i, ["k"], "received", "id", "issue", "obs", ["v", "w"], 12)
+    assert [(r["issue"], r["v"]) for r in out.orderBy("issue").collect()] == [(t(10, 20), 20.0), (t(11), 15.0)]
+
+
+def test_unknown_receipt_is_not_clean(spark):
+    df = frame(spark, "k string, r timestamp_ntz, i timestamp_ntz", ("a", t(1), t(2)), ("a", None, t(2)), ("b", t(1), t(2)), ("c", t(3), t(2)))
+    out = asof.leakage_audit(df, ["k"], {"late": F.col("r") > F.col("i")})
+    assert rows(out.select("k", "late", "unknown", "clean")) == [("a", 0, 1, False), ("b", 0, 0, True), ("c", 1, 0, False)]
+
+
+def test_lead_coverage_counts_days_without_forecasts(spark):
+    fc = frame(spark, "k string, issue timestamp_ntz, lead bigint", ("a", t(3), 70), ("a", t(3), 70))
+    out = asof.lead_coverage(fc, ["k"], "issue", "lead", [3], [70, 71], "2024-05-01", "2024-05-04")
+    assert [(r["lead_h"], r["filled_days"], r["share"]) for r in out.orderBy("lead_h").collect()] == [(70, 1, 0.25), (71, 0, 0.0)]
+
+
 def test_lag_alignment_tolerance_and_tie(spark):
     r = frame(spark, "k string, id bigint, ts timestamp_ntz, v double", ("a", 1, t(1, 41), 1.0), ("a", 2, t(1, 49), 2.0), ("b", 3, t(1, 40), 3.0))
     i = frame(spark, I, ("a", t(2)), ("b", t(2)))

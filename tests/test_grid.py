@@ -50,7 +50,36 @@ def test_causal_fill_needs_the_right_neighbour_in_time(spark):
     at_once = grid.fill("linear", "slot", "kw", 2, as_of=F.col("slot"))
     later = grid.fill("linear", "slot", "kw", 2, as_of=C.shift_seconds("slot", 35 * 60))
     got = g.orderBy("slot").select(at_once, later).limit(3).collect()
-    assert [tuple(r) for r in got] == [(1.0, 1.0), (None, 2.0), (3.0, 3.0)]
+    # Half an hour late: at once nothing is known, not even the observed values.
+    assert [tuple(r) for r in got] == [(None, 1.0), (None, 2.0), (None, 3.0)]
+
+
+def test_causal_fill_needs_the_left_neighbour_too(spark):
+    base = series(spark, [1.0, None, 3.0]).withColumn("received_at", F.when(F.col("kw") == 1, at(DAY.format(9, 0))).otherwise(F.col("slot")))
+    g = grid.with_neighbours(grid.reindex(base, ["unit"], "slot", 5), ["unit"], "slot", "kw", 5, received="received_at")
+    fills = [grid.fill(m, "slot", "kw", 2, as_of=F.lit(at(DAY.format(1, 5)))) for m in ("linear", "previous")]
+    assert [tuple(r) for r in g.orderBy("slot").select(*fills).limit(3).collect()] == [(None, None), (None, None), (3.0, 3.0)]
+
+
+def test_masks_of_any_length_are_rebuilt(spark):
+    df = gaps(spark, [float(i) for i in range(40)])
+    runs = grid.complete_runs(df, ["unit"], "slot", "kw", [2, 4], 5, 3)
+    masks = grid.sample_masks(runs, ["unit"], 5, 42)
+    out = grid.masked_reconstruction(masks, df, ["unit"], "slot", "kw", 5, 3, [2, 4]).collect()
+    assert sorted({r["mask_slots"]: 0 for r in out}) == [2, 4] and len(out) == 5 * 2 + 5 * 4
+    assert all(abs(r["spline"] - r["actual"]) < 1e-9 for r in out)
+
+
+def test_open_silences_and_units_never_heard(spark):
+    r = frame(spark, "unit string, slot timestamp_ntz", ("a", at("2024-05-01 00:00:00")), ("a", at("2024-05-01 01:00:00")), ("b", at("2024-05-01 00:15:00")), ("b", at("2024-05-09 23:45:00")))
+    register = frame(spark, "unit string", ("a",), ("b",), ("c",))
+    got = rows(quality.silences(r, register, ["unit"], "slot", 15, 4, "2024-05-01 00:00:00", "2024-05-09 23:45:00").select("unit", "gap_slots", "is_open"))
+    assert got == [("a", 9 * 96 - 5, True), ("b", 9 * 96 - 3, False), ("c", 9 * 96, True)]
+
+
+def test_period_slots_do_not_depend_on_rows(spark):
+    register = frame(spark, "unit string", ("a",), ("b",))
+    assert grid.period_slots(register, "slot", "2024-05-01 00:00:00", "2024-05-02 11:45:00", 15).count() == 2 * 144
 
 
 def brute_spline(x, y, at_x):

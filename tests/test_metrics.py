@@ -96,8 +96,25 @@ def test_verdict_needs_every_score_and_slice(spark):
         ("하반기", "b1", "b1", 7, 1.0, 3.0, 4.0), ("하반기", "b1", "c", 7, 1.0, 2.0, 3.0),
     ).withColumn("site", F.lit("s"))
     duels = metrics.duel(df, ["site", "half"], "c")
-    v = metrics.verdict(duels, ["site"], "half", C.WHOLE, ["b1"]).collect()[0]
-    assert (v["wins_overall"], v["wins_slices"], v["lost_to"]) == (True, False, "")
+    v = metrics.verdict(duels, ["site"], "half", C.WHOLE, ["b1"], [C.FIRST_HALF, C.SECOND_HALF]).collect()[0]
+    assert (v["wins_overall"], v["wins_slices"], v["lost_to"], v["absent"]) == (True, False, "", "")
+
+
+def test_verdict_demands_every_listed_baseline_and_slice(spark):
+    schema = "site string, half string, comparison string, model string, n bigint, mae double, rmse double, wape double"
+    cells = [("전체", "b1"), ("상반기", "b1")]
+    df = frame(spark, schema, *[("s", h, b, m, 14, *([s] * 3)) for h, b in cells for m, s in (("b1", 2.0), ("c", 1.0))])
+    duels = metrics.duel(df, ["site", "half"], "c")
+    v = metrics.verdict(duels, ["site"], "half", C.WHOLE, ["b1", "b2"], [C.FIRST_HALF, C.SECOND_HALF]).collect()[0]
+    assert (v["wins_overall"], v["wins_slices"]) == (False, False)
+    assert v["absent"] == "b1:하반기,b2,b2:상반기,b2:하반기"
+
+
+def test_poisson_weight_has_no_ceiling(spark):
+    got = spark.createDataFrame([(0.0,), (0.5,), (0.9999999,), (1 - 2.0**-32,)], "u double").select(metrics.poisson_weight(F.col("u"))).collect()
+    assert [r[0] for r in got] == [0, 1, 10, 12]
+    mean = spark.range(200_000).select(metrics.poisson_weight((F.col("id") + 0.5) / 200_000).alias("w")).agg(F.avg("w"), F.var_pop("w")).first()
+    assert abs(mean[0] - 1) < 1e-3 and abs(mean[1] - 1) < 1e-2
 
 
 # Published MAE, RMSE and WAPE on common samples, (n, baseline's scores, candidate's scores).
@@ -127,7 +144,7 @@ def test_published_verdict(spark, min_n, excluded):
     ]
     df = frame(spark, "site string, half string, comparison string, model string, n bigint, mae double, rmse double, wape double", *data)
     duels = metrics.duel(df, ["site", "half"], "GBHuber")
-    v = metrics.verdict(duels, ["site"], "half", C.WHOLE, C.VERDICT_BASELINES, min_n=min_n).collect()[0]
+    v = metrics.verdict(duels, ["site"], "half", C.WHOLE, C.VERDICT_BASELINES, [C.SECOND_HALF], min_n=min_n).collect()[0]
     assert (v["wins_overall"], v["wins_slices"], v["lost_to"], v["excluded_thin"]) == (True, False, "", excluded)
 
 

@@ -12,7 +12,7 @@ from tests.helpers import at, frame, rows
 
 def test_unused_feed_never_blocks_a_model(spark):
     got = frame(spark, "job string, feed string", ("j", "lag"), ("j", "obs"))
-    out = opslog.model_readiness(got, ["job"], "feed", {"ultra_short": ["lag", "obs"], "short": ["grid", "nwp", "lag"]})
+    out = opslog.model_readiness(got, got.select("job").distinct(), ["job"], "feed", {"ultra_short": ["lag", "obs"], "short": ["grid", "nwp", "lag"]})
     assert rows(out, "model") == [("j", "short", "grid,nwp", False), ("j", "ultra_short", "", True)]
 
 
@@ -22,7 +22,7 @@ def test_http_ok_with_all_null_is_not_valid(spark):
         ("a", at("2024-05-01 10:00:00"), 1.0), ("a", at("2024-05-01 11:00:00"), None), ("b", at("2024-05-01 11:00:00"), None),
     )
     as_of = F.lit("2024-05-01 11:30:00").cast("timestamp_ntz")
-    st = opslog.feed_status(log, ["feed"], "ts", F.col("v").isNotNull(), as_of, 60, 120)
+    st = opslog.feed_status(log, log, ["feed"], "ts", F.col("v").isNotNull(), as_of, 60, 120)
     assert [(r["feed"], r["status"]) for r in st.orderBy("feed").collect()] == [("a", "late"), ("b", "missing")]
     assert rows(opslog.status_cards(st)) == [("late", 1), ("missing", 1)]
 
@@ -100,3 +100,27 @@ def test_sketch_delays_stay_close_to_exact_ones(spark):
 def test_season_uses_target_month(spark):
     df = frame(spark, "d date", (dt.date(2024, 2, 29),))
     assert df.select(C.season(F.date_add("d", 1))).collect()[0][0] == "spring"
+
+
+def test_open_and_endless_periods(spark):
+    df = frame(spark, "u string, ts timestamp_ntz", ("a", at("2024-05-01 00:00:00")), ("a", at("2024-05-03 00:00:00")), ("b", at("2024-05-01 00:00:00")))
+    p = frame(spark, "u string, from_ts timestamp_ntz, to_ts timestamp_ntz", ("a", at("2024-05-02 00:00:00"), None), ("b", at("1000-01-01 00:00:00"), at("9999-12-31 00:00:00")))
+    assert rows(quality.exclude_periods(df, p, ["u"], "ts")) == [("a", at("2024-05-01 00:00:00"))]
+
+
+def test_delay_groups_without_a_delay_stay(spark):
+    df = frame(spark, "k string, d double", ("a", 5.0), ("a", 7.0), ("b", None))
+    got = rows(opslog.delay_distribution(df, ["k"], "d", 6).select("k", "n", "late_share", "median"))
+    assert got == [("a", 2, 0.5, 6.0), ("b", 0, None, None)]
+
+
+def test_registers_name_what_never_arrived(spark):
+    arrived = frame(spark, "job bigint, feed string", (1, "x"))
+    jobs = frame(spark, "job bigint", (1,), (2,))
+    ready = opslog.model_readiness(arrived, jobs, ["job"], "feed", {"m": ["x"]})
+    assert rows(ready.select("job", "ready", "blocked_by")) == [(1, True, ""), (2, False, "x")]
+    assert rows(opslog.feeds_not_arrived(arrived, jobs, ["job"], "feed", ["x", "y"])) == [(1, "y"), (2, "x"), (2, "y")]
+    log = frame(spark, "feed string, ts timestamp_ntz", ("x", at("2024-05-01 00:00:00")))
+    register = frame(spark, "feed string", ("x",), ("z",))
+    st = opslog.feed_status(log, register, ["feed"], "ts", F.lit(True), F.lit(at("2024-05-01 00:10:00")), 60, 120)
+    assert rows(st.select("feed", "attempts", "status")) == [("x", 1, "normal"), ("z", 0, "missing")]

@@ -88,3 +88,15 @@ def test_prune_drops_highest_vif_then_later_name():
     dropped = [s[:2] for s in steps if s[1] == "dropped"]
     assert [d[0] for d in dropped] == ["a", "c"]
     assert [s[0] for s in features.prune_steps(m, ["a", "b", "c"], None, None)] == ["a", "b", "c"]
+
+
+def test_vif_blames_only_the_collinear(spark):
+    m = np.array([[1, 1, 0.1], [1, 1, 0.1], [0.1, 0.1, 1]])
+    v = features.vif_values(m)
+    assert np.isinf(v[:2]).all() and abs(v[2] - 1 / (1 - 0.01)) < 1e-9
+    assert [s[0] for s in features.prune_steps(m, ["a", "b", "z"], 10.0, None) if s[1] == "dropped"] == ["b"]
+    nan = float("nan")
+    constant = np.array([[1, nan, 0.5], [nan, 1, nan], [0.5, nan, 1]])
+    v = features.vif_values(constant)
+    assert np.isnan(v[1]) and abs(v[0] - 1 / 0.75) < 1e-9
+    assert features.prune_steps(constant, ["a", "k", "z"], 10.0, None)[0][:4] == ("k", "dropped", 1, "constant")

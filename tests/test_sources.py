@@ -22,7 +22,7 @@ def test_reads_stored_monthly_table_with_bom_and_empty_cells(spark, tmp_path):
 
 def test_metric_file_starts_with_bom_and_keeps_order(spark, tmp_path):
     df = frame(spark, "comparison string, model string, n bigint, mae double", ("b", "x", 2, 0.5), ("a", "y", 1, 1.5))
-    tables.write_metrics(df, f"{tmp_path}/m", ["comparison"])
+    tables.write_metrics(df, f"{tmp_path}/m", ["comparison"], single_file=True)
     [part] = list((tmp_path / "m").glob("part-*.csv"))
     assert part.read_bytes().startswith(b"\xef\xbb\xbfcomparison,model,n,mae\n")
     assert part.read_text(encoding="utf-8-sig").splitlines()[1:] == ["a,y,1,1.5", "b,x,2,0.5"]
