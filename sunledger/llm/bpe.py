@@ -43,7 +43,7 @@ def byte_letters() -> dict[str, int]:
 class MergeList:
     """Vocabulary and ranked merges of a byte-level tokenizer file."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, lookahead: bool = True):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         letters = byte_letters()
@@ -61,7 +61,7 @@ class MergeList:
             self.made.append(vocab[a + b])
             self.parts.append((vocab[a], vocab[b]))
         self.origin = {i: r for r, i in reversed(list(enumerate(self.made)))}  # id -> rank of the merge that makes it
-        self.settle = self._settle()
+        self.settle = self._settle() if lookahead else {}
         self.lookahead = max(self.settle.values(), default=0)
 
     def _right_edge(self, token: int, until: int) -> Iterator[tuple[int, int]]:
@@ -167,7 +167,7 @@ class TextDecoder:
 class StreamEncoder:
     """Pieces of text to ids: special strings first, then the splitting pattern, then the transducer for each match."""
 
-    def __init__(self, merges: MergeList, remembered: int = 100_000):
+    def __init__(self, merges: MergeList, remembered: int = 200_000):
         import regex
 
         self.merges, self.split = merges, regex.compile(PATTERN)
@@ -190,16 +190,15 @@ class StreamEncoder:
                 self.words[word] = ids
         return ids
 
-    def pieces(self, pieces: list[str]) -> Iterator[list[int]]:
-        for piece in pieces:
-            ids: list[int] = []
-            for k, part in enumerate(self.specials.split(piece) if self.specials else [piece]):
-                if k % 2:
-                    ids.append(self.merges.special[part])
-                else:
-                    for word in self.split.findall(part):
-                        ids += self.word(word)
-            yield ids
+    def piece(self, piece: str) -> list[int]:
+        ids: list[int] = []
+        for k, part in enumerate(self.specials.split(piece) if self.specials else [piece]):
+            if k % 2:
+                ids.append(self.merges.special[part])
+            else:
+                for word in self.split.findall(part):
+                    ids += self.word(word)
+        return ids
 
 
 _ENCODERS: dict[str, tuple[MergeList, PieceEncoder]] = {}
@@ -209,7 +208,7 @@ def stream_encoder(path: str) -> tuple[MergeList, PieceEncoder]:
     """One per worker process."""
     if path not in _ENCODERS:
         merges = MergeList(path)
-        _ENCODERS[path] = merges, PieceEncoder(byte_units, StreamEncoder(merges).pieces, size=120_000)
+        _ENCODERS[path] = merges, PieceEncoder(byte_units, StreamEncoder(merges).piece)
     return _ENCODERS[path]
 
 

@@ -34,7 +34,8 @@ def encode_block(ids: np.ndarray, percentile: int = PERCENTILE) -> bytes:
     rest = ids.astype(np.uint32) - np.uint32(low)
     rank = min(len(rest) - 1, len(rest) * percentile // 100)
     width = int(np.partition(rest, rank)[rank]).bit_length()
-    bits = (rest[:, None] >> np.arange(width, dtype=np.uint32)).astype(np.uint8) & 1
+    kind = "<u2" if width <= 16 else "<u4"
+    bits = np.unpackbits(rest.astype(kind).view(np.uint8).reshape(len(rest), -1), axis=1, bitorder="little")[:, :width]
     packed = np.packbits(bits.reshape(-1), bitorder="little").tobytes()
     high = rest >> np.uint32(width) if width < 32 else np.zeros_like(rest)
     odd = np.flatnonzero(high)
@@ -45,11 +46,10 @@ def decode_block(data: memoryview) -> np.ndarray:
     low, n, width, odd = HEAD.unpack_from(data)
     at = HEAD.size
     size = (n * width + 7) // 8
-    values = np.zeros(n, np.uint32)
-    if width:
-        bits = np.unpackbits(np.frombuffer(data, np.uint8, size, at), count=n * width, bitorder="little").reshape(n, width)
-        for k in range((width + 7) // 8):  # eight bits make a byte of the value
-            values |= np.packbits(bits[:, 8 * k : 8 * k + 8], axis=1, bitorder="little")[:, 0].astype(np.uint32) << np.uint32(8 * k)
+    kind = "<u2" if width <= 16 else "<u4"
+    bits = np.zeros((n, 8 * np.dtype(kind).itemsize), np.uint8)
+    bits[:, :width] = np.unpackbits(np.frombuffer(data, np.uint8, size, at), count=n * width, bitorder="little").reshape(n, width)
+    values = np.packbits(bits, axis=1, bitorder="little").view(kind)[:, 0].astype(np.uint32)
     at += size
     if odd:
         places = np.frombuffer(data, "<u2", odd, at)
