@@ -2,12 +2,29 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sunledger.session import materialize
 
 
+def forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """For each of n nodes the smallest node of its component."""
+    root = np.arange(n)
+    while True:
+        low = np.minimum(root[i], root[j])
+        new = root.copy()
+        np.minimum.at(new, root[i], low)
+        np.minimum.at(new, root[j], low)
+        while not np.array_equal(new, new[new]):
+            new = new[new]
+        new = new[root]
+        if np.array_equal(new, root):
+            return root
+        root = new
+
+
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component): the smallest node reachable over ``links``, for each node that has a link to another node.
 

@@ -8,8 +8,8 @@ the probability Jaccard of their weights,
     sum over shared i of 1 / sum over j of max(x_j / x_i, y_j / y_i),
 
 so bands of registers propose pairs, and the exact value decides. Texts with equal weights fold into one first. In a
-bucket, members meet a pivot, not each other: what a pivot links needs no further pair. Pairs are made only where members of a
-bucket are still in different classes, after pivots have been drawn until those are few.
+bucket, members meet a pivot, not each other: what a pivot links needs no further pair. Where members of a bucket are still in
+different classes, they are compared in tiles that give back links only. No pairs within a group become rows.
 """
 
 from __future__ import annotations
@@ -19,14 +19,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sunledger.llm.common import MIX_A, MIX_B, code_points, map_arrow, mix64, span_hashes, text_steps, words
-from sunledger.llm.graph import components
+from sunledger.llm.common import GOLD, MIX_A, MIX_B, code_points, map_arrow, mix64, span_hashes, text_steps, words
+from sunledger.llm.graph import components, forest
 from sunledger.session import materialize
 
 SHINGLE = 5
 BANDS, ROWS = 24, 4
 STEP_CHARS = 400_000
-GOLD = np.uint64(0x9E3779B97F4A7C15)
+TILE = 384  # texts on each side of a tile
+COLUMNS = 4096  # shingles of a tile that are multiplied at a time
+ROUNDING = 1e-12
 
 
 def shingles(texts: list[str], size: int = SHINGLE) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -141,52 +143,111 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
             for ha, ca, hb, cb in zip(*(batch.column(n) for n in ("ha", "ca", "hb", "cb"))):
                 x = np.frombuffer(ha.as_buffer(), "<u8"), np.frombuffer(ca.as_buffer(), "<u4")
                 y = np.frombuffer(hb.as_buffer(), "<u8"), np.frombuffer(cb.as_buffer(), "<u4")
-                keep.append(probability_jaccard(x, y) >= threshold)
+                keep.append(probability_jaccard(x, y) >= threshold - ROUNDING)
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return map_arrow(both, run, "a bigint, b bigint", rows=200)
 
 
-def classes(rows: DataFrame, threshold: float = 0.8, pivots: int = 6) -> DataFrame:
+def similar_pairs(x: list[tuple], y: list[tuple], apart: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of two short lists of weighted sets that reach the threshold, where ``apart`` holds.
+
+    Products of incidence matrices give the shared shingles of all pairs. For sets without weights that is the similarity. Else a pair
+    can only reach the threshold if both have that share of their weight on shared shingles; those are computed one by one.
+    """
+    sets = [*x, *y]
+    sizes = np.array([len(h) for h, _ in sets])
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    weight = np.concatenate([c / c.sum() for _, c in sets])
+    _, column, times = np.unique(np.concatenate([h for h, _ in sets]), return_inverse=True, return_counts=True)
+    shared = times > 1
+    number = np.cumsum(shared) - 1
+    keep = shared[column]
+    owner, column, weight = owner[keep], number[column[keep]], weight[keep]
+    order = np.argsort(column, kind="stable")
+    owner, column, weight = owner[order], column[order], weight[order]
+    flat = np.array([bool((c == c[0]).all()) for _, c in sets])
+    n, weighted = len(x), not flat.all()
+    both, mass_x, mass_y = (np.zeros((n, len(y))) for _ in range(3))
+    for first in range(0, int(shared.sum()), COLUMNS):
+        a, b = np.searchsorted(column, (first, first + COLUMNS))
+        there = np.zeros((len(sets), COLUMNS), np.float32)
+        there[owner[a:b], column[a:b] - first] = 1
+        both += there[:n] @ there[n:].T
+        if weighted:
+            heavy = np.zeros((len(sets), COLUMNS))
+            heavy[owner[a:b], column[a:b] - first] = weight[a:b]
+            mass_x += heavy[:n] @ there[n:].T
+            mass_y += there[:n] @ heavy[n:].T
+    plain = flat[:n, None] & flat[n:]
+    hit = apart & plain & (both / (sizes[:n, None] + sizes[n:] - both) >= threshold - ROUNDING)
+    for i, j in zip(*np.nonzero(apart & ~plain & (np.minimum(mass_x, mass_y) >= threshold - 1e-6))):
+        hit[i, j] = probability_jaccard(x[i], y[j]) >= threshold - ROUNDING
+    return np.nonzero(hit)
+
+
+def links_in_families(members: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) that join different classes among ``members`` (family, rep, class).
+
+    A family's largest class needs no comparison within itself. Its other members meet each other and that class in tiles of
+    ``TILE`` by ``TILE`` texts; a tile gives back a forest of its links, at most a row per text.
+    """
+    sizes = members.groupBy("family", "class").agg(F.count(F.lit(1)).alias("n"))
+    largest = sizes.groupBy("family").agg(F.max_by("class", F.struct("n", -F.col("class"))).alias("main"), F.max("n").alias("n_main"), F.sum("n").alias("n_all"))
+    placed = members.join(largest, "family").withColumn("in_main", F.col("class") == F.col("main"))
+    few, many = F.ceil((F.col("n_all") - F.col("n_main")) / TILE).cast("int"), F.ceil(F.col("n_main") / TILE).cast("int")
+    own = F.pmod(F.xxhash64("rep"), F.when(F.col("in_main"), many).otherwise(few)).cast("int")
+    # Blocks of the other members are 0, 1, ...; those of the main class are -1, -2, ...
+    block = F.when(F.col("in_main"), -1 - own).otherwise(own)
+    others = F.sequence(F.lit(0), few - 1)
+    meets = F.when(F.col("in_main"), others).otherwise(F.concat(others, F.sequence(-many, F.lit(-1))))
+    dealt = placed.where(few > 0).select("family", "rep", "class", block.alias("own"), F.explode(meets).alias("other"))
+    tiles = dealt.select("family", F.least("own", "other").alias("ti"), F.greatest("own", "other").alias("tj"), (F.col("own") > F.col("other")).alias("right"), "rep", "class")
+
+    def tile(t: pa.Table) -> pa.Table:
+        rep, kind, right = t["rep"].to_numpy(), t["class"].to_numpy(), np.asarray(t["right"])
+        one = t["ti"][0].as_py() == t["tj"][0].as_py()
+        a = np.flatnonzero(~right)
+        b = a if one else np.flatnonzero(right)
+        if not len(a) or not len(b):
+            return pa.table({"a": rep[:0], "b": rep[:0]})
+        found = [(np.frombuffer(h.as_buffer(), "<u8"), np.frombuffer(c.as_buffer(), "<u4")) for h, c in zip(t["hashes"], t["counts"])]
+        apart = kind[a][:, None] != kind[b]
+        i, j = similar_pairs([found[k] for k in a], [found[k] for k in b], apart, threshold)
+        root = forest(len(rep), a[i], b[j])
+        held = np.flatnonzero(root != np.arange(len(rep)))
+        return pa.table({"a": rep[held], "b": rep[root[held]]})
+
+    with_sets = tiles.join(sets.withColumnRenamed("id", "rep"), "rep")
+    return with_sets.groupBy("family", "ti", "tj").applyInArrow(tile, "a bigint, b bigint")
+
+
+def classes(rows: DataFrame, threshold: float = 0.8) -> DataFrame:
     """(id, class_id) for the rows of (id, text): the smallest id reachable over pairs with probability Jaccard >= ``threshold``.
 
     A text without a word (NULL, empty, white space) is a class of its own; so is a row with a NULL id, whose class is NULL.
-    Rows with equal ids count as one. Each pair that a bucket proposes is either verified or already in one class, whatever
-    the bucket's size; ``pivots`` only bounds the rounds in which pivots are drawn before the rest is paired.
+    Rows with equal ids count as one. Each pair that a bucket proposes is compared or already in one class, whatever the bucket's size.
     """
     sketches = materialize(sketch(rows.where("id IS NOT NULL")), "sketches")
     folded = sketches.groupBy("d1", "d2").agg(F.min("id").alias("rep"), F.min("keys").alias("keys"))
     # Only buckets that hold two texts or more matter.
     buckets = folded.select("rep", F.explode("keys").alias("key"))
-    full = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    members = materialize(buckets.join(full, "key", "left_semi"), "buckets")
+    full = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("pivot")).where("n > 1").select("key", "pivot")
+    members = materialize(buckets.join(full, "key"), "buckets")
     ids = members.select(F.col("rep").alias("id")).distinct()
     sets = materialize(weighted_sets(rows.join(ids, "id", "left_semi").dropDuplicates(["id"])), "sets")
-    links = classed = tested = None
-    for turn in range(pivots):
-        placed = members.withColumn("class", F.col("rep")) if classed is None else members.join(classed, "rep", "left").withColumn("class", F.coalesce("class", "rep"))
-        if turn:
-            crossing = placed.groupBy("key", "class").agg(F.count(F.lit(1)).cast("double").alias("n")).groupBy("key")
-            open_pairs, texts = crossing.agg((F.sum("n") ** 2 - F.sum(F.col("n") ** 2)).alias("open")).agg(F.sum("open") / 2, F.count(F.lit(1))).first()
-            if (open_pairs or 0) <= 2 * (texts or 0):
-                break
-        order = F.xxhash64("rep", F.lit(turn)) if turn else F.col("rep")
-        pivot = placed.groupBy("key").agg(F.min_by(F.struct("rep", "class"), order).alias("pivot"))
-        meet = placed.join(pivot, "key").where("class <> pivot.class").select(F.greatest("rep", "pivot.rep").alias("a"), F.least("rep", "pivot.rep").alias("b")).distinct()
-        if tested is not None:
-            meet = meet.join(tested, ["a", "b"], "left_anti")
-        meet = materialize(meet, "pairs")
-        found = materialize(verified(meet, sets, threshold), "near-links")
-        tested = meet if tested is None else tested.unionByName(meet)
-        links = found if links is None else links.unionByName(found)
-        classed = components(links).toDF("rep", "class")
+    # First every member meets the pivot of its buckets, which settles most: copies of one text share a pivot.
+    meet = members.where("rep <> pivot").select(F.col("rep").alias("a"), F.col("pivot").alias("b")).distinct()
+    links = materialize(verified(meet, sets, threshold), "near-links")
+    classed = components(links).toDF("rep", "class")
+    # Buckets that still hold several classes hang together in families; there everything is compared that is not in one class.
     placed = members.join(classed, "rep", "left").withColumn("class", F.coalesce("class", "rep"))
     several = placed.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("key")
-    rest = placed.join(several, "key", "left_semi")
-    left, right = rest.toDF("key", "a", "class_a"), rest.toDF("key", "b", "class_b")
-    meet = left.join(right, "key").where("a > b AND class_a <> class_b").select("a", "b").distinct().join(tested, ["a", "b"], "left_anti")
-    links = materialize(links.unionByName(verified(meet, sets, threshold)), "near-links")
-    final = components(links).toDF("rep", "class")
+    open_ = materialize(placed.join(several, "key", "left_semi").select("rep", "pivot", "class"), "open-members")
+    families = components(open_.select(F.col("rep").alias("a"), F.col("pivot").alias("b"))).toDF("rep", "family")
+    apart = open_.select("rep", "class").distinct().join(families, "rep")
+    more = materialize(links_in_families(apart, sets, threshold), "near-links")
+    final = components(links.unionByName(more)).toDF("rep", "class")
     reps = sketches.join(folded.select("d1", "d2", "rep"), ["d1", "d2"]).select("id", "rep").join(final, "rep", "left").select("id", F.coalesce("class", "rep").alias("class_id"))
     once = reps.groupBy("id").agg(F.min("class_id").alias("class_id"))
     return rows.select("id").join(once, "id", "left").select("id", F.coalesce("class_id", "id").alias("class_id"))

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sunledger.llm.graph import components
+from sunledger.llm.graph import components, forest
 from sunledger.session import materialize
 
 BLOCK_ROWS = 2048
@@ -61,22 +61,6 @@ def linked_pairs(x: np.ndarray, y: np.ndarray, threshold: float, chunk: int = 10
     return i[keep], j[keep]
 
 
-def forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """For each of n nodes the smallest node of its component."""
-    root = np.arange(n)
-    while True:
-        low = np.minimum(root[i], root[j])
-        new = root.copy()
-        np.minimum.at(new, root[i], low)
-        np.minimum.at(new, root[j], low)
-        while not np.array_equal(new, new[new]):
-            new = new[new]
-        new = new[root]
-        if np.array_equal(new, root):
-            return root
-        root = new
-
-
 def near_duplicates(vectors: DataFrame, threshold: float = 0.98, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Per row of (vec_id, embedding, label): vec_id, n_links (other rows with the same label and cosine >= threshold),
     component_id (smallest vec_id reachable by links), kept (vec_id = component_id).

@@ -199,3 +199,23 @@ def test_classes_of_odd_rows(nasty, empty):
     by_id = dict(got)
     assert by_id[5] == 4 and by_id[7] == 6 and by_id[0] == 0 and by_id[1] == 1 and by_id[2] == 2
     assert minhash.classes(empty.select(F.col("doc_id").alias("id"), "text")).count() == 0
+
+
+def test_families_are_compared_in_tiles(spark, monkeypatch):
+    # Many texts around one text that is not among them: few pairs reach the threshold, and all share buckets.
+    monkeypatch.setattr(minhash, "TILE", 7)
+    monkeypatch.setattr(minhash, "COLUMNS", 50)
+    random_ = random.Random(9)
+    words = [f"w{i}" for i in range(120)]
+    texts = []
+    for i in range(90):
+        changed = list(words)
+        for _ in range(random_.choice([1, 2, 3])):
+            changed[random_.randrange(120)] = f"x{random_.randrange(10**6)}"
+        texts.append(" ".join(changed + (words[:20] if i % 9 == 0 else [])))
+    got = {r["id"]: r["class_id"] for r in minhash.classes(spark.createDataFrame(list(enumerate(texts)), "id bigint, text string")).collect()}
+    assert [got[i] for i in range(len(texts))] == brute_classes(texts)
+    sets = minhash.shingles(texts)
+    i, j = minhash.similar_pairs(sets, sets, np.ones((len(sets), len(sets)), bool), 0.8)
+    want = {(a, b) for a in range(len(sets)) for b in range(len(sets)) if minhash.probability_jaccard(sets[a], sets[b]) >= 0.8 - 1e-12}
+    assert set(zip(i.tolist(), j.tolist())) == want

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sunledger.llm import vectors
+from sunledger.llm import graph, vectors
 
 SCHEMA = "vec_id bigint, embedding array<float>, label int, score string, rep string, dim string"
 
@@ -73,7 +73,7 @@ def test_bound_holds_for_every_pair():
 
 def test_forest():
     i, j = np.array([1, 2, 8, 5, 9]), np.array([2, 3, 9, 5, 4])
-    assert vectors.forest(10, i, j).tolist() == [0, 1, 1, 1, 4, 5, 6, 7, 4, 4]
+    assert graph.forest(10, i, j).tolist() == [0, 1, 1, 1, 4, 5, 6, 7, 4, 4]
 
 
 @pytest.mark.parametrize("blocks", [(3, 11), (1024, 4096)])
