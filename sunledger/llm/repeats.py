@@ -4,14 +4,16 @@
    have the same anchor at the same offset. Neighbouring windows with one anchor form a run.
 2. Anchors that stand once are done. Runs of the others fold by their text: a run whose whole text stands twice is a repeat.
 3. Different runs of one anchor are the edges of repeats. They are dealt to shards by anchor (and by the anchor's offset, if an
-   anchor has very many), and each shard sorts its suffixes by external induced sorting (``suffixes``), whatever its size. A
-   suffix that shares ``size`` bytes with a neighbour is a repeat.
+   anchor has very many). Within a shard, windows go whose common middle stands only once; the suffixes of the rest are
+   sorted by external induced sorting (``suffixes``), whatever the shard's size. A suffix that shares ``size`` bytes with a
+   neighbour is a repeat.
 
 Only hashes, run edges and their text are shuffled. A text in a third of all rows is one folded run, not a group.
 """
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,13 +22,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from sunledger.llm.common import BASE, INVERSE, _grown, map_arrow, mix64
+from sunledger.llm.common import BASE, GOLD, INVERSE, _grown, distinct_sorted, map_arrow, mix64, span_hashes
 from sunledger.llm.suffixes import Scratch, suffix_array
 from sunledger.session import materialize
 
 ANCHOR = 96
 STEP_BYTES = 1 << 20
 SHARD_BYTES = 12 << 20
+CELL = 16  # windows with neighbouring offsets that are judged by their common middle
 CROWD = 512  # different runs of one anchor that share a shard, before they are split by offset
 RUNS = "anchor bigint, h1 bigint, h2 bigint, rid bigint, first bigint, n int, offset int"
 
@@ -107,34 +110,74 @@ def find_runs(rows: DataFrame, size: int) -> DataFrame:
     return map_arrow(rows, run, RUNS)
 
 
+def promising(texts: np.ndarray, begin: np.ndarray, anchor: np.ndarray, n: np.ndarray, offset: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(piece, first window, windows) of the parts of pieces that may stand elsewhere.
+
+    The windows of a piece whose anchor lies ``CELL`` * j to ``CELL`` * (j + 1) - 1 bytes behind their start all hold the same
+    size - CELL + 1 bytes around it. Two windows can only be equal if these are; they are compared by hash, a group of the shard's text at a time.
+    """
+    low, high = (offset - n + 1) // CELL, offset // CELL
+    cells = (high - low + 1).astype(np.int64)
+    piece = np.repeat(np.arange(len(n)), cells)
+    cell = low[piece] + np.arange(len(piece)) - np.repeat(np.cumsum(cells) - cells, cells)
+    start = begin[piece] + offset[piece] - cell * CELL
+    hashes = np.zeros(len(piece), np.uint64)
+    ends, at = np.r_[begin[1:], len(texts)], 0
+    while at < len(n):  # pieces of about STEP_BYTES together
+        to = max(at + 1, int(np.searchsorted(begin, begin[at] + STEP_BYTES)))
+        a, b = np.searchsorted(piece, (at, to))
+        some = np.asarray(texts[begin[at] : ends[to - 1]])
+        inner = start[a:b] - begin[at]
+        hashes[a:b] = span_hashes(some, inner, inner + size - CELL + 1)
+        at = to
+    key = mix64(hashes ^ mix64(anchor[piece].view(np.uint64) + cell.astype(np.uint64) * GOLD))
+    order = np.argsort(key, kind="stable")
+    first, runs = distinct_sorted(key[order])
+    again = np.zeros(len(piece), bool)
+    again[order[np.repeat(runs > 1, runs)]] = True
+    held = np.flatnonzero(again)
+    new = np.flatnonzero(np.r_[True, (np.diff(held) != 1) | (np.diff(piece[held]) != 0)]) if len(held) else held
+    last = np.r_[new[1:], len(held)] - 1
+    p = piece[held[new]]
+    # Windows with larger offsets of the anchor begin earlier.
+    from_, to_ = offset[p] - (cell[held[last]] + 1) * CELL + 1, offset[p] - cell[held[new]] * CELL
+    from_, to_ = np.maximum(from_, 0), np.minimum(to_, n[p] - 1)
+    return p, from_, to_ - from_ + 1
+
+
 def repeated_in_shard(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     """Windows of the pieces of one shard that stand in another piece, or elsewhere in the same."""
     with Scratch() as scratch:
-        import os
-
-        path = os.path.join(scratch.folder.name, "text")
-        rids, firsts, counts, begins, at = [], [], [], [], 0
-        with open(path, "wb") as out:
+        columns: dict[str, list] = {c: [] for c in ("anchor", "rid", "first", "n", "offset")}
+        sizes, raw, path = [], os.path.join(scratch.folder.name, "raw"), os.path.join(scratch.folder.name, "text")
+        with open(raw, "wb") as out:
             for batch in batches:
                 data, offsets = byte_column(batch.column("bytes"))
-                for a, b in zip(offsets[:-1], offsets[1:]):
-                    out.write((data[a:b].astype(np.uint16) + 2).tobytes())
-                    out.write(b"\x01\x00")  # a separator, smaller than every byte
-                    begins.append(at)
-                    at += int(b - a) + 1
-                rids.append(batch.column("rid").to_numpy())
-                firsts.append(batch.column("first").to_numpy())
-                counts.append(batch.column("n").to_numpy())
-            out.write(b"\x00\x00")
-        if not begins:
+                out.write(data[offsets[0] : offsets[-1]])
+                sizes.append(np.diff(offsets))
+                for c, held in columns.items():
+                    held.append(batch.column(c).to_numpy().astype(np.int64))
+        if not sizes or not sum(s.sum() for s in sizes):
+            return
+        whole = {c: np.concatenate(held) for c, held in columns.items()}
+        begin = np.r_[0, np.cumsum(np.concatenate(sizes))[:-1]]
+        texts = np.memmap(raw, np.uint8, "r")
+        piece, from_, n = promising(texts, begin, whole["anchor"], whole["n"], whole["offset"], size)
+        if not len(piece):
             return
+        with open(path, "wb") as out:
+            for a, b in zip((begin[piece] + from_).tolist(), (begin[piece] + from_ + n + size - 1).tolist()):
+                out.write((texts[a:b].astype(np.uint16) + 2).tobytes())
+                out.write(b"\x01\x00")  # a separator, smaller than every byte
+            out.write(b"\x00\x00")
+        rid, first = whole["rid"][piece], whole["first"][piece] + from_
+        begin = np.r_[0, np.cumsum(n + size)[:-1]]
         text = np.memmap(path, np.uint16, "r")
         order, prefix = suffix_array(text, 258, scratch, cap=size)
         hit = np.flatnonzero(prefix[1:] >= size) + 1
         marked = np.zeros(len(text) + 1, bool)
         marked[order[hit]] = True
         marked[order[hit - 1]] = True
-        rid, first, n, begin = np.concatenate(rids), np.concatenate(firsts), np.concatenate(counts), np.array(begins)
         # Two rows of pieces may be equal beyond a separator; only whole windows of one piece count.
         inside = np.zeros(len(marked), np.int8)
         inside[begin] = 1
@@ -164,24 +207,27 @@ def repeated_spans(rows: DataFrame, size: int) -> DataFrame:
     pieces = texts.join(several, "anchor").select("anchor", "one.*", parts.alias("parts")).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     low, high = F.ceil(F.col("part") * width / F.col("parts")), F.ceil((F.col("part") + 1) * width / F.col("parts")) - 1
     begin, end = F.greatest(F.lit(0), F.col("offset") - high).cast("int"), F.least(F.col("n") - 1, F.col("offset") - low).cast("int")
-    pieces = pieces.select("anchor", "part", "rid", (F.col("first") + begin).alias("first"), (end - begin + 1).alias("n")).where("n > 0")
-    cuts = pieces.groupBy("rid").agg(F.collect_list(F.struct("anchor", "part", "first", "n")).alias("cuts"), F.sum(F.col("n") + size - 1).alias("size"))
+    pieces = pieces.select(
+        "anchor", "part", "rid", (F.col("first") + begin).alias("first"), (end - begin + 1).alias("n"), (F.col("offset") - begin).alias("offset")
+    ).where("n > 0")
+    cuts = pieces.groupBy("rid").agg(F.collect_list(F.struct("anchor", "part", "first", "n", "offset")).alias("cuts"), F.sum(F.col("n") + size - 1).alias("size"))
     cuts = materialize(cuts, "cuts")  # a document has at most as many as it has windows
     total = cuts.agg(F.sum("size")).first()[0] or 0
 
     def cut(batches):
         for batch in batches:
             data, offsets = byte_column(batch.column("bytes"))
-            out = [[], [], [], [], [], []]
+            out: list[list] = [[] for _ in range(7)]
             for i, (rid, found) in enumerate(zip(batch.column("rid").to_pylist(), batch.column("cuts").to_pylist())):
                 for c in found:
                     a = offsets[i] + c["first"]
-                    for column, value in zip(out, (c["anchor"], c["part"], rid, c["first"], c["n"], data[a : a + c["n"] + size - 1].tobytes())):
+                    for column, value in zip(out, (c["anchor"], c["part"], rid, c["first"], c["n"], c["offset"], data[a : a + c["n"] + size - 1].tobytes())):
                         column.append(value)
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=["anchor", "part", "rid", "first", "n", "bytes"])
+            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+            names = ["anchor", "part", "rid", "first", "n", "offset", "bytes"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=names)
 
-    cut_rows = map_arrow(rows.join(cuts.select("rid", "cuts"), "rid").select("rid", "bytes", "cuts"), cut, "anchor bigint, part int, rid bigint, first bigint, n int, bytes binary", rows=200)
+    cut_rows = map_arrow(rows.join(cuts.select("rid", "cuts"), "rid").select("rid", "bytes", "cuts"), cut, "anchor bigint, part int, rid bigint, first bigint, n int, offset int, bytes binary", rows=200)
     dealt = cut_rows.repartition(max(1, -(-total // SHARD_BYTES)), "anchor", "part")
     edges = dealt.mapInArrow(lambda b: repeated_in_shard(b, size), "rid bigint, start bigint, end bigint")
     return materialize(whole.unionByName(edges), "spans")
