@@ -2,7 +2,7 @@
 
 A file set is a Parquet table written by Spark, one row per segment of whole documents in ascending doc_id order:
 ``part`` and ``segment`` (their place), ``first`` (ids of the part before the segment), ``doc_ids`` and ``doc_lengths`` (the
-directory), ``payload`` (blocks of 1,024 ids) and ``block_index`` (byte start of each block). A block holds its
+directory), ``payload`` (blocks of 4,096 ids) and ``block_index`` (byte start of each block). A block holds its
 minimum, the packing width that covers the chosen percentile of the differences, the packed low bits, and for the
 outliers their places and high bits. ``read_ids`` decodes whole documents, ``decode_blocks`` any range of blocks.
 """
@@ -21,7 +21,7 @@ from sunledger.llm.common import map_arrow, text_steps
 from sunledger.llm.tokens import library_encoder
 from sunledger.session import shared_dir
 
-BLOCK = 1024
+BLOCK = 4096
 PERCENTILE = 90
 SEGMENT_IDS = 65_536
 HEAD = struct.Struct("<IHBH")  # minimum, ids, width, outliers
