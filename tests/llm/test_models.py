@@ -133,7 +133,7 @@ def test_quality_of_odd_rows(nasty, empty, spark):
     got = quality.score(docs, quality.train(docs, labels, F.lit(True))).collect()
     assert len(got) == nasty.count() and all(0 <= r["score"] <= 1 for r in got)
     one_sided = quality.train(docs, labels.where("quality = 1"), F.lit(True))
-    assert {round(r["score"], 3) for r in quality.score(docs, one_sided).collect()} == {round(8 / 9, 3)}
+    assert {round(r["score"], 3) for r in quality.score(docs, one_sided).collect()} == {round(7 / 8, 3)}
     assert {r["score"] for r in quality.score(docs, quality.train(docs, labels.limit(0), F.lit(True))).collect()} == {0.5}
     assert quality.score(empty.drop("score"), one_sided).count() == 0
     with pytest.raises(ValueError):
