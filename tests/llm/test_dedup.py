@@ -183,7 +183,7 @@ def test_a_crowd_of_near_copies_is_one_class(spark):
     random_ = random.Random(8)
     words = [f"w{i}" for i in range(150)]
     texts = []
-    for _ in range(150):
+    for _ in range(60):
         changed = list(words)
         for _ in range(2):
             changed[random_.randrange(150)] = f"x{random_.randrange(10**6)}"
@@ -208,7 +208,7 @@ def test_families_are_compared_in_tiles(spark, monkeypatch):
     random_ = random.Random(9)
     words = [f"w{i}" for i in range(120)]
     texts = []
-    for i in range(90):
+    for i in range(45):
         changed = list(words)
         for _ in range(random_.choice([1, 2, 3])):
             changed[random_.randrange(120)] = f"x{random_.randrange(10**6)}"
