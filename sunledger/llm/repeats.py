@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, LongType, StructField, StructType
+from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from sunledger.llm.common import BASE, GOLD, INVERSE, _grown, distinct_sorted, map_arrow, mix64, span_hashes
 from sunledger.llm.suffixes import Scratch, suffix_array
@@ -247,9 +247,11 @@ def merged(spans: list[dict] | None) -> tuple[np.ndarray, np.ndarray]:
 RESULT = [StructField("__n_bytes", LongType()), StructField("__n_removed", LongType()), StructField("__n_spans", LongType()), StructField("__kept", BinaryType())]
 
 
-def remove_repeats(docs: DataFrame, size: int = 400) -> DataFrame:
+def remove_repeats(docs: DataFrame, size: int = 400, as_text: bool = False) -> DataFrame:
     """``docs`` with ``__n_bytes``, ``__n_removed``, ``__n_spans`` (maximal removed ranges) and ``__kept`` (remaining bytes).
 
+    With ``as_text`` the remaining bytes come as ``__text`` instead: a cut may split a character, whose other bytes are then left out.
+
     A byte of the column text, as UTF-8, goes if a string of ``size`` bytes that covers it also starts anywhere else, in
     another row or in the same text, judged on the input. Repeated rows are rows of their own, so their texts repeat each other. A
     NULL or empty text, or one shorter than ``size``, keeps all it has. All other columns pass through unread.
@@ -265,16 +267,19 @@ def remove_repeats(docs: DataFrame, size: int = 400) -> DataFrame:
     def run(batches):
         for batch in batches:
             data, offsets = byte_column(batch.column("__bytes"))
-            out = [[], [], [], []]
+            out: list[list] = [[] for _ in RESULT]
             for i, spans in enumerate(batch.column("__spans").to_pylist()):
                 own = data[offsets[i] : offsets[i + 1]]
                 a, b = merged(spans)
                 keep = np.ones(len(own), bool)
                 for s, e in zip(a.tolist(), b.tolist()):
                     keep[s:e] = False
-                for column, value in zip(out, (len(own), int((b - a).sum()), len(a), own[keep].tobytes() if len(a) else own.tobytes())):
+                rest = own[keep].tobytes() if len(a) else own.tobytes()
+                for column, value in zip(out, (len(own), int((b - a).sum()), len(a), rest.decode("utf-8", "ignore") if as_text else rest)):
                     column.append(value)
-            kinds = [pa.int64()] * 3 + [pa.binary()]
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), *(pa.array(c, k) for c, k in zip(out, kinds))], names=[*names, *(f.name for f in RESULT)])
+            kinds = [pa.int64()] * 3 + [pa.string() if as_text else pa.binary()]
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), *(pa.array(c, k) for c, k in zip(out, kinds))], names=[*names, *made])
 
-    return map_arrow(joined.select(*names, "__spans", "__bytes"), run, StructType([*docs.schema.fields, *RESULT]), rows=500)
+    result = [*RESULT[:3], StructField("__text", StringType())] if as_text else RESULT
+    made = [f.name for f in result]
+    return map_arrow(joined.select(*names, "__spans", "__bytes"), run, StructType([*docs.schema.fields, *result]), rows=500)

@@ -67,3 +67,8 @@ def test_cut_texts_stay_text(spark):
     docs = spark.createDataFrame([(1, "x" + body), (2, "y" + body), (3, None)], "doc_id int, text string").coalesce(1)
     rows = {r["doc_id"]: r["text"] for r in corpus_pipeline.repeated_passages(spark, docs, SF).collect()}
     assert rows == {1: "x", 2: "y", 3: None}
+    # These two characters end in the same byte, so the cut goes through them.
+    tail = "".join(f"{i}," for i in range(300))
+    docs = spark.createDataFrame([(1, "a\ufffdé" + tail), (2, "b©" + tail)], "doc_id int, text string").coalesce(1)
+    rows = {r["doc_id"]: r["text"] for r in corpus_pipeline.repeated_passages(spark, docs, SF).collect()}
+    assert rows == {1: "a\ufffd", 2: "b"}
