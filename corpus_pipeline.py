@@ -43,10 +43,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the byte strings of 400 and more that stand anywhere else too; half characters at a cut go as well."""
-    cut = repeats.remove_repeats(docs, size=400)
+    cut = repeats.remove_repeats(docs, size=400, as_text=True)
     changed = F.col("__n_removed") > 0
-    text = F.when(changed, F.regexp_replace(F.decode(F.col("__kept"), "utf-8"), "�", "")).otherwise(F.col("text"))
-    out = cut.withColumn("text", text)
+    out = cut.withColumn("text", F.when(changed, F.col("__text")).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(changed, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return out.select(*docs.columns)
