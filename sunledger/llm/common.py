@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-TEXT_BATCH_BYTES = 4_000_000  # working set of one numpy step; a longer text is a step of its own
+TEXT_BATCH_BYTES = 400_000  # characters of one numpy step; a longer text is a step of its own
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
