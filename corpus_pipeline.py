@@ -35,7 +35,8 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class: the one that is read first."""
-    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
+    # Written with its numbers, as another job may read the documents in other splits.
+    numbered = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
     found = minhash.classes(numbered.select(F.col("__row").alias("id"), "text"), threshold=0.8)
     gone = materialize(found.where("class_id <> id").select(F.col("id").alias("__row")), "near-duplicates")
     return numbered.join(gone, "__row", "left_anti").select(*docs.columns)

@@ -256,9 +256,9 @@ def remove_repeats(docs: DataFrame, size: int = 400, as_text: bool = False) -> D
     another row or in the same text, judged on the input. Repeated rows are rows of their own, so their texts repeat each other. A
     NULL or empty text, or one shorter than ``size``, keeps all it has. All other columns pass through unread.
 
-    Rows are numbered in the order they are read, so ``docs`` must be stable: a stored table, or rows that derive from one without a shuffle.
+    Rows are numbered once and written with their numbers, as another job may read ``docs`` in other splits.
     """
-    numbered = docs.withColumn("__rid", F.monotonically_increasing_id())
+    numbered = materialize(docs.withColumn("__rid", F.monotonically_increasing_id()), "numbered")
     rows = numbered.select(F.col("__rid").alias("rid"), F.col("text").cast("string").cast("binary").alias("bytes"))
     spans = repeated_spans(rows, size).groupBy("rid").agg(F.collect_list(F.struct("start", "end")).alias("__spans"))
     joined = numbered.join(spans.withColumnRenamed("rid", "__rid"), "__rid", "left").withColumn("__bytes", F.col("text").cast("string").cast("binary"))

@@ -80,6 +80,23 @@ def test_repeats_of_odd_rows(nasty, empty):
     assert repeats.remove_repeats(empty, 400).count() == 0
 
 
+def test_repeats_do_not_depend_on_the_splits_of_a_job(spark, tmp_path):
+    bodies = ["".join(random.Random(i % 3).choices("abcdefgh ", k=700)) for i in range(8)]
+    texts = [("x" * i) + b if i % 2 else f"{i}, a text of its own" for i, b in enumerate(bodies)]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").repartition(8, "doc_id").write.parquet(f"{tmp_path}/docs")
+    docs, key = spark.read.parquet(f"{tmp_path}/docs"), "spark.sql.files.minPartitionNum"
+    try:
+        spark.conf.set(key, "1")
+        cut = repeats.remove_repeats(docs, 400)
+        spark.conf.set(key, "64")
+        got = {r["doc_id"]: bytes(r["__kept"]) for r in cut.collect()}
+    finally:
+        spark.conf.unset(key)
+    masks = covered([t.encode() for t in texts], 400)
+    assert got == {i: np.frombuffer(t.encode(), np.uint8)[~m].tobytes() for i, (t, m) in enumerate(zip(texts, masks))}
+    assert any(m.any() for m in masks)
+
+
 def test_repeats_with_a_crowded_passage(spark, monkeypatch):
     monkeypatch.setattr(repeats, "CROWD", 5)
     monkeypatch.setattr(repeats, "STEP_BYTES", 1500)

@@ -62,6 +62,20 @@ def test_repeated_rows_leave_one(spark, nasty):
     assert left.count(0) == 1 and left.count(1) == 1 and left.count(2) == 1
 
 
+def test_near_duplicates_do_not_depend_on_the_splits_of_a_job(spark, tmp_path):
+    texts = [" ".join(f"w{i // 2 if i < 6 else i}x{j}" for j in range(40)) for i in range(10)]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").repartition(8, "doc_id").write.parquet(f"{tmp_path}/docs")
+    docs, key = spark.read.parquet(f"{tmp_path}/docs"), "spark.sql.files.minPartitionNum"
+    try:
+        spark.conf.set(key, "1")
+        left = corpus_pipeline.near_duplicates(spark, docs, SF)
+        spark.conf.set(key, "64")
+        ids = [r["doc_id"] for r in left.collect()]
+    finally:
+        spark.conf.unset(key)
+    assert len(ids) == 7 and {texts[i] for i in ids} == set(texts)
+
+
 def test_cut_texts_stay_text(spark):
     body = "é" * 600
     docs = spark.createDataFrame([(1, "x" + body), (2, "y" + body), (3, None)], "doc_id int, text string").coalesce(1)
