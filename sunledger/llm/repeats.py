@@ -3,12 +3,13 @@
 1. Every window of ``size`` bytes has an anchor, the least hash among its 96-byte strings (leftmost on ties), so equal windows
    have the same anchor at the same offset. Neighbouring windows with one anchor form a run.
 2. Anchors that stand once are done. Runs of the others fold by their text: a run whose whole text stands twice is a repeat.
-3. Different runs of one anchor are the edges of repeats. They are dealt to shards by anchor (and by the anchor's offset, if an
-   anchor has very many). Within a shard, windows go whose common middle stands only once; the suffixes of the rest are
-   sorted by external induced sorting (``suffixes``), whatever the shard's size. A suffix that shares ``size`` bytes with a
-   neighbour is a repeat.
+3. Different runs of one anchor are the edges of repeats. If an anchor has more than ``CROWD``, they are cut into parts by the
+   anchor's offset, and the parts fold by their text as the runs do; parts that still have as many texts are cut to single windows and fold again.
+4. One piece of each text that is left is dealt to a shard by anchor, part and common middle, at most ``CROWD`` to a group. Within a shard, windows
+   go whose common middle stands only once; the suffixes of the rest are sorted by external induced sorting (``suffixes``). A suffix
+   that shares ``size`` bytes with a neighbour is a repeat.
 
-Only hashes, run edges and their text are shuffled. A text in a third of all rows is one folded run, not a group.
+Only hashes, run edges and their text are shuffled. A text in a third of all rows is one folded run, and so are its edges, however the rows go on.
 """
 
 from __future__ import annotations
@@ -30,8 +31,10 @@ ANCHOR = 96
 STEP_BYTES = 1 << 20
 SHARD_BYTES = 12 << 20
 CELL = 16  # windows with neighbouring offsets that are judged by their common middle
-CROWD = 512  # different runs of one anchor that share a shard, before they are split by offset
+CROWD = 512  # different runs of one anchor, or texts of one part of it, that share a shard; more are split by offset and folded
 RUNS = "anchor bigint, h1 bigint, h2 bigint, rid bigint, first bigint, n int, offset int"
+PIECE = ["anchor", "low", "middle", "rid", "first", "n", "offset"]
+PIECES = "anchor bigint, low int, middle bigint, rid bigint, first bigint, n int, offset int"
 
 _RANDOM = np.random.default_rng(2024).integers(1, 2**63, (2, 256), dtype=np.uint64) | np.uint64(1)
 PLACE = np.uint64((1 << 24) - 1)
@@ -190,6 +193,78 @@ def repeated_in_shard(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[
         yield pa.RecordBatch.from_arrays([pa.array(rid[piece]), pa.array(first[piece] + start), pa.array(first[piece] + end + size - 1)], names=["rid", "start", "end"])
 
 
+def windows_between(pieces: DataFrame) -> DataFrame:
+    """The windows of the pieces whose anchor lies ``low`` to ``high`` bytes behind their start."""
+    begin, end = F.greatest(F.lit(0), F.col("offset") - F.col("high")).cast("int"), F.least(F.col("n") - 1, F.col("offset") - F.col("low")).cast("int")
+    return pieces.select(
+        "anchor", "low", "high", "rid", (F.col("first") + begin).alias("first"), (end - begin + 1).alias("n"), (F.col("offset") - begin).alias("offset")
+    ).where("n > 0")
+
+
+def cuts_of(pieces: DataFrame, size: int) -> DataFrame:
+    """Pieces by document, which has at most as many as it has windows."""
+    names = [c for c in pieces.columns if c != "rid"]
+    return pieces.groupBy("rid").agg(F.collect_list(F.struct(*names)).alias("cuts"), F.sum(F.col("n") + size - 1).alias("size"))
+
+
+def piece_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, inner: np.ndarray, inner_end: np.ndarray) -> np.ndarray:
+    """Two hashes of data[start:end] and one of data[inner:inner_end] within it, for many pieces."""
+    out = np.zeros((3, len(start)), np.int64)
+    order, at = np.argsort(start, kind="stable"), 0
+    begins = start[order]
+    while at < len(order):  # pieces that begin within STEP_BYTES
+        to = int(np.searchsorted(begins, begins[at] + STEP_BYTES, "right"))
+        here, base = order[at:to], begins[at]
+        some = data[base : end[here].max()]
+        with np.errstate(over="ignore"):
+            up, down = _grown("up", BASE, len(some)), _grown("down", INVERSE, len(some) + 1)
+            sums = np.zeros((2, len(some) + 1), np.uint64)
+            for s, random in zip(sums, _RANDOM):
+                np.cumsum(random[some] * up, out=s[1:])
+            for row, s, a, b in ((0, sums[0], start, end), (1, sums[1], start, end), (2, sums[0], inner, inner_end)):
+                x, y = a[here] - base, b[here] - base
+                out[row, here] = mix64((s[y] - s[x]) * down[x] + (y - x).astype(np.uint64)).view(np.int64)
+        at = to
+    return out
+
+
+def folded(rows: DataFrame, pieces: DataFrame, size: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(spans of pieces whose whole text stands twice, pieces to be sorted, pieces of parts with more than CROWD texts), with one piece for each text.
+
+    All windows of a part (anchor, ``low`` to ``high``) hold the same ``middle`` around the anchor. A text whose middle no other text of its part
+    holds is decided by its copies. Only hashes are shuffled.
+    """
+
+    def run(batches):
+        for batch in batches:
+            data, offsets = byte_column(batch.column("bytes"))
+            cuts = batch.column("cuts")
+            one = cuts.flatten()
+            c = {f: one.field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i, f in enumerate(("anchor", "low", "high", "first", "n", "offset"))}
+            which = np.repeat(np.arange(batch.num_rows), cuts.value_lengths().to_numpy())
+            start = offsets[which] + c["first"]
+            anchor = start + c["offset"]
+            h = piece_hashes(data, start, start + c["n"] + size - 1, anchor - c["low"], anchor - c["high"] + size)
+            columns = [c["anchor"], c["low"].astype(np.int32), h[2], batch.column("rid").to_numpy()[which], c["first"], c["n"].astype(np.int32), c["offset"].astype(np.int32), c["high"].astype(np.int32), h[0], h[1]]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=[*PIECE, "high", "h1", "h2"])
+
+    cuts = materialize(cuts_of(pieces, size).select("rid", "cuts"), "piece-cuts")
+    if cuts.isEmpty():  # without a crowd the texts are not read again
+        none = rows.sparkSession.createDataFrame([], PIECES + ", high int")
+        return none.selectExpr("rid", "first as start", "first as end"), none, none
+    hashed = map_arrow(rows.join(cuts, "rid").select("rid", "bytes", "cuts"), run, PIECES + ", high int, h1 bigint, h2 bigint", rows=200)
+    hashed = materialize(hashed, "piece-hashes")
+    part, text = ["anchor", "low", "middle"], ["anchor", "low", "middle", "n", "offset", "h1", "h2"]
+    texts = hashed.groupBy(*text, "high").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("rid", "first")).alias("one"))
+    texts = materialize(texts, "piece-texts")
+    again = hashed.join(texts.where("copies > 1").select(*text), text, "left_semi")
+    spans = again.select("rid", F.col("first").alias("start"), (F.col("first") + F.col("n") - 1 + size).alias("end"))
+    several = texts.groupBy(*part).agg(F.count(F.lit(1)).alias("v")).where("v > 1")
+    open_ = texts.join(several, part).select(*part, "one.*", "n", "offset", "high", "v")
+    more = (F.col("v") > CROWD) & (F.col("low") < F.col("high"))
+    return spans, open_.where(~more & (F.col("low") < F.col("high"))), open_.where(more)
+
+
 def repeated_spans(rows: DataFrame, size: int) -> DataFrame:
     """(rid, start, end): byte ranges of (rid, bytes) covered by windows that start anywhere else too; they may overlap."""
     runs = materialize(find_runs(rows, size), "runs")
@@ -200,37 +275,40 @@ def repeated_spans(rows: DataFrame, size: int) -> DataFrame:
     whole = runs.join(texts.where("copies > 1").select("anchor", "h1", "h2"), ["anchor", "h1", "h2"], "left_semi")
     whole = whole.select("rid", F.col("first").alias("start"), (F.col("first") + F.col("n") - 1 + size).alias("end"))
 
-    # Edges: anchors with several different runs. Equal windows have the anchor at one offset, so a crowd may be cut by offset.
+    # Edges: anchors with several different runs. Equal windows have the anchor at one offset, so a crowd is cut by offset.
     width = size - ANCHOR + 1
     several = texts.groupBy("anchor").agg(F.count(F.lit(1)).alias("v")).where("v > 1")
     parts = F.least(F.lit(width), F.ceil(F.col("v") / CROWD)).cast("int")
-    pieces = texts.join(several, "anchor").select("anchor", "one.*", parts.alias("parts")).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    pieces = texts.join(several, "anchor").select("anchor", "one.*", parts.alias("parts"))
+    few = pieces.where("parts = 1").select("anchor", F.lit(0).alias("low"), F.lit(0).cast("bigint").alias("middle"), "rid", "first", "n", "offset")
+    crowd = pieces.where("parts > 1").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     low, high = F.ceil(F.col("part") * width / F.col("parts")), F.ceil((F.col("part") + 1) * width / F.col("parts")) - 1
-    begin, end = F.greatest(F.lit(0), F.col("offset") - high).cast("int"), F.least(F.col("n") - 1, F.col("offset") - low).cast("int")
-    pieces = pieces.select(
-        "anchor", "part", "rid", (F.col("first") + begin).alias("first"), (end - begin + 1).alias("n"), (F.col("offset") - begin).alias("offset")
-    ).where("n > 0")
-    cuts = pieces.groupBy("rid").agg(F.collect_list(F.struct("anchor", "part", "first", "n", "offset")).alias("cuts"), F.sum(F.col("n") + size - 1).alias("size"))
-    cuts = materialize(cuts, "cuts")  # a document has at most as many as it has windows
+    crowd = windows_between(crowd.withColumns({"low": low.cast("int"), "high": high.cast("int")}))
+    crowd_spans, still, thronged = folded(rows, crowd, size)
+    # Parts with many different texts, as where a passage ends: single windows, which their hashes decide.
+    single = thronged.withColumn("low", F.explode(F.sequence(F.col("offset") - F.col("n") + 1, F.col("offset")))).withColumn("high", F.col("low"))
+    single_spans, _, _ = folded(rows, windows_between(single), size)
+
+    cuts = materialize(cuts_of(few.unionByName(still.select(*few.columns)), size), "cuts")
     total = cuts.agg(F.sum("size")).first()[0] or 0
 
     def cut(batches):
         for batch in batches:
             data, offsets = byte_column(batch.column("bytes"))
-            out: list[list] = [[] for _ in range(7)]
+            out: list[list] = [[] for _ in range(8)]
             for i, (rid, found) in enumerate(zip(batch.column("rid").to_pylist(), batch.column("cuts").to_pylist())):
                 for c in found:
                     a = offsets[i] + c["first"]
-                    for column, value in zip(out, (c["anchor"], c["part"], rid, c["first"], c["n"], c["offset"], data[a : a + c["n"] + size - 1].tobytes())):
+                    for column, value in zip(out, (c["anchor"], c["low"], c["middle"], rid, c["first"], c["n"], c["offset"], data[a : a + c["n"] + size - 1].tobytes())):
                         column.append(value)
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
-            names = ["anchor", "part", "rid", "first", "n", "offset", "bytes"]
+            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+            names = ["anchor", "low", "middle", "rid", "first", "n", "offset", "bytes"]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=names)
 
-    cut_rows = map_arrow(rows.join(cuts.select("rid", "cuts"), "rid").select("rid", "bytes", "cuts"), cut, "anchor bigint, part int, rid bigint, first bigint, n int, offset int, bytes binary", rows=200)
-    dealt = cut_rows.repartition(max(1, -(-total // SHARD_BYTES)), "anchor", "part")
+    cut_rows = map_arrow(rows.join(cuts.select("rid", "cuts"), "rid").select("rid", "bytes", "cuts"), cut, PIECES + ", bytes binary", rows=200)
+    dealt = cut_rows.repartition(max(1, -(-total // SHARD_BYTES)), "anchor", "low", "middle")
     edges = dealt.mapInArrow(lambda b: repeated_in_shard(b, size), "rid bigint, start bigint, end bigint")
-    return materialize(whole.unionByName(edges), "spans")
+    return materialize(whole.unionByName(crowd_spans).unionByName(single_spans).unionByName(edges), "spans")
 
 
 def merged(spans: list[dict] | None) -> tuple[np.ndarray, np.ndarray]:

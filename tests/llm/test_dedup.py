@@ -111,6 +111,26 @@ def test_repeats_with_a_crowded_passage(spark, monkeypatch):
     check_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").repartition(4, "doc_id").sortWithinPartitions("doc_id"), 400)
 
 
+def test_copies_of_a_passage_do_not_fill_a_shard(spark, monkeypatch):
+    # Every document goes on differently before and behind the passage, so none of its edge runs folds as a whole.
+    monkeypatch.setattr(repeats, "CROWD", 5)
+    counted, random_ = [], random.Random(12)
+    real = repeats.materialize
+
+    def watched(df, purpose):
+        out = real(df, purpose)
+        if purpose == "cuts":
+            counted.append(out.agg(F.sum("size")).first()[0] or 0)
+        return out
+
+    monkeypatch.setattr(repeats, "materialize", watched)
+    passage = "".join(random_.choices("abcdefgh ", k=900))
+    for copies in (40, 160):
+        texts = ["".join(random_.choices("ijklmnop ", k=150)) + passage + "".join(random_.choices("ijklmnop ", k=150)) for _ in range(copies)]
+        check_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").repartition(4, "doc_id").sortWithinPartitions("doc_id"), 400)
+    assert counted[1] <= counted[0] + 10_000
+
+
 def test_components(spark):
     random_ = random.Random(7)
     links = [(i, i + 1) for i in range(0, 60)] + [(1000, 1000 + i) for i in range(1, 300)] + [(random_.randrange(2000, 2400), random_.randrange(2000, 2400)) for _ in range(260)]
