@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from sunledger.llm.common import BASE, GOLD, INVERSE, _grown, distinct_sorted, map_arrow, mix64, span_hashes
-from sunledger.llm.suffixes import Scratch, suffix_array
+from sunledger.llm.suffixes import Scratch, blocks, suffix_array
 from sunledger.session import materialize
 
 ANCHOR = 96
@@ -177,16 +177,21 @@ def repeated_in_shard(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[
         begin = np.r_[0, np.cumsum(n + size)[:-1]]
         text = np.memmap(path, np.uint16, "r")
         order, prefix = suffix_array(text, 258, scratch, cap=size)
-        hit = np.flatnonzero(prefix[1:] >= size) + 1
-        marked = np.zeros(len(text) + 1, bool)
-        marked[order[hit]] = True
-        marked[order[hit - 1]] = True
+        marked, inside = scratch.array(len(text) + 1, bool, False), scratch.array(len(text) + 1, np.int8, 0)
+        for a, b in blocks(len(text) - 1):
+            hit = np.flatnonzero(prefix[a + 1 : b + 1] >= size) + a + 1
+            marked[order[hit]] = True
+            marked[order[hit - 1]] = True
         # Two rows of pieces may be equal beyond a separator; only whole windows of one piece count.
-        inside = np.zeros(len(marked), np.int8)
         inside[begin] = 1
         inside[begin + n] = -1
-        marked &= np.cumsum(inside, dtype=np.int8).astype(bool)
-        edges = np.flatnonzero(np.diff(np.r_[False, marked]))
+        depth, last, edges = 0, False, []
+        for a, b in blocks(len(marked)):
+            level = np.cumsum(inside[a:b], dtype=np.int8) + np.int8(depth)
+            held = marked[a:b] & (level > 0)
+            edges.append(np.flatnonzero(np.diff(np.r_[last, held])) + a)
+            depth, last = int(level[-1]), bool(held[-1])
+        edges = np.concatenate(edges)
         a, b = edges[::2], edges[1::2]
         piece = np.searchsorted(begin, a, "right") - 1
         start, end = a - begin[piece], b - begin[piece]  # windows [start, end) of the piece

@@ -6,13 +6,16 @@ leave a priority queue in ascending order and put the one that begins a place ea
 
 The queue lies on disk. Its key is (first symbol, order of arrival), so its order is known beforehand: each symbol has a run of
 slots, filled from one end. It is popped in blocks: as many tuples at once as none of them pushes into. All arrays longer than
-``MEMORY`` bytes are files of the scratch folder, so a text may be far larger than memory.
+``MEMORY`` bytes are files of the scratch folder and are read and written in blocks, so a text may be far larger than memory; only
+arrays over the symbols of the text itself (not of its strings of names) stay in memory. Prefixes of neighbouring S* suffixes are
+compared in the text, up to the cap, after the recursion has sorted them.
 """
 
 from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Callable, Iterator
 
 import numpy as np
 
@@ -45,13 +48,50 @@ class Scratch:
         return out
 
 
-def s_types(text: np.ndarray) -> np.ndarray:
+def blocks(n: int, backwards: bool = False) -> Iterator[tuple[int, int]]:
+    """Ranges of ``MOST_BLOCK`` places that cover ``n``."""
+    starts = range(0, n, MOST_BLOCK)
+    for a in reversed(starts) if backwards else starts:
+        yield a, min(a + MOST_BLOCK, n)
+
+
+def s_types(text: np.ndarray, scratch: Scratch) -> np.ndarray:
     """Whether each suffix is smaller than the next one; the last is, by definition."""
     n = len(text)
-    change = np.sign(np.diff(text.astype(np.int64)))
-    places = np.where(change != 0, np.arange(n - 1), n)
-    nearest = np.minimum.accumulate(places[::-1])[::-1] if n > 1 else places
-    return np.r_[np.r_[change, 1][np.minimum(nearest, n - 1)] > 0, True]
+    out = scratch.array(n, bool)
+    out[n - 1] = True
+    later = 1  # the sign of the next change behind the block
+    for a, b in blocks(n - 1, backwards=True):
+        change = np.sign(np.diff(text[a : b + 1].astype(np.int64)))
+        places = np.where(change != 0, np.arange(b - a), b - a)
+        change = np.r_[change, later][np.minimum.accumulate(places[::-1])[::-1]]
+        out[a:b] = change > 0
+        later = change[0]
+    return out
+
+
+def place_kind(n: int) -> type:
+    return np.int32 if n < 2**31 else np.int64
+
+
+def counts_of(text: np.ndarray, symbols: int, scratch: Scratch, is_s: np.ndarray | None = None) -> np.ndarray:
+    """How often each symbol stands in the text, or begins an L-type suffix."""
+    out = scratch.array(symbols, np.int64, 0)
+    for a, b in blocks(len(text)):
+        some = text[a:b] if is_s is None else text[a:b][~is_s[a:b]]
+        found, times = np.unique(some, return_counts=True)
+        out[found] += times
+    return out
+
+
+def added_up(counts: np.ndarray, scratch: Scratch) -> np.ndarray:
+    out, total = scratch.array(len(counts) + 1, np.int64), 0
+    out[0] = 0
+    for a, b in blocks(len(counts)):
+        np.cumsum(counts[a:b], out=out[a + 1 : b + 1])
+        out[a + 1 : b + 1] += total
+        total = int(out[b])
+    return out
 
 
 def ranks_in_groups(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -94,34 +134,74 @@ class RangeMinimum:
         return out
 
 
+class Gathered:
+    """values[places], a block at a time."""
+
+    def __init__(self, values: np.ndarray, places: np.ndarray):
+        self.values, self.places = values, places
+
+    def __len__(self) -> int:
+        return len(self.places)
+
+    def __getitem__(self, some: slice) -> np.ndarray:
+        return self.values[self.places[some]]
+
+
+def chosen(which: Callable[[int, int], np.ndarray], n: int, scratch: Scratch) -> np.ndarray:
+    """Places below ``n`` for which ``which(a, b)`` holds."""
+    out, at = scratch.array(sum(int(np.count_nonzero(which(a, b))) for a, b in blocks(n)), np.int64), 0
+    for a, b in blocks(n):
+        found = np.flatnonzero(which(a, b)) + a
+        out[at : at + len(found)] = found
+        at += len(found)
+    return out
+
+
 class InducedQueue:
     """The disk-backed queue of one string: its slots in the order of the suffixes, and the common prefix of each slot with the one before."""
 
     def __init__(self, text: np.ndarray, is_s: np.ndarray, symbols: int, scratch: Scratch, cap: int | None):
-        self.text, self.is_s, self.cap = text, is_s, cap
-        counts = np.bincount(text, minlength=symbols)
-        self.starts = np.r_[0, np.cumsum(counts)]
-        self.smaller = np.bincount(text[~is_s], minlength=symbols)  # L-type suffixes of a symbol stand first
-        self.slots = scratch.array(len(text), np.int32 if len(text) < 2**31 else np.int64, -1)
+        self.text, self.is_s, self.cap, self.scratch = text, is_s, cap, scratch
+        self.starts = added_up(counts_of(text, symbols, scratch), scratch)
+        self.smaller = counts_of(text, symbols, scratch, is_s)  # L-type suffixes of a symbol stand first
+        self.slots = scratch.array(len(text), place_kind(len(text)), -1)
         self.prefix = None
         if cap is not None:
             self.prefix = scratch.array(len(text), np.int16, FAR)
-            same = np.r_[text[1:] == text[:-1], False]
-            stop = np.minimum.accumulate(np.where(same, len(text), np.arange(len(text)))[::-1])[::-1]
-            self.run = np.minimum(stop - np.arange(len(text)) + 1, cap).astype(np.int16)  # how often the first symbol repeats
+            self.run = scratch.array(len(text), np.int16)  # how often the first symbol repeats
+            self.run[-1] = later = 1
+            for a, b in blocks(len(text) - 1, backwards=True):
+                same = text[a + 1 : b + 1] == text[a:b]
+                stop = np.minimum.accumulate(np.where(same, b - a, np.arange(b - a))[::-1])[::-1]
+                run = np.minimum(stop - np.arange(b - a) + np.where(stop < b - a, 1, later), cap)
+                self.run[a:b] = run
+                later = int(run[0])
 
     def seed(self, suffixes: np.ndarray, prefix: np.ndarray | None = None) -> None:
-        """Place sorted S* suffixes at the ends of their symbols; ``prefix`` is what each shares with the one before."""
-        symbols = self.text[suffixes]
-        _, first, rank = ranks_in_groups(symbols)
-        sizes = np.diff(np.r_[first, len(symbols)])
-        slot = self.starts[symbols.astype(np.int64) + 1] - np.repeat(sizes, sizes) + rank
-        self.slots[slot] = suffixes
+        """Place S* suffixes at the ends of their symbols, those of a symbol in the given order; ``prefix`` is what each shares with the one before."""
+        left = counts_of(Gathered(self.text, suffixes), len(self.smaller), self.scratch)
+        if self.prefix is not None:
+            held = chosen(lambda a, b: left[a:b] > 0, len(left), self.scratch)
+            firsts, befores = (self.scratch.array(len(held), np.int64) for _ in range(2))
+            for a, b in blocks(len(held)):
+                h = held[a:b]
+                firsts[a:b] = self.starts[h + 1] - left[h]
+                # The first of a symbol stands after an L-type suffix of that symbol, or after another symbol.
+                befores[a:b] = self.starts[h] + self.smaller[h] - 1
+            self.seams = firsts, befores
+        for a, b in blocks(len(suffixes)):
+            some = suffixes[a:b]
+            symbols = self.text[some].astype(np.int64)
+            order, first, rank = ranks_in_groups(symbols)
+            symbols = symbols[order]
+            slot = self.starts[symbols + 1] - left[symbols] + rank
+            self.slots[slot] = some[order]
+            if prefix is not None:
+                self.prefix[slot] = prefix[a:b][order]
+            left[symbols[first]] -= np.diff(np.r_[first, len(symbols)])
         if self.prefix is not None:
-            self.prefix[slot] = prefix
-            # The first of a symbol stands after an L-type suffix of that symbol, or after another symbol.
-            self.prefix[slot[first]] = 0
-            self.seams = slot[first], self.starts[symbols[first].astype(np.int64)] + self.smaller[symbols[first]] - 1
+            for a, b in blocks(len(firsts)):
+                self.prefix[firsts[a:b]] = 0
 
     def _seam(self, low: int, high: int) -> None:
         """Both sides of a seam begin with a run of its symbol, and go on with a smaller or a larger one."""
@@ -136,10 +216,13 @@ class InducedQueue:
     def induce(self, ascending: bool) -> None:
         """One pass: L-type suffixes in ascending order, or S-type in descending order."""
         n, sign = len(self.slots), 1 if ascending else -1
-        edge = self.starts[:-1].copy() if ascending else self.starts[1:] - 1
+        edge = self.scratch.array(len(self.starts) - 1, np.int64)
+        for a, b in blocks(len(edge)):
+            edge[a:b] = self.starts[a:b] if ascending else self.starts[a + 1 : b + 1] - 1
         if not ascending:
             self._clear()
         if self.prefix is not None:
+            # Only the text itself has prefixes, and its symbols are few.
             waiting = np.full(len(edge), FAR)  # per symbol, the least prefix met since its last push
             last_slot = np.full(len(edge), -1)
         at, size = (0 if ascending else n - 1), LEAST_BLOCK
@@ -212,30 +295,37 @@ class InducedQueue:
     def _clear(self) -> None:
         """Forget the seeds before the descending pass finds all S-type suffixes anew."""
         last = self.slots[0]
-        keep = np.repeat(self.starts[:-1] + self.smaller, np.diff(self.starts)) > np.arange(len(self.slots))
-        for a in range(0, len(self.slots), MOST_BLOCK):
-            b = a + MOST_BLOCK
-            self.slots[a:b][~keep[a:b]] = -1
+        for a, b in blocks(len(self.slots)):
+            places = np.arange(a, b)
+            symbol = np.searchsorted(self.starts, places, "right") - 1
+            drop = places >= self.starts[symbol] + self.smaller[symbol]
+            self.slots[a:b][drop] = -1
             if self.prefix is not None:
-                self.prefix[a:b][~keep[a:b]] = 0
+                self.prefix[a:b][drop] = 0
         self.slots[0] = last
         if self.prefix is not None:
             held = np.flatnonzero((np.diff(self.starts) > self.smaller) & (self.smaller > 0))
             self.seams = self.starts[held] + self.smaller[held], self.starts[held] + self.smaller[held] - 1
 
 
-def names_of(text: np.ndarray, ordered: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Rank of each of the ordered substrings text[p : end]; equal ones share it."""
-    length = ends - ordered
-    same = np.r_[False, length[1:] == length[:-1]]
-    pairs = np.flatnonzero(same)
-    offset = 0
-    while len(pairs):
-        equal = text[ordered[pairs] + offset] == text[ordered[pairs - 1] + offset]
-        same[pairs[~equal]] = False
-        offset += 1
-        pairs = pairs[equal & (offset < length[pairs])]
-    return np.cumsum(~same) - 1
+def names_of(text: np.ndarray, ordered: np.ndarray, end_of: Callable[[np.ndarray], np.ndarray], scratch: Scratch) -> np.ndarray:
+    """Rank of each of the ordered substrings text[p : end_of(p)]; equal ones share it."""
+    names, last = scratch.array(len(ordered), np.int32), 0
+    for a, b in blocks(len(ordered)):
+        some = ordered[max(a - 1, 0) : b].astype(np.int64)  # with the one before the block
+        length = end_of(some) - some
+        same = np.r_[False, length[1:] == length[:-1]]
+        pairs = np.flatnonzero(same)
+        offset = 0
+        while len(pairs):
+            equal = text[some[pairs] + offset] == text[some[pairs - 1] + offset]
+            same[pairs[~equal]] = False
+            offset += 1
+            pairs = pairs[equal & (offset < length[pairs])]
+        found = np.cumsum(~same) - 1 + last
+        names[a:b] = found[min(a, 1) :]
+        last = int(found[-1])
+    return names
 
 
 def common_prefix(text: np.ndarray, a: np.ndarray, b: np.ndarray, cap: int) -> np.ndarray:
@@ -259,31 +349,49 @@ def suffix_array(text: np.ndarray, symbols: int, scratch: Scratch, cap: int | No
     if cap is None and n <= SHORT:
         data = text.astype(">u4").tobytes()
         return np.array(sorted(range(n), key=lambda i: data[4 * i :])), None
-    is_s = s_types(text)
-    starred = np.flatnonzero(is_s[1:] & ~is_s[:-1]) + 1
+    is_s = s_types(text, scratch)
+    starred = chosen(lambda a, b: is_s[a:b] & ~np.r_[is_s[a - 1] if a else True, is_s[a : b - 1]], n, scratch)
     queue = InducedQueue(text, is_s, symbols, scratch, None)
     if n == 1:
         return np.zeros(1, np.int64), np.zeros(1, np.int16)
-    first = starred[np.argsort(text[starred], kind="stable")]
-    queue.seed(first)
+    queue.seed(starred)
     queue.induce(True)
     queue.induce(False)
-    is_starred = np.zeros(n, bool)
-    is_starred[starred] = True
-    ordered = queue.slots[is_starred[queue.slots]].astype(np.int64)
+    number = scratch.array(n, np.int32, -1)
+    for a, b in blocks(len(starred)):
+        number[starred[a:b]] = np.arange(a, b)
+    ordered, at = scratch.array(len(starred), place_kind(n)), 0
+    for a, b in blocks(n):
+        block = queue.slots[a:b]
+        found = block[number[block] >= 0]
+        ordered[at : at + len(found)] = found
+        at += len(found)
     del queue
     if len(starred) > 1:
-        number = np.full(n, -1, np.int32)
-        number[starred] = np.arange(len(starred))
-        following = np.r_[starred[1:] + 1, n]
-        names = names_of(text, ordered, following[number[ordered]])
+
+        def end_of(places: np.ndarray) -> np.ndarray:
+            following = number[places].astype(np.int64) + 1
+            return np.where(following < len(starred), starred[np.minimum(following, len(starred) - 1)] + 1, n)
+
+        names = names_of(text, ordered, end_of, scratch)
         if names[-1] + 1 < len(names):
             reduced = scratch.array(len(names), np.int32)
-            reduced[number[ordered]] = names
-            del number
-            ordered = starred[suffix_array(reduced, int(names[-1]) + 1, scratch)[0]]
+            for a, b in blocks(len(names)):
+                reduced[number[ordered[a:b]]] = names[a:b]
+            most = int(names[-1]) + 1
+            del number, names
+            order, _ = suffix_array(reduced, most, scratch)
+            for a, b in blocks(len(order)):
+                ordered[a:b] = starred[order[a:b]]
+            del order, reduced
     queue = InducedQueue(text, is_s, symbols, scratch, cap)
-    queue.seed(ordered, None if cap is None else common_prefix(text, ordered, np.r_[0, ordered[:-1]], cap))
+    shared = None
+    if cap is not None:
+        shared = scratch.array(len(ordered), np.int16)
+        for a, b in blocks(len(ordered)):
+            some = ordered[a:b].astype(np.int64)
+            shared[a:b] = common_prefix(text, some, np.r_[ordered[a - 1] if a else 0, some[:-1]].astype(np.int64), cap)
+    queue.seed(ordered, shared)
     queue.induce(True)
     queue.induce(False)
     return queue.slots, queue.prefix

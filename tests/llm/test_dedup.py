@@ -1,6 +1,7 @@
 """Suffix dedup, near-duplicates and components against brute force."""
 
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -46,6 +47,35 @@ def test_large_arrays_lie_on_disk(monkeypatch):
         assert order.tolist() == sorted(range(len(text)), key=lambda i: text[i:])
 
 
+@pytest.mark.parametrize("most", [1, 3, 8])
+def test_suffixes_across_blocks(monkeypatch, most):
+    monkeypatch.setattr(suffixes, "MOST_BLOCK", most)
+    monkeypatch.setattr(suffixes, "LEAST_BLOCK", 1)
+    monkeypatch.setattr(suffixes, "SHORT", 3)
+    monkeypatch.setattr(suffixes, "MEMORY", 32)
+    random_ = random.Random(most)
+    for turn in range(40):
+        text = [random_.randrange(1, 2 + turn % 6) for _ in range(random_.randrange(60))] * random_.randrange(1, 3) + [0]
+        with suffixes.Scratch() as scratch:
+            order, prefix = suffixes.suffix_array(np.array(text), 8, scratch, cap=20)
+            assert order.tolist() == sorted(range(len(text)), key=lambda i: text[i:])
+            assert prefix.tolist()[1:] == [prefix_of(text[a:], text[b:], 20) for a, b in zip(order[:-1], order[1:])]
+
+
+def test_the_heap_does_not_grow_with_the_text(monkeypatch):
+    monkeypatch.setattr(suffixes, "MEMORY", 1 << 16)
+    monkeypatch.setattr(suffixes, "MOST_BLOCK", 1 << 12)
+    text = np.r_[np.random.default_rng(3).integers(2, 258, 1 << 18), 0].astype(np.uint16)
+    tracemalloc.start()
+    try:
+        with suffixes.Scratch() as scratch:
+            suffixes.suffix_array(text, 258, scratch, cap=400)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 8 * len(text)
+
+
 def covered(rows, size):
     """(row number -> covered mask) by looking at every window."""
     places = defaultdict(list)
