@@ -165,6 +165,7 @@ def repeated_in_shard(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[
         whole = {c: np.concatenate(held) for c, held in columns.items()}
         begin = np.r_[0, np.cumsum(np.concatenate(sizes))[:-1]]
         texts = np.memmap(raw, np.uint8, "r")
+        os.unlink(raw)  # the space is free as soon as the array is
         piece, from_, n = promising(texts, begin, whole["anchor"], whole["n"], whole["offset"], size)
         if not len(piece):
             return
@@ -173,24 +174,25 @@ def repeated_in_shard(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[
                 out.write((texts[a:b].astype(np.uint16) + 2).tobytes())
                 out.write(b"\x01\x00")  # a separator, smaller than every byte
             out.write(b"\x00\x00")
+        del texts
         rid, first = whole["rid"][piece], whole["first"][piece] + from_
         begin = np.r_[0, np.cumsum(n + size)[:-1]]
         text = np.memmap(path, np.uint16, "r")
         order, prefix = suffix_array(text, 258, scratch, cap=size)
-        marked, inside = scratch.array(len(text) + 1, bool, False), scratch.array(len(text) + 1, np.int8, 0)
+        marked = scratch.array(len(text) + 1, bool, False)
         for a, b in blocks(len(text) - 1):
             hit = np.flatnonzero(prefix[a + 1 : b + 1] >= size) + a + 1
             marked[order[hit]] = True
             marked[order[hit - 1]] = True
+        del order, prefix
         # Two rows of pieces may be equal beyond a separator; only whole windows of one piece count.
-        inside[begin] = 1
-        inside[begin + n] = -1
-        depth, last, edges = 0, False, []
+        last, edges = False, []
         for a, b in blocks(len(marked)):
-            level = np.cumsum(inside[a:b], dtype=np.int8) + np.int8(depth)
-            held = marked[a:b] & (level > 0)
+            places = np.arange(a, b)
+            own = np.searchsorted(begin, places, "right") - 1
+            held = marked[a:b] & (places - begin[own] < n[own])
             edges.append(np.flatnonzero(np.diff(np.r_[last, held])) + a)
-            depth, last = int(level[-1]), bool(held[-1])
+            last = bool(held[-1])
         edges = np.concatenate(edges)
         a, b = edges[::2], edges[1::2]
         piece = np.searchsorted(begin, a, "right") - 1

@@ -76,7 +76,7 @@ def place_kind(n: int) -> type:
 
 def counts_of(text: np.ndarray, symbols: int, scratch: Scratch, is_s: np.ndarray | None = None) -> np.ndarray:
     """How often each symbol stands in the text, or begins an L-type suffix."""
-    out = scratch.array(symbols, np.int64, 0)
+    out = scratch.array(symbols, place_kind(len(text)), 0)
     for a, b in blocks(len(text)):
         some = text[a:b] if is_s is None else text[a:b][~is_s[a:b]]
         found, times = np.unique(some, return_counts=True)
@@ -85,11 +85,10 @@ def counts_of(text: np.ndarray, symbols: int, scratch: Scratch, is_s: np.ndarray
 
 
 def added_up(counts: np.ndarray, scratch: Scratch) -> np.ndarray:
-    out, total = scratch.array(len(counts) + 1, np.int64), 0
+    out, total = scratch.array(len(counts) + 1, counts.dtype), 0
     out[0] = 0
     for a, b in blocks(len(counts)):
-        np.cumsum(counts[a:b], out=out[a + 1 : b + 1])
-        out[a + 1 : b + 1] += total
+        out[a + 1 : b + 1] = np.cumsum(counts[a:b], dtype=np.int64) + total
         total = int(out[b])
     return out
 
@@ -149,7 +148,7 @@ class Gathered:
 
 def chosen(which: Callable[[int, int], np.ndarray], n: int, scratch: Scratch) -> np.ndarray:
     """Places below ``n`` for which ``which(a, b)`` holds."""
-    out, at = scratch.array(sum(int(np.count_nonzero(which(a, b))) for a, b in blocks(n)), np.int64), 0
+    out, at = scratch.array(sum(int(np.count_nonzero(which(a, b))) for a, b in blocks(n)), place_kind(n)), 0
     for a, b in blocks(n):
         found = np.flatnonzero(which(a, b)) + a
         out[at : at + len(found)] = found
@@ -168,14 +167,6 @@ class InducedQueue:
         self.prefix = None
         if cap is not None:
             self.prefix = scratch.array(len(text), np.int16, FAR)
-            self.run = scratch.array(len(text), np.int16)  # how often the first symbol repeats
-            self.run[-1] = later = 1
-            for a, b in blocks(len(text) - 1, backwards=True):
-                same = text[a + 1 : b + 1] == text[a:b]
-                stop = np.minimum.accumulate(np.where(same, b - a, np.arange(b - a))[::-1])[::-1]
-                run = np.minimum(stop - np.arange(b - a) + np.where(stop < b - a, 1, later), cap)
-                self.run[a:b] = run
-                later = int(run[0])
 
     def seed(self, suffixes: np.ndarray, prefix: np.ndarray | None = None) -> None:
         """Place S* suffixes at the ends of their symbols, those of a symbol in the given order; ``prefix`` is what each shares with the one before."""
@@ -203,6 +194,20 @@ class InducedQueue:
             for a, b in blocks(len(firsts)):
                 self.prefix[firsts[a:b]] = 0
 
+    def _run(self, places: np.ndarray) -> np.ndarray:
+        """How often the first symbol of the suffixes repeats, at most ``cap``."""
+        places = places.astype(np.int64)
+        out, active = np.full(len(places), self.cap, np.int16), np.arange(len(places))
+        for offset in range(1, self.cap):
+            x = places[active] + offset
+            equal = x < len(self.text)
+            equal[equal] = self.text[x[equal]] == self.text[places[active[equal]]]
+            out[active[~equal]] = offset
+            active = active[equal]
+            if not len(active):
+                break
+        return out
+
     def _seam(self, low: int, high: int) -> None:
         """Both sides of a seam begin with a run of its symbol, and go on with a smaller or a larger one."""
         slot, before = self.seams
@@ -211,12 +216,12 @@ class InducedQueue:
             s, p = slot[a:b], before[a:b]
             some = (p >= 0) & (p >= self.starts[self.text[self.slots[s]].astype(np.int64)])
             s, p = s[some], p[some]
-            self.prefix[s] = np.minimum(self.run[self.slots[s]], self.run[self.slots[p]])
+            self.prefix[s] = np.minimum(self._run(self.slots[s]), self._run(self.slots[p]))
 
     def induce(self, ascending: bool) -> None:
         """One pass: L-type suffixes in ascending order, or S-type in descending order."""
         n, sign = len(self.slots), 1 if ascending else -1
-        edge = self.scratch.array(len(self.starts) - 1, np.int64)
+        edge = self.scratch.array(len(self.starts) - 1, self.starts.dtype)
         for a, b in blocks(len(edge)):
             edge[a:b] = self.starts[a:b] if ascending else self.starts[a + 1 : b + 1] - 1
         if not ascending:
@@ -357,33 +362,35 @@ def suffix_array(text: np.ndarray, symbols: int, scratch: Scratch, cap: int | No
     queue.seed(starred)
     queue.induce(True)
     queue.induce(False)
-    number = scratch.array(n, np.int32, -1)
-    for a, b in blocks(len(starred)):
-        number[starred[a:b]] = np.arange(a, b)
     ordered, at = scratch.array(len(starred), place_kind(n)), 0
     for a, b in blocks(n):
         block = queue.slots[a:b]
-        found = block[number[block] >= 0]
+        found = block[(block > 0) & is_s[block] & ~is_s[block - 1]]
         ordered[at : at + len(found)] = found
         at += len(found)
     del queue
     if len(starred) > 1:
 
         def end_of(places: np.ndarray) -> np.ndarray:
-            following = number[places].astype(np.int64) + 1
-            return np.where(following < len(starred), starred[np.minimum(following, len(starred) - 1)] + 1, n)
+            following = np.searchsorted(starred, places.astype(starred.dtype)) + 1
+            return np.where(following < len(starred), starred[np.minimum(following, len(starred) - 1)].astype(np.int64) + 1, n)
 
         names = names_of(text, ordered, end_of, scratch)
         if names[-1] + 1 < len(names):
             reduced = scratch.array(len(names), np.int32)
             for a, b in blocks(len(names)):
-                reduced[number[ordered[a:b]]] = names[a:b]
+                reduced[np.searchsorted(starred, ordered[a:b])] = names[a:b]
             most = int(names[-1]) + 1
-            del number, names
+            del names, ordered
             order, _ = suffix_array(reduced, most, scratch)
+            del reduced
+            ordered = scratch.array(len(order), place_kind(n))
             for a, b in blocks(len(order)):
                 ordered[a:b] = starred[order[a:b]]
-            del order, reduced
+            del order
+        else:
+            del names
+    del starred
     queue = InducedQueue(text, is_s, symbols, scratch, cap)
     shared = None
     if cap is not None:
