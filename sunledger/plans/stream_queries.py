@@ -114,14 +114,7 @@ def _(t: Tables):
     return table.where("kind = 'deadline'").drop("kind").withColumnRenamed("window_end", "deadline")
 
 
-@query(
-    "stream_matched_forecasts",
-    "T5",
-    """WITH w AS (SELECT least((SELECT max(ts) FROM events) - INTERVAL '1 hour', (SELECT max(target_ts) FROM fc) - INTERVAL '5 days') AS mark)
-       SELECT f.event_id, f.site, f.model, f.target_ts, f.pred, h.actual_kw, h.n_obs FROM fc f JOIN site_hour h ON h.site = f.site AND h.hour = f.target_ts, w
-       WHERE h.hour + INTERVAL '1 hour' <= w.mark""",
-)
-def _(t: Tables):
+def forecasts_with_actuals(t: Tables, purpose: str) -> DataFrame:
     k = minutes_k()
     hour = F.window("ts", "1 hour").start
     site = (F.col("user_id") % 4).alias("site")
@@ -133,8 +126,32 @@ def _(t: Tables):
     a = jobs.tumbling(a, "ts", "1 hour", ["site"], [stable_mean("value").alias("actual_kw"), F.count("*").alias("n_obs")])
     a = a.select("site", F.col("window_start").alias("hour"), "actual_kw", "n_obs")
     out = jobs.match_as_they_arrive(f, a, "site", "target_ts", "hour").drop("hour")
-    table = jobs.run_to_table(jobs.ntz(out, "target_ts"), "matched-forecasts")
-    return table.where(F.col("actual_kw").isNotNull())
+    return jobs.run_to_table(jobs.ntz(out, "target_ts"), purpose)
+
+
+@query(
+    "stream_matched_forecasts",
+    "T5",
+    """WITH w AS (SELECT least((SELECT max(ts) FROM events) - INTERVAL '1 hour', (SELECT max(target_ts) FROM fc) - INTERVAL '5 days') AS mark)
+       SELECT f.event_id, f.site, f.model, f.target_ts, f.pred, h.actual_kw, h.n_obs FROM fc f JOIN site_hour h ON h.site = f.site AND h.hour = f.target_ts, w
+       WHERE h.hour + INTERVAL '1 hour' <= w.mark""",
+)
+def _(t: Tables):
+    return forecasts_with_actuals(t, "matched-forecasts").where(F.col("actual_kw").isNotNull())
+
+
+@query(
+    "stream_forecast_states",
+    "T5",
+    """WITH w AS (SELECT least((SELECT max(ts) FROM events) - INTERVAL '1 hour', (SELECT max(target_ts) FROM fc) - INTERVAL '5 days') AS mark),
+       h AS (SELECT site_hour.* FROM site_hour, w WHERE hour + INTERVAL '1 hour' <= mark)
+       SELECT f.event_id, f.site, f.model, f.target_ts, f.pred, h.actual_kw, h.n_obs, CASE WHEN h.hour IS NULL THEN 'unmatched' ELSE 'matched' END AS state
+       FROM fc f CROSS JOIN w LEFT JOIN h ON h.site = f.site AND h.hour = f.target_ts WHERE h.hour IS NOT NULL OR f.target_ts <= w.mark""",
+)
+def _(t: Tables):
+    # Every forecast up to the watermark, also those that met no closed hour.
+    table = forecasts_with_actuals(t, "forecast-states")
+    return table.withColumn("state", F.when(F.col("n_obs").isNull(), "unmatched").otherwise("matched"))
 
 
 @query(

@@ -118,3 +118,16 @@ def test_unmatched_forecast_comes_out_with_null(spark, tmp_path):
     out = jobs.ntz(jobs.match_as_they_arrive(f, a, "site", "target", "hour"), "target", "hour")
     got = jobs.run_to_table(out, "m", location=f"{tmp_path}/m-1").collect()
     assert sorted((r["target"], r["y"]) for r in got if r["target"] < t(1, d=2)) == [(t(1), 5.0), (t(2), None)]
+
+
+def test_forecasts_without_an_actual_are_kept(spark):
+    from sunledger.plans import runner
+    from tests.oracle import SF_ROOT
+
+    sf = f"{SF_ROOT}/sf0.001"
+    rows = runner("stream_forecast_states")(spark, sf).select("event_id", "state", "actual_kw").collect()
+    matched = {r["event_id"] for r in runner("stream_matched_forecasts")(spark, sf).select("event_id").collect()}
+    assert len({r["event_id"] for r in rows}) == len(rows)
+    assert {r["event_id"] for r in rows if r["state"] == "matched"} == matched
+    lost = [r for r in rows if r["state"] == "unmatched"]
+    assert lost and all(r["actual_kw"] is None for r in lost)
