@@ -9,7 +9,7 @@
    go whose common middle stands only once; the suffixes of the rest are sorted by external induced sorting (``suffixes``). A suffix
    that shares ``size`` bytes with a neighbour is a repeat.
 
-Only hashes, run edges and their text are shuffled. A text in a third of all rows is one folded run, and so are its edges, however the rows go on.
+Hashes, run edges and their text are shuffled, and the documents where Spark joins them to their cuts by sorting. A text in a third of all rows is one folded run, and so are its edges, however the rows go on.
 """
 
 from __future__ import annotations
@@ -239,7 +239,7 @@ def folded(rows: DataFrame, pieces: DataFrame, size: int) -> tuple[DataFrame, Da
     """(spans of pieces whose whole text stands twice, pieces to be sorted, pieces of parts with more than CROWD texts), with one piece for each text.
 
     All windows of a part (anchor, ``low`` to ``high``) hold the same ``middle`` around the anchor. A text whose middle no other text of its part
-    holds is decided by its copies. Only hashes are shuffled.
+    holds is decided by its copies. Pieces are shuffled as hashes; the documents themselves are, if Spark joins them to their cuts by sorting.
     """
 
     def run(batches):
