@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sunledger.llm import bpe, langid, licenses, minhash, packing, quality, repeats, tokenfile, vectors
+from sunledger.llm import bpe, langid, licenses, minhash, packing, quality, repeats, rules, tokenfile, vectors
 from sunledger.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,3 +85,13 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenfile.write_ids(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
     return tokenfile.read_ids(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rated = rules.rate(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    named = [F.col(f"rated.{c}").alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
+    return rated.select("doc_id", *named, (F.size("rated.base_broken") > 0).alias("base_failed"), F.col("rated.kept").alias("kept"))
+
+
+SQL["op13_quality_rules"] = rules.rate_sql()
