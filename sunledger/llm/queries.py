@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sunledger.llm import bpe, langid, licenses, minhash, packing, quality, repeats, rules, tokenfile, vectors
+from sunledger.llm import bpe, codes, langid, licenses, minhash, packing, quality, repeats, rules, tokenfile, vectors
 from sunledger.llm.common import table
+from sunledger.session import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -87,6 +88,19 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.read_ids(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    fitted = codes.fit(rows, factor=4096.0, parts=8, entries=16, rounds=6)
+    # Read again by the sums and by the rows, so it is written once.
+    coded = materialize(fitted.encode(rows).withColumn("codebooks_sha256", fitted.digests(F.col("embedding"))).drop("embedding"), "vector-codes")
+    by_label = coded.groupBy(F.col("label").alias("of_label")).agg(F.try_sum("error").alias("label_error"))
+    return coded.join(by_label, F.col("label").eqNullSafe(F.col("of_label"))).select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+SQL["op12_vector_codes"] = codes.compressed_sql()
+
+
 @query
 def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rated = rules.rate(table(spark, sf_dir, "documents").select("doc_id", "text"))
