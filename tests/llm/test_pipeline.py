@@ -19,6 +19,7 @@ COLUMNS = {
     "op8_top_k": "query_id rank vec_id score",
     "op9_bpe": "doc_id n_tokens ids_sha256 decoded_sha256",
     "op10_token_ids": "doc_id start n_tokens ids_crc32",
+    "op11_periodic_runs": "doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256",
     "op12_vector_codes": "vec_id code error label_error codebooks_sha256",
     "op13_quality_rules": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
 }
