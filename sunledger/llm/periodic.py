@@ -9,7 +9,9 @@ The work of a text does not meet that of another: no shuffle, one pass, and each
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -27,12 +29,12 @@ RUN = StructType([StructField(n, LongType()) for n in ("start", "length", "perio
 
 def interned(texts: list[str]) -> tuple[list[list[bytes]], np.ndarray, np.ndarray]:
     """Words of each text, all words as numbers in one row with a separator (-1) behind each text, and the first place of each text."""
-    known: dict[bytes, int] = {}
+    known: dict[bytes, int] = defaultdict(count().__next__)
     words = [t.encode("utf-8", "surrogatepass").split() for t in texts]  # bytes split at the six ASCII blanks
     numbers: list[int] = []
     first = np.zeros(len(texts) + 1, np.int64)
     for k, w in enumerate(words):
-        numbers.extend([known.setdefault(x, len(known)) for x in w])
+        numbers.extend(map(known.__getitem__, w))
         numbers.append(-1)
         first[k + 1] = len(numbers)
     return words, np.array(numbers, np.int32), first
@@ -46,13 +48,13 @@ def grid(sizes: np.ndarray, least: int, repeats: int) -> Iterator[tuple[np.ndarr
     stretch = np.maximum(least, repeats * p) - p  # words that each equal the one p words on, in the shortest run
     stride = np.maximum(1, stretch // 2)
     need = stretch - stride + 1  # the first grid place of a stretch is that far from its end
-    count = np.maximum(0, (sizes[text] - p - need) // stride + 1)
-    through = np.cumsum(count)
+    places = np.maximum(0, (sizes[text] - p - need) // stride + 1)
+    through = np.cumsum(places)
     at = 0
     while at < len(text):
         done = through[at - 1] if at else 0
         to = max(at + 1, int(np.searchsorted(through, done + CANDIDATES, "right")))
-        n = count[at:to]
+        n = places[at:to]
         k = np.arange(through[to - 1] - done) - np.repeat(np.cumsum(n) - n, n)
         yield tuple(np.repeat(c[at:to], n) * (k if c is stride else 1) for c in (text, stride, p, need))
         at = to
