@@ -69,7 +69,7 @@ def _(t: Tables):
 def _(t: Tables):
     paired = scores(flagship(t))
     duels = metrics.duel(paired, ["site", "half"], "candidate")
-    verdicts = metrics.verdict(duels, ["site"], "half", C.WHOLE, OOF_BASELINES)
+    verdicts = metrics.verdict(duels, ["site"], "half", C.WHOLE, OOF_BASELINES, [C.FIRST_HALF, C.SECOND_HALF])
     docs = documents.manifest_document(sliced(t), paired, verdicts, "site", C.WHOLE, "candidate")
     path = shared_dir(t.spark, "manifests")
     # One document per file line; a stored manifest with line breaks is read with multi_line.

@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from sunledger.functions import columns as C
 from sunledger.functions.stats import stable_mean
 from sunledger.plans.registry import query
+from sunledger.plans.timing_queries import INPUTS_SQL, input_spec
 from sunledger.plans.views import Tables, minutes_k
-from sunledger.streaming import jobs
+from sunledger.session import shared_dir
+from sunledger.streaming import inputs, jobs
 
 
 def events(t: Tables) -> DataFrame:
@@ -205,3 +207,25 @@ def _(t: Tables):
     out = jobs.with_state(w, ["unit"], jobs.StuckValue(["unit"], 900_000_000, 3), "unit string, window_us bigint, level bigint, run_length bigint", "None")
     out = us_to_ntz(out, slot="window_us").select("unit", "slot", "level", "run_length")
     return jobs.run_to_table(out, "stuck-values", stateful=True)
+
+
+@query(
+    "stream_assembled_inputs",
+    "M6 J4 J5 J6",
+    f"""WITH {INPUTS_SQL}, z AS (SELECT least((SELECT max(received_at) FROM obs), (SELECT max(ts) FROM p), (SELECT max(issue_ts) FROM issues)) - INTERVAL '1 hour' AS mark)
+        SELECT y.*, CASE WHEN missing_inputs = '' THEN 'ready' ELSE 'waiting' END AS status FROM y, z WHERE issue_ts + INTERVAL '1 minute' < date_trunc('millisecond', mark)""",
+)
+def _(t: Tables):
+    spec, station = input_spec(), (F.col("user_id") % 4).alias("station")
+    k = minutes_k()
+    versions = events(t).where("event_type = 'view'").select(
+        "event_id", station, F.col("ts").cast("timestamp").alias("obs_ts"), k.cast("double").alias("cloud_pct"), F.when(F.col("event_id") % 7 != 0, F.col("value")).alias("temp"),
+        F.when(F.col("event_id") % 11 != 0, F.col("value") / 2).alias("humidity"), C.shift_seconds("ts", k * 60).cast("timestamp").alias("received_at"),
+    ).withWatermark("received_at", "1 hour")
+    readings = jobs.event_time(events(t).where("event_type <> 'view'").select("event_id", station, "ts", "value"), "ts", "1 hour")
+    # The schedule lands as a table of its own, as a scheduler would write it.
+    path = shared_dir(t.spark, "schedule")
+    t.issues.write.parquet(path)
+    asks = jobs.event_time(jobs.landing_stream(t.spark, path, t.issues.schema), "issue_ts", "1 hour")
+    out = inputs.live_inputs(spec, versions, readings, asks, "received_at", "ts", "event_id", "value", "issue_ts")
+    return jobs.run_to_table(out, "assembled-inputs", stateful=True)

@@ -10,6 +10,7 @@ from sunledger.plans.common import rounded
 from sunledger.plans.registry import query
 from sunledger.plans.views import REQUIRED, Tables
 from sunledger.session import small_table
+from sunledger.streaming import inputs
 
 
 @query(
@@ -80,10 +81,22 @@ LAG_SQL = """p AS (SELECT event_id, CAST(user_id % 4 AS BIGINT) AS station, ts,
       QUALIFY row_number() OVER (PARTITION BY q.station, q.issue_ts, q.lag_min ORDER BY abs(epoch_us(p.ts) - epoch_us(want)) NULLS LAST, p.ts) = 1)"""
 
 
+def power(t: Tables):
+    return t.events.where("event_type <> 'view'").select("event_id", (F.col("user_id") % 4).alias("station"), "ts", "value")
+
+
+def tolerance():
+    return F.when(F.col("lag_min") == 0, 1).when(F.col("station") == 0, 5).otherwise(4)
+
+
+def input_spec() -> inputs.InputSpec:
+    """The inputs of the model, for training rows here and for live rows in ``stream_assembled_inputs``."""
+    names = {15: "power_lag_15min", 30: "power_lag_30min", 60: "power_lag_60min"}
+    return inputs.InputSpec(("station",), names, tolerance(), 5, "obs_ts", ("temp", "humidity", "cloud_pct"), 12)
+
+
 def power_lags(t: Tables):
-    power = t.events.where("event_type <> 'view'").select("event_id", (F.col("user_id") % 4).alias("station"), "ts", "value")
-    tol = F.when(F.col("lag_min") == 0, 1).when(F.col("station") == 0, 5).otherwise(4)
-    return asof.lag_aligned(power, t.issues, ["station"], "ts", "event_id", "value", "issue_ts", [0, 15, 30, 60], tol)
+    return asof.lag_aligned(power(t), t.issues, ["station"], "ts", "event_id", "value", "issue_ts", [0, 15, 30, 60], tolerance())
 
 
 @query(
@@ -96,19 +109,16 @@ def _(t: Tables):
     return power_lags(t)
 
 
-@query(
-    "assembled_inputs",
-    "M6",
-    f"""WITH {FRESH_SQL}, {LAG_SQL}, x AS (SELECT station, issue_ts, max(lag_value) FILTER (lag_min = 15) AS power_lag_15min,
+INPUTS_SQL = f"""{FRESH_SQL}, {LAG_SQL}, x AS (SELECT station, issue_ts, max(lag_value) FILTER (lag_min = 15) AS power_lag_15min,
           max(lag_value) FILTER (lag_min = 30) AS power_lag_30min, max(lag_value) FILTER (lag_min = 60) AS power_lag_60min FROM l GROUP BY 1, 2),
         y AS (SELECT w.*, power_lag_15min, power_lag_30min, power_lag_60min, concat_ws(',', CASE WHEN power_lag_15min IS NULL THEN 'power_lag_15min' END,
           CASE WHEN power_lag_30min IS NULL THEN 'power_lag_30min' END, CASE WHEN power_lag_60min IS NULL THEN 'power_lag_60min' END,
-          CASE WHEN obs_ts IS NULL THEN 'weather' END) AS missing_inputs FROM w JOIN x USING (station, issue_ts))
-        SELECT *, CASE WHEN missing_inputs = '' THEN 'ready' ELSE 'waiting' END AS status FROM y""",
-)
+          CASE WHEN obs_ts IS NULL THEN 'weather' END) AS missing_inputs FROM w JOIN x USING (station, issue_ts))"""
+
+
+@query("assembled_inputs", "M6", f"WITH {INPUTS_SQL} SELECT *, CASE WHEN missing_inputs = '' THEN 'ready' ELSE 'waiting' END AS status FROM y")
 def _(t: Tables):
-    names = {15: "power_lag_15min", 30: "power_lag_30min", 60: "power_lag_60min"}
-    return asof.assemble_inputs(power_lags(t), weather(t), ["station"], "issue_ts", names)
+    return inputs.training_inputs(input_spec(), t.obs, power(t), t.issues, "received_at", "ts", "event_id", "value", "issue_ts")
 
 
 @query(

@@ -223,7 +223,7 @@ class StuckValue(StatefulProcessor):
 
 def with_state(windows: DataFrame, keys: Sequence[str], processor: StatefulProcessor, output: str, mode: str) -> DataFrame:
     """Apply a stateful processor per key on pre-aggregated windows."""
-    cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers need not have this package
+    cloudpickle.register_pickle_by_value(sys.modules[type(processor).__module__])  # workers need not have this package
     return windows.groupBy(*keys).transformWithState(
         statefulProcessor=processor, outputStructType=output, outputMode="Append", timeMode=mode
     )
