@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sunledger.functions import columns as C
-from sunledger.operators import features, models
+from sunledger.operators import boosting, features, models
 from sunledger.plans.common import rounded
 from sunledger.plans.registry import query
 from sunledger.plans.views import Tables
+from sunledger.session import materialize, small_table
 
 NAMES = ["quantity", "price", "discount", "tax"]
 
@@ -189,3 +190,53 @@ def _(t: Tables):
 )
 def _(t: Tables):
     return models.calendar_folds(learner_rows(t), "month", LEARNER_FEATURES, "actual_kwh", FOLD_STARTS)
+
+
+BOOSTER = {"rounds": 4, "depth": 2, "rate": 0.3, "bins": 8, "alpha": 0.9, "min_leaf": 5}
+N_FOLDS = 14
+AS_DOUBLES = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in LEARNER_FEATURES)
+
+
+def booster_query_sql(result: str, **other) -> str:
+    ctes = boosting.booster_sql(f"SELECT k, fold, y, {', '.join(LEARNER_FEATURES)} FROM r JOIN f ON month < fold", LEARNER_FEATURES, **(BOOSTER | other))
+    return f"""WITH r AS MATERIALIZED (SELECT site || month AS k, site, month, y, {AS_DOUBLES} FROM (SELECT o.*, actual_kwh AS y, n_days, month(month) AS moy FROM oof o JOIN (SELECT site, month, n_days FROM site_month) d USING (site, month))),
+      f AS (SELECT CAST(unnest(generate_series(max(month) - INTERVAL {N_FOLDS - 1} MONTH, max(month), INTERVAL 1 MONTH)) AS DATE) AS fold FROM r),
+      held AS (SELECT k, fold, {', '.join(LEARNER_FEATURES)} FROM r JOIN f ON month = fold), {ctes} {result}"""
+
+
+def fitted_booster(t: Tables, **other):
+    rows = materialize(learner_rows(t).select("site", "month", "actual_kwh", *LEARNER_FEATURES), "booster-rows")
+    starts = boosting.last_months(rows, "month", N_FOLDS)
+    return rows, starts, boosting.fit_huber_booster(rows, "month", LEARNER_FEATURES, "actual_kwh", starts, **(BOOSTER | other))
+
+
+@query(
+    "huber_boosting_oof",
+    "M4 W6",
+    booster_query_sql(
+        """SELECT site, month, fold AS fold_start, CAST((SELECT count(*) FROM tr WHERE tr.fold = p.fold) AS BIGINT) AS train_rows, y AS actual_kwh, round(pred, 2) AS pred
+        FROM pred4 p JOIN r USING (k)"""
+    ),
+)
+def _(t: Tables):
+    rows, starts, model = fitted_booster(t)
+    out = boosting.score_huber_booster(rows, model, "month", starts)
+    return rounded(out.select("site", "month", "fold_start", "train_rows", "actual_kwh", "pred"), 2, "pred")
+
+
+@query(
+    "huber_stumps",
+    "M4",
+    booster_query_sql(
+        f"""SELECT fold AS fold_start, b.f AS feature_no, CAST(coalesce((SELECT c FROM (SELECT c, row_number() OVER (ORDER BY c) - 1 AS i FROM cu WHERE cu.fold = v.fold AND cu.f = b.f) WHERE i = b.cut), 'infinity') AS DOUBLE) AS threshold,
+        round(any_value(w), 4) AS width, round(max(v) FILTER (node = 2), 4) AS left_value, round(max(v) FILTER (node = 3), 4) AS right_value
+        FROM v0 v JOIN w0 USING (fold) LEFT JOIN (SELECT * EXCLUDE (node) FROM b0_0) b USING (fold) GROUP BY ALL""".replace("v.fold AND", "b.fold AND"),
+        rounds=1, depth=1,
+    ),
+)
+def _(t: Tables):
+    # One round of depth 1 shows what a round learns: the split, and the values of its two leaves.
+    _, _, model = fitted_booster(t, rounds=1, depth=1)
+    stumps = [(f, tree.feature[1], tree.threshold[1], tree.width, *tree.value) for f, (tree,) in model.trees.items()]
+    out = small_table(t.spark, stumps, "fold_start date, feature_no bigint, threshold double, width double, left_value double, right_value double")
+    return rounded(out, 4, "width", "left_value", "right_value")
