@@ -37,6 +37,28 @@ def _(t: Tables):
     return jobs.run_to_table(out, "hourly-readings")
 
 
+@query(
+    "stream_bounded_readings",
+    "T1 S5",
+    """WITH w AS (SELECT max(ts) - INTERVAL '1 hour' AS mark FROM events)
+       SELECT event_type AS unit, date_trunc('hour', ts) AS window_start, CAST(count(*) AS BIGINT) AS n, round(sum(value), 4) AS total FROM events, w
+       GROUP BY 1, 2, mark HAVING date_trunc('hour', ts) + INTERVAL '1 hour' <= mark""",
+)
+def _(t: Tables):
+    # The readings land in files that each hold rows of the whole period, and are taken file by file.
+    base = shared_dir(t.spark, "bounded-readings")
+    t.events.repartition(4, "event_id").write.parquet(f"{base}/landing")
+    source = jobs.landing_stream(t.spark, f"{base}/landing", t.events.schema, files_per_trigger=1)
+    source = source.select(F.col("event_type").alias("unit"), F.col("ts").cast("timestamp").alias("ts"), "value")
+    amount = [F.count("*").alias("n"), F.sum(F.col("value").cast("decimal(28,6)")).alias("total")]
+    hourly = lambda rows: jobs.tumbling(rows, "ts", "1 hour", ["unit"], amount)
+    closed, stored = jobs.run_bounded(source, "ts", "1 hour", hourly, "bounded", f"{base}/split", deadline=F.window("ts", "1 hour").end)
+    closed = closed.drop("window_end")
+    late = stored.where("late").groupBy("unit", F.window("ts", "1 hour").start.alias("window_start")).agg(*amount)
+    both = closed.unionByName(late).groupBy("unit", "window_start").agg(F.sum("n").alias("n"), F.round(F.sum("total").cast("double"), 4).alias("total"))
+    return jobs.ntz(both, "window_start")
+
+
 @query(
     "stream_distinct_requests",
     "T2",

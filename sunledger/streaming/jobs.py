@@ -8,13 +8,13 @@ driver goes on from the last committed batch.
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BooleanType, LongType, StructField, StructType, TimestampType
 
 from sunledger.session import shared_dir
 
@@ -27,7 +27,7 @@ def landing_stream(spark: SparkSession, path: str, schema: StructType, files_per
     """Parquet files landing at a path or pattern, as a stream.
 
     By default a backlog is one batch, so rows of a file that is out of time order are never late. Bound the
-    batches by ``files_per_trigger`` only for feeds whose files land in the order of their time.
+    batches by ``files_per_trigger`` for a long backlog, and let ``run_bounded`` keep what comes behind the watermark.
     """
     reader = spark.readStream.schema(schema)
     if files_per_trigger is not None:
@@ -76,6 +76,50 @@ def run_to_table(
     return spark.read.schema(stream.schema).parquet(f"{base}/table")
 
 
+SPLIT = [StructField("late", BooleanType()), StructField("batch", LongType())]
+
+
+def run_bounded(
+    stream: DataFrame, ts: str, delay: str, make: Callable[[DataFrame], DataFrame], name: str, location: str, deadline: Column | None = None, **how
+) -> tuple[DataFrame, DataFrame]:
+    """Run a job over a backlog in bounded batches without losing a row: (the table of the job, all rows with ``late`` and ``batch``).
+
+    A stateful operator drops rows behind the watermark without a word. Here each batch of ``stream`` is stored once, each row marked ``late`` if its
+    ``deadline`` (default ``ts``; for a windowed job the end of its window) is not after the mark of the batch, which is the greatest ``ts`` of all
+    earlier batches less ``delay``. Then the job ``make(rows on time)`` goes on over what was stored; its watermark is never ahead of the mark, so it drops
+    none. The late rows are a table of their own, to be counted or merged. ``how`` goes to ``run_to_table``.
+
+    Give the same ``location`` again to go on. A batch that runs again finds what it has stored. Rows without ``ts`` are on time and set no mark.
+    """
+    spark, schema = stream.sparkSession, stream.schema
+    stored = StructType([*schema.fields, *SPLIT])
+    marks = StructType([SPLIT[1], StructField("greatest", TimestampType())])
+    limit = F.col(ts) if deadline is None else deadline
+    # Folders exist from the start, so that readers find them.
+    spark.createDataFrame([], stored).write.mode("ignore").parquet(f"{location}/rows/none")
+    spark.createDataFrame([], marks).write.mode("ignore").parquet(f"{location}/marks/none")
+
+    def go_on() -> DataFrame:
+        rows = spark.readStream.schema(stored).parquet(f"{location}/rows/*").where(~F.col("late")).drop(*[f.name for f in SPLIT])
+        return run_to_table(make(rows.withWatermark(ts, delay)), name, location=f"{location}/job", **how)
+
+    def store(rows: DataFrame, batch: int) -> None:
+        here = rows.sparkSession
+        known = here.read.schema(marks).parquet(f"{location}/marks/*")  # one row a batch
+        seen, done = known.agg(F.max(F.when(F.col("batch") < batch, F.col("greatest"))), F.count_if(F.col("batch") == batch)).first()
+        if not done:
+            late = F.coalesce(limit <= F.lit(seen).cast("timestamp") - F.expr(f"INTERVAL {delay}"), F.lit(False))
+            number = F.lit(batch).cast("bigint").alias("batch")
+            rows.select("*", late.alias("late"), number).write.mode("overwrite").parquet(f"{location}/rows/{batch}")
+            greatest = here.read.schema(stored).parquet(f"{location}/rows/{batch}").agg(number, F.max(ts).alias("greatest"))
+            greatest.write.mode("overwrite").parquet(f"{location}/marks/{batch}")  # from here on the batch is stored
+        go_on()
+
+    query = stream.writeStream.foreachBatch(store).option("checkpointLocation", f"{location}/split").trigger(availableNow=True).start()
+    query.awaitTermination()
+    return go_on(), spark.read.schema(stored).parquet(f"{location}/rows/*")
+
+
 def event_time(df: DataFrame, ts: str, delay: str) -> DataFrame:
     return df.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
 

@@ -131,3 +131,41 @@ def test_forecasts_without_an_actual_are_kept(spark):
     assert {r["event_id"] for r in rows if r["state"] == "matched"} == matched
     lost = [r for r in rows if r["state"] == "unmatched"]
     assert lost and all(r["actual_kw"] is None for r in lost)
+
+
+def bounded_run(spark, root, files, restarts=()):
+    """Hourly totals of files that are out of time order, one file a batch: (all stored rows, windows that closed, late rows by window)."""
+    hour = F.window("ts", "1 hour")
+    amount = [F.count("*").alias("n"), F.sum("v").alias("v")]
+    for k, rows in enumerate(files):
+        frame(spark, SCHEMA, *rows).coalesce(1).write.parquet(f"{root}/in/f{k}")
+        if k in restarts or k == len(files) - 1:
+            src = spark.readStream.schema(spark.read.parquet(f"{root}/in/f0").schema).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+            src = src.withColumn("ts", F.col("ts").cast("timestamp"))
+            closed, stored = jobs.run_bounded(
+                src, "ts", "30 minutes", lambda rows: jobs.tumbling(rows, "ts", "1 hour", ["feed"], amount), "w", f"{root}/job", deadline=hour.end, state_partitions=2
+            )
+    late = stored.where("late").groupBy("feed", hour.start.alias("window_start"), hour.end.alias("window_end")).agg(*amount)
+    return stored, closed, late
+
+
+def test_bounded_batches_lose_nothing(spark, tmp_path):
+    rows = [("ab"[i % 2], t(1 + i % 20, (i * 7) % 60), i, float(i)) for i in range(400)] + [("a", t(23, 59), 900, 1.0)]
+    order = sorted(rows, key=lambda r: (r[2] * 37) % 101)
+    files = [order[k::20] for k in range(20)]
+    totals = []
+    for name, split, restarts in (("many", files, (3, 11)), ("one", [rows], ())):
+        stored, closed, late = bounded_run(spark, f"{tmp_path}/{name}", split, restarts)
+        assert stored.count() == len(rows)  # nothing is stored twice
+        n_late = stored.where("late").count()
+        assert (n_late > 50) == (name == "many")
+        assert closed.agg(F.sum("n")).first()[0] + n_late == sum(r[1] < t(23) for r in rows)
+        both = closed.unionByName(late).groupBy("feed", "window_start").agg(F.sum("n").alias("n"), F.sum("v").alias("v"))
+        totals.append(sorted(tuple(r) for r in both.collect()))
+    assert totals[0] == totals[1]
+    want = {}
+    for feed, ts, _, v in rows:
+        if ts < t(23):
+            n, s = want.get((feed, ts.replace(minute=0)), (0, 0.0))
+            want[feed, ts.replace(minute=0)] = n + 1, s + v
+    assert len(totals[0]) == len(want) and {r[2:] for r in totals[0]} == set(want.values())
