@@ -104,6 +104,9 @@ VIEWS: dict[str, str] = {
                     WHEN 'signup' THEN 'warming_up' ELSE 'waiting' END AS status,
                CAST(regexp_extract(props, '[0-9]+') AS BIGINT) AS k, event_type AS feed, value
         FROM events""",
+    "job_register": """
+        SELECT job, from_ts, CASE WHEN job % 3 = 2 THEN from_ts + INTERVAL '21 days' END AS to_ts FROM
+          (SELECT CAST(n_nationkey AS BIGINT) AS job, TIMESTAMP '2023-12-20 00:00:00' + n_regionkey * INTERVAL '5 days' AS from_ts FROM nation WHERE n_nationkey < 6)""",
     "required": """
         SELECT * FROM (VALUES ('ultra_short', 'click'), ('ultra_short', 'view'), ('short_24h', 'click'),
           ('short_24h', 'purchase'), ('short_48h', 'signup'), ('short_48h', 'error')) AS d(model, feed)""",

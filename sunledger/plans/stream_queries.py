@@ -11,7 +11,7 @@ from sunledger.plans.registry import query
 from sunledger.plans.timing_queries import INPUTS_SQL, input_spec
 from sunledger.plans.views import Tables, minutes_k
 from sunledger.session import shared_dir
-from sunledger.streaming import inputs, jobs
+from sunledger.streaming import heartbeat, inputs, jobs
 
 
 def events(t: Tables) -> DataFrame:
@@ -178,23 +178,46 @@ def _(t: Tables):
     return table.withColumn("state", F.when(F.col("n_obs").isNull(), "unmatched").otherwise("matched"))
 
 
-@query(
-    "stream_reliability_gate",
-    "T6",
-    """WITH w AS (SELECT max(ts) - INTERVAL '1 hour' AS mark FROM events),
-       s AS (SELECT job, slot, bool_or(status = 'success') AS made, hour(slot) * 60 + minute(slot) BETWEEN 270 AND 1230 AS d FROM runs GROUP BY 1, 2)
-       SELECT job, time_bucket(INTERVAL '7 days', slot, TIMESTAMP '1970-01-01 00:00:00') AS window_start, time_bucket(INTERVAL '7 days', slot, TIMESTAMP '1970-01-01 00:00:00') + INTERVAL '7 days' AS window_end,
-         CAST(455 AS BIGINT) AS expected, CAST(count(*) FILTER (d) AS BIGINT) AS executed, CAST(count(*) FILTER (made AND d) AS BIGINT) AS generated,
-         CAST(count(*) FILTER (NOT d) AS BIGINT) AS night_waits FROM s, w GROUP BY 1, 2, 3, mark HAVING window_end <= mark""",
-)
-def _(t: Tables):
+GATE_SQL = """w AS (SELECT max(ts) - INTERVAL '1 hour' AS mark FROM events),
+       s AS (SELECT job, slot, bool_or(status = 'success') AS made, hour(slot) * 60 + minute(slot) BETWEEN 270 AND 1230 AS d FROM runs GROUP BY 1, 2),
+       g AS (SELECT job, time_bucket(INTERVAL '7 days', slot, TIMESTAMP '1970-01-01 00:00:00') AS window_start, CAST(count(*) FILTER (d) AS BIGINT) AS executed,
+         CAST(count(*) FILTER (made AND d) AS BIGINT) AS generated, CAST(count(*) FILTER (NOT d) AS BIGINT) AS night_waits FROM s, w GROUP BY 1, 2, mark HAVING window_start + INTERVAL '7 days' <= mark)"""
+
+
+def weekly_gate(t: Tables) -> DataFrame:
     s = jobs.event_time(events(t), "ts", "1 hour").select(
         "ts", (F.col("user_id") % 4).alias("job"), (F.col("event_type") == "purchase").alias("ok")
     )
     operating = (F.hour("slot_start") * 60 + F.minute("slot_start")).between(270, 1230)
     # 65 slots a day from 04:30 to 20:30.
-    out = jobs.reliability_gate(s, "ts", ["job"], "ok", "15 minutes", "7 days", operating, 7 * 65)
-    return jobs.run_to_table(jobs.ntz(out, "window_start", "window_end"), "reliability-gate")
+    return jobs.reliability_gate(s, "ts", ["job"], "ok", "15 minutes", "7 days", operating, 7 * 65)
+
+
+@query(
+    "stream_reliability_gate",
+    "T6",
+    f"WITH {GATE_SQL} SELECT job, window_start, window_start + INTERVAL '7 days' AS window_end, CAST(455 AS BIGINT) AS expected, executed, generated, night_waits FROM g",
+)
+def _(t: Tables):
+    return jobs.run_to_table(jobs.ntz(weekly_gate(t), "window_start", "window_end"), "reliability-gate")
+
+
+@query(
+    "stream_registered_gate",
+    "T6 A15",
+    f"""WITH {GATE_SQL},
+       e AS (SELECT DISTINCT job, unnest(generate_series(time_bucket(INTERVAL '7 days', from_ts, TIMESTAMP '1970-01-01 00:00:00'), coalesce(to_ts - INTERVAL '1 microsecond', mark), INTERVAL '7 days')) AS window_start FROM job_register, w),
+       x AS (SELECT job, window_start, e.job IS NOT NULL AS registered, executed, generated, night_waits FROM (SELECT e.* FROM e, w WHERE window_start + INTERVAL '7 days' <= mark) e FULL JOIN g USING (job, window_start))
+       SELECT job, window_start, window_start + INTERVAL '7 days' AS window_end, registered, CAST(CASE WHEN registered THEN 455 ELSE 0 END AS BIGINT) AS expected,
+         coalesce(executed, 0) AS executed, coalesce(generated, 0) AS generated, coalesce(night_waits, 0) AS night_waits FROM x""",
+)
+def _(t: Tables):
+    # The register lands as a table of its own.
+    path = shared_dir(t.spark, "job-register")
+    t.job_register.write.parquet(path)
+    register = jobs.landing_stream(t.spark, path, t.job_register.schema)
+    week = heartbeat.expected_periods(weekly_gate(t).drop("expected"), register, ["job"], ["executed", "generated", "night_waits"], 7 * 86400, 7 * 65)
+    return jobs.run_to_table(jobs.ntz(week, "window_start", "window_end"), "registered-gate", stateful=True)
 
 
 @query(

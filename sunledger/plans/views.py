@@ -219,6 +219,13 @@ class Tables:
             "value",
         )
 
+    @cached_property
+    def job_register(self) -> DataFrame:
+        """Jobs with the dates from and to which they should run; some never do, and some run on after their end."""
+        begin = shift_seconds(F.lit("2023-12-20 00:00:00").cast("timestamp_ntz"), F.col("n_regionkey") * 5 * 86400)
+        rows = self.table("nation").where("n_nationkey < 6").select(F.col("n_nationkey").cast("bigint").alias("job"), begin.alias("from_ts"))
+        return rows.withColumn("to_ts", F.when(F.col("job") % 3 == 2, shift_seconds("from_ts", F.lit(21 * 86400))))
+
     @cached_property
     def required(self) -> DataFrame:
         return small_table(self.spark, REQUIRED, "model string, feed string")

@@ -124,7 +124,7 @@ def live_inputs(
 ) -> DataFrame:
     """Input rows of all asks as the streams go on; the same columns as ``training_inputs``.
 
-    The three streams carry watermarks on ``received``, ``ts`` and ``issue`` (TIMESTAMP). Issues are full minutes. The row of an issue comes out
+    The three streams carry watermarks on ``received``, ``ts`` and ``issue`` (TIMESTAMP); after a restart the clock waits until each has had a row again. Issues are full minutes. The row of an issue comes out
     when all three watermarks have passed it by ``spec.slack_us``. Versions without all of ``needed``, and readings without a value, count as
     absent. An observation from the future is used no longer than a current one would be. Asks may repeat; each has a row.
     """

@@ -169,3 +169,37 @@ def test_bounded_batches_lose_nothing(spark, tmp_path):
             n, s = want.get((feed, ts.replace(minute=0)), (0, 0.0))
             want[feed, ts.replace(minute=0)] = n + 1, s + v
     assert len(totals[0]) == len(want) and {r[2:] for r in totals[0]} == set(want.values())
+
+
+def test_silent_periods_have_rows(spark, tmp_path):
+    from sunledger.streaming import heartbeat
+
+    register = "feed string, from_ts timestamp_ntz, to_ts timestamp_ntz"
+
+    def run():
+        src = spark.readStream.schema(spark.createDataFrame([], SCHEMA).schema).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+        spans = spark.readStream.schema(spark.createDataFrame([], register).schema).option("recursiveFileLookup", "true").parquet(f"{tmp_path}/register")
+        day = jobs.tumbling(jobs.event_time(src, "ts", "0 seconds"), "ts", "1 day", ["feed"], [F.count("*").alias("executed"), F.count("v").alias("generated")])
+        out = jobs.ntz(heartbeat.expected_periods(day, spans, ["feed"], ["executed", "generated"], 86400, 24), "window_start", "window_end")
+        got = jobs.run_to_table(out, "p", location=f"{tmp_path}/job", stateful=True, state_partitions=2)
+        return sorted((r["feed"], r["window_start"].day, r["registered"], r["expected"], r["executed"], r["generated"]) for r in got.collect())
+
+    def land(k, *rows):
+        frame(spark, SCHEMA, *rows).coalesce(1).write.parquet(f"{tmp_path}/in/f{k}")
+
+    frame(spark, register, ("a", t(6), None), ("b", t(0), t(0, d=3)), ("b", t(12, d=5), t(13, d=5)), ("silent", t(0, d=2), None)).coalesce(1).write.parquet(f"{tmp_path}/register/r0")
+    land(0, ("a", t(1), 1, 1.0), ("a", t(2), 2, None), ("b", t(1, d=2), 3, 1.0), ("x", t(1, d=2), 4, 1.0))
+    run()
+    land(1, ("a", t(9, d=2), 5, 1.0))
+    first = [("a", 1, True, 24, 2, 1), ("b", 1, True, 24, 0, 0)]
+    assert run() == first
+    # The clock jumps over days without any row; ``b`` runs on after its end.
+    land(2, ("b", t(3, d=4), 6, 1.0), ("a", t(1, d=7), 7, 1.0))
+    frame(spark, register, ("new", t(0, d=6), None)).coalesce(1).write.parquet(f"{tmp_path}/register/r1")
+    want = [
+        *first, ("a", 2, True, 24, 1, 1), *[("a", k, True, 24, 0, 0) for k in (3, 4, 5, 6)], ("b", 2, True, 24, 1, 1), ("b", 4, False, 0, 1, 1), ("b", 5, True, 24, 0, 0),
+        ("new", 6, True, 24, 0, 0), *[("silent", k, True, 24, 0, 0) for k in (2, 3, 4, 5, 6)], ("x", 2, False, 0, 1, 1),
+    ]
+    assert run() == sorted(want)
+    land(3, ("a", t(1, d=9), 8, 1.0))
+    assert run() == sorted([*want, ("a", 7, True, 24, 1, 1), ("a", 8, True, 24, 0, 0), *[(f, k, True, 24, 0, 0) for f in ("silent", "new") for k in (7, 8)]])
