@@ -73,9 +73,36 @@ def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> Data
     return spark.createDataFrame(table, fields)
 
 
-def materialize(df: DataFrame, purpose: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back; later branches do not recompute it."""
+def materialize(df: DataFrame, purpose: str, release_with: Scratch | None = None) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back; later branches do not recompute it.
+
+    A table that only an operator's own steps read can be handed to ``release_with``, which deletes it when they are done.
+    """
     spark = df.sparkSession
     path = shared_dir(spark, purpose)
+    if release_with is not None:
+        release_with.hold(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+class Scratch:
+    """Tables of the shared folder that are deleted together once nothing reads them any more: ``with Scratch(spark) as scratch``.
+
+    What leaves the block must be written by then, as a lost executor may have it computed again.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def hold(self, path: str) -> None:
+        self.paths.append(path)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        context = self.spark.sparkContext
+        for path in self.paths:
+            at = context._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(context._jsc.hadoopConfiguration()).delete(at, True)
