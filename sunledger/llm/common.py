@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +21,14 @@ def fold(doc_id: Column, folds: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds
 
 
+def fresh(columns: Iterable[str], name: str) -> str:
+    """``name``, with underscores added until no column has it (Spark does not tell case apart)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_steps(texts: pa.Array | pa.ChunkedArray, limit: int = TEXT_BATCH_BYTES) -> Iterator[tuple[int, list[str]]]:
     """(first row, texts) in steps of about ``limit`` characters; NULL becomes ''."""
     start, size, step = 0, 0, []

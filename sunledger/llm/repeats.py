@@ -1,6 +1,6 @@
 """Removal of long byte strings that stand anywhere else too, by sorting suffixes of the places where that can be.
 
-1. Every window of ``size`` bytes has an anchor, the least hash among its 96-byte strings (leftmost on ties), so equal windows
+1. Every window of ``size`` bytes has an anchor, the least hash among its strings of 96 bytes or a quarter of ``size`` (leftmost on ties), so equal windows
    have the same anchor at the same offset. Neighbouring windows with one anchor form a run.
 2. Anchors that stand once are done. Runs of the others fold by their text: a run whose whole text stands twice is a repeat.
 3. Different runs of one anchor are the edges of repeats. If an anchor has more than ``CROWD``, they are cut into parts by the
@@ -23,11 +23,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
-from sunledger.llm.common import BASE, GOLD, INVERSE, _grown, distinct_sorted, map_arrow, mix64, span_hashes
+from sunledger.llm.common import BASE, GOLD, INVERSE, _grown, distinct_sorted, fresh, map_arrow, mix64, span_hashes
 from sunledger.llm.suffixes import Scratch, blocks, suffix_array
+from sunledger.session import Scratch as Tables
 from sunledger.session import materialize
 
-ANCHOR = 96
+ANCHOR = 96  # at most; a quarter of the window if that is less
 STEP_BYTES = 1 << 20
 SHARD_BYTES = 12 << 20
 CELL = 16  # windows with neighbouring offsets that are judged by their common middle
@@ -40,6 +41,10 @@ _RANDOM = np.random.default_rng(2024).integers(1, 2**63, (2, 256), dtype=np.uint
 PLACE = np.uint64((1 << 24) - 1)
 
 
+def anchor_bytes(size: int) -> int:
+    return max(1, min(ANCHOR, size // 4))
+
+
 def byte_column(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a binary column and where each row begins (one more at the end); NULL is empty."""
     column = column.cast(pa.binary()).fill_null(b"")
@@ -64,13 +69,14 @@ def runs_of(data: np.ndarray, bounds: np.ndarray, size: int) -> dict[str, np.nda
     empty = {k: np.zeros(0, np.int64) for k in ("row", "first", "n", "offset", "anchor", "h1", "h2")}
     if n < size:
         return empty
-    width = size - ANCHOR + 1
+    anchor_size = anchor_bytes(size)
+    width = size - anchor_size + 1
     with np.errstate(over="ignore"):
         up, down = _grown("up", BASE, n), _grown("down", INVERSE, n + 1)
         sums = np.zeros((2, n + 1), np.uint64)
         for s, random in zip(sums, _RANDOM):
             np.cumsum(random[data] * up, out=s[1:])
-        grams = mix64((sums[0][ANCHOR:] - sums[0][:-ANCHOR]) * down[: n - ANCHOR + 1])
+        grams = mix64((sums[0][anchor_size:] - sums[0][:-anchor_size]) * down[: n - anchor_size + 1])
         least = least_in_windows((grams & ~PLACE) | np.arange(len(grams), dtype=np.uint64), width)
         anchor = (least & PLACE).astype(np.int64)
         row = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))[: len(anchor)]
@@ -235,7 +241,7 @@ def piece_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, inner: np
     return out
 
 
-def folded(rows: DataFrame, pieces: DataFrame, size: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+def folded(rows: DataFrame, pieces: DataFrame, size: int, scratch: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(spans of pieces whose whole text stands twice, pieces to be sorted, pieces of parts with more than CROWD texts), with one piece for each text.
 
     All windows of a part (anchor, ``low`` to ``high``) hold the same ``middle`` around the anchor. A text whose middle no other text of its part
@@ -255,15 +261,15 @@ def folded(rows: DataFrame, pieces: DataFrame, size: int) -> tuple[DataFrame, Da
             columns = [c["anchor"], c["low"].astype(np.int32), h[2], batch.column("rid").to_numpy()[which], c["first"], c["n"].astype(np.int32), c["offset"].astype(np.int32), c["high"].astype(np.int32), h[0], h[1]]
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=[*PIECE, "high", "h1", "h2"])
 
-    cuts = materialize(cuts_of(pieces, size).select("rid", "cuts"), "piece-cuts")
+    cuts = materialize(cuts_of(pieces, size).select("rid", "cuts"), "piece-cuts", scratch)
     if cuts.isEmpty():  # without a crowd the texts are not read again
         none = rows.sparkSession.createDataFrame([], PIECES + ", high int")
         return none.selectExpr("rid", "first as start", "first as end"), none, none
     hashed = map_arrow(rows.join(cuts, "rid").select("rid", "bytes", "cuts"), run, PIECES + ", high int, h1 bigint, h2 bigint", rows=200)
-    hashed = materialize(hashed, "piece-hashes")
+    hashed = materialize(hashed, "piece-hashes", scratch)
     part, text = ["anchor", "low", "middle"], ["anchor", "low", "middle", "n", "offset", "h1", "h2"]
     texts = hashed.groupBy(*text, "high").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("rid", "first")).alias("one"))
-    texts = materialize(texts, "piece-texts")
+    texts = materialize(texts, "piece-texts", scratch)
     again = hashed.join(texts.where("copies > 1").select(*text), text, "left_semi")
     spans = again.select("rid", F.col("first").alias("start"), (F.col("first") + F.col("n") - 1 + size).alias("end"))
     several = texts.groupBy(*part).agg(F.count(F.lit(1)).alias("v")).where("v > 1")
@@ -273,17 +279,25 @@ def folded(rows: DataFrame, pieces: DataFrame, size: int) -> tuple[DataFrame, Da
 
 
 def repeated_spans(rows: DataFrame, size: int) -> DataFrame:
-    """(rid, start, end): byte ranges of (rid, bytes) covered by windows that start anywhere else too; they may overlap."""
-    runs = materialize(find_runs(rows, size), "runs")
+    """(rid, start, end): byte ranges of (rid, bytes) covered by windows that start anywhere else too; they may overlap.
+
+    The result is a written table; the tables on the way to it are deleted.
+    """
+    with Tables(rows.sparkSession) as scratch:
+        return _repeated_spans(rows, size, scratch)
+
+
+def _repeated_spans(rows: DataFrame, size: int, scratch: Tables) -> DataFrame:
+    runs = materialize(find_runs(rows, size), "runs", scratch)
     shared = runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("anchor")
-    runs = materialize(runs.join(shared, "anchor", "left_semi"), "shared-runs")
+    runs = materialize(runs.join(shared, "anchor", "left_semi"), "shared-runs", scratch)
     texts = runs.groupBy("anchor", "h1", "h2").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("rid", "first", "n", "offset")).alias("one"))
-    texts = materialize(texts, "run-texts")
+    texts = materialize(texts, "run-texts", scratch)
     whole = runs.join(texts.where("copies > 1").select("anchor", "h1", "h2"), ["anchor", "h1", "h2"], "left_semi")
     whole = whole.select("rid", F.col("first").alias("start"), (F.col("first") + F.col("n") - 1 + size).alias("end"))
 
     # Edges: anchors with several different runs. Equal windows have the anchor at one offset, so a crowd is cut by offset.
-    width = size - ANCHOR + 1
+    width = size - anchor_bytes(size) + 1
     several = texts.groupBy("anchor").agg(F.count(F.lit(1)).alias("v")).where("v > 1")
     parts = F.least(F.lit(width), F.ceil(F.col("v") / CROWD)).cast("int")
     pieces = texts.join(several, "anchor").select("anchor", "one.*", parts.alias("parts"))
@@ -291,12 +305,12 @@ def repeated_spans(rows: DataFrame, size: int) -> DataFrame:
     crowd = pieces.where("parts > 1").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     low, high = F.ceil(F.col("part") * width / F.col("parts")), F.ceil((F.col("part") + 1) * width / F.col("parts")) - 1
     crowd = windows_between(crowd.withColumns({"low": low.cast("int"), "high": high.cast("int")}))
-    crowd_spans, still, thronged = folded(rows, crowd, size)
+    crowd_spans, still, thronged = folded(rows, crowd, size, scratch)
     # Parts with many different texts, as where a passage ends: single windows, which their hashes decide.
     single = thronged.withColumn("low", F.explode(F.sequence(F.col("offset") - F.col("n") + 1, F.col("offset")))).withColumn("high", F.col("low"))
-    single_spans, _, _ = folded(rows, windows_between(single), size)
+    single_spans, _, _ = folded(rows, windows_between(single), size, scratch)
 
-    cuts = materialize(cuts_of(few.unionByName(still.select(*few.columns)), size), "cuts")
+    cuts = materialize(cuts_of(few.unionByName(still.select(*few.columns)), size), "cuts", scratch)
     total = cuts.agg(F.sum("size")).first()[0] or 0
 
     def cut(batches):
@@ -339,21 +353,27 @@ def remove_repeats(docs: DataFrame, size: int = 400, as_text: bool = False) -> D
 
     A byte of the column text, as UTF-8, goes if a string of ``size`` bytes that covers it also starts anywhere else, in
     another row or in the same text, judged on the input. Repeated rows are rows of their own, so their texts repeat each other. A
-    NULL or empty text, or one shorter than ``size``, keeps all it has. All other columns pass through unread.
+    NULL or empty text, or one shorter than ``size``, keeps all it has. All other columns pass through unread; the new names must not be among them.
 
     Rows are numbered once and written with their numbers, as another job may read ``docs`` in other splits.
     """
-    numbered = materialize(docs.withColumn("__rid", F.monotonically_increasing_id()), "numbered")
-    rows = numbered.select(F.col("__rid").alias("rid"), F.col("text").cast("string").cast("binary").alias("bytes"))
-    spans = repeated_spans(rows, size).groupBy("rid").agg(F.collect_list(F.struct("start", "end")).alias("__spans"))
-    joined = numbered.join(spans.withColumnRenamed("rid", "__rid"), "__rid", "left").withColumn("__bytes", F.col("text").cast("string").cast("binary"))
+    result = [*RESULT[:3], StructField("__text", StringType())] if as_text else RESULT
+    made = [f.name for f in result]
+    clash = {m for m in made if fresh(docs.columns, m) != m}
+    if clash:
+        raise ValueError(f"columns {sorted(clash)} exist already")
+    row, ranges, raw = (fresh(docs.columns, n) for n in ("__rid", "__spans", "__bytes"))
+    numbered = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    rows = numbered.select(F.col(row).alias("rid"), F.col("text").cast("string").cast("binary").alias("bytes"))
+    spans = repeated_spans(rows, size).groupBy("rid").agg(F.collect_list(F.struct("start", "end")).alias(ranges))
+    joined = numbered.join(spans.withColumnRenamed("rid", row), row, "left").withColumn(raw, F.col("text").cast("string").cast("binary"))
     names = docs.columns
 
     def run(batches):
         for batch in batches:
-            data, offsets = byte_column(batch.column("__bytes"))
+            data, offsets = byte_column(batch.column(raw))
             out: list[list] = [[] for _ in RESULT]
-            for i, spans in enumerate(batch.column("__spans").to_pylist()):
+            for i, spans in enumerate(batch.column(ranges).to_pylist()):
                 own = data[offsets[i] : offsets[i + 1]]
                 a, b = merged(spans)
                 keep = np.ones(len(own), bool)
@@ -365,6 +385,4 @@ def remove_repeats(docs: DataFrame, size: int = 400, as_text: bool = False) -> D
             kinds = [pa.int64()] * 3 + [pa.string() if as_text else pa.binary()]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), *(pa.array(c, k) for c, k in zip(out, kinds))], names=[*names, *made])
 
-    result = [*RESULT[:3], StructField("__text", StringType())] if as_text else RESULT
-    made = [f.name for f in result]
-    return map_arrow(joined.select(*names, "__spans", "__bytes"), run, StructType([*docs.schema.fields, *result]), rows=500)
+    return map_arrow(joined.select(*names, ranges, raw), run, StructType([*docs.schema.fields, *result]), rows=500)

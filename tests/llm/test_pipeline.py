@@ -1,6 +1,7 @@
 """The pipeline stage by stage, and that every registered query gives its contract's columns."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from __spark_entry__ import queries
@@ -89,3 +90,29 @@ def test_cut_texts_stay_text(spark):
     docs = spark.createDataFrame([(1, "a\ufffdé" + tail), (2, "b©" + tail)], "doc_id int, text string").coalesce(1)
     rows = {r["doc_id"]: r["text"] for r in corpus_pipeline.repeated_passages(spark, docs, SF).collect()}
     assert rows == {1: "a\ufffd", 2: "b"}
+
+
+CLASHES = ("__row", "__rid", "__RID", "__spans", "__bytes", "__n_bytes", "__n_removed", "__text", "__language", "__score", "__quality")
+
+
+@pytest.mark.parametrize("name", CLASHES)
+def test_extra_columns_keep_their_values(spark, name):
+    body = " ".join(f"shared{i}" for i in range(60))
+    rows = [(k, f"{'lorem ipsum und der the of and to ' * 4} own{k} {body}", 7 * k) for k in range(4)]
+    docs = spark.createDataFrame(rows, f"doc_id bigint, text string, `{name}` bigint").withColumn("lang", F.lit("en")).withColumn("source", F.lit("s")).coalesce(1)
+    for stage in (corpus_pipeline.near_duplicates, corpus_pipeline.repeated_passages):
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns
+        assert all(r[name] == 7 * r["doc_id"] for r in out.collect())
+    assert corpus_pipeline.language(spark, docs, SF).columns == docs.columns
+
+
+def test_passages_of_51_words_are_caught(spark):
+    passage = " ".join(f"pa{i}s" for i in range(51))
+    assert 250 < len(passage) <= 310
+    texts = [" ".join(f"d{k}w{i}" for i in range(80)) for k in range(3)]
+    rows = [(k, f"{t} {passage} {t[::-1]}") for k, t in enumerate(texts)] + [(3, texts[0][:150]), (4, passage)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string").coalesce(1)
+    left = {r["doc_id"]: r["text"] for r in corpus_pipeline.repeated_passages(spark, docs, SF).collect()}
+    assert all("pa20s" not in (left[k] or "") for k in (0, 1, 2, 4)) and left[3] == texts[0][:150]
+    assert all(left[k].startswith(texts[k][:400]) for k in (0, 1, 2))
