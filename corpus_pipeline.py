@@ -13,43 +13,52 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sunledger.llm import langid, minhash, packing, quality, repeats
+from sunledger.llm.common import fresh
 from sunledger.session import materialize
 
 LEAST_LANGUAGE_SCORE = 0.5  # calibrated probability of the best language
 LEAST_QUALITY_SCORE = 0.5
+REPEATED_BYTES = 200  # below the length of any passage of more than 50 words (51 short words of the given tables have about 300 bytes)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text has a letter and whose language is more likely than not."""
     model = langid.train(docs, ~langid.held_out(F.col("doc_id")))
-    scored = langid.predict(docs, model, label="__language", score="__score")
-    return scored.where((F.col("__language") != langid.UNKNOWN) & (F.col("__score") >= LEAST_LANGUAGE_SCORE)).select(*docs.columns)
+    label, score = fresh(docs.columns, "__language"), fresh(docs.columns, "__score")
+    scored = langid.predict(docs, model, label=label, score=score)
+    return scored.where((F.col(label) != langid.UNKNOWN) & (F.col(score) >= LEAST_LANGUAGE_SCORE)).select(*docs.columns)
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier holds for label 1."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = quality.train(docs, labels, ~quality.held_out(F.col("doc_id")))
-    return quality.score(docs, model, name="__quality").where(F.col("__quality") >= LEAST_QUALITY_SCORE).select(*docs.columns)
+    name = fresh(docs.columns, "__quality")
+    return quality.score(docs, model, name=name).where(F.col(name) >= LEAST_QUALITY_SCORE).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class: the one that is read first."""
     # Written with its numbers, as another job may read the documents in other splits.
-    numbered = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
-    found = minhash.classes(numbered.select(F.col("__row").alias("id"), "text"), threshold=0.8)
-    gone = materialize(found.where("class_id <> id").select(F.col("id").alias("__row")), "near-duplicates")
-    return numbered.join(gone, "__row", "left_anti").select(*docs.columns)
+    row = fresh(docs.columns, "__row")
+    numbered = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    found = minhash.classes(numbered.select(F.col(row).alias("id"), "text"), threshold=0.8)
+    gone = materialize(found.where("class_id <> id").select(F.col("id").alias(row)), "near-duplicates")
+    return numbered.join(gone, row, "left_anti").select(*docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the byte strings of 400 and more that stand anywhere else too; half characters at a cut go as well."""
-    cut = repeats.remove_repeats(docs, size=400, as_text=True)
+    """All documents, without the byte strings of ``REPEATED_BYTES`` and more that stand anywhere else too; half characters at a cut go as well.
+
+    Columns of ``docs`` whose names ``remove_repeats`` gives to its own results step aside while it runs.
+    """
+    aside = {c: fresh(docs.columns, f"{c}_aside") for c in docs.columns if c.lower() in ("__n_bytes", "__n_removed", "__n_spans", "__text")}
+    cut = repeats.remove_repeats(docs.withColumnsRenamed(aside), size=REPEATED_BYTES, as_text=True)
     changed = F.col("__n_removed") > 0
     out = cut.withColumn("text", F.when(changed, F.col("__text")).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(changed, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+    return out.select(*[F.col(aside.get(c, c)).alias(c) for c in docs.columns])
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
