@@ -50,8 +50,20 @@ def arrow_rows(batches: Iterator[pa.RecordBatch], rows: int = 2000) -> Iterator[
             yield batch.slice(at, rows)
 
 
+BATCH_BYTES_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 8 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Batches on their way to a worker hold at most ``BATCH_BYTES`` (or one row), in the JVM and in the worker; a session with a lower bound keeps it."""
+    now = spark.conf.get(BATCH_BYTES_KEY, None)
+    if now is None or now == f"{64 << 20}b":  # Spark's default
+        spark.conf.set(BATCH_BYTES_KEY, str(BATCH_BYTES))
+
+
 def map_arrow(df: DataFrame, fn: Callable, schema: str, rows: int = 2000) -> DataFrame:
-    """``mapInArrow`` with batches of bounded rows."""
+    """``mapInArrow`` with batches of bounded rows and bytes."""
+    bound_batches(df.sparkSession)
 
     def run(batches):
         yield from fn(arrow_rows(batches, rows))
