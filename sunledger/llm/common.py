@@ -67,6 +67,7 @@ def map_arrow(df: DataFrame, fn: Callable, schema: str, rows: int = 2000) -> Dat
 
     def run(batches):
         yield from fn(arrow_rows(batches, rows))
+        pa.default_memory_pool().release_unused()  # workers live on to later stages
 
     return df.mapInArrow(run, schema)
 

@@ -29,8 +29,8 @@ from sunledger.session import Scratch as Tables
 from sunledger.session import materialize
 
 ANCHOR = 96  # at most; a quarter of the window if that is less
-STEP_BYTES = 1 << 20
-SHARD_BYTES = 12 << 20
+STEP_BYTES = 1 << 18
+SHARD_BYTES = 8 << 20
 CELL = 16  # windows with neighbouring offsets that are judged by their common middle
 CROWD = 512  # different runs of one anchor, or texts of one part of it, that share a shard; more are split by offset and folded
 RUNS = "anchor bigint, h1 bigint, h2 bigint, rid bigint, first bigint, n int, offset int"
