@@ -452,19 +452,19 @@ def _(t: Tables):
 @query(
     "fill_error_by_volatility",
     "W17",
-    f"""WITH {HOURLY_SQL}, q AS (SELECT DISTINCT unit, mask_start, case_no, abs(right_kw - left_kw) AS change FROM z WHERE mask_slots = 2),
-          b AS (SELECT *, ntile(4) OVER (ORDER BY change, case_no) AS quartile FROM q)
-        SELECT CAST(quartile AS INTEGER) AS quartile, CAST(count(*) AS BIGINT) AS n,
+    f"""WITH {HOURLY_SQL}, q AS (SELECT DISTINCT mask_slots, unit, mask_start, case_no, abs(right_kw - left_kw) AS change FROM z),
+          b AS (SELECT *, ntile(4) OVER (PARTITION BY mask_slots ORDER BY change, case_no) AS quartile FROM q)
+        SELECT CAST(mask_slots AS BIGINT) AS mask_slots, CAST(quartile AS INTEGER) AS quartile, CAST(count(*) AS BIGINT) AS n,
           round(avg(abs(left_kw + (right_kw - left_kw) * (pos + 1) / (mask_slots + 1) - actual)), 4) AS linear_mae
-        FROM z JOIN b USING (unit, mask_start, case_no) WHERE mask_slots = 2 GROUP BY 1""",
+        FROM z JOIN b USING (mask_slots, unit, mask_start, case_no) GROUP BY 1, 2""",
 )
 def _(t: Tables):
-    rows = rebuilt(t).where(F.col("mask_slots") == 2)
-    cases = rows.groupBy("case_no").agg(F.max(F.abs(F.col("right_kw") - F.col("left_kw"))).alias("change"))
-    # The sampled cases are at most the sample size, so one ranked partition is bounded.
-    ranked = cases.withColumn("quartile", F.ntile(4).over(Window.orderBy("change", "case_no"))).drop("change")
+    rows = rebuilt(t)
+    cases = rows.groupBy("mask_slots", "case_no").agg(F.max(F.abs(F.col("right_kw") - F.col("left_kw"))).alias("change"))
+    # The sampled cases of a length are at most the sample size, so a ranked partition is bounded.
+    ranked = cases.withColumn("quartile", F.ntile(4).over(Window.partitionBy("mask_slots").orderBy("change", "case_no"))).drop("change")
     return (
-        rows.join(ranked, "case_no")
-        .groupBy("quartile")
+        rows.join(ranked, ["mask_slots", "case_no"])
+        .groupBy("mask_slots", "quartile")
         .agg(F.count("*").alias("n"), F.round(F.avg(F.abs(F.col("linear") - F.col("actual"))), 4).alias("linear_mae"))
     )
