@@ -1,5 +1,6 @@
 """Language and quality models: gradients, sparsity, held-out accuracy, odd rows."""
 
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -54,11 +55,53 @@ def test_temperature_softens_wrong_confidence():
     assert langid.fit_temperature(logits[:0], np.array([], int)) == 1.0
 
 
+def test_temperature_of_rows_that_are_all_told_right():
+    logits = np.array([[4.0, 0.0], [0.0, 4.0]] * 20)
+    t = np.log(langid.fit_temperature(logits, np.array([0, 1] * 20)))
+    assert langid.COLDEST + 1 < t < langid.HOTTEST - 1
+    # Labels 21/22 and 1/22: the best logit is their log ratio.
+    assert np.isclose(4 / np.exp(t), np.log(21), atol=1e-3)
+
+
 def test_language_on_held_out_rows(documents):
     model = langid.train(documents, ~langid.held_out(F.col("doc_id")), per_language=400)
     rows = langid.predict(documents.where(langid.held_out(F.col("doc_id"))), model).collect()
-    assert np.mean([r["lang_pred"] == r["lang"] for r in rows]) > 0.98
-    assert all(0 <= r["score"] <= 1 for r in rows) and (model.weights == 0).mean() > 0.5
+    right = np.array([r["lang_pred"] == r["lang"] for r in rows])
+    score = np.array([r["score"] for r in rows])
+    assert right.mean() > 0.98
+    assert ((0 <= score) & (score <= 1)).all() and (model.weights == 0).mean() > 0.5
+    assert langid.COLDEST + 1 < np.log(model.temperature) < langid.HOTTEST - 1
+    # Ten bins: where rows are many, those of a bin are right at least as often as their scores say, but for a tenth.
+    for b in range(10):
+        bin_ = (score * 10).astype(int).clip(0, 9) == b
+        assert bin_.sum() < 50 or right[bin_].mean() > score[bin_].mean() - 0.1
+    # A script or a handful of letters that was not learned lies clearly below.
+    foreign = [p for _, p in model.predict(["これは日本語の文章です。" * 20, "Это русский текст для проверки " * 9, "xyz"])]
+    assert max(foreign) < 0.5 < np.quantile(score, 0.01)
+
+
+def test_long_texts_are_counted_in_steps():
+    random_ = np.random.default_rng(5)
+    text = "".join(random_.choice(list("abcÄß  .7\nΣ"), 5000))
+    for t in (text, "x" * 999, "..a", "a..", "7", "", "ΑΣ ΑΣ"):
+        want = langid.gram_counts([t])[0]
+        for step in (1, 2, 3, 7, 1000, 4999):
+            got = langid.long_counts(t, step)
+            assert (got is None) == (want is None)
+            assert got is None or ((got[0] == want[0]).all() and (got[1] == want[1]).all())
+
+
+def test_memory_of_a_long_text_is_bounded():
+    text = "le chat noir dort " * 1_700_000  # 30 million characters
+    tracemalloc.start()
+    try:
+        grams = langid.gram_counts([text, "le chat"])
+        share = langid.evidence(text, langid.letters())
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert grams[0][1].sum() == 3 * (len(text) + 1) - 3 and share > 0.99
+    assert peak < 200 << 20
 
 
 def test_language_of_odd_rows(nasty, empty):
