@@ -16,17 +16,18 @@ from sunledger.llm import langid, minhash, packing, quality, repeats
 from sunledger.llm.common import fresh
 from sunledger.session import materialize
 
-LEAST_LANGUAGE_SCORE = 0.5  # calibrated probability of the best language
+LEAST_ADVANTAGE = 0.05  # of the way from an even share for each language to certainty; short clean documents stay, unknown scripts go
 LEAST_QUALITY_SCORE = 0.5
 REPEATED_BYTES = 200  # below the length of any passage of more than 50 words (51 short words of the given tables have about 300 bytes)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text has a letter and whose language is more likely than not."""
+    """Documents whose text has a letter and for one language more evidence than an even share of all."""
     model = langid.train(docs, ~langid.held_out(F.col("doc_id")))
     label, score = fresh(docs.columns, "__language"), fresh(docs.columns, "__score")
     scored = langid.predict(docs, model, label=label, score=score)
-    return scored.where((F.col(label) != langid.UNKNOWN) & (F.col(score) >= LEAST_LANGUAGE_SCORE)).select(*docs.columns)
+    even = 1 / max(1, len(model.languages))
+    return scored.where((F.col(label) != langid.UNKNOWN) & (F.col(score) >= even + LEAST_ADVANTAGE * (1 - even))).select(*docs.columns)
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
