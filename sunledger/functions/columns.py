@@ -67,6 +67,11 @@ def slot_start(ts: str | Column, minutes: int) -> Column:
     return F.timestamp_seconds(s - F.pmod(s, F.lit(width))).cast("timestamp_ntz")
 
 
+def as_time(at: str | Column) -> Column:
+    """A wall-clock time from its text; a column stays as it is."""
+    return F.lit(at).cast("timestamp_ntz") if isinstance(at, str) else at
+
+
 def shift_seconds(ts: str | Column, seconds: int | Column) -> Column:
     """``ts`` moved by a number of seconds; keeps the sub-second part and TIMESTAMP_NTZ."""
     step = seconds if isinstance(seconds, Column) else F.lit(seconds)

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sunledger.functions.columns import epoch_micros, minutes_between, shift_seconds
+from sunledger.functions.columns import as_time, epoch_micros, minutes_between, shift_seconds
 from sunledger.operators.scans import MINUTE, scan, time_bucket
 
 
@@ -168,15 +168,16 @@ def revisions(fc: DataFrame, keys: Sequence[str], received: str, tie: str, value
 
 
 def lead_coverage(
-    fc: DataFrame, keys: Sequence[str], issue: str, lead: str, issue_hours: Sequence[int], leads: Sequence[int], first_day: str, last_day: str
+    fc: DataFrame, keys: Sequence[str], issue: str, lead: str, issue_hours: Sequence[int], leads: Sequence[int], first_day: str | Column, last_day: str | Column
 ) -> DataFrame:
     """Share of the days of a period on which each (issue hour, lead) cell exists.
 
     The period is given, so a day without any forecast counts; the keys are those of ``fc``.
     """
     day = F.col(issue).cast("date")
-    fc = fc.where(day.between(F.lit(first_day).cast("date"), F.lit(last_day).cast("date")))
-    n_days = F.datediff(F.lit(last_day).cast("date"), F.lit(first_day).cast("date")) + 1
+    first, last = as_time(first_day).cast("date"), as_time(last_day).cast("date")
+    fc = fc.where(day.between(first, last))
+    n_days = F.datediff(last, first) + 1
     days = fc.groupBy(*keys).agg(F.count("*").alias("_n")).select(*keys, n_days.cast("bigint").alias("expected_days"))
     cells = days.withColumn("issue_hour", F.explode(F.array(*[F.lit(h).cast("bigint") for h in issue_hours]))).withColumn(
         "lead_h", F.explode(F.sequence(F.lit(min(leads)).cast("bigint"), F.lit(max(leads)).cast("bigint")))

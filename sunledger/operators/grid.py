@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sunledger.functions.columns import as_ntz, col, epoch_seconds, hash_order, shift_seconds
+from sunledger.functions.columns import as_ntz, as_time, col, epoch_seconds, hash_order, shift_seconds
 from sunledger.operators.scans import DAY, scan, time_bucket, with_halo
 from sunledger.session import small_table
 
@@ -29,13 +29,13 @@ def slot_calendar(df: DataFrame, keys: Sequence[str], ts: str, minutes: int) ->
     ).select(*keys, as_ntz(F.col("_s")).alias(ts))
 
 
-def period_slots(register: DataFrame, ts: str, first: str, last: str, minutes: int) -> DataFrame:
+def period_slots(register: DataFrame, ts: str, first: str | Column, last: str | Column, minutes: int) -> DataFrame:
     """All slots of a stated period for each row of a register, whatever arrived. ``first`` is a slot; ``last`` lies in the last one.
 
     Days are exploded and spread before slots, so a long period is not one huge array.
     """
     width = minutes * 60
-    a, b = (epoch_seconds(F.lit(x).cast("timestamp_ntz")) for x in (first, last))
+    a, b = (epoch_seconds(as_time(x)) for x in (first, last))
     days = register.withColumn("_d", F.explode(F.sequence(a, b, F.lit(DAY).cast("bigint")))).repartition(*register.columns, "_d")
     slots = F.sequence("_d", F.least(F.col("_d") + (DAY - width), b), F.lit(width).cast("bigint"))
     return days.withColumn("_s", F.explode(slots)).select(*register.columns, as_ntz(F.col("_s")).alias(ts))

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sunledger.functions.columns import clip, col, epoch_seconds
+from sunledger.functions.columns import as_time, clip, col, epoch_seconds
 from sunledger.operators.scans import DAY, MINUTE, exact_quantiles, scan, time_bucket
 
 
@@ -225,7 +225,7 @@ def unit_ratio_fill(
 
 
 def silences(
-    readings: DataFrame, register: DataFrame, keys: Sequence[str], ts: str, minutes: int, min_slots: int, first: str, as_of: str
+    readings: DataFrame, register: DataFrame, keys: Sequence[str], ts: str, minutes: int, min_slots: int, first: str | Column, as_of: str | Column
 ) -> DataFrame:
     """Silences of at least ``min_slots`` slots per registered unit, from the slot ``first`` to the slot ``as_of``.
 
@@ -233,7 +233,7 @@ def silences(
     ``prev_slot`` either. The length counts the slots between, and none of them is filled.
     """
     width = minutes * 60
-    start, now = (F.lit(x).cast("timestamp_ntz") for x in (first, as_of))
+    start, now = as_time(first), as_time(as_of)
     known = readings.where(F.col(ts).between(start, now)).select(*keys, ts)
     prev = scan(known, keys, time_bucket(ts, 7 * DAY), [ts], before={"prev_slot": F.col(ts)})
     closed = prev.select(*keys, "prev_slot", F.col(ts).alias("next_slot"))

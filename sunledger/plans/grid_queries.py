@@ -13,7 +13,9 @@ from sunledger.plans.registry import query
 from sunledger.plans.views import Tables
 from sunledger.session import small_table
 
-LIVE_FROM = "2024-01-22 00:00:00"
+FIRST_SQL, END_SQL = "(SELECT a FROM log_period)", "(SELECT z FROM log_period)"  # of the logs, whatever their year
+LIVE_AFTER_DAYS = 21
+LIVE_SQL = f"{FIRST_SQL} + INTERVAL '{LIVE_AFTER_DAYS} days'"
 
 
 def units(t: Tables):
@@ -21,8 +23,8 @@ def units(t: Tables):
     return small_table(t.spark, [(u,) for u in ("click", "view", "purchase", "signup", "error", "spare")], "unit string")
 
 
-def live_from():
-    return F.lit(LIVE_FROM).cast("timestamp_ntz")
+def live_from(t: Tables):
+    return C.shift_seconds(t.first, LIVE_AFTER_DAYS * 86400)
 
 
 # --- parsing and states ------------------------------------------------------------------------
@@ -129,15 +131,15 @@ def _(t: Tables):
 @query(
     "slot_states",
     "P20",
-    """SELECT unit, slot, CASE WHEN kw IS NOT NULL THEN 'observed' WHEN slot > a THEN 'future' ELSE 'missing' END AS state
-       FROM (SELECT u.unit, u.slot, r.kw, TIMESTAMP '2024-01-30 11:50:00' AS a FROM (SELECT unit, unnest(generate_series(TIMESTAMP '2024-01-01 00:00:00',
-           TIMESTAMP '2024-01-30 23:45:00', INTERVAL '15 minutes')) AS slot FROM (VALUES ('click'), ('view'), ('purchase'), ('signup'), ('error'), ('spare')) AS v(unit)) u
+    f"""SELECT unit, slot, CASE WHEN kw IS NOT NULL THEN 'observed' WHEN slot > a THEN 'future' ELSE 'missing' END AS state
+       FROM (SELECT u.unit, u.slot, r.kw, {END_SQL} - INTERVAL '730 minutes' AS a FROM (SELECT unit, unnest(generate_series({FIRST_SQL},
+           {END_SQL} - INTERVAL '15 minutes', INTERVAL '15 minutes')) AS slot FROM (VALUES ('click'), ('view'), ('purchase'), ('signup'), ('error'), ('spare')) AS v(unit)) u
          LEFT JOIN readings r ON r.unit = u.unit AND r.slot = u.slot)""",
 )
 def _(t: Tables):
     # One clock and one register for all: a unit that is silent, or was never heard of, is missing and not in the future.
-    slots = grid.period_slots(units(t), "slot", "2024-01-01 00:00:00", "2024-01-30 23:45:00", 15)
-    now = F.lit("2024-01-30 11:50:00").cast("timestamp_ntz")
+    slots = grid.period_slots(units(t), "slot", t.first, C.shift_seconds(t.end, -900), 15)
+    now = C.shift_seconds(t.end, -730 * 60)
     rows = slots.join(t.readings, ["unit", "slot"], "left")
     return rows.select("unit", "slot", quality.slot_state("slot", "kw", now).alias("state"))
 
@@ -337,7 +339,7 @@ def _(t: Tables):
     return rounded(out, 8, "energy_kwh")
 
 
-PERIOD_SQL = f"CASE WHEN slot >= TIMESTAMP '{LIVE_FROM}' THEN 'live' ELSE 'archive' END"
+PERIOD_SQL = f"CASE WHEN slot >= {LIVE_SQL} THEN 'live' ELSE 'archive' END"
 
 
 @query(
@@ -345,24 +347,24 @@ PERIOD_SQL = f"CASE WHEN slot >= TIMESTAMP '{LIVE_FROM}' THEN 'live' ELSE 'archi
     "A12",
     f"""SELECT unit, {PERIOD_SQL} AS period, CAST(count(*) AS BIGINT) AS expected_slots, CAST(count(n_obs) AS BIGINT) AS observed_slots,
         round(1 - count(n_obs) / count(*), 6) AS gap_rate FROM (SELECT v.unit, v.slot, r.n_obs FROM
-          (SELECT unit, unnest(generate_series(TIMESTAMP '2024-01-01 00:00:00', TIMESTAMP '2024-01-31 23:45:00', INTERVAL '15 minutes')) AS slot
+          (SELECT unit, unnest(generate_series({FIRST_SQL}, {END_SQL} + INTERVAL '1425 minutes', INTERVAL '15 minutes')) AS slot
            FROM (VALUES ('click'), ('view'), ('purchase'), ('signup'), ('error'), ('spare')) AS u(unit)) v LEFT JOIN readings r USING (unit, slot)) GROUP BY 1, 2""",
 )
 def _(t: Tables):
-    period = F.when(F.col("slot") >= live_from(), "live").otherwise("archive").alias("period")
-    expected = grid.period_slots(units(t), "slot", "2024-01-01 00:00:00", "2024-01-31 23:45:00", 15)
+    period = F.when(F.col("slot") >= live_from(t), "live").otherwise("archive").alias("period")
+    expected = grid.period_slots(units(t), "slot", t.first, C.shift_seconds(t.end, 1425 * 60), 15)
     return rounded(quality.coverage(expected, t.readings, ["unit"], "slot", ["unit", period]), 6, "gap_rate")
 
 
 @query(
     "archive_and_live",
     "U2 U1",
-    f"""SELECT unit, slot, kw, n_obs, 'archive' AS period FROM readings WHERE slot < TIMESTAMP '{LIVE_FROM}'
-        UNION ALL SELECT unit, slot, kw, NULL, 'live' FROM readings WHERE slot >= TIMESTAMP '{LIVE_FROM}'""",
+    f"""SELECT unit, slot, kw, n_obs, 'archive' AS period FROM readings WHERE slot < {LIVE_SQL}
+        UNION ALL SELECT unit, slot, kw, NULL, 'live' FROM readings WHERE slot >= {LIVE_SQL}""",
 )
 def _(t: Tables):
-    archive = t.readings.where(F.col("slot") < live_from()).select("unit", "slot", "kw", "n_obs", F.lit("archive").alias("period"))
-    live = t.readings.where(F.col("slot") >= live_from()).select("unit", "slot", "kw", F.lit("live").alias("period"))
+    archive = t.readings.where(F.col("slot") < live_from(t)).select("unit", "slot", "kw", "n_obs", F.lit("archive").alias("period"))
+    live = t.readings.where(F.col("slot") >= live_from(t)).select("unit", "slot", "kw", F.lit("live").alias("period"))
     return archive.unionByName(live, allowMissingColumns=True)
 
 
@@ -381,15 +383,15 @@ def _(t: Tables):
 @query(
     "silent_units",
     "W27",
-    """WITH x AS (SELECT unit, slot, coalesce(lag(slot) OVER (PARTITION BY unit ORDER BY slot), TIMESTAMP '2023-12-31 23:45:00') AS prev_slot FROM readings
-         UNION ALL SELECT v.unit, NULL, coalesce(max(slot), TIMESTAMP '2023-12-31 23:45:00') FROM (VALUES ('click'), ('view'), ('purchase'), ('signup'), ('error'), ('spare')) AS v(unit)
+    f"""WITH x AS (SELECT unit, slot, coalesce(lag(slot) OVER (PARTITION BY unit ORDER BY slot), {FIRST_SQL} - INTERVAL '15 minutes') AS prev_slot FROM readings
+         UNION ALL SELECT v.unit, NULL, coalesce(max(slot), {FIRST_SQL} - INTERVAL '15 minutes') FROM (VALUES ('click'), ('view'), ('purchase'), ('signup'), ('error'), ('spare')) AS v(unit)
            LEFT JOIN readings r ON r.unit = v.unit GROUP BY 1)
-       SELECT unit, CASE WHEN prev_slot >= TIMESTAMP '2024-01-01 00:00:00' THEN prev_slot END AS prev_slot, slot AS next_slot,
-         CAST(date_diff('minute', prev_slot, coalesce(slot, TIMESTAMP '2024-01-31 12:15:00')) / 15 - 1 AS BIGINT) AS gap_slots, slot IS NULL AS is_open
-       FROM x WHERE date_diff('minute', prev_slot, coalesce(slot, TIMESTAMP '2024-01-31 12:15:00')) / 15 - 1 >= 6""",
+       SELECT unit, CASE WHEN prev_slot >= {FIRST_SQL} THEN prev_slot END AS prev_slot, slot AS next_slot,
+         CAST(date_diff('minute', prev_slot, coalesce(slot, {END_SQL} + INTERVAL '735 minutes')) / 15 - 1 AS BIGINT) AS gap_slots, slot IS NULL AS is_open
+       FROM x WHERE date_diff('minute', prev_slot, coalesce(slot, {END_SQL} + INTERVAL '735 minutes')) / 15 - 1 >= 6""",
 )
 def _(t: Tables):
-    return quality.silences(t.readings, units(t), ["unit"], "slot", 15, 6, "2024-01-01 00:00:00", "2024-01-31 12:00:00")
+    return quality.silences(t.readings, units(t), ["unit"], "slot", 15, 6, t.first, C.shift_seconds(t.end, 12 * 3600))
 
 
 # --- masking experiment ------------------------------------------------------------------------

@@ -6,6 +6,12 @@ import re
 
 # Each view may use the given tables and the other views.
 VIEWS: dict[str, str] = {
+    "log_period": """
+        SELECT date_trunc('day', min(ts)) AS a, date_trunc('day', max(ts)) + INTERVAL '1 day' AS z FROM events""",
+    "dated_jobs": """
+        SELECT job, from_ts, CASE WHEN job % 3 = 2 THEN from_ts + INTERVAL '12 days' END AS to_ts FROM
+          (SELECT CAST(n_nationkey AS BIGINT) AS job, (SELECT a FROM log_period) + (n_regionkey - 2) * INTERVAL '5 days' AS from_ts FROM nation WHERE n_nationkey < 6)
+        UNION ALL SELECT CAST(n_nationkey AS BIGINT), (SELECT a FROM log_period) + INTERVAL '20 days', NULL FROM nation WHERE n_nationkey < 6 AND n_nationkey % 3 = 2""",
     "site_day": """
         SELECT r_name AS site, CAST(l_shipdate AS DATE) AS day, round(sum(l_extendedprice), 2) AS actual_kwh
         FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey

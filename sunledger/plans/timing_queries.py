@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sunledger.functions import columns as C
-from sunledger.operators import asof, grid, opslog
+from sunledger.operators import asof, grid, opslog, registers
 from sunledger.plans.common import rounded
 from sunledger.plans.registry import query
 from sunledger.plans.views import REQUIRED, Tables
@@ -136,14 +136,14 @@ def _(t: Tables):
 @query(
     "lead_coverage",
     "A32",
-    """WITH d AS (SELECT DISTINCT site, 31 AS expected_days FROM fc),
+    """WITH d AS (SELECT DISTINCT site, (SELECT date_diff('day', a, z) + 1 FROM log_period) AS expected_days FROM fc),
        h AS (SELECT site, hour(issue_ts) AS issue_hour, lead_h, count(DISTINCT CAST(issue_ts AS DATE)) AS filled_days FROM fc GROUP BY 1, 2, 3)
        SELECT d.site, CAST(i AS BIGINT) AS issue_hour, CAST(l AS BIGINT) AS lead_h, CAST(expected_days AS BIGINT) AS expected_days,
          CAST(coalesce(filled_days, 0) AS BIGINT) AS filled_days, round(coalesce(filled_days, 0) / expected_days, 6) AS share
        FROM d, (SELECT unnest(range(0, 24, 3)) AS i), (SELECT unnest(range(0, 100)) AS l) LEFT JOIN h ON h.site = d.site AND h.issue_hour = i AND h.lead_h = l""",
 )
 def _(t: Tables):
-    out = asof.lead_coverage(t.fc, ["site"], "issue_ts", "lead_h", range(0, 24, 3), range(0, 100), "2024-01-01", "2024-01-31")
+    out = asof.lead_coverage(t.fc, ["site"], "issue_ts", "lead_h", range(0, 24, 3), range(0, 100), t.first, t.end)
     return rounded(out, 6, "share")
 
 
@@ -169,7 +169,11 @@ def _(t: Tables):
     return asof.leakage_audit(rows, ["model"], rules)
 
 
-FIRST, LAST = "2024-01-01 00:00:00", "2024-01-30 23:59:00"  # the reporting period of the logs
+FIRST_SQL, END_SQL = "(SELECT a FROM log_period)", "(SELECT z FROM log_period)"  # the reporting period of the logs, whatever its year
+
+
+def last_minute(t: Tables):
+    return C.shift_seconds(t.end, -60)
 
 
 def jobs(t: Tables):
@@ -178,7 +182,7 @@ def jobs(t: Tables):
 
 
 def job_hours(t: Tables):
-    return grid.period_slots(jobs(t), "hour", FIRST, LAST, 60)
+    return grid.period_slots(jobs(t), "hour", t.first, last_minute(t), 60)
 
 
 # --- logs --------------------------------------------------------------------------------------
@@ -210,9 +214,9 @@ def _(t: Tables):
 @query(
     "gate_rates",
     "A15",
-    """WITH e AS (SELECT job, unnest(generate_series(TIMESTAMP '2024-01-01 00:00:00', TIMESTAMP '2024-01-30 23:45:00', INTERVAL '15 minutes')) AS slot
+    f"""WITH e AS (SELECT job, unnest(generate_series({FIRST_SQL}, {END_SQL} - INTERVAL '15 minutes', INTERVAL '15 minutes')) AS slot
          FROM (VALUES (0::BIGINT), (1), (2), (3)) AS v(job)),
-       x AS (SELECT e.job, e.slot, e.slot >= TIMESTAMP '2024-01-10 00:00:00' AND e.slot < TIMESTAMP '2024-01-12 00:00:00' AS o, r.made FROM e
+       x AS (SELECT e.job, e.slot, e.slot >= {FIRST_SQL} + INTERVAL '9 days' AND e.slot < {FIRST_SQL} + INTERVAL '11 days' AS o, r.made FROM e
          LEFT JOIN (SELECT job, slot, bool_or(status = 'success') AS made FROM runs GROUP BY 1, 2) r ON r.job = e.job AND r.slot = e.slot
          WHERE hour(e.slot) * 60 + minute(e.slot) BETWEEN 270 AND 1230)
        SELECT job, CAST(count(*) AS BIGINT) AS expected_slots, CAST(count(made) AS BIGINT) AS executed, CAST(count(*) FILTER (made) AS BIGINT) AS generated,
@@ -220,9 +224,9 @@ def _(t: Tables):
          round(count(*) FILTER (made AND NOT o) / count(*) FILTER (NOT o), 6) AS conditional_rate FROM x GROUP BY job""",
 )
 def _(t: Tables):
-    slots = grid.period_slots(jobs(t), "slot", FIRST, LAST, 15)
+    slots = grid.period_slots(jobs(t), "slot", t.first, last_minute(t), 15)
     minute = F.hour("slot") * 60 + F.minute("slot")
-    lo, hi = (F.lit(x).cast("timestamp_ntz") for x in ("2024-01-10 00:00:00", "2024-01-12 00:00:00"))
+    lo, hi = (C.shift_seconds(t.first, n * 86400) for n in (9, 11))
     outage = (F.col("slot") >= lo) & (F.col("slot") < hi)
     out = opslog.gate_rates(slots.where(minute.between(270, 1230)), t.runs, ["job", "slot"], ["job"], outage)
     return rounded(out, 6, "execution_rate", "generation_rate", "conditional_rate")
@@ -250,15 +254,15 @@ def _(t: Tables):
     return rounded(opslog.backfill_progress(t.site_hour, ["site"], "hour", 1440), 6, "rate_per_day", "eta_days")
 
 
-STATUS_SQL = """st AS (SELECT v.job, f.feed, max(ts) AS last_attempt, max(ts) FILTER (k < 60) AS last_valid, CAST(count(ts) AS BIGINT) AS attempts
+STATUS_SQL = f"""st AS (SELECT v.job, f.feed, max(ts) AS last_attempt, max(ts) FILTER (k < 60) AS last_valid, CAST(count(ts) AS BIGINT) AS attempts
     FROM (VALUES (0::BIGINT), (1), (2), (3)) AS v(job), (VALUES ('click'), ('view'), ('purchase'), ('signup'), ('error'), ('heartbeat')) AS f(feed)
-    LEFT JOIN runs r ON r.job = v.job AND r.feed = f.feed AND ts <= TIMESTAMP '2024-01-30 23:59:00' GROUP BY 1, 2),
-  sx AS (SELECT *, CASE WHEN last_valid IS NULL THEN 'missing' WHEN TIMESTAMP '2024-01-30 23:59:00' - last_valid <= INTERVAL '300 minutes' THEN 'normal'
-    WHEN TIMESTAMP '2024-01-30 23:59:00' - last_valid <= INTERVAL '600 minutes' THEN 'late' ELSE 'missing' END AS status FROM st)"""
+    LEFT JOIN runs r ON r.job = v.job AND r.feed = f.feed AND ts <= {END_SQL} - INTERVAL '1 minute' GROUP BY 1, 2),
+  sx AS (SELECT *, CASE WHEN last_valid IS NULL THEN 'missing' WHEN {END_SQL} - INTERVAL '1 minute' - last_valid <= INTERVAL '300 minutes' THEN 'normal'
+    WHEN {END_SQL} - INTERVAL '1 minute' - last_valid <= INTERVAL '600 minutes' THEN 'late' ELSE 'missing' END AS status FROM st)"""
 
 
 def statuses(t: Tables):
-    as_of = F.lit(LAST).cast("timestamp_ntz")
+    as_of = last_minute(t)
     # The heartbeat feed is registered but never reports.
     feeds = F.array(*[F.lit(f) for f in ("click", "view", "purchase", "signup", "error", "heartbeat")])
     register = jobs(t).select("job", F.explode(feeds).alias("feed"))
@@ -278,7 +282,7 @@ def _(t: Tables):
 @query(
     "model_readiness",
     "J14",
-    """WITH h AS (SELECT job, unnest(generate_series(TIMESTAMP '2024-01-01 00:00:00', TIMESTAMP '2024-01-30 23:00:00', INTERVAL '1 hour')) AS hour
+    f"""WITH h AS (SELECT job, unnest(generate_series({FIRST_SQL}, {END_SQL} - INTERVAL '1 hour', INTERVAL '1 hour')) AS hour
          FROM (VALUES (0::BIGINT), (1), (2), (3)) AS v(job)), a AS (SELECT DISTINCT job, date_trunc('hour', ts) AS hour, feed FROM runs),
        x AS (SELECT h.job, h.hour, r.model, r.feed, a.feed IS NOT NULL AS ok FROM h CROSS JOIN required r LEFT JOIN a ON a.job = h.job AND a.hour = h.hour AND a.feed = r.feed)
        SELECT job, hour, model, coalesce(string_agg(feed, ',' ORDER BY feed) FILTER (NOT ok), '') AS blocked_by, bool_and(ok) AS ready FROM x GROUP BY 1, 2, 3""",
@@ -294,7 +298,7 @@ def _(t: Tables):
 @query(
     "feeds_not_arrived",
     "U3",
-    """WITH h AS (SELECT job, unnest(generate_series(TIMESTAMP '2024-01-01 00:00:00', TIMESTAMP '2024-01-30 23:00:00', INTERVAL '1 hour')) AS hour
+    f"""WITH h AS (SELECT job, unnest(generate_series({FIRST_SQL}, {END_SQL} - INTERVAL '1 hour', INTERVAL '1 hour')) AS hour
          FROM (VALUES (0::BIGINT), (1), (2), (3)) AS v(job))
        SELECT h.job, h.hour, feed FROM h CROSS JOIN (SELECT DISTINCT feed FROM required) EXCEPT SELECT DISTINCT job, date_trunc('hour', ts), feed FROM runs""",
 )
@@ -323,3 +327,67 @@ def _(t: Tables):
 )
 def _(t: Tables):
     return opslog.last_attempts(t.runs, ["job", "feed"], ["ts", "event_id"], 12).select("job", "feed", "event_id", "status", "attempt_no")
+
+# --- registers with effective dates --------------------------------------------------------------
+
+TAGGED_SQL = "tr AS (SELECT r.* REPLACE (CAST(user_id % 8 AS BIGINT) AS job) FROM runs r JOIN events USING (event_id))"
+REGISTER_SQL = f"""{TAGGED_SQL}, rc AS (SELECT t.job, CAST(count(*) AS BIGINT) AS n_rows, CAST(count(*) FILTER (i) AS BIGINT) AS n_inside,
+    CAST(count(*) FILTER (NOT i AND k) AS BIGINT) AS n_outside_dates, CAST(count(*) FILTER (NOT k) AS BIGINT) AS n_unknown FROM
+    (SELECT job, EXISTS (SELECT 1 FROM dated_jobs d WHERE d.job = tr.job AND date_trunc('second', ts) >= from_ts AND date_trunc('second', ts) < coalesce(to_ts, {END_SQL})
+       AND ts < {END_SQL}) AS i, job IN (SELECT job FROM dated_jobs) AS k FROM tr) t GROUP BY 1)"""
+
+
+def register_audit(t: Tables):
+    return registers.register_counts(t.tagged_runs, t.dated_jobs, ["job"], "ts", t.end)
+
+
+@query(
+    "register_audit",
+    "J14 U3 A15 A24",
+    f"""WITH {REGISTER_SQL} SELECT job, coalesce(n_rows, 0) AS n_rows, coalesce(n_inside, 0) AS n_inside, coalesce(n_outside_dates, 0) AS n_outside_dates,
+        coalesce(n_unknown, 0) AS n_unknown FROM (SELECT DISTINCT job FROM dated_jobs) d FULL JOIN rc USING (job)""",
+)
+def _(t: Tables):
+    return register_audit(t)
+
+
+def due_sql(minutes: int) -> str:
+    return f"""SELECT DISTINCT d.job, s.slot FROM dated_jobs d JOIN (SELECT unnest(generate_series({FIRST_SQL}, {END_SQL} - INTERVAL '{minutes} minutes',
+        INTERVAL '{minutes} minutes')) AS slot) s ON s.slot >= d.from_ts AND s.slot < coalesce(d.to_ts, {END_SQL})"""
+
+
+@query(
+    "dated_gate_rates",
+    "A15",
+    f"""WITH {REGISTER_SQL}, e AS ({due_sql(15)}),
+       x AS (SELECT e.job, e.slot, made FROM e LEFT JOIN (SELECT job, slot, bool_or(status = 'success') AS made FROM tr GROUP BY 1, 2) r ON r.job = e.job AND r.slot = e.slot)
+       SELECT job, CAST(count(*) AS BIGINT) AS expected_slots, CAST(count(made) AS BIGINT) AS executed, CAST(count(*) FILTER (made) AS BIGINT) AS generated,
+         round(count(made) / count(*), 6) AS execution_rate, round(count(*) FILTER (made) / count(*), 6) AS generation_rate,
+         coalesce(any_value(n_outside_dates), 0) AS n_outside_dates FROM x LEFT JOIN rc USING (job) GROUP BY 1""",
+)
+def _(t: Tables):
+    due = registers.due_slots(t.dated_jobs, ["job"], "slot", t.first, t.end, 15)
+    rates = opslog.gate_rates(due, t.tagged_runs, ["job", "slot"], ["job"], F.lit(False)).drop("outage_slots", "conditional_rate")
+    out = rates.join(register_audit(t).select("job", "n_outside_dates"), "job", "left")
+    return rounded(out, 6, "execution_rate", "generation_rate")
+
+
+@query(
+    "dated_readiness",
+    "J14 U3",
+    f"""WITH {TAGGED_SQL}, h AS ({due_sql(60)}), a AS (SELECT DISTINCT job, date_trunc('hour', ts) AS hour, feed FROM tr),
+       x AS (SELECT h.job, h.slot AS hour, r.model, a.feed IS NOT NULL AS ok FROM h CROSS JOIN required r LEFT JOIN a ON a.job = h.job AND a.hour = h.slot AND a.feed = r.feed),
+       m AS (SELECT job, hour, model, bool_and(ok) AS ready, bool_or(ok) AS any_ok FROM x GROUP BY 1, 2, 3)
+       SELECT job, model, CAST(count(*) AS BIGINT) AS due_hours, CAST(count(*) FILTER (ready) AS BIGINT) AS ready_hours, CAST(count(*) FILTER (NOT any_ok) AS BIGINT) AS silent_hours FROM m GROUP BY 1, 2""",
+)
+def _(t: Tables):
+    needs: dict[str, list[str]] = {}
+    for model, feed in REQUIRED:
+        needs.setdefault(model, []).append(feed)
+    due = registers.due_slots(t.dated_jobs, ["job"], "hour", t.first, t.end, 60)
+    arrived = t.tagged_runs.select("job", C.slot_start("ts", 60).alias("hour"), "feed")
+    rows = opslog.model_readiness(arrived, due, ["job", "hour"], "feed", needs)
+    blocked = F.size(F.split("blocked_by", ",")) == F.element_at(F.create_map(*[F.lit(x) for m, f in needs.items() for x in (m, len(f))]), F.col("model"))
+    return rows.groupBy("job", "model").agg(
+        F.count("*").alias("due_hours"), F.count_if("ready").alias("ready_hours"), F.count_if(blocked & ~F.col("ready")).alias("silent_hours")
+    )

@@ -219,6 +219,31 @@ class Tables:
             "value",
         )
 
+    @cached_property
+    def first(self) -> Column:
+        """Midnight of the first day of the logs; with ``end`` the clock of the queries over registers. One row of two aggregates, read as a scalar."""
+        return self.events.agg(F.date_trunc("day", F.min("ts")).cast("timestamp_ntz")).scalar()
+
+    @cached_property
+    def end(self) -> Column:
+        """Midnight after the last day of the logs."""
+        return shift_seconds(self.events.agg(F.date_trunc("day", F.max("ts")).cast("timestamp_ntz")).scalar(), 86400)
+
+    @cached_property
+    def dated_jobs(self) -> DataFrame:
+        """A register of jobs by effective dates: some begin late, some pause, and one entry has no row of ``tagged_runs`` at all."""
+        jobs = self.table("nation").where("n_nationkey < 6").select(F.col("n_nationkey").cast("bigint").alias("job"), "n_regionkey")
+        begin = shift_seconds(self.first, (F.col("n_regionkey") - 2) * 5 * 86400)
+        rows = jobs.select("job", begin.alias("from_ts"))
+        rows = rows.withColumn("to_ts", F.when(F.col("job") % 3 == 2, shift_seconds("from_ts", 12 * 86400)))
+        again = jobs.where("job % 3 = 2").select("job", shift_seconds(self.first, 20 * 86400).alias("from_ts"), F.lit(None).cast("timestamp_ntz").alias("to_ts"))
+        return rows.unionByName(again)
+
+    @cached_property
+    def tagged_runs(self) -> DataFrame:
+        """Runs whose jobs go beyond the register."""
+        return self.runs.drop("job").join(self.events.select("event_id", (F.col("user_id") % 8).alias("job")), "event_id")
+
     @cached_property
     def job_register(self) -> DataFrame:
         """Jobs with the dates from and to which they should run; some never do, and some run on after their end."""
