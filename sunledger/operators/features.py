@@ -9,22 +9,20 @@ from collections.abc import Sequence
 from itertools import combinations
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sunledger.operators.scans import edge_index
-from sunledger.session import small_table
+from sunledger.session import materialize, small_table
 
 
-def pearson_table(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Long table (x, y, n, r) over all pairs after pairwise NULL removal, from one aggregate."""
-    pairs = list(combinations(features, 2))
-    aggs = []
-    for i, (x, y) in enumerate(pairs):
-        both = F.col(x).isNotNull() & F.col(y).isNotNull()
-        a, b = F.when(both, F.col(x)).cast("double"), F.when(both, F.col(y)).cast("double")
-        aggs += [F.corr(a, b).alias(f"r{i}"), F.count_if(both).alias(f"n{i}")]
-    one = df.agg(*aggs)
+def _corr(a: Column, b: Column) -> Column:
+    """Pearson's r of two columns that are NULL in the same rows; NULL where one of them is constant."""
+    spread = F.stddev_pop(a) * F.stddev_pop(b)
+    return F.when(spread > 0, F.covar_pop(a, b) / spread)
+
+
+def _pair_rows(one: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     rows = F.array(
         *[
             F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), F.col(f"n{i}").alias("n"), F.col(f"r{i}").alias("r"))
@@ -34,37 +32,80 @@ def pearson_table(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return one.select(F.explode(rows).alias("p")).select("p.*")
 
 
-def average_ranks(df: DataFrame, value: str, splits: int = 256) -> DataFrame:
-    """Average rank of each distinct value: (value, rank_<value>).
+def pearson_table(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Long table (x, y, n, r) over all pairs after pairwise NULL removal, from one aggregate."""
+    pairs = list(combinations(features, 2))
+    aggs = []
+    for i, (x, y) in enumerate(pairs):
+        both = F.col(x).isNotNull() & F.col(y).isNotNull()
+        a, b = F.when(both, F.col(x)).cast("double"), F.when(both, F.col(y)).cast("double")
+        aggs += [_corr(a, b).alias(f"r{i}"), F.count_if(both).alias(f"n{i}")]
+    return _pair_rows(df.agg(*aggs), pairs)
+
+
+def pairwise_ranks(df: DataFrame, features: Sequence[str], splits: int | None = None) -> DataFrame:
+    """One row per input row: for each feature x a column ``_k_<x>``, an array of the row's average rank in x among the rows that have
+    both x and the array's feature; NULL where one of the two is NULL.
 
-    Equal values fold before the shuffle, a mergeable sketch cuts the rest into intervals, and a rank is the
-    interval's offset plus the position in it. The column is never ordered in one task.
+    The columns are unpivoted and cut by range, all features at once. A cut point is an interval of its own, so a value that
+    holds many rows is one: its rank follows from counts, and its rows are never ordered. All other rows are ordered within
+    their interval, which holds about one ``splits``-th of the rows. By default an interval is made for every quarter million rows.
     """
-    folded = df.where(F.col(value).isNotNull()).groupBy(F.col(value).cast("double").alias("_v")).agg(F.count("*").alias("_c"))
+    spark, p = df.sparkSession, len(features)
+    wide = df.select(F.monotonically_increasing_id().alias("_row"), *[F.col(f).cast("double").alias(f) for f in features])
+    # Written, as the row numbers bring the ranks of a row together again.
+    wide = materialize(wide, "rank-rows")
+    if splits is None:
+        splits = min(1 << 16, max(16, 1 << (wide.count() >> 18).bit_length()))
     levels = [i / splits for i in range(1, splits)]
-    edges = folded.agg(F.percentile_approx("_v", levels, 10_000).alias("e")).scalar()
-    binned = folded.withColumn("_edges", edges).select("_v", "_c", edge_index(F.col("_edges"), F.col("_v"), splits).alias("_bin"))
-    # At most ``splits`` rows, so this one window partition is bounded.
-    order = Window.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-    starts = binned.groupBy("_bin").agg(F.sum("_c").alias("_bc")).select(
-        "_bin", F.coalesce(F.sum("_bc").over(order), F.lit(0)).alias("_start")
+    edges = wide.agg(F.array(*[F.percentile_approx(f, levels, max(10_000, 8 * splits)) for f in features]).alias("e")).scalar()
+
+    there = F.array(*[F.col(f).isNotNull().cast("bigint") for f in features])
+    cells = F.array(*[F.struct(F.lit(i).alias("f"), F.col(f).alias("v")) for i, f in enumerate(features)])
+    long = wide.select("_row", there.alias("_has"), F.explode(cells).alias("c")).select("_row", "_has", F.col("c.f").alias("_f"), F.col("c.v").alias("_v"))
+    long = long.where(F.col("_v").isNotNull()).withColumn("_edges", F.element_at(edges, F.col("_f") + 1))
+    below = edge_index(F.col("_edges"), F.col("_v"), splits)
+    long = long.withColumn("_below", below).withColumn("_point", F.coalesce(F.get("_edges", "_below") == F.col("_v"), F.lit(False)))
+    # An interval lies before the cut point that ends it.
+    long = long.select("_row", "_has", "_f", "_v", "_point", (2 * F.col("_below") + F.col("_point").cast("int")).alias("_cell"))
+
+    upto = Window.partitionBy("_f").orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)
+    counts = long.groupBy("_f", "_cell").agg(*[F.sum(F.col("_has")[j]).alias(f"_c{j}") for j in range(p)])
+    starts = counts.select(
+        "_f",
+        "_cell",
+        F.array(*[F.col(f"_c{j}") for j in range(p)]).alias("_count"),
+        F.array(*[F.sum(f"_c{j}").over(upto) - F.col(f"_c{j}") for j in range(p)]).alias("_start"),
     )
-    inside = Window.partitionBy("_bin").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    end = F.col("_start") + F.sum("_c").over(inside)
-    return (
-        binned.join(starts, "_bin")
-        .repartition("_bin")
-        .select(F.col("_v").alias(value), (end - (F.col("_c") - 1) / F.lit(2.0)).alias(f"_rank_{value}"))
+    # At most 2 * splits rows for each feature.
+    placed = long.join(F.broadcast(materialize(starts, "rank-starts")), ["_f", "_cell"])
+
+    def ranks(less: list, equal: list):
+        return F.array(*[F.when(F.col("_has")[j] == 1, F.col("_start")[j] + less[j] + (equal[j] + 1) / 2.0) for j in range(p)]).alias("_k")
+
+    points = placed.where("_point").select("_row", "_f", ranks([F.lit(0)] * p, [F.col("_count")[j] for j in range(p)]))
+    within = Window.partitionBy("_f", "_cell").orderBy("_v").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    ties = Window.partitionBy("_f", "_cell", "_v")
+    inner = placed.where("NOT _point").repartition("_f", "_cell").select(
+        "_row", "_f", "_has", "_start",
+        *[F.sum(F.col("_has")[j]).over(within).alias(f"_u{j}") for j in range(p)],
+        *[F.sum(F.col("_has")[j]).over(ties).alias(f"_t{j}") for j in range(p)],
     )
+    inner = inner.select("_row", "_f", ranks([F.col(f"_u{j}") - F.col(f"_t{j}") for j in range(p)], [F.col(f"_t{j}") for j in range(p)]))
+    return points.unionByName(inner).groupBy("_row").agg(*[F.max(F.when(F.col("_f") == i, F.col("_k"))).alias(f"_k_{f}") for i, f in enumerate(features)])
 
 
-def spearman_table(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Rank correlation: average ranks per column, then Pearson. Rows with a NULL feature are left out."""
-    rows = df.select(*[F.col(f).cast("double").alias(f) for f in features]).dropna()
-    ranked = rows
-    for f in features:
-        ranked = ranked.join(average_ranks(rows, f), f)
-    return pearson_table(ranked.select(*[F.col(f"_rank_{f}").alias(f) for f in features]), features)
+def spearman_table(df: DataFrame, features: Sequence[str], splits: int | None = None) -> DataFrame:
+    """Rank correlation as a long table (x, y, n, r): a pair's rows are those without a NULL in either of the two, ranks are average
+    ranks among these rows. A pair of which one side is constant or has no row has a NULL r."""
+    at = {f: i for i, f in enumerate(features)}
+    ranked = pairwise_ranks(df, features, splits)
+    pairs = list(combinations(features, 2))
+    aggs = []
+    for i, (x, y) in enumerate(pairs):
+        a, b = F.col(f"_k_{x}")[at[y]], F.col(f"_k_{y}")[at[x]]
+        aggs += [_corr(a, b).alias(f"r{i}"), F.count_if(a.isNotNull() & b.isNotNull()).alias(f"n{i}")]
+    return _pair_rows(ranked.agg(*aggs), pairs)
 
 
 def correlation_matrix(df: DataFrame, features: Sequence[str]) -> np.ndarray:

@@ -8,7 +8,7 @@ from sunledger.functions import columns as C
 from sunledger.operators import boosting, features, models
 from sunledger.plans.common import rounded
 from sunledger.plans.registry import query
-from sunledger.plans.views import Tables
+from sunledger.plans.views import OOF_MODELS, Tables
 from sunledger.session import materialize, small_table
 
 NAMES = ["quantity", "price", "discount", "tax"]
@@ -45,6 +45,22 @@ def _(t: Tables):
     return rounded(features.spearman_table(t.features, NAMES), 6, "r")
 
 
+@query(
+    "spearman_with_gaps",
+    "A19",
+    " UNION ALL ".join(
+        f"""SELECT '{a}' AS x, '{b}' AS y, CAST(count(*) AS BIGINT) AS n, round(corr(ka, kb), 6) AS r FROM (
+          SELECT rank() OVER (ORDER BY {a}) + (count(*) OVER (PARTITION BY {a}) - 1) / 2.0 AS ka, rank() OVER (ORDER BY {b}) + (count(*) OVER (PARTITION BY {b}) - 1) / 2.0 AS kb
+          FROM oof WHERE {a} IS NOT NULL AND {b} IS NOT NULL)"""
+        for i, a in enumerate(["actual_kwh", *OOF_MODELS])
+        for b in OOF_MODELS[i:]
+    ),
+)
+def _(t: Tables):
+    # Forecasts are NULL where history is short, for each model in other months.
+    return rounded(features.spearman_table(t.oof, ["actual_kwh", *OOF_MODELS]), 6, "r")
+
+
 @query(
     "vif_table",
     "A20",

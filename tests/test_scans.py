@@ -64,22 +64,37 @@ def test_halo_copies_only_near_edges(spark):
     assert out.where("NOT _own").count() == 10
 
 
-def test_ranks_average_over_ties(spark):
-    rng = np.random.default_rng(3)
-    pdf = pd.DataFrame({"v": rng.integers(0, 50, 800) / 2.0})
-    got = features.average_ranks(spark.createDataFrame(pdf), "v", splits=16).toPandas().set_index("v")["_rank_v"]
-    want = pdf.assign(r=pdf.v.rank()).groupby("v")["r"].first()
-    np.testing.assert_allclose(got.loc[want.index].to_numpy(), want.to_numpy())
-
-
-def test_spearman_equals_pandas(spark):
+@pytest.mark.parametrize("splits", [2, 16, None])
+def test_spearman_removes_nulls_by_pair_and_splits_hot_values(spark, splits):
     rng = np.random.default_rng(5)
-    x = rng.normal(size=500)
-    pdf = pd.DataFrame({"x": x, "y": np.exp(x) + rng.normal(size=500), "z": rng.integers(0, 5, 500)})
-    got = {(r["x"], r["y"]): r["r"] for r in features.spearman_table(spark.createDataFrame(pdf), ["x", "y", "z"]).collect()}
-    want = pdf.rank().corr()
-    assert got["x", "y"] == pytest.approx(want.loc["x", "y"])
-    assert got["y", "z"] == pytest.approx(want.loc["y", "z"])
+    n = 900
+    x = rng.normal(size=n)
+    pdf = pd.DataFrame({"x": x, "y": np.exp(x) + rng.normal(size=n), "z": rng.integers(0, 5, n).astype(float), "hot": np.where(rng.random(n) < 0.4, 0.0, x + rng.normal(size=n))})
+    for c in pdf:  # gaps in other rows of each column
+        pdf.loc[rng.random(n) < 0.2, c] = np.nan
+    pdf["constant"], pdf["empty"] = 1.0, np.nan
+    names = list(pdf)
+    df = spark.createDataFrame(pdf).select([F.when(~F.isnan(c), F.col(c)).alias(c) for c in names])
+    got = {(r["x"], r["y"]): (r["n"], r["r"]) for r in features.spearman_table(df, names, splits).collect()}
+    counts = {(r["x"], r["y"]): r["n"] for r in features.pearson_table(df, names).collect()}
+    assert {k: v[0] for k, v in got.items()} == counts
+    for (a, b), (_, r) in got.items():
+        both = pdf[[a, b]].dropna().rank()
+        want = both[a].corr(both[b])
+        assert r is None if np.isnan(want) else r == pytest.approx(want), (a, b)
+
+
+def test_ranks_of_a_value_in_a_third_of_the_rows(spark):
+    df = spark.range(1000).select(F.when(F.col("id") % 3 == 0, F.lit(7.0)).otherwise(F.col("id") / 1.0).alias("v"), F.rand(1).alias("w"))
+    ranked = features.pairwise_ranks(df, ["v", "w"], 16)
+    got = ranked.select(F.col("_k_v")[0]).toPandas().iloc[:, 0].sort_values().to_numpy()
+    want = df.toPandas().v.rank().sort_values().to_numpy()
+    np.testing.assert_allclose(got, want)
+
+
+def test_spearman_of_no_rows(spark):
+    df = spark.createDataFrame([], "a double, b double")
+    assert [tuple(r) for r in features.spearman_table(df, ["a", "b"]).collect()] == [("a", "b", 0, None)]
 
 
 def test_prune_drops_highest_vif_then_later_name():
