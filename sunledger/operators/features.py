@@ -44,14 +44,14 @@ def pearson_table(df: DataFrame, features: Sequence[str]) -> DataFrame:
 
 
 def pairwise_ranks(df: DataFrame, features: Sequence[str], splits: int | None = None) -> DataFrame:
-    """One row per input row: for each feature x a column ``_k_<x>``, an array of the row's average rank in x among the rows that have
-    both x and the array's feature; NULL where one of the two is NULL.
+    """One row per input row with a value: for each two features x and y a column ``_k_<x>_<y>``, the row's average rank in x among the
+    rows that have both x and y; NULL where one of the two is NULL.
 
     The columns are unpivoted and cut by range, all features at once. A cut point is an interval of its own, so a value that
     holds many rows is one: its rank follows from counts, and its rows are never ordered. All other rows are ordered within
     their interval, which holds about one ``splits``-th of the rows. By default an interval is made for every quarter million rows.
     """
-    spark, p = df.sparkSession, len(features)
+    p = len(features)
     wide = df.select(F.monotonically_increasing_id().alias("_row"), *[F.col(f).cast("double").alias(f) for f in features])
     # Written, as the row numbers bring the ranks of a row together again.
     wide = materialize(wide, "rank-rows")
@@ -60,14 +60,14 @@ def pairwise_ranks(df: DataFrame, features: Sequence[str], splits: int | None =
     levels = [i / splits for i in range(1, splits)]
     edges = wide.agg(F.array(*[F.percentile_approx(f, levels, max(10_000, 8 * splits)) for f in features]).alias("e")).scalar()
 
+    # An interval lies before the cut point that ends it: 2 i for values below cut point i, 2 i + 1 for that point. Searched once a value, so written.
+    below = wide.withColumn("_edges", edges).select("*", *[edge_index(F.get("_edges", F.lit(i)), F.col(f), splits).alias(f"_b{i}") for i, f in enumerate(features)])
+    at_point = [F.coalesce(F.get(F.get("_edges", F.lit(i)), F.col(f"_b{i}")) == F.col(f), F.lit(False)) for i, f in enumerate(features)]
+    placed = below.select("_row", *features, *[(2 * F.col(f"_b{i}") + at.cast("int")).alias(f"_b{i}") for i, at in enumerate(at_point)])
+    placed = materialize(placed, "rank-cells")
     there = F.array(*[F.col(f).isNotNull().cast("bigint") for f in features])
-    cells = F.array(*[F.struct(F.lit(i).alias("f"), F.col(f).alias("v")) for i, f in enumerate(features)])
-    long = wide.select("_row", there.alias("_has"), F.explode(cells).alias("c")).select("_row", "_has", F.col("c.f").alias("_f"), F.col("c.v").alias("_v"))
-    long = long.where(F.col("_v").isNotNull()).withColumn("_edges", F.element_at(edges, F.col("_f") + 1))
-    below = edge_index(F.col("_edges"), F.col("_v"), splits)
-    long = long.withColumn("_below", below).withColumn("_point", F.coalesce(F.get("_edges", "_below") == F.col("_v"), F.lit(False)))
-    # An interval lies before the cut point that ends it.
-    long = long.select("_row", "_has", "_f", "_v", "_point", (2 * F.col("_below") + F.col("_point").cast("int")).alias("_cell"))
+    cells = F.array(*[F.struct(F.lit(i).alias("_f"), F.col(f).alias("_v"), F.col(f"_b{i}").alias("_cell")) for i, f in enumerate(features)])
+    long = placed.select("_row", there.alias("_has"), F.explode(cells).alias("c")).select("_row", "_has", "c.*").where(F.col("_v").isNotNull())
 
     upto = Window.partitionBy("_f").orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)
     counts = long.groupBy("_f", "_cell").agg(*[F.sum(F.col("_has")[j]).alias(f"_c{j}") for j in range(p)])
@@ -83,27 +83,30 @@ def pairwise_ranks(df: DataFrame, features: Sequence[str], splits: int | None =
     def ranks(less: list, equal: list):
         return F.array(*[F.when(F.col("_has")[j] == 1, F.col("_start")[j] + less[j] + (equal[j] + 1) / 2.0) for j in range(p)]).alias("_k")
 
-    points = placed.where("_point").select("_row", "_f", ranks([F.lit(0)] * p, [F.col("_count")[j] for j in range(p)]))
+    points = placed.where("_cell % 2 = 1").select("_row", "_f", ranks([F.lit(0)] * p, [F.col("_count")[j] for j in range(p)]))
     within = Window.partitionBy("_f", "_cell").orderBy("_v").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     ties = Window.partitionBy("_f", "_cell", "_v")
-    inner = placed.where("NOT _point").repartition("_f", "_cell").select(
+    inner = placed.where("_cell % 2 = 0").repartition("_f", "_cell").select(
         "_row", "_f", "_has", "_start",
         *[F.sum(F.col("_has")[j]).over(within).alias(f"_u{j}") for j in range(p)],
         *[F.sum(F.col("_has")[j]).over(ties).alias(f"_t{j}") for j in range(p)],
     )
     inner = inner.select("_row", "_f", ranks([F.col(f"_u{j}") - F.col(f"_t{j}") for j in range(p)], [F.col(f"_t{j}") for j in range(p)]))
-    return points.unionByName(inner).groupBy("_row").agg(*[F.max(F.when(F.col("_f") == i, F.col("_k"))).alias(f"_k_{f}") for i, f in enumerate(features)])
+    # One number a pair of columns, as arrays cannot be kept in a hash aggregate.
+    sides = [(i, j) for i in range(p) for j in range(p) if i != j]
+    return points.unionByName(inner).groupBy("_row").agg(
+        *[F.max(F.when(F.col("_f") == i, F.col("_k")[j])).alias(f"_k_{features[i]}_{features[j]}") for i, j in sides]
+    )
 
 
 def spearman_table(df: DataFrame, features: Sequence[str], splits: int | None = None) -> DataFrame:
     """Rank correlation as a long table (x, y, n, r): a pair's rows are those without a NULL in either of the two, ranks are average
     ranks among these rows. A pair of which one side is constant or has no row has a NULL r."""
-    at = {f: i for i, f in enumerate(features)}
     ranked = pairwise_ranks(df, features, splits)
     pairs = list(combinations(features, 2))
     aggs = []
     for i, (x, y) in enumerate(pairs):
-        a, b = F.col(f"_k_{x}")[at[y]], F.col(f"_k_{y}")[at[x]]
+        a, b = F.col(f"_k_{x}_{y}"), F.col(f"_k_{y}_{x}")
         aggs += [_corr(a, b).alias(f"r{i}"), F.count_if(a.isNotNull() & b.isNotNull()).alias(f"n{i}")]
     return _pair_rows(ranked.agg(*aggs), pairs)
 
