@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sunledger.session import small_table
@@ -107,10 +107,23 @@ def file_hashes(spark: SparkSession, path: str, name_pattern: str = r"([^/]+)$")
     )
 
 
+def read_provenance(spark: SparkSession, path: str) -> DataFrame:
+    """A stored list of files: one JSON array of (file, source, sha256)."""
+    return spark.read.schema("file string, source string, sha256 string").json(path, multiLine=True)
+
+
 def verify_provenance(files: DataFrame, provenance: DataFrame) -> DataFrame:
-    """(file, expected, actual, ok) for every listed file; a file that is not there is not ok."""
+    """(file, expected, actual, ok, state) for every file that is listed or found.
+
+    ``state`` is ``ok``, ``changed``, ``missing`` (listed, not found) or ``unlisted`` (found, not listed); only the first is ok.
+    """
     listed = provenance.select("file", F.col("sha256").alias("expected"))
-    return listed.join(files, "file", "left").withColumn("ok", F.coalesce(F.col("expected") == F.col("actual"), F.lit(False)))
+    out = listed.join(files, "file", "full_outer")
+    return out.withColumn("state", _compared(F.col("expected"), F.col("actual"), "unlisted")).withColumn("ok", F.col("state") == "ok")
+
+
+def _compared(expected: Column, found: Column, extra: str) -> Column:
+    return F.when(found.isNull(), "missing").when(expected.isNull(), extra).when(expected == found, "ok").otherwise("changed")
 
 
 def schema_rows(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -131,10 +144,15 @@ def audit_schema(actual: DataFrame, expected: DataFrame) -> DataFrame:
     return out.withColumn("state", state)
 
 
+def text_hash(columns: Sequence[str]) -> Column:
+    """A row's hash by the text of its columns, as other engines can repeat it."""
+    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in columns])
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
+
+
 def audit_content(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Row count and a hash that does not depend on row order; one pass, folded before the shuffle."""
-    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in columns])
-    number = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
+    number = text_hash(columns)
     return df.agg(F.count("*").alias("n_rows"), F.bit_xor(number).alias("content_hash"), F.sum(F.pmod(number, F.lit(1_000_003))).alias("content_sum"))
 
 
@@ -146,3 +164,51 @@ def audit_result(found: DataFrame, expected: DataFrame) -> DataFrame:
     for n in names:
         same = same & (F.col(n) == F.col(f"expected_{n}"))
     return e.join(found, "table", "left").withColumn("ok", F.coalesce(same, F.lit(False)))
+
+
+LEAF = ["part", "bucket"]
+LEAF_FACTS = ["n_rows", "content_hash", "content_sum"]
+
+
+def exact_row_hash(df: DataFrame) -> Column:
+    """Hash over all columns of a row. NULL flags go in as well, as ``xxhash64`` passes over a NULL."""
+    return F.xxhash64(*[F.col(f"`{c}`").isNull() for c in df.columns], *[F.col(f"`{c}`") for c in df.columns])
+
+
+def content_leaves(df: DataFrame, part: Column, key: Column, buckets: int, row_hash: Column | None = None) -> DataFrame:
+    """The leaves of a table's hash tree: rows, XOR and sum of row hashes for each (partition, bucket of the key).
+
+    The order of rows does not matter; repeated rows cancel in the XOR but not in the count and the sum. One pass, folded
+    before the shuffle, so a partition with most of the rows is no hot key. A NULL partition or key has a leaf of its own.
+    """
+    number = exact_row_hash(df) if row_hash is None else row_hash
+    leaves = df.select(part.cast("string").alias("part"), F.pmod(key, F.lit(buckets)).cast("int").alias("bucket"), number.alias("_h"))
+    return leaves.groupBy(*LEAF).agg(
+        F.count("*").alias("n_rows"), F.bit_xor("_h").alias("content_hash"), F.sum(F.pmod("_h", F.lit(1_000_003))).alias("content_sum")
+    )
+
+
+def compare_trees(found: DataFrame, stored: DataFrame) -> DataFrame:
+    """Where a table differs from its stored hash tree: one row for the table, each partition and each differing bucket.
+
+    Levels are ``table``, ``part`` and ``bucket``. ``state`` is ``ok``, ``changed``, ``missing`` (stored only) or ``added`` (found only); a node
+    whose leaves are all missing (added) is missing (added). ``n_differing`` counts leaves that are not ok, ``n_expected`` and ``n_found`` are rows.
+    """
+    facts = F.struct(*[F.col(c) for c in LEAF_FACTS])
+    s = stored.select(*LEAF, facts.alias("expected")).alias("s")
+    f = found.select(*LEAF, facts.alias("found")).alias("f")
+    same_leaf = F.col("s.part").eqNullSafe(F.col("f.part")) & F.col("s.bucket").eqNullSafe(F.col("f.bucket"))
+    leaves = s.join(f, same_leaf, "full_outer").select(
+        F.coalesce("s.part", "f.part").alias("part"), F.coalesce("s.bucket", "f.bucket").alias("bucket"), "expected", "found"
+    )
+    leaves = leaves.withColumn("_state", _compared(F.col("expected"), F.col("found"), "added"))
+    rolled = leaves.rollup("part", "bucket").agg(
+        F.grouping_id().alias("_level"),
+        F.when(F.min("_state") == F.max("_state"), F.max("_state")).otherwise("changed").alias("state"),
+        F.count_if(F.col("_state") != "ok").alias("n_differing"),
+        F.coalesce(F.sum("expected.n_rows"), F.lit(0)).alias("n_expected"),
+        F.coalesce(F.sum("found.n_rows"), F.lit(0)).alias("n_found"),
+    )
+    level = F.when(F.col("_level") == 3, "table").when(F.col("_level") == 1, "part").otherwise("bucket")
+    out = rolled.select(level.alias("level"), "part", "bucket", "state", "n_differing", "n_expected", "n_found")
+    return out.where("level <> 'bucket' OR state <> 'ok'")

@@ -64,6 +64,36 @@ def test_provenance_flags_changed_and_absent_files(spark, tmp_path):
     listed = frame(spark, "file string, sha256 string", ("a.png", good), ("b.png", good), ("c.png", good))
     out = documents.verify_provenance(files, listed)
     assert [(r["file"], r["ok"]) for r in out.orderBy("file").collect()] == [("a.png", True), ("b.png", False), ("c.png", False)]
+    (tmp_path / "d.png").write_bytes(b"three")
+    (tmp_path / "list.json").write_text(json.dumps([{"file": f, "source": "s", "sha256": good} for f in ("a.png", "b.png", "c.png")], indent=1))
+    files = documents.file_hashes(spark, f"{tmp_path}/*.png")
+    out = documents.verify_provenance(files, documents.read_provenance(spark, f"{tmp_path}/list.json"))
+    assert [(r["file"], r["state"]) for r in out.orderBy("file").collect()] == [("a.png", "ok"), ("b.png", "changed"), ("c.png", "missing"), ("d.png", "unlisted")]
+
+
+def test_schema_audit_names_missing_other_and_unexpected_columns(spark):
+    actual = documents.schema_rows(spark, {"t": frame(spark, "a bigint, b string, c date", (1, "x", None))})
+    expected = frame(spark, "table string, column string, expected_type string", ("t", "a", "bigint"), ("t", "b", "date"), ("t", "gone", "int"))
+    out = documents.audit_schema(actual, expected)
+    assert {r["column"]: r["state"] for r in out.collect()} == {"a": "ok", "b": "other_type", "c": "unexpected", "gone": "missing"}
+
+
+def test_hash_tree_finds_the_bucket_that_differs(spark):
+    base = spark.range(200).select("id", (F.col("id") % 4).alias("p"), F.when(F.col("id") % 5 > 0, F.col("id") / 3).alias("v"))
+    leaves = lambda df: documents.content_leaves(df, F.col("p"), F.col("id"), 8)
+    differing = lambda df: {(r["level"], r["part"], r["bucket"], r["state"]) for r in documents.compare_trees(leaves(df), leaves(base)).collect() if r["state"] != "ok"}
+    assert differing(base.orderBy(F.desc("id"))) == set()
+    one = base.withColumn("v", F.when(F.col("id") == 11, None).otherwise(F.col("v")))
+    assert differing(one) == {("table", None, None, "changed"), ("part", "3", None, "changed"), ("bucket", "3", 3, "changed")}
+    twice = base.union(base.where("id = 11")).union(base.where("id = 11"))  # cancels in the XOR
+    assert ("bucket", "3", 3, "changed") in differing(twice)
+    gone = differing(base.where("p <> 2"))
+    assert ("part", "2", None, "missing") in gone and ("table", None, None, "changed") in gone
+    null_part = base.union(base.where("id = 1").withColumn("p", F.lit(None).cast("bigint")))
+    assert ("bucket", None, 1, "added") in differing(null_part) and ("part", None, None, "added") in differing(null_part)
+    swapped = frame(spark, "id bigint, p bigint, v double", (None, 1, 2.0))
+    assert leaves(swapped).exceptAll(leaves(frame(spark, "id bigint, p bigint, v double", (None, 1, None)))).count() == 1
+    assert [(r["level"], r["n_differing"]) for r in documents.compare_trees(leaves(base.limit(0)), leaves(base.limit(0))).collect()] in ([], [("table", 0)])
 
 
 def test_content_hash_ignores_order_but_not_values(spark):
