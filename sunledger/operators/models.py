@@ -12,6 +12,8 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sunledger.session import materialize
+
 
 def walk_forward_line(
     df: DataFrame, keys: Sequence[str], fold: str, x: str, y: str, penalty: float = 0.0
@@ -146,8 +148,9 @@ def walk_forward_learner(
 
     Every row of a fold comes back with ``fold_start`` and ``pred``. Rows without a feature are neither learned from nor dropped:
     their ``pred`` is NULL, as in a fold with nothing to learn from. ``starts`` are a few calendar dates, one job each.
+    ``df`` is written once, as each fold reads it several times.
     """
-    out = None
+    df, out = materialize(df, "learner-rows"), None
     whole, usable = _complete([*numeric, *categorical, label]), _complete([*numeric, *categorical])
     for a, b in zip(starts, [*starts[1:], "9999-12-31"]):
         start, end = F.lit(a).cast("date"), F.lit(b).cast("date")

@@ -173,7 +173,7 @@ FOLD_STARTS = ["1999-01-01", "1999-07-01", "2000-01-01", "2000-07-01"]
 
 
 def learner_rows(t: Tables):
-    rows = t.oof.join(t.site_month.select("site", "month", "n_days"), ["site", "month"])
+    rows = t.oof_with_days.where("site IS NOT NULL AND month IS NOT NULL")
     return rows.withColumn("moy", F.month("month").cast("double"))
 
 

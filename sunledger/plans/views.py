@@ -84,8 +84,8 @@ class Tables:
         )
 
     @cached_property
-    def oof(self) -> DataFrame:
-        """One row per (site, month) with baseline columns and a blended candidate."""
+    def oof_with_days(self) -> DataFrame:
+        """One row per (site, month) with baseline columns, a blended candidate and the number of days with rows."""
         wide = baselines.monthly_baselines(self.site_month, ["site"], "month", "actual_kwh")
         return wide.select(
             "site",
@@ -96,8 +96,14 @@ class Tables:
             "last_year",
             F.round("seasonal_mean", 6).alias("seasonal_mean"),
             F.round(0.7 * F.round("seasonal_mean", 6) + 0.3 * F.col("persistence"), 6).alias("candidate"),
+            "n_days",
         )
 
+    @cached_property
+    def oof(self) -> DataFrame:
+        """One row per (site, month) with baseline columns and a blended candidate."""
+        return self.oof_with_days.drop("n_days")
+
     @cached_property
     def events(self) -> DataFrame:
         return self.table("events")

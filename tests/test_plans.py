@@ -5,7 +5,10 @@ from types import SimpleNamespace
 
 import pytest
 
+from sunledger.operators import models
 from sunledger.plans import CATALOG, runner
+from sunledger.plans.model_queries import learner_rows
+from sunledger.plans.views import Tables
 from sunledger.session import CHECKPOINT_KEY, shared_dir
 from tests.oracle import SF_ROOT
 
@@ -57,3 +60,24 @@ def test_no_machine_local_folder_on_a_cluster():
         shared_dir(session("yarn", {}), "x")
     first, second = (shared_dir(session("local[2]", {}), "x") for _ in range(2))
     assert first != second and first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0]
+
+
+def test_learner_input_is_computed_once(spark):
+    """However many folds and passes a learner makes."""
+    computed = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            computed.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(48).selectExpr("id % 2 AS x", "add_months(DATE '2020-01-01', CAST(id DIV 2 AS INT)) AS month", "CAST(id AS DOUBLE) AS a", "2.0 * id AS y")
+    rows = rows.selectExpr("IF(x = 0, 'p', 'q') AS site", "month", "a", "y")
+    rows = rows.mapInArrow(count, rows.schema)
+    out = models.walk_forward_learner(rows, "month", ["site"], ["a"], "y", ["2020-07-01", "2021-01-01"], models.huber_line("y"))
+    assert out.count() == 36 and computed.value == 48
+
+
+def test_learner_rows_read_the_sold_rows_once(spark):
+    p = learner_rows(Tables(spark, SF))._jdf.queryExecution().executedPlan().toString()
+    assert p.count("lineitem.parquet") == 1
