@@ -65,12 +65,13 @@ def pairwise_ranks(df: DataFrame, features: Sequence[str], splits: int | None =
     at_point = [F.coalesce(F.get(F.get("_edges", F.lit(i)), F.col(f"_b{i}")) == F.col(f), F.lit(False)) for i, f in enumerate(features)]
     placed = below.select("_row", *features, *[(2 * F.col(f"_b{i}") + at.cast("int")).alias(f"_b{i}") for i, at in enumerate(at_point)])
     placed = materialize(placed, "rank-cells")
-    there = F.array(*[F.col(f).isNotNull().cast("bigint") for f in features])
+    there = F.array(*[F.col(f).isNotNull() for f in features])
     cells = F.array(*[F.struct(F.lit(i).alias("_f"), F.col(f).alias("_v"), F.col(f"_b{i}").alias("_cell")) for i, f in enumerate(features)])
     long = placed.select("_row", there.alias("_has"), F.explode(cells).alias("c")).select("_row", "_has", "c.*").where(F.col("_v").isNotNull())
+    has = [F.col("_has")[j].cast("bigint") for j in range(p)]
 
     upto = Window.partitionBy("_f").orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)
-    counts = long.groupBy("_f", "_cell").agg(*[F.sum(F.col("_has")[j]).alias(f"_c{j}") for j in range(p)])
+    counts = long.groupBy("_f", "_cell").agg(*[F.sum(has[j]).alias(f"_c{j}") for j in range(p)])
     starts = counts.select(
         "_f",
         "_cell",
@@ -78,25 +79,30 @@ def pairwise_ranks(df: DataFrame, features: Sequence[str], splits: int | None =
         F.array(*[F.sum(f"_c{j}").over(upto) - F.col(f"_c{j}") for j in range(p)]).alias("_start"),
     )
     # At most 2 * splits rows for each feature.
-    placed = long.join(F.broadcast(materialize(starts, "rank-starts")), ["_f", "_cell"])
+    starts = materialize(starts, "rank-starts")
 
-    def ranks(less: list, equal: list):
-        return F.array(*[F.when(F.col("_has")[j] == 1, F.col("_start")[j] + less[j] + (equal[j] + 1) / 2.0) for j in range(p)]).alias("_k")
-
-    points = placed.where("_cell % 2 = 1").select("_row", "_f", ranks([F.lit(0)] * p, [F.col("_count")[j] for j in range(p)]))
-    within = Window.partitionBy("_f", "_cell").orderBy("_v").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    ties = Window.partitionBy("_f", "_cell", "_v")
-    inner = placed.where("_cell % 2 = 0").repartition("_f", "_cell").select(
-        "_row", "_f", "_has", "_start",
-        *[F.sum(F.col("_has")[j]).over(within).alias(f"_u{j}") for j in range(p)],
-        *[F.sum(F.col("_has")[j]).over(ties).alias(f"_t{j}") for j in range(p)],
-    )
-    inner = inner.select("_row", "_f", ranks([F.col(f"_u{j}") - F.col(f"_t{j}") for j in range(p)], [F.col(f"_t{j}") for j in range(p)]))
     # One number a pair of columns, as arrays cannot be kept in a hash aggregate.
     sides = [(i, j) for i in range(p) for j in range(p) if i != j]
-    return points.unionByName(inner).groupBy("_row").agg(
-        *[F.max(F.when(F.col("_f") == i, F.col("_k")[j])).alias(f"_k_{features[i]}_{features[j]}") for i, j in sides]
-    )
+    names = {(i, j): f"_k_{features[i]}_{features[j]}" for i, j in sides}
+    points = placed.where(F.coalesce(*features).isNotNull())
+    for i in range(p):
+        at = starts.where((F.col("_f") == i) & (F.col("_cell") % 2 == 1)).select(F.col("_cell").alias(f"_b{i}"), F.struct("_start", "_count").alias(f"_s{i}"))
+        points = points.join(F.broadcast(at), f"_b{i}", "left")
+    both = lambda i, j: F.col(features[i]).isNotNull() & F.col(features[j]).isNotNull()
+    points = points.select("_row", *[F.when(both(i, j), F.col(f"_s{i}._start")[j] + (F.col(f"_s{i}._count")[j] + 1) / 2.0).alias(names[i, j]) for i, j in sides])
+
+    # Tasks in number as the intervals, so that none holds more rows on larger tables; left to itself Spark joins partitions by their packed size.
+    within = Window.partitionBy("_f", "_cell").orderBy("_v").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    ties = Window.partitionBy("_f", "_cell", "_v")
+    inner = long.where("_cell % 2 = 0").repartition(splits, "_f", "_cell").select(
+        "_row", "_f", "_has", "_cell",
+        *[F.sum(has[j]).over(within).alias(f"_u{j}") for j in range(p)],
+        *[F.sum(has[j]).over(ties).alias(f"_t{j}") for j in range(p)],
+    ).join(F.broadcast(starts), ["_f", "_cell"])
+    rank = [F.when(F.col("_has")[j], F.col("_start")[j] + (F.col(f"_u{j}") - F.col(f"_t{j}")) + (F.col(f"_t{j}") + 1) / 2.0) for j in range(p)]
+    inner = inner.select("_row", *[F.when(F.col("_f") == i, rank[j]).alias(names[i, j]) for i, j in sides])
+    # Spread before the aggregate, which finds nothing to fold on the side of the intervals and would hold all rows of a task there.
+    return points.unionByName(inner).repartition(splits, "_row").groupBy("_row").agg(*[F.max(n).alias(n) for n in names.values()])
 
 
 def spearman_table(df: DataFrame, features: Sequence[str], splits: int | None = None) -> DataFrame:

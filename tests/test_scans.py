@@ -1,5 +1,7 @@
 """Two-level scans and quantiles against brute force, with one hot key and tied values."""
 
+import re
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -92,6 +94,15 @@ def test_ranks_of_a_value_in_a_third_of_the_rows(spark):
     np.testing.assert_allclose(got, want)
 
 
+def test_rank_tasks_grow_in_number_not_in_rows(spark):
+    """Both shuffles state their partitions, and no hash aggregate by row runs before the second."""
+    df = spark.range(1000).select(F.rand(1).alias("v"), F.rand(2).alias("w"))
+    p = features.pairwise_ranks(df, ["v", "w"], 32)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"hashpartitioning\(_f#\d+, _cell#\d+, 32\), REPARTITION_BY_NUM", p)
+    after, before = re.split(r"hashpartitioning\(_row#\d+L, 32\), REPARTITION_BY_NUM", p)
+    assert "HashAggregate(keys=[_row" in after and "HashAggregate(keys=[_row" not in before
+
+
 def test_spearman_of_no_rows(spark):
     df = spark.createDataFrame([], "a double, b double")
     assert [tuple(r) for r in features.spearman_table(df, ["a", "b"]).collect()] == [("a", "b", 0, None)]
