@@ -141,6 +141,26 @@ def test_repeats_with_a_crowded_passage(spark, monkeypatch):
     check_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").repartition(4, "doc_id").sortWithinPartitions("doc_id"), 400)
 
 
+def test_pieces_of_a_crowd_grow_with_its_rows(spark, monkeypatch):
+    """Not with the square of its different texts."""
+    monkeypatch.setattr(repeats, "CROWD", 5)
+    folded, counts = repeats.folded, []
+
+    def counting(rows, pieces, size, scratch):
+        counts.append(pieces.count())
+        return folded(rows, pieces, size, scratch)
+
+    monkeypatch.setattr(repeats, "folded", counting)
+    rng = np.random.default_rng(7)
+    word = lambda n: "".join(map(chr, rng.integers(97, 123, n)))
+    passage = word(320)
+    for n in (60, 300):
+        docs = spark.createDataFrame([(i, word(200) + passage + word(200)) for i in range(n)], "doc_id long, text string")
+        repeats.remove_repeats(docs, size=400).count()
+    small, large = counts[::2]
+    assert 0 < small and large < 6 * small
+
+
 def test_copies_of_a_passage_do_not_fill_a_shard(spark, monkeypatch):
     # Every document goes on differently before and behind the passage, so none of its edge runs folds as a whole.
     monkeypatch.setattr(repeats, "CROWD", 5)
