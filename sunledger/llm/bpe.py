@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from sunledger.llm.common import map_arrow, text_steps
+from sunledger.llm.common import held, map_arrow, text_steps
 from sunledger.llm.tokens import PieceEncoder, byte_units
 
 # Fixed value: the published splitting pattern of the byte-level vocabulary.
@@ -201,15 +201,14 @@ class StreamEncoder:
         return ids
 
 
-_ENCODERS: dict[str, tuple[MergeList, PieceEncoder]] = {}
-
-
 def stream_encoder(path: str) -> tuple[MergeList, PieceEncoder]:
-    """One per worker process."""
-    if path not in _ENCODERS:
+    """One per worker process, ``held`` as ``stream``."""
+
+    def make():
         merges = MergeList(path)
-        _ENCODERS[path] = merges, PieceEncoder(byte_units, StreamEncoder(merges).piece)
-    return _ENCODERS[path]
+        return merges, PieceEncoder(byte_units, StreamEncoder(merges).piece)
+
+    return held("stream", path, make)
 
 
 DECODE_STEP = 65_536
@@ -239,4 +238,4 @@ def encode_decode(docs: DataFrame, tokenizer_path: str) -> DataFrame:
                 )
 
     own = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"].cast("string").alias("text"))
-    return map_arrow(own, run, "doc_id bigint, n_tokens bigint, ids binary, decoded string", rows=1000)
+    return map_arrow(own, run, "doc_id bigint, n_tokens bigint, ids binary, decoded string", rows=1000, holds="stream")

@@ -144,7 +144,7 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 1024, end_id: int
             write(window)
         yield flush()
 
-    return map_arrow(docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"].cast("string").alias("text")), run, PIECES)
+    return map_arrow(docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"].cast("string").alias("text")), run, PIECES, holds="byte")
 
 
 class Tail:

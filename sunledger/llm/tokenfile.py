@@ -116,7 +116,7 @@ def write_ids(docs: DataFrame, tokenizer_path: str, path: str | None = None, end
         if keys:
             yield close()
 
-    map_arrow(ranged, run, SEGMENTS).write.parquet(path)
+    map_arrow(ranged, run, SEGMENTS, holds="word").write.parquet(path)
     return path
 
 

@@ -10,6 +10,8 @@ import json
 import re
 from array import array
 
+from sunledger.llm.common import held
+
 SPACE_BEFORE_WHITE = re.compile(r" (?=\s|$)")
 CUT = re.compile(r"(?= \S)")
 LONGEST_KEPT = 64  # longer pieces are encoded anew each time
@@ -157,12 +159,10 @@ def words_first(path: str, encode_piece):
     return encode
 
 
-_ENCODERS: dict[tuple, PieceEncoder] = {}
-
-
 def library_encoder(path: str, kind: str) -> PieceEncoder:
-    """One encoder per worker process. ``kind`` is ``byte`` (cut before spaces) or ``word`` (white space is dropped)."""
-    if (path, kind) not in _ENCODERS:
+    """One encoder per worker process, ``held`` by its ``kind``: ``byte`` (cut before spaces) or ``word`` (white space is dropped)."""
+
+    def make():
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
@@ -173,5 +173,6 @@ def library_encoder(path: str, kind: str) -> PieceEncoder:
             return tokenizer.encode(piece, add_special_tokens=False).ids
 
         encode_piece = {"byte": latin_first, "word": words_first}[kind](path, encode_piece)
-        _ENCODERS[path, kind] = PieceEncoder({"byte": byte_units, "word": word_units}[kind], encode_piece)
-    return _ENCODERS[path, kind]
+        return PieceEncoder({"byte": byte_units, "word": word_units}[kind], encode_piece)
+
+    return held(kind, path, make)

@@ -6,12 +6,14 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from sunledger.llm import bpe, packing, tokenfile, tokens
+from sunledger.llm.common import map_arrow
 
 BYTE, WORD = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
 PARTS = ["a", "the", " ", "  ", "\n", "\t", "é", "ß", "<|endoftext|>", "'s", "12", "!", "...", ".", ", ", "日本", "\x1c", "\x85", "　", "👍", "ing", "́", "Σ", "İ", "יִ", "K", "Word. "]
@@ -190,3 +192,17 @@ def test_file_set_reads_back(nasty, empty, spark):
             assert zlib.crc32(bytes(r["ids"])) == zlib.crc32(ids_of(library, texts[r["doc_id"]] or "") + b"\x02\0\0\0")
         at += r["n_tokens"]
     assert tokenfile.read_ids(spark, tokenfile.write_ids(empty, WORD)).count() == 0
+
+
+def test_encoders_leave_the_workers_when_another_operator_begins(spark):
+    docs = spark.range(80).selectExpr("id AS doc_id", "concat('some words ', id) AS text").repartition(8)
+
+    def alive(batches):
+        import gc
+
+        for _ in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([sum(type(o).__name__ == "PieceEncoder" for o in gc.get_objects())], pa.int64())], names=["n"])
+
+    for encode in (lambda: packing.pack(docs, BYTE), lambda: bpe.encode_decode(docs, BYTE)):
+        assert encode().count() >= 80
+        assert map_arrow(docs, alive, "n bigint").agg({"n": "max"}).first()[0] == 0
