@@ -81,3 +81,8 @@ def test_learner_input_is_computed_once(spark):
 def test_learner_rows_read_the_sold_rows_once(spark):
     p = learner_rows(Tables(spark, SF))._jdf.queryExecution().executedPlan().toString()
     assert p.count("lineitem.parquet") == 1
+
+
+def test_boosted_trees_read_the_written_rows_only(spark):
+    files = runner("boosted_tree_candidate")(spark, SF).inputFiles()
+    assert files and all("/learner-rows-" in f for f in files)
